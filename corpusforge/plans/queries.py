@@ -60,3 +60,381 @@ def q_normalize_text(spark, sf_dir):
 )
 def q_label_distribution(spark, sf_dir):
     return profile.value_counts(cleaned(spark, sf_dir), "label", "n_rows")
+
+
+# ---------------------------------------------------------------- profile --
+
+def _wv(*names: str) -> str:
+    return V.with_views(*names)
+
+
+_CLEAN = S.clean_cte()
+HEADLINE_COLS = ["row_id", "text", "label", "source", "url"]
+
+
+@register(
+    "distinct_labels",
+    _wv("headlines") + "\nSELECT label, min(row_id) AS first_row FROM headlines GROUP BY label",
+)
+def q_distinct_labels(spark, sf_dir):
+    return profile.distinct_values(V.headlines(spark, sf_dir), "label")
+
+
+@register(
+    "distinct_sources",
+    _wv("headlines") + "\nSELECT source AS value, min(row_id) AS first_row, "
+    "'source' AS column_name FROM headlines GROUP BY source",
+)
+def q_distinct_sources(spark, sf_dir):
+    df = V.headlines(spark, sf_dir)
+    col = clean.pick_column(df, ("source", "website"))
+    return (
+        profile.distinct_values(df, col)
+        .withColumnRenamed(col, "value")
+        .withColumn("column_name", F.lit(col))
+    )
+
+
+@register(
+    "distinct_counts",
+    _wv("headlines") + "\nSELECT count(DISTINCT label) AS n_labels, count(DISTINCT source) AS n_sources, "
+    "count(*) AS n_rows FROM headlines",
+)
+def q_distinct_counts(spark, sf_dir):
+    df = V.headlines(spark, sf_dir)
+    return df.agg(
+        F.count_distinct("label").alias("n_labels"),
+        F.count_distinct("source").alias("n_sources"),
+        F.count(F.lit(1)).alias("n_rows"),
+    )
+
+
+def _sql_null_profile(src: str, cols: list[str]) -> str:
+    parts = [
+        f"SELECT {S.q(c)} AS column_name, CAST({i} AS BIGINT) AS col_pos, "
+        f"CAST(count(*) - count({c}) AS BIGINT) AS nulls FROM {src}"
+        for i, c in enumerate(cols)
+    ]
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("null_profile", _wv("headlines") + "\n" + _sql_null_profile("headlines", HEADLINE_COLS))
+def q_null_profile(spark, sf_dir):
+    return profile.null_profile(V.headlines(spark, sf_dir))
+
+
+@register(
+    "null_columns",
+    _wv("headlines") + ",\nnp AS (" + _sql_null_profile("headlines", HEADLINE_COLS) + ")\n"
+    "SELECT column_name, col_pos, nulls FROM np WHERE nulls > 0",
+)
+def q_null_columns(spark, sf_dir):
+    return profile.null_columns(V.headlines(spark, sf_dir))
+
+
+@register(
+    "null_summary",
+    _wv("headlines") + ",\nnp AS (" + _sql_null_profile("headlines", HEADLINE_COLS) + ")\n"
+    "SELECT CAST(sum(nulls) AS BIGINT) AS total_nulls, sum(nulls) = 0 AS no_nulls FROM np",
+)
+def q_null_summary(spark, sf_dir):
+    return profile.null_summary(V.headlines(spark, sf_dir))
+
+
+@register(
+    "frame_summary",
+    _wv("headlines") + "\n" + "\nUNION ALL\n".join(
+        f"SELECT {S.q(c)} AS column_name, CAST({i} AS BIGINT) AS col_pos, {S.q(t)} AS dtype, "
+        f"count({c}) AS non_null, count(*) AS rows FROM headlines"
+        for i, (c, t) in enumerate(zip(HEADLINE_COLS, ["bigint", "string", "string", "string", "string"]))
+    ),
+)
+def q_frame_summary(spark, sf_dir):
+    return profile.frame_summary(V.headlines(spark, sf_dir))
+
+
+@register(
+    "samples_per_label",
+    _wv("headlines") + ",\n" + _CLEAN + "\nSELECT row_id, text, label, source, url FROM ("
+    "SELECT *, row_number() OVER (PARTITION BY label ORDER BY row_id) AS rn FROM cleaned "
+    "WHERE label IN ('Politics', 'World', 'Sports', 'Economy')) WHERE rn <= 5",
+)
+def q_samples_per_label(spark, sf_dir):
+    df = clean.filter_labels(cleaned(spark, sf_dir), ["Politics", "World", "Sports", "Economy"])
+    return profile.head_per_group(df.select(*HEADLINE_COLS), 5)
+
+
+@register(
+    "head_rows",
+    _wv("headlines") + "\nSELECT row_id, text, label, source, url FROM headlines ORDER BY row_id LIMIT 5",
+)
+def q_head_rows(spark, sf_dir):
+    return profile.head(V.headlines(spark, sf_dir), 5)
+
+
+@register(
+    "drop_url",
+    _wv("headlines") + ",\n" + _CLEAN + "\nSELECT row_id, text, label, source FROM cleaned",
+)
+def q_drop_url(spark, sf_dir):
+    return clean.drop_columns(cleaned(spark, sf_dir).select(*HEADLINE_COLS), ["url"])
+
+
+@register(
+    "project_text_label",
+    _wv("headlines") + ",\n" + _CLEAN + "\nSELECT text, label FROM cleaned",
+)
+def q_project_text_label(spark, sf_dir):
+    return clean.project(cleaned(spark, sf_dir), ["text", "label"])
+
+
+@register(
+    "count_label",
+    _wv("headlines") + "\nSELECT count_if(label = 'Sports') AS n FROM headlines",
+)
+def q_count_label(spark, sf_dir):
+    return profile.count_if_label(V.headlines(spark, sf_dir), "Sports")
+
+
+@register(
+    "row_counts",
+    _wv("headlines") + "\nSELECT 'headlines' AS table_name, count(*) AS n_rows FROM headlines "
+    "UNION ALL SELECT 'pages' AS table_name, count(*) AS n_rows FROM pages",
+)
+def q_row_counts(spark, sf_dir):
+    h = profile.row_count(V.headlines(spark, sf_dir), "n_rows").withColumn("table_name", F.lit("headlines"))
+    p = profile.row_count(V.read_table(spark, sf_dir, "pages"), "n_rows").withColumn("table_name", F.lit("pages"))
+    return h.unionByName(p)
+
+
+# ----------------------------------------------------------------- dedupe --
+
+from corpusforge.operators import balance as B  # noqa: E402
+from corpusforge.operators import dedupe as D  # noqa: E402
+from corpusforge.operators import merge as M  # noqa: E402
+from corpusforge.plans import fixtures as FX  # noqa: E402
+
+
+def _keep_first_sql(src: str, key: str, cols: list[str], order: str = "row_id") -> str:
+    return (
+        f"SELECT {', '.join(cols)} FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {order}) AS _rn "
+        f"FROM {src}) WHERE _rn = 1"
+    )
+
+
+@register(
+    "dedupe_norm",
+    _wv("headlines") + ",\n" + _CLEAN + "\n" + _keep_first_sql("cleaned", S.norm("text"), HEADLINE_COLS),
+)
+def q_dedupe_norm(spark, sf_dir):
+    return D.dedupe_norm(cleaned(spark, sf_dir).select(*HEADLINE_COLS), order_cols=("row_id",))
+
+
+@register(
+    "dedupe_text",
+    _wv("headlines") + "\n" + _keep_first_sql("headlines", "text", HEADLINE_COLS),
+)
+def q_dedupe_text(spark, sf_dir):
+    return D.dedupe_text(V.headlines(spark, sf_dir), order_cols=("row_id",))
+
+
+@register(
+    "dedupe_text_url",
+    _wv("headlines") + "\n" + _keep_first_sql("headlines", "text, url", HEADLINE_COLS),
+)
+def q_dedupe_text_url(spark, sf_dir):
+    return D.dedupe_text_url(V.headlines(spark, sf_dir), order_cols=("row_id",))
+
+
+def _target_rows_div(n: int) -> str:
+    return f"tgt AS (SELECT count(*) // {n} AS target FROM cbase)"
+
+
+def clean_base(spark, sf_dir):
+    return clean.clean_corpus(V.base(spark, sf_dir))
+
+
+def base_target(cb) -> int:
+    """Per-label target of the growth jobs: a fifth of the cleaned base."""
+    return cb.count() // 5
+
+
+@register(
+    "label_needs",
+    _wv("base") + ",\n" + S.clean_cte("base", "cbase") + ",\n" + FX.sql_labels() + ",\n" + _target_rows_div(5)
+    + "\nSELECT req.label_pos, req.label, CAST(coalesce(c.have, 0) AS BIGINT) AS have, "
+    "CAST(greatest(0, tgt.target - coalesce(c.have, 0)) AS BIGINT) AS need "
+    "FROM req LEFT JOIN (SELECT label, count(*) AS have FROM cbase GROUP BY label) c ON req.label = c.label, tgt",
+)
+def q_label_needs(spark, sf_dir):
+    cb = clean_base(spark, sf_dir)
+    return profile.label_needs(cb, FX.LABELS, base_target(cb))
+
+
+@register(
+    "unseen_items",
+    _wv("base", "archive") + ",\n" + S.clean_cte("base", "cbase")
+    + f",\nseen AS (SELECT DISTINCT {S.norm('text')} AS norm FROM cbase)\n"
+    f"SELECT source, page_no, pos, title FROM archive WHERE NOT EXISTS "
+    f"(SELECT 1 FROM seen WHERE seen.norm = {S.norm('archive.title')})",
+)
+def q_unseen_items(spark, sf_dir):
+    seen = D.seen_set(clean_base(spark, sf_dir))
+    items = V.archive(spark, sf_dir).withColumn("norm", norm_text("title"))
+    return D.unseen(items, seen).select("source", "page_no", "pos", "title")
+
+
+# ------------------------------------------------------------------ merge --
+
+def archive_as_corpus(spark, sf_dir):
+    """Archive items in corpus form (no url column: U1 fills it with null)."""
+    return V.archive(spark, sf_dir).select(
+        F.col("item_id").alias("row_id"), F.col("title").alias("text"), "label", "source"
+    )
+
+
+_SQL_ARCH_CORPUS = "arch AS (SELECT item_id AS row_id, title AS text, label, source FROM archive)"
+_SQL_UNION = (
+    "parts AS (SELECT CAST(0 AS INTEGER) AS part_no, row_id, text, label, source, url FROM base "
+    "UNION ALL SELECT CAST(1 AS INTEGER) AS part_no, row_id, text, label, source, CAST(NULL AS VARCHAR) AS url FROM arch)"
+)
+PART_COLS = ["part_no", "row_id", "text", "label", "source", "url"]
+
+
+@register(
+    "union_parts",
+    _wv("base", "archive") + ",\n" + _SQL_ARCH_CORPUS + ",\n" + _SQL_UNION + "\nSELECT * FROM parts",
+)
+def q_union_parts(spark, sf_dir):
+    return M.union_parts([V.base(spark, sf_dir), archive_as_corpus(spark, sf_dir)]).select(*PART_COLS)
+
+
+def _title_case_sql(x: str) -> str:
+    return S.strip(f"upper(substring({x}, 1, 1)) || lower(substring({x}, 2))")
+
+
+@register(
+    "merge_dedupe_shuffle",
+    _wv("base", "archive") + ",\n" + _SQL_ARCH_CORPUS + ",\n" + _SQL_UNION
+    + ",\nkept AS (" + _keep_first_sql("parts", "text", PART_COLS, "part_no, row_id") + ")\n"
+    f"SELECT part_no, row_id, text, {_title_case_sql('label')} AS label, source, url, "
+    f"{S.md5_key(FX.SEED, 'part_no', 'row_id')} AS shuffle_key FROM kept",
+)
+def q_merge_dedupe_shuffle(spark, sf_dir):
+    from corpusforge.functions.text import title_case
+
+    u = M.union_parts([V.base(spark, sf_dir), archive_as_corpus(spark, sf_dir)]).select(*PART_COLS)
+    d = D.dedupe_text(u).withColumn("label", title_case("label"))
+    return B.shuffle(d, FX.SEED, ("part_no", "row_id"))
+
+
+# ---------------------------------------------------------------- balance --
+
+def balance_target(df) -> int:
+    """Per-label balance target: a fifth of all rows."""
+    return df.count() // 5
+
+
+_SQL_BAL_TGT = "tgt AS (SELECT count(*) // 5 AS target FROM cleaned)"
+_SQL_COUNTS = "cnt AS (SELECT label, count(*) AS n FROM cleaned GROUP BY label)"
+_SQL_DOWN = (
+    "down AS (SELECT row_id, text, label, source, url, CAST(0 AS BIGINT) AS draw FROM ("
+    f"SELECT c.*, row_number() OVER (PARTITION BY c.label ORDER BY {S.md5_key(FX.SEED, 'c.row_id')}, c.row_id) AS rk, "
+    "tgt.target FROM cleaned c JOIN cnt ON c.label = cnt.label, tgt WHERE cnt.n >= tgt.target) WHERE rk <= target)"
+)
+_SQL_OVER = (
+    "small AS (SELECT cnt.label, cnt.n, tgt.target FROM cnt, tgt WHERE cnt.n < tgt.target AND cnt.n > 0),\n"
+    "draws AS (SELECT small.label, CAST(d.draw AS BIGINT) AS draw, "
+    f"({S.hex8_to_long(S.md5_key(FX.SEED, 'small.label', 'd.draw'))} % small.n) + 1 AS rn "
+    "FROM small, generate_series(1, small.target) AS d(draw)),\n"
+    "numbered AS (SELECT c.*, row_number() OVER (PARTITION BY c.label ORDER BY c.row_id) AS rn "
+    "FROM cleaned c WHERE c.label IN (SELECT label FROM small)),\n"
+    "over AS (SELECT numbered.row_id, numbered.text, numbered.label, numbered.source, numbered.url, draws.draw "
+    "FROM numbered JOIN draws ON numbered.label = draws.label AND numbered.rn = draws.rn)"
+)
+BAL_COLS = HEADLINE_COLS + ["draw"]
+
+
+@register(
+    "balance_down",
+    _wv("headlines") + ",\n" + _CLEAN + ",\n" + _SQL_BAL_TGT + ",\n" + _SQL_COUNTS + ",\n" + _SQL_DOWN
+    + "\nSELECT * FROM down",
+)
+def q_balance_down(spark, sf_dir):
+    c = cleaned(spark, sf_dir).select(*HEADLINE_COLS)
+    return B.down_sample(c, balance_target(c), FX.SEED).select(*BAL_COLS)
+
+
+@register(
+    "balance_over",
+    _wv("headlines") + ",\n" + _CLEAN + ",\n" + _SQL_BAL_TGT + ",\n" + _SQL_COUNTS + ",\n" + _SQL_OVER
+    + "\nSELECT * FROM over",
+)
+def q_balance_over(spark, sf_dir):
+    c = cleaned(spark, sf_dir).select(*HEADLINE_COLS)
+    return B.over_sample(c, balance_target(c), FX.SEED).select(*BAL_COLS)
+
+
+_SQL_FULL = (
+    _wv("headlines") + ",\n" + _CLEAN + ",\n" + _SQL_BAL_TGT + ",\n" + _SQL_COUNTS + ",\n" + _SQL_DOWN + ",\n"
+    + _SQL_OVER + ",\nbal AS (SELECT * FROM down UNION ALL SELECT * FROM over)\n"
+)
+
+
+@register(
+    "balance_full",
+    _SQL_FULL + f"SELECT *, {S.md5_key(FX.SEED, 'row_id', 'draw')} AS shuffle_key FROM bal",
+)
+def q_balance_full(spark, sf_dir):
+    c = cleaned(spark, sf_dir).select(*HEADLINE_COLS)
+    return B.balance(c, balance_target(c), FX.SEED).select(*BAL_COLS, "shuffle_key")
+
+
+@register(
+    "job_balance",
+    _SQL_FULL + "SELECT row_id, text, label, source, url, draw, "
+    f"{S.md5_key(FX.SEED, 'row_id', 'draw')} AS shuffle_key FROM ("
+    "SELECT *, row_number() OVER (PARTITION BY text, label ORDER BY row_id, draw) AS _k FROM bal) WHERE _k = 1",
+)
+def q_job_balance(spark, sf_dir):
+    """K10 with the D6 option: balance, then keep-first by (text, label)."""
+    c = cleaned(spark, sf_dir).select(*HEADLINE_COLS)
+    bal = B.balance(c, balance_target(c), FX.SEED).select(*BAL_COLS, "shuffle_key")
+    return D.dedupe_text_label(bal, order_cols=("row_id", "draw"))
+
+
+def _strict_sql(labels) -> str:
+    inl = ", ".join(S.q(l) for l in labels)
+    return (
+        _wv("headlines") + ",\n" + _CLEAN.replace("cleaned AS", "cleaned0 AS")
+        + f",\ncleaned AS (SELECT * FROM cleaned0 WHERE label IN ({inl})),\n"
+        + _SQL_COUNTS + ",\ntgt AS (SELECT min(n) AS target FROM cnt),\n" + _SQL_DOWN
+        + f"\nSELECT *, {S.md5_key(FX.SEED, 'row_id', 'draw')} AS shuffle_key FROM down"
+    )
+
+
+def _strict(spark, sf_dir, labels):
+    c = clean.filter_labels(cleaned(spark, sf_dir).select(*HEADLINE_COLS), labels)
+    # Largest strict target the requested labels allow (tiny aggregate).
+    target = c.groupBy("label").count().agg(F.min("count")).collect()[0][0]
+    return B.balance_strict(c, int(target), labels, FX.SEED).select(*BAL_COLS, "shuffle_key")
+
+
+@register("balance_strict", _strict_sql(["World", "Sports"]))
+def q_balance_strict(spark, sf_dir):
+    return _strict(spark, sf_dir, ["World", "Sports"])
+
+
+@register("job_strict", _strict_sql(FX.LABELS))
+def q_job_strict(spark, sf_dir):
+    """P14 label filter, then strict assembly of the four labels."""
+    return _strict(spark, sf_dir, FX.LABELS)
+
+
+@register(
+    "shuffle_seeded",
+    _wv("headlines") + ",\n" + _CLEAN
+    + f"\nSELECT row_id, text, label, source, url, {S.md5_key(FX.SEED, 'row_id')} AS shuffle_key FROM cleaned",
+)
+def q_shuffle_seeded(spark, sf_dir):
+    return B.shuffle(cleaned(spark, sf_dir).select(*HEADLINE_COLS), FX.SEED)

@@ -6,7 +6,7 @@ archive of listing pages:
 * ``headlines(row_id, text, label, source, url)``: first 80 characters of a
   document, label from its language, ``url`` null for every tenth row;
 * ``base``: even ``row_id`` (the existing corpus);
-* ``archive(source, page_no, pos, title, href, label)``: odd ``row_id`` as
+* ``archive(source, page_no, pos, title, href, label, item_id)``: odd ``row_id`` as
   captured listing-page items; page ``row_id div 100 + 1``, position
   ``(row_id mod 100) div 20`` (five items per source and page);
 * ``page_status(source, page_no, http_status)``: null (request error) when
@@ -68,6 +68,7 @@ def archive(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("text").alias("title"),
         _doc_url(F.col("source"), F.col("row_id")).alias("href"),
         "label",
+        F.col("row_id").alias("item_id"),
     )
 
 
@@ -104,7 +105,8 @@ SQL_BASE = """base AS (SELECT * FROM headlines WHERE row_id % 2 = 0)"""
 SQL_ARCHIVE = """archive AS (
   SELECT source, CAST(row_id // 100 + 1 AS BIGINT) AS page_no,
          CAST((row_id % 100) // 20 AS BIGINT) AS pos, text AS title,
-         'https://' || source || '.example.org/n/' || CAST(row_id AS VARCHAR) AS href, label
+         'https://' || source || '.example.org/n/' || CAST(row_id AS VARCHAR) AS href, label,
+         row_id AS item_id
   FROM headlines WHERE row_id % 2 = 1)"""
 
 SQL_PAGE_STATUS = """page_status AS (
