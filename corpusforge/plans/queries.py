@@ -438,3 +438,88 @@ def q_job_strict(spark, sf_dir):
 )
 def q_shuffle_seeded(spark, sf_dir):
     return B.shuffle(cleaned(spark, sf_dir).select(*HEADLINE_COLS), FX.SEED)
+
+
+# ---------------------------------------------------------------- collect --
+
+from corpusforge.operators import collect as C  # noqa: E402
+from corpusforge.plans import fold_sql as FS  # noqa: E402
+from corpusforge.sources.registry import sources_frame  # noqa: E402
+
+# Streak thresholds scaled to the data size (80 / 25 / 10 in the reference).
+FOLD_CFG = C.CollectConfig(zero_streak=3)
+NO_STREAK_CFG = C.CollectConfig(zero_streak=None)
+STREAKS_CFG = C.CollectConfig(zero_streak=3, zero_streak_by_source={"src11": 1, "src13": 2, "src17": 3, "src5": 1})
+HARVEST_CFG = C.CollectConfig(zero_streak=None, stop_on_http=False, stop_on_empty=False)
+
+
+def run_fold(spark, sf_dir, labels=FX.LABELS, registry=FX.REGISTRY, cfg=FOLD_CFG, quota=True) -> C.FoldResult:
+    """K1 core on the driver views: needs from the cleaned base (target =
+    a fifth of its rows), archive items, captured page statuses."""
+    cb = clean_base(spark, sf_dir)
+    reg = sources_frame(spark, registry)
+    if quota:
+        needs = {r["label"]: int(r["need"]) for r in profile.label_needs(cb, labels, base_target(cb)).collect()}
+    else:
+        needs = {l: None for l in labels}
+    items = V.archive(spark, sf_dir).select("source", "page_no", "pos", "title", "href")
+    return C.collect_fold(spark, V.page_status(spark, sf_dir), items, reg, cb, needs, labels, cfg)
+
+
+ACC_COLS = ["step", "source", "label", "page_no", "pos", "text", "url"]
+CORPUS_COLS = ["part_no", "row_id", "step", "page_no", "pos", "text", "label", "source", "url"]
+
+
+@register("collect_fold", FS.fold_sql(FX.LABELS, cfg=FOLD_CFG, tail="corpus"))
+def q_collect_fold(spark, sf_dir):
+    """Flagship K1: extend the base corpus to the per-label target from the
+    prioritised sources, then keep-first by normalised text."""
+    res = run_fold(spark, sf_dir)
+    return C.extend_corpus(clean_base(spark, sf_dir), res.accepted).select(*CORPUS_COLS)
+
+
+@register("collect_accepted", FS.fold_sql(FX.LABELS, cfg=FOLD_CFG, tail="accepted"))
+def q_collect_accepted(spark, sf_dir):
+    return run_fold(spark, sf_dir).accepted.select(*ACC_COLS)
+
+
+@register("collect_metrics", FS.fold_sql(FX.LABELS, cfg=FOLD_CFG, tail="metrics"))
+def q_collect_metrics(spark, sf_dir):
+    return run_fold(spark, sf_dir).metrics
+
+
+_ONE = [s for s in FX.REGISTRY if s["name"] == "src11"]
+_ONE_CFG = C.CollectConfig(zero_streak=2)
+
+
+@register("collect_one_source", FS.fold_sql(["Economy"], registry=_ONE, cfg=_ONE_CFG, tail="accepted"))
+def q_collect_one_source(spark, sf_dir):
+    return run_fold(spark, sf_dir, ["Economy"], _ONE, _ONE_CFG).accepted.select(*ACC_COLS)
+
+
+_HTTP = [s for s in FX.REGISTRY if s["name"] in ("src3", "src9")]
+
+
+@register("collect_http_continue", FS.fold_sql(["World", "Sports"], registry=_HTTP, cfg=HARVEST_CFG, quota=False))
+def q_collect_http_continue(spark, sf_dir):
+    """Non-200 pages are logged and skipped, no quota (harvest)."""
+    return run_fold(spark, sf_dir, ["World", "Sports"], _HTTP, HARVEST_CFG, quota=False).accepted.select(*ACC_COLS)
+
+
+@register("grow_two_labels", FS.fold_sql(["Sports", "Economy"], cfg=FOLD_CFG, tail="corpus"))
+def q_grow_two_labels(spark, sf_dir):
+    """K2: only Sports then Economy; other deficits are ignored."""
+    res = run_fold(spark, sf_dir, ["Sports", "Economy"])
+    return C.extend_corpus(clean_base(spark, sf_dir), res.accepted).select(*CORPUS_COLS)
+
+
+@register("topup_no_streak", FS.fold_sql(FX.LABELS, cfg=NO_STREAK_CFG, tail="accepted"))
+def q_topup_no_streak(spark, sf_dir):
+    """Top-up cascades without the zero-streak rule."""
+    return run_fold(spark, sf_dir, cfg=NO_STREAK_CFG).accepted.select(*ACC_COLS)
+
+
+@register("topup_streaks", FS.fold_sql(FX.LABELS, cfg=STREAKS_CFG, tail="accepted"))
+def q_topup_streaks(spark, sf_dir):
+    """Per-source zero-streak thresholds."""
+    return run_fold(spark, sf_dir, cfg=STREAKS_CFG).accepted.select(*ACC_COLS)
