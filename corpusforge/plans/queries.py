@@ -523,3 +523,254 @@ def q_topup_no_streak(spark, sf_dir):
 def q_topup_streaks(spark, sf_dir):
     """Per-source zero-streak thresholds."""
     return run_fold(spark, sf_dir, cfg=STREAKS_CFG).accepted.select(*ACC_COLS)
+
+
+# ------------------------------------------------------------- extraction --
+
+from corpusforge.operators import extract as X  # noqa: E402
+from corpusforge.sources import feeds as FD  # noqa: E402
+
+PAGE_KEY = ["page_id"]
+
+
+def pages_tbl(spark, sf_dir):
+    return V.read_table(spark, sf_dir, "pages")
+
+
+# SQL: the well-formed ``<nav><ul><li><a href="…">text</a></li>…`` links of
+# the supplied pages (no entities occur inside them at any scale factor).
+_SQL_NAV = (
+    "navl AS (SELECT page_id, url AS page_url, regexp_extract_all(html, '<li><a href=\"[^\"]*\">[^<]*</a></li>') AS l "
+    "FROM pages),\n"
+    "nav AS (SELECT page_id, page_url, i, regexp_extract(l[i], '<a href=\"([^\"]*)\">', 1) AS raw_href, "
+    "regexp_extract(l[i], '\">([^<]*)</a>', 1) AS raw_text "
+    "FROM (SELECT page_id, page_url, l, generate_subscripts(l, 1) AS i FROM navl)),\n"
+    f"navt AS (SELECT page_id, page_url, i, raw_href, {S.strip('raw_href')} AS href, {S.strip('raw_text')} AS title "
+    "FROM nav)"
+)
+
+
+def _sql_links(min_len: int, dedupe: bool = True, strict: bool = False, variant: str | None = None) -> str:
+    op = ">" if strict else ">="
+    k = f"SELECT * FROM navt WHERE length(title) {op} {min_len} AND length(title) > 0"
+    if dedupe:
+        k = (f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY page_id, title, href ORDER BY i) AS _d "
+             f"FROM ({k})) WHERE _d = 1")
+    v = f"{S.q(variant)} AS variant, " if variant else ""
+    return (f"SELECT {v}page_id, row_number() OVER (PARTITION BY page_id ORDER BY i) AS item_no, title, href "
+            f"FROM ({k})")
+
+
+@register("page_links", "WITH " + _SQL_NAV + "\n" + _sql_links(12))
+def q_page_links(spark, sf_dir):
+    """E1 + D4 with ``li a``: (title, href) items of each captured page."""
+    items = X.extract_links(pages_tbl(spark, sf_dir), PAGE_KEY, ["li a"], min_len=12)
+    return X.number_items(items, PAGE_KEY).select("page_id", "item_no", "title", "href")
+
+
+_VARIANTS = [
+    # (name, selectors, min_len, text_mode, order_mode, dedupe, strict)
+    ("joined_min5", ["nav li a"], 5, "joined", "document", True, False),
+    ("selector_major_min3", ["nav a", "li a"], 3, "spaced", "selector", True, False),
+    ("no_dedupe_gt8", ["h2 a", "h3 a", "li a"], 8, "spaced", "document", False, True),
+]
+
+
+@register(
+    "page_links_variants",
+    "WITH " + _SQL_NAV + "\n" + "\nUNION ALL\n".join(
+        _sql_links(m, d, st, n) for n, _s, m, _t, _o, d, st in _VARIANTS
+    ),
+)
+def q_page_links_variants(spark, sf_dir):
+    """Text modes, selector-major order, dedupe off, other
+    minimum lengths."""
+    out = None
+    p = pages_tbl(spark, sf_dir)
+    for name, sels, m, tm, om, d, st in _VARIANTS:
+        items = X.extract_links(p, PAGE_KEY, sels, min_len=m, text_mode=tm, order_mode=om, dedupe=d, strict_len=st)
+        items = X.number_items(items, PAGE_KEY).select(
+            F.lit(name).alias("variant"), "page_id", "item_no", "title", "href"
+        )
+        out = items if out is None else out.unionByName(items)
+    return out
+
+
+def _sql_h1(min_len_exclusive: int, tier: int) -> str:
+    txt = S.strip("replace(replace(regexp_extract(html, '<h1>(.*?)</h1>', 1), '&quot;', '\"'), '&amp;', '&')")
+    return (f"SELECT page_id, CAST({tier} AS INTEGER) AS tier, text FROM (SELECT page_id, {txt} AS text FROM pages) "
+            f"WHERE length(text) > {min_len_exclusive}")
+
+
+@register("page_headings", _sql_h1(15, 1))
+def q_page_headings(spark, sf_dir):
+    """``h2.post-title``, else the fallback tier (``h1`` here); whole
+    text stripped; ``len > 15``."""
+    h = X.headings_with_fallback(pages_tbl(spark, sf_dir), PAGE_KEY, ("h2.post-title", "h1"), 1, 15)
+    return h.select("page_id", "tier", "text")
+
+
+@register("heading_cascade", _sql_h1(20, 2))
+def q_heading_cascade(spark, sf_dir):
+    """``h2``; fewer than 3 -> ``h3``; fewer than 3 -> ``h1``; ``len > 20``."""
+    h = X.headings_with_fallback(pages_tbl(spark, sf_dir), PAGE_KEY, ("h2", "h3", "h1"), 3, 20)
+    return h.select("page_id", "tier", "text")
+
+
+_SQL_PAGE_TAGS = (
+    "CASE regexp_extract(url, '\\.example\\.[a-z]+/([a-z]+)/', 1) WHEN 'en' THEN 'Politics' WHEN 'fr' THEN 'World' "
+    "WHEN 'de' THEN 'Sports' WHEN 'es' THEN 'Economy' END AS label, regexp_extract(url, '://([^/]+)', 1) AS source"
+)
+
+
+def _page_tags(pages):
+    lang = F.regexp_extract("url", r"\.example\.[a-z]+/([a-z]+)/", 1)
+    return pages.select(
+        "page_id",
+        V._label_of(lang).alias("label"),
+        F.regexp_extract("url", "://([^/]+)", 1).alias("source"),
+    )
+
+
+@register(
+    "harvest_all",
+    "WITH h AS (" + _sql_h1(15, 1) + "),\ntags AS (SELECT page_id, " + _SQL_PAGE_TAGS + " FROM pages)\n"
+    "SELECT h.page_id, h.text, tags.label, tags.source FROM h JOIN tags ON h.page_id = tags.page_id",
+)
+def q_harvest_all(spark, sf_dir):
+    """K3: headings of every page, tagged with the page's label and source
+    (P20), all kept (no dedupe)."""
+    p = pages_tbl(spark, sf_dir)
+    h = X.headings_with_fallback(p, PAGE_KEY, ("h2.post-title", "h1"), 1, 15)
+    return h.join(_page_tags(p), "page_id").select("page_id", "text", "label", "source")
+
+
+_CAT = dict(reject_words=["the", "ing", "and"], accept_prefix="/", reject_prefixes=["/a", "/b", "/c"],
+            host="https://cat.example.org", limit=3)
+
+
+@register(
+    "category_members",
+    "WITH " + _SQL_NAV + ",\nmem AS (SELECT page_id, i, title, raw_href FROM navt WHERE "
+    + " AND ".join(f"NOT contains(title, {S.q(w)})" for w in _CAT["reject_words"])
+    + f" AND starts_with(raw_href, {S.q(_CAT['accept_prefix'])})"
+    + "".join(f" AND NOT starts_with(raw_href, {S.q(r)})" for r in _CAT["reject_prefixes"]) + ")\n"
+    "SELECT page_id, member_no, title, url FROM (SELECT page_id, title, "
+    f"{S.q(_CAT['host'])} || raw_href AS url, row_number() OVER (PARTITION BY page_id ORDER BY i) AS member_no "
+    f"FROM mem) WHERE member_no <= {_CAT['limit']}",
+)
+def q_category_members(spark, sf_dir):
+    """E10/E11, P11, P12, E13, W9 with ``nav li a`` standing in for the
+    category-member list (reject words/prefixes chosen for the data)."""
+    m = X.category_members(pages_tbl(spark, sf_dir), PAGE_KEY, "nav li a", **_CAT)
+    return m.select("page_id", "member_no", "title", "url")
+
+
+@register(
+    "feed_discovery",
+    "WITH " + _SQL_NAV + "\nSELECT p.page_id, f.feed_url FROM pages p LEFT JOIN (SELECT page_id, "
+    "arg_min(raw_href, i) AS feed_url FROM navt WHERE contains(lower(title), 'the') AND contains(raw_href, '/t') "
+    "GROUP BY page_id) f ON p.page_id = f.page_id",
+)
+def q_feed_discovery(spark, sf_dir):
+    """First ``/t`` link inside an ``li`` mentioning ``the``."""
+    return X.discover_feed(pages_tbl(spark, sf_dir), PAGE_KEY, "the", "/t").select("page_id", "feed_url")
+
+
+@register("page_title_intro")
+def q_page_title_intro(spark, sf_dir):
+    """E12 + P21 (rows-only: unclosed ``<p><b>`` nesting defeats a regex
+    oracle; checked against hand-written pages in the tests)."""
+    t = X.title_and_intro(pages_tbl(spark, sf_dir), PAGE_KEY, "h1", ["article > p", "article p"])
+    return t.select("page_id", "title", "intro", "text")
+
+
+@register("topup_no_quota")
+def q_topup_no_quota(spark, sf_dir):
+    """Encyclopedia-style top-up: title + intro texts, minus everything
+    already in the base (J1), appended (U1), no length filter, no quota."""
+    p = pages_tbl(spark, sf_dir)
+    t = X.title_and_intro(p, PAGE_KEY, "h1", ["article > p", "article p"]).join(_page_tags(p), "page_id")
+    new = t.select(F.col("page_id").alias("row_id"), "text", "label", "source", F.lit("").alias("url"))
+    new = D.unseen(new.withColumn("norm", norm_text("text")), D.seen_set(clean_base(spark, sf_dir))).drop("norm")
+    return M.union_parts([clean_base(spark, sf_dir).select(*HEADLINE_COLS), new]).select(*PART_COLS)
+
+
+# ------------------------------------------------------------------ feeds --
+
+_XML_BAD = r"[\x00-\x08\x0b\x0c\x0d\x0e-\x1f]"
+
+
+def feeds_tbl(spark, sf_dir):
+    """Captured feeds built from the archive: one feed per (source, page);
+    page mod 3 = 1 RSS, = 2 Atom, = 0 not XML.  Each feed holds the five
+    items of its page, so grouping is bounded."""
+    a = V.archive(spark, sf_dir)
+    t = F.regexp_replace("title", _XML_BAD, "")
+    esc = F.regexp_replace(F.regexp_replace(F.regexp_replace(t, "&", "&amp;"), "<", "&lt;"), ">", "&gt;")
+    pub = F.concat(F.lit("2024-01-"), F.lpad((F.col("pos") + 1).cast("string"), 2, "0"))
+    kind = F.col("page_no") % 3
+    item = (
+        F.when(kind == 1, F.concat(F.lit("<item><title>"), esc, F.lit("</title><link>"), F.col("href"),
+                                   F.lit("</link><pubDate>"), pub, F.lit("</pubDate></item>")))
+        .when(kind == 2, F.concat(F.lit("<entry><title>"), esc, F.lit("</title><updated>"), pub,
+                                  F.lit("</updated></entry>")))
+        .otherwise(F.concat(F.lit("<div>"), esc, F.lit("</div>")))
+    )
+    g = a.select("source", "page_no", "pos", item.alias("x")).groupBy("source", "page_no").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "x"))), lambda s: s["x"]), "").alias("body")
+    )
+    kind = F.col("page_no") % 3
+    xml = (
+        F.when(kind == 1, F.concat(F.lit('<?xml version="1.0"?><rss version="2.0"><channel><title>f</title>'),
+                                   F.col("body"), F.lit("</channel></rss>")))
+        .when(kind == 2, F.concat(F.lit('<feed xmlns="http://www.w3.org/2005/Atom"><title>f</title>'),
+                                  F.col("body"), F.lit("</feed>")))
+        .otherwise(F.concat(F.lit("<html><body>"), F.col("body"), F.lit("</body></html>")))
+    )
+    return g.select("source", "page_no", xml.alias("xml"))
+
+
+_FEED_MAX = 4
+_SQL_FEED_BASE = (
+    "fi AS (SELECT source, page_no, pos, "
+    f"regexp_replace(title, {S.q(_XML_BAD)}, '', 'g') AS t, href, page_no % 3 AS kind, "
+    "'2024-01-' || lpad(CAST(pos + 1 AS VARCHAR), 2, '0') AS pub, "
+    "row_number() OVER (PARTITION BY source, page_no ORDER BY pos) AS item_no FROM archive WHERE page_no % 3 <> 0)"
+)
+
+
+def _sql_classify(x: str) -> str:
+    s = S.count_contains(f"lower({x})", FX.FIRST_KW)
+    h = S.count_contains(f"lower({x})", [k.lower() for k in FX.SECOND_KW])
+    return f"CASE WHEN {s} = 0 AND {h} = 0 THEN 'Other' WHEN {s} >= {h} THEN 'Sports' ELSE 'Health' END"
+
+
+@register(
+    "feed_items",
+    _wv("archive") + ",\n" + _SQL_FEED_BASE + ",\n"
+    f"f2 AS (SELECT source, page_no, item_no, {S.strip('t')} AS text, "
+    f"CASE WHEN kind = 1 THEN {S.strip('href')} ELSE '' END AS url, pub AS published FROM fi WHERE item_no <= {_FEED_MAX})\n"
+    f"SELECT source, page_no, item_no, text, label, url, published FROM (SELECT *, {_sql_classify('text')} AS label "
+    "FROM f2 WHERE length(text) >= 12) WHERE label <> 'Other'",
+)
+def q_feed_items(spark, sf_dir):
+    """RSS and Atom items (first 4 per feed), labelled by
+    keyword vote, 'Other' dropped."""
+    f = feeds_tbl(spark, sf_dir)
+    return FD.feed_items(f, ["source", "page_no"], None, FX.FIRST_KW, FX.SECOND_KW, max_items=_FEED_MAX).select(
+        "source", "page_no", "item_no", "text", "label", "url", "published"
+    )
+
+
+@register(
+    "search_feed_titles",
+    _wv("archive") + ",\n" + _SQL_FEED_BASE + "\n"
+    f"SELECT source, page_no, item_no, text FROM (SELECT source, page_no, item_no, "
+    f"{S.strip("split_part(t, '-', 1)")} AS text FROM fi) WHERE length(text) > 15",
+)
+def q_search_feed_titles(spark, sf_dir):
+    """Every item of every feed, title cut at the first hyphen."""
+    return FD.search_feed_titles(feeds_tbl(spark, sf_dir), ["source", "page_no"]).select(
+        "source", "page_no", "item_no", "text"
+    )
