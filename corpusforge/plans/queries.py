@@ -774,3 +774,306 @@ def q_search_feed_titles(spark, sf_dir):
     return FD.search_feed_titles(feeds_tbl(spark, sf_dir), ["source", "page_no"]).select(
         "source", "page_no", "item_no", "text"
     )
+
+
+# ------------------------------------------------------ labels, registry --
+
+from corpusforge.functions import text as TX  # noqa: E402
+from corpusforge.functions import urls as U  # noqa: E402
+from corpusforge.sources import csv as CSV  # noqa: E402
+from corpusforge.sources.registry import apply_keywords, frontier, labels_without_sources  # noqa: E402
+
+
+def _sql_kw_case(col: str) -> str:
+    parts = []
+    for s in FX.REGISTRY:
+        apply = s.get("type") == "keyword_archive" or s.get("use_keyword_filter", False)
+        kws = list(s.get("keywords") or [])
+        cond = S.any_contains(col, kws) if (apply and kws) else "TRUE"
+        parts.append(f"WHEN {S.q(s['name'])} THEN {cond}")
+    return "CASE source " + " ".join(parts) + " END"
+
+
+@register(
+    "keyword_filter",
+    _wv("archive") + ",\n" + FX.sql_registry() + "\n"
+    f"SELECT a.source, a.page_no, a.pos, a.title, r.label FROM archive a JOIN registry r ON a.source = r.name "
+    f"WHERE {_sql_kw_case(S.norm('a.title')).replace('CASE source', 'CASE a.source')}",
+)
+def q_keyword_filter(spark, sf_dir):
+    """P6 + P6a: keyword filter only where the source type asks for it."""
+    reg = F.broadcast(sources_frame(spark, FX.REGISTRY).select(
+        F.col("name").alias("source"), "label", apply_keywords().alias("_apply"), "keywords"))
+    a = V.archive(spark, sf_dir).select("source", "page_no", "pos", "title").join(reg, "source")
+    keep = ~F.col("_apply") | TX.keyword_any_array(norm_text("title"), F.col("keywords"))
+    return a.filter(keep).select("source", "page_no", "pos", "title", "label")
+
+
+def _sql_classify_q() -> str:
+    return (_wv("archive") + f"\nSELECT source, page_no, pos, title, {_sql_classify('title')} AS predicted "
+            "FROM archive")
+
+
+@register("classify_label", _sql_classify_q())
+def q_classify_label(spark, sf_dir):
+    """Keyword vote (tie -> first label, no hit -> Other)."""
+    a = V.archive(spark, sf_dir)
+    return a.select("source", "page_no", "pos", "title",
+                    TX.classify_label("title", FX.FIRST_KW, FX.SECOND_KW).alias("predicted"))
+
+
+@register(
+    "registry_join",
+    _wv("archive") + ",\n" + FX.sql_registry() + "\n"
+    "SELECT r.priority, r.name, r.label, a.page_no, a.pos, a.title, "
+    "(r.type = 'keyword_archive' OR r.use_keyword_filter) AS apply_keywords "
+    "FROM archive a JOIN registry r ON a.source = r.name",
+)
+def q_registry_join(spark, sf_dir):
+    """Items tagged with their source's registry row."""
+    reg = sources_frame(spark, FX.REGISTRY)
+    r = F.broadcast(reg.select("priority", "name", "label", apply_keywords().alias("apply_keywords")))
+    a = V.archive(spark, sf_dir).select("source", "page_no", "pos", "title")
+    return a.join(r, a["source"] == r["name"]).select(
+        "priority", "name", "label", "page_no", "pos", "title", "apply_keywords"
+    )
+
+
+_LABELS_PLUS = FX.LABELS + ["Health"]
+
+
+@register(
+    "label_sources",
+    _wv("archive") + ",\n" + FX.sql_registry() + ",\n" + FX.sql_labels("req", _LABELS_PLUS) + "\n"
+    "SELECT req.label_pos, req.label, CAST(count(r.name) AS BIGINT) AS n_sources FROM req LEFT JOIN "
+    "(SELECT * FROM registry WHERE name IN (SELECT source FROM archive)) r ON r.label = req.label "
+    "GROUP BY req.label_pos, req.label",
+)
+def q_label_sources(spark, sf_dir):
+    """J2 report: how many captured sources each requested label has
+    (``Health`` has none)."""
+    captured = V.archive(spark, sf_dir).select(F.col("source").alias("name")).distinct()
+    reg = sources_frame(spark, FX.REGISTRY).join(captured, "name", "left_semi")
+    return labels_without_sources(spark, _LABELS_PLUS, reg)
+
+
+def _sql_page_url() -> str:
+    wp = ("regexp_replace(r.base_url, '/+$', '') || '/' || CASE WHEN ps.page_no = 1 THEN '' "
+          "ELSE 'page/' || CAST(ps.page_no AS VARCHAR) || '/' END")
+    return f"CASE r.pagination WHEN 'wp' THEN {wp} WHEN 'param' THEN r.base_url || CAST(ps.page_no AS VARCHAR) END"
+
+
+_SQL_FRONTIER_JOIN = (
+    "FROM page_status ps JOIN registry r ON ps.source = r.name "
+    "AND ps.page_no BETWEEN r.start_page AND r.max_pages"
+)
+
+
+def _frontier_df(spark, sf_dir):
+    reg = F.broadcast(sources_frame(spark, FX.REGISTRY))
+    ps = V.page_status(spark, sf_dir)
+    return ps.join(reg, ps["source"] == reg["name"]).filter(
+        F.col("page_no").between(F.col("start_page"), F.col("max_pages"))
+    )
+
+
+@register(
+    "frontier_urls",
+    _wv("page_status") + ",\n" + FX.sql_registry() + f"\nSELECT r.name, ps.page_no, {_sql_page_url()} AS url "
+    + _SQL_FRONTIER_JOIN,
+)
+def q_frontier_urls(spark, sf_dir):
+    """The URL of every captured page inside each source's
+    ``start_page..max_pages`` range."""
+    f = _frontier_df(spark, sf_dir)
+    return f.select("name", "page_no", U.page_url("pagination", "base_url", "page_no").alias("url"))
+
+
+@register(
+    "always_suffixed_urls",
+    _wv("page_status") + ",\n" + FX.sql_registry()
+    + "\nSELECT r.name, ps.page_no, regexp_replace(r.base_url, '/+$', '') || '/page/' || CAST(ps.page_no AS VARCHAR) "
+    "|| '/' AS url, r.label || '_' || r.name AS label_key " + _SQL_FRONTIER_JOIN,
+)
+def q_always_suffixed_urls(spark, sf_dir):
+    """``base/page/`` + N + ``/`` also for page 1."""
+    f = _frontier_df(spark, sf_dir)
+    base = F.concat(F.regexp_replace("base_url", "/+$", ""), F.lit("/page/"))
+    return f.select("name", "page_no", U.suffixed_page_url(base, "page_no").alias("url"),
+                    F.concat("label", F.lit("_"), "name").alias("label_key"))
+
+
+@register(
+    "label_from_key",
+    _wv("archive") + "\nSELECT source, page_no, pos, label || '_' || source AS label_key, "
+    "CASE WHEN contains(label || '_' || source, 'Sports') THEN 'Sports' ELSE label || '_' || source END AS label "
+    "FROM archive",
+)
+def q_label_from_key(spark, sf_dir):
+    """Label from a registry key (``'Sports' if 'Sports' in key``)."""
+    a = V.archive(spark, sf_dir).withColumn("label_key", F.concat("label", F.lit("_"), "source"))
+    return a.select("source", "page_no", "pos", "label_key", U.label_from_key("label_key").alias("label"))
+
+
+# ------------------------------------------------------------- CSV, merge --
+
+_NA_IN = ", ".join(S.q(t) for t in __import__("corpusforge.schema", fromlist=["NA_TOKENS"]).NA_TOKENS)
+
+
+def _na(c: str) -> str:
+    return f"CASE WHEN {c} IN ({_NA_IN}) THEN NULL ELSE {c} END"
+
+
+@register(
+    "csv_roundtrip",
+    _wv("headlines") + f"\nSELECT row_id, {_na('text')} AS text, {_na('label')} AS label, {_na('source')} AS source, "
+    f"{_na('url')} AS url FROM headlines",
+)
+def q_csv_roundtrip(spark, sf_dir):
+    """Write the raw headlines as CSV to a fresh path under the
+    shared checkpoint folder, read them back with the fixed schema."""
+    h = V.headlines(spark, sf_dir)
+    path = CSV.write_corpus_csv(h, spark=spark)
+    return CSV.read_corpus_csv(spark, path, "row_id long, text string, label string, source string, url string")
+
+
+@register("tolerant_load", _wv("base") + "\nSELECT CAST(0 AS INTEGER) AS part_no, row_id, text, label, source, url "
+          "FROM base")
+def q_tolerant_load(spark, sf_dir):
+    """A missing part reads as empty; the union carries on."""
+    from corpusforge.session import scratch_path
+
+    missing = CSV.read_tolerant(spark, scratch_path(spark, "does-not-exist") + "/x.csv",
+                                "row_id long, text string, label string, source string, url string")
+    u = M.union_parts([missing, V.base(spark, sf_dir)])
+    return u.filter(F.col("part_no") == 1).withColumn("part_no", F.lit(0)).unionByName(
+        u.filter(F.col("part_no") == 0)
+    ).select(*PART_COLS)
+
+
+@register(
+    "merge_parts",
+    _wv("base", "archive") + ",\n" + _SQL_ARCH_CORPUS + ",\n" + _SQL_UNION + "\n"
+    f"SELECT part_no, row_id, text, label, {S.md5_key(FX.SEED, 'part_no', 'row_id')} AS shuffle_key FROM parts",
+)
+def q_merge_parts(spark, sf_dir):
+    """K6: project (text, label) of each part, union, seeded shuffle."""
+    parts = [V.base(spark, sf_dir).select("row_id", "text", "label"),
+             archive_as_corpus(spark, sf_dir).select("row_id", "text", "label")]
+    return B.shuffle(M.union_parts(parts), FX.SEED, ("part_no", "row_id")).select(
+        "part_no", "row_id", "text", "label", "shuffle_key")
+
+
+@register(
+    "merge_tolerant",
+    _wv("base", "archive") + ",\n" + _SQL_ARCH_CORPUS + ",\n" + _SQL_UNION
+    + ",\nkept AS (" + _keep_first_sql("parts", "text", PART_COLS, "part_no, row_id") + ")\n"
+    f"SELECT part_no + 1 AS part_no, row_id, text, {_title_case_sql('label')} AS label, source, url, "
+    f"{S.md5_key(FX.SEED, 'part_no + 1', 'row_id')} AS shuffle_key FROM kept",
+)
+def q_merge_tolerant(spark, sf_dir):
+    """K7: tolerant load (a missing first part), union, keep-first by text,
+    title-case labels, seeded shuffle."""
+    from corpusforge.session import scratch_path
+
+    missing = CSV.read_tolerant(spark, scratch_path(spark, "missing") + "/part.csv",
+                                "row_id long, text string, label string, source string, url string")
+    u = M.union_parts([missing, V.base(spark, sf_dir), archive_as_corpus(spark, sf_dir)]).select(*PART_COLS)
+    d = D.dedupe_text(u).withColumn("label", TX.title_case("label"))
+    return B.shuffle(d, FX.SEED, ("part_no", "row_id"))
+
+
+@register(
+    "concat_parts",
+    _wv("base", "archive") + ",\n" + _SQL_ARCH_CORPUS + ",\n" + _SQL_UNION + "\n"
+    "SELECT CAST(0 AS INTEGER) AS part_no, row_id, text, label, source, CAST(NULL AS VARCHAR) AS url FROM arch "
+    "UNION ALL SELECT CAST(1 AS INTEGER) AS part_no, row_id, text, label, source, url FROM parts",
+)
+def q_concat_parts(spark, sf_dir):
+    """Concat a part with a file that already contains it (bag
+    semantics: the self-inclusion is kept, not silently fixed)."""
+    arch = archive_as_corpus(spark, sf_dir)
+    combined = M.union_parts([V.base(spark, sf_dir), arch]).select(*PART_COLS)
+    a = M.with_order(arch, 0).select(*[c for c in PART_COLS if c != "url"]).withColumn("url", F.lit(None).cast("string"))
+    return a.select(*PART_COLS).unionByName(combined.withColumn("part_no", F.lit(1))).select(*PART_COLS)
+
+
+@register(
+    "harvest_dedupe",
+    "WITH " + _SQL_NAV + ",\nlinks AS (" + _sql_links(12) + "),\n"
+    + _wv("archive")[len("WITH "):] + ",\n" + _SQL_FEED_BASE + ",\n"
+    f"f2 AS (SELECT source, page_no, item_no, {S.strip('t')} AS text, "
+    f"CASE WHEN kind = 1 THEN {S.strip('href')} ELSE '' END AS url FROM fi WHERE item_no <= {_FEED_MAX}),\n"
+    f"feeds AS (SELECT * FROM (SELECT *, {_sql_classify('text')} AS label FROM f2 WHERE length(text) >= 12) "
+    "WHERE label <> 'Other'),\n"
+    "tags AS (SELECT page_id, " + _SQL_PAGE_TAGS + " FROM pages),\n"
+    "u AS (SELECT CAST(0 AS INTEGER) AS part_no, CAST(l.page_id AS BIGINT) AS k1, l.item_no AS k2, '' AS k3, "
+    "l.title AS text, t.label, t.source, l.href AS url FROM links l JOIN tags t ON l.page_id = t.page_id "
+    "UNION ALL SELECT CAST(1 AS INTEGER), page_no, item_no, source, text, label, source, url FROM feeds)\n"
+    "SELECT part_no, k1, k2, k3, text, label, source, url FROM (SELECT *, row_number() OVER (PARTITION BY text "
+    "ORDER BY part_no, k1, k2, k3) AS _k FROM u) WHERE _k = 1",
+)
+def q_harvest_dedupe(spark, sf_dir):
+    """K4/K5: page links and feed items unioned, then keep-first by text."""
+    p = pages_tbl(spark, sf_dir)
+    links = X.number_items(X.extract_links(p, PAGE_KEY, ["li a"], min_len=12), PAGE_KEY).join(_page_tags(p), "page_id")
+    l = links.select(F.lit(0).alias("part_no"), F.col("page_id").cast("long").alias("k1"), F.col("item_no").alias("k2"),
+                     F.lit("").alias("k3"), F.col("title").alias("text"), "label", "source", F.col("href").alias("url"))
+    f = FD.feed_items(feeds_tbl(spark, sf_dir), ["source", "page_no"], None, FX.FIRST_KW, FX.SECOND_KW,
+                      max_items=_FEED_MAX)
+    fi = f.select(F.lit(1).alias("part_no"), F.col("page_no").alias("k1"), F.col("item_no").alias("k2"),
+                  F.col("source").alias("k3"), "text", "label", "source", "url")
+    return D.keep_first(l.unionByName(fi), ["text"], order_cols=("part_no", "k1", "k2", "k3"))
+
+
+def _sql_profile() -> str:
+    np_ = _sql_null_profile("headlines", HEADLINE_COLS)
+    return (
+        _wv("headlines") + ",\nnp AS (" + np_ + ")\n"
+        "SELECT 'rows' AS metric, '' AS key, count(*) AS value FROM headlines\n"
+        "UNION ALL SELECT 'n_labels', '', count(DISTINCT label) FROM headlines\n"
+        "UNION ALL SELECT 'n_sources', '', count(DISTINCT source) FROM headlines\n"
+        "UNION ALL SELECT 'label_first_row', label, min(row_id) FROM headlines GROUP BY label\n"
+        "UNION ALL SELECT 'source_first_row', source, min(row_id) FROM headlines GROUP BY source\n"
+        "UNION ALL SELECT 'sample', label || ':' || CAST(rn AS VARCHAR), row_id FROM (SELECT label, row_id, "
+        "row_number() OVER (PARTITION BY label ORDER BY row_id) AS rn FROM headlines "
+        "WHERE label IN ('Politics', 'World', 'Sports', 'Economy')) WHERE rn <= 5\n"
+        "UNION ALL SELECT 'nulls', column_name, nulls FROM np\n"
+        "UNION ALL SELECT 'total_nulls', '', sum(nulls) FROM np\n"
+        "UNION ALL SELECT 'columns_with_nulls', '', count_if(nulls > 0) FROM np"
+    )
+
+
+@register("profile_report", _sql_profile())
+def q_profile_report(spark, sf_dir):
+    """K19 as one long table ``(metric, key, value)``."""
+    h = V.headlines(spark, sf_dir)
+    one = h.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_distinct("label").alias("n_labels"),
+        F.count_distinct("source").alias("n_sources"),
+    )
+    out = one.select(F.explode(F.array(*[
+        F.struct(F.lit(m).alias("metric"), F.lit("").alias("key"), F.col(m).cast("long").alias("value"))
+        for m in ("rows", "n_labels", "n_sources")
+    ])).alias("s")).select("s.*")
+    lab = profile.distinct_values(h, "label").select(F.lit("label_first_row").alias("metric"),
+                                                     F.col("label").alias("key"), F.col("first_row").alias("value"))
+    src = profile.distinct_values(h, "source").select(F.lit("source_first_row").alias("metric"),
+                                                      F.col("source").alias("key"), F.col("first_row").alias("value"))
+    w = profile.head_per_group(clean.filter_labels(h, FX.LABELS).select("label", "row_id"), 5)
+    from pyspark.sql import Window as _W
+    smp = w.withColumn("_rn", F.row_number().over(_W.partitionBy("label").orderBy("row_id"))).select(
+        F.lit("sample").alias("metric"), F.concat("label", F.lit(":"), F.col("_rn").cast("string")).alias("key"),
+        F.col("row_id").alias("value"))
+    np_ = profile.null_profile(h)
+    nul = np_.select(F.lit("nulls").alias("metric"), F.col("column_name").alias("key"), F.col("nulls").alias("value"))
+    tot = np_.agg(F.sum("nulls").cast("long").alias("t"), F.count_if(F.col("nulls") > 0).alias("c")).select(
+        F.explode(F.array(
+            F.struct(F.lit("total_nulls").alias("metric"), F.lit("").alias("key"), F.col("t").alias("value")),
+            F.struct(F.lit("columns_with_nulls").alias("metric"), F.lit("").alias("key"), F.col("c").cast("long").alias("value")),
+        )).alias("s")).select("s.*")
+    res = out
+    for d in (lab, src, smp, nul, tot):
+        res = res.unionByName(d)
+    return res
