@@ -1077,3 +1077,57 @@ def q_profile_report(spark, sf_dir):
     for d in (lab, src, smp, nul, tot):
         res = res.unionByName(d)
     return res
+
+
+# -------------------------------------------------------------- streaming --
+
+from corpusforge.streaming import growth as G  # noqa: E402
+
+
+def _sql_growth() -> str:
+    kw = _sql_kw_case(S.norm("a.title")).replace("CASE source", "CASE a.source")
+    def rnd(b: int, seen: str, need: str) -> str:
+        return (
+            f"c{b} AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY norm ORDER BY label_pos, priority, "
+            f"page_no, pos) AS _f FROM it WHERE batch = {b} AND norm NOT IN (SELECT norm FROM {seen})) WHERE _f = 1),\n"
+            f"acc{b} AS (SELECT c.* FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY priority, page_no, "
+            f"pos) AS rk FROM c{b}) c JOIN {need} n ON c.label = n.label WHERE c.rk <= n.need)"
+        )
+    return (
+        _wv("base", "archive") + ",\n" + S.clean_cte("base", "cbase") + ",\n" + FX.sql_labels() + ",\n"
+        + FX.sql_registry() + ",\ntgt AS (SELECT count(*) // 5 AS target FROM cbase),\n"
+        f"it AS (SELECT a.source, a.page_no, a.pos, a.title AS text, a.href AS url, r.label, r.priority, req.label_pos, "
+        f"{S.norm('a.title')} AS norm, CASE WHEN a.page_no % 2 = 1 THEN 0 ELSE 1 END AS batch "
+        f"FROM archive a JOIN registry r ON a.source = r.name JOIN req ON req.label = r.label "
+        f"WHERE length(a.title) >= 12 AND {kw}),\n"
+        f"seen0 AS (SELECT DISTINCT {S.norm('text')} AS norm FROM cbase),\n"
+        "need0 AS (SELECT req.label, greatest(0, tgt.target - coalesce(h.n, 0)) AS need FROM req LEFT JOIN "
+        "(SELECT label, count(*) AS n FROM cbase GROUP BY label) h ON h.label = req.label, tgt),\n"
+        + rnd(0, "seen0", "need0") + ",\n"
+        "seen1 AS (SELECT norm FROM seen0 UNION SELECT norm FROM acc0),\n"
+        "need1 AS (SELECT n.label, greatest(0, n.need - coalesce(a.k, 0)) AS need FROM need0 n LEFT JOIN "
+        "(SELECT label, count(*) AS k FROM acc0 GROUP BY label) a ON a.label = n.label),\n"
+        + rnd(1, "seen1", "need1") + "\n"
+        "SELECT CAST(0 AS BIGINT) AS batch_id, source, label, page_no, pos, text, url FROM acc0 UNION ALL "
+        "SELECT CAST(1 AS BIGINT), source, label, page_no, pos, text, url FROM acc1"
+    )
+
+
+@register("incremental_growth", _sql_growth())
+def q_incremental_growth(spark, sf_dir):
+    """Archive items arrive in two file batches (odd pages, then even
+    pages); an ``availableNow`` stream appends unseen titles up to each
+    label's remaining need.  Returns the appended rows (end state)."""
+    from corpusforge.session import scratch_path
+
+    root = scratch_path(spark, "growth")
+    items_dir, out_dir, ckpt = f"{root}/items", f"{root}/out", f"{root}/checkpoint"
+    items = V.archive(spark, sf_dir).select("source", "page_no", "pos", "title", "href")
+    cb = clean_base(spark, sf_dir)
+    target = base_target(cb)
+    reg = sources_frame(spark, FX.REGISTRY)
+    for parity in (1, 0):
+        items.filter(F.col("page_no") % 2 == parity).write.mode("append").parquet(items_dir)
+        q = G.start_growth(spark, items_dir, cb, reg, FX.LABELS, target, out_dir, ckpt)
+        q.awaitTermination()
+    return spark.read.parquet(out_dir).select("batch_id", "source", "label", "page_no", "pos", "text", "url")
