@@ -34,7 +34,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusforge.functions.text import keyword_any_array, norm_text
@@ -64,6 +64,9 @@ class CollectConfig:
 
 
 ACCEPTED_COLS = ["step", "source", "label", "page_no", "pos", "text", "url", "norm"]
+STEP_SCHEMA = (
+    "kind string, step int, source string, label string, page_no long, pos long, text string, url string, norm string"
+)
 
 
 def prepare_items(items: DataFrame, cfg: CollectConfig) -> tuple[DataFrame, DataFrame]:
@@ -130,12 +133,19 @@ def candidates(kept: DataFrame, vis: DataFrame, reg: DataFrame, seen: DataFrame
     return keep_first(c, ["source", "norm"], order_cols=("page_no", "pos"))
 
 
+# Accepted-so-far norms are broadcast to the anti join only below this many
+# rows (their count is known on the driver: it is the sum of earlier steps'
+# accepted rows, itself bounded by the quotas); above it the join shuffles.
+ACCEPTED_BROADCAST_ROWS = 2_000_000
+
+
 def source_step(
     cand: DataFrame,
     vis: DataFrame,
     accepted_norms: DataFrame | None,
     need: int | None,
     k: int | None,
+    accepted_rows: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """One (label, source) step over that source's candidates.
 
@@ -144,8 +154,15 @@ def source_step(
     """
     c = cand
     if accepted_norms is not None:
-        c = c.join(accepted_norms, "norm", "left_anti")
-    added = c.groupBy("page_no").agg(F.count(F.lit(1)).alias("added"))
+        small = accepted_rows is not None and accepted_rows <= ACCEPTED_BROADCAST_ROWS
+        c = c.join(F.broadcast(accepted_norms) if small else accepted_norms, "norm", "left_anti")
+    # One exchange by page: the in-page rank and the page's added count come
+    # from the same window partition.
+    in_page = Window.partitionBy("page_no")
+    c = c.withColumn("_rk", F.row_number().over(in_page.orderBy("pos"))).withColumn(
+        "_added", F.count(F.lit(1)).over(in_page)
+    )
+    added = c.filter(F.col("_rk") == 1).select("page_no", F.col("_added").alias("added"))
     pg = vis.select("page_no", "ord").join(added, "page_no", "left").withColumn(
         "added", F.coalesce("added", F.lit(0)).cast("long")
     )
@@ -161,11 +178,10 @@ def source_step(
         pg = pg.filter(F.col("_cut") == 0).drop("_streak", "_cut")
     if need is not None:
         pg = pg.filter(F.col("before") < need)
-    rk = F.row_number().over(Window.partitionBy("page_no").orderBy("pos"))
     acc = c.join(pg.select("page_no", "before"), "page_no")
     if need is not None:
-        acc = acc.withColumn("_rk", rk).filter(F.col("before") + F.col("_rk") <= need).drop("_rk")
-    return acc.drop("before"), pg
+        acc = acc.filter(F.col("before") + F.col("_rk") <= need)
+    return acc.drop("before", "_rk", "_added"), pg
 
 
 @dataclass
@@ -222,6 +238,7 @@ def collect_fold(
     step = 0
     step_paths: list[str] = []
     metric_rows: list[tuple] = []
+    accepted_total = 0
     for label, srcs in _step_plan(reg_rows, labels):
         need = needs.get(label, 0)
         remaining = need
@@ -235,7 +252,7 @@ def collect_fold(
             sp = f"{run_dir}/step={step:04d}"
             if not path_exists(spark, f"{sp}/_SUCCESS"):
                 acc_norms = (
-                    spark.read.parquet(*step_paths).filter(F.col("kind") == "acc").select("norm")
+                    spark.read.schema(STEP_SCHEMA).parquet(*step_paths).filter(F.col("kind") == "acc").select("norm")
                     if step_paths else None
                 )
                 acc, pg = source_step(
@@ -244,6 +261,7 @@ def collect_fold(
                     acc_norms,
                     remaining,
                     cfg.k_for(name),
+                    accepted_rows=accepted_total,
                 )
                 # Accepted rows and visited pages go out in one write (one
                 # job per step); ``kind`` tells them apart.
@@ -255,17 +273,24 @@ def collect_fold(
                     "kind", F.lit(step).cast("int").alias("step"), F.lit(name).alias("source"),
                     F.lit(label).alias("label"), "page_no", "pos", "text", "url", "norm",
                 )
-                out.write.mode("overwrite").parquet(sp)
-            cnt = spark.read.parquet(sp).agg(
-                F.count_if(F.col("kind") == "acc").alias("n"), F.count_if(F.col("kind") == "page").alias("pv")
-            ).collect()[0]
+                # Step metrics ride along with the write (no extra job).
+                obs = Observation(f"collect_step_{step}")
+                out.observe(
+                    obs, F.count_if(F.col("kind") == "acc").alias("n"), F.count_if(F.col("kind") == "page").alias("pv")
+                ).write.mode("overwrite").parquet(sp)
+                cnt = obs.get
+            else:
+                cnt = spark.read.schema(STEP_SCHEMA).parquet(sp).agg(
+                    F.count_if(F.col("kind") == "acc").alias("n"), F.count_if(F.col("kind") == "page").alias("pv")
+                ).collect()[0].asDict()
             n, pages_visited = int(cnt["n"]), int(cnt["pv"])
             step_paths.append(sp)
             metric_rows.append((step, name, label, pages_visited, n))
+            accepted_total += n
             if remaining is not None:
                 remaining -= n
     if step_paths:
-        accepted = spark.read.parquet(*step_paths).filter(F.col("kind") == "acc").select(*ACCEPTED_COLS)
+        accepted = spark.read.schema(STEP_SCHEMA).parquet(*step_paths).filter(F.col("kind") == "acc").select(*ACCEPTED_COLS)
     else:
         accepted = spark.createDataFrame(
             [], "step int, source string, label string, page_no long, pos long, text string, url string, norm string"
