@@ -78,3 +78,8 @@ def filter_labels(df: DataFrame, labels: Sequence[str], label_col: str = "label"
     if len(labels) == 1:
         return df.filter(F.col(label_col) == labels[0])
     return df.filter(F.col(label_col).isin(list(labels)))
+
+
+def parse_labels(spec: str) -> list[str]:
+    """Comma-separated label list, items stripped, empties dropped."""
+    return [x.strip() for x in spec.split(",") if x.strip()]

@@ -36,8 +36,8 @@ def fold_sql(
     target_div: int = 5,
     tail: str = "accepted",
 ) -> str:
-    """``tail``: ``accepted`` rows, ``metrics`` per step, or ``corpus``
-    (K1: base ∪ accepted, keep-first by normalised text)."""
+    """``tail``: ``accepted`` rows, ``metrics`` per step, ``corpus`` (K1:
+    base ∪ accepted, keep-first by normalised text) or ``shortfall`` (A13)."""
     reg_sql = _registry_sql(registry)
     stop = []
     if cfg.stop_on_http:
@@ -151,6 +151,18 @@ def fold_sql(
             "SELECT CAST(1 AS INTEGER), CAST(NULL AS BIGINT), step, page_no, pos, text, label, source, url FROM accall"
             ")) WHERE _k = 1"
         )
+    if tail == "shortfall":
+        return head.rstrip("\n") + ",\n" + (
+            "fin AS (SELECT label FROM (SELECT *, row_number() OVER (PARTITION BY "
+            f"{S.norm('text')} ORDER BY part_no, row_id NULLS FIRST, step NULLS FIRST, page_no NULLS FIRST, "
+            "pos NULLS FIRST) AS _k FROM (SELECT 0 AS part_no, row_id, CAST(NULL AS INTEGER) AS step, "
+            "CAST(NULL AS BIGINT) AS page_no, CAST(NULL AS BIGINT) AS pos, text, label FROM cbase UNION ALL "
+            "SELECT 1, CAST(NULL AS BIGINT), step, page_no, pos, text, label FROM accall)) WHERE _k = 1)\n"
+            "SELECT req.label_pos, req.label, CAST(coalesce(c.have, 0) AS BIGINT) AS have, "
+            "CAST(greatest(0, tgt.target - coalesce(c.have, 0)) AS BIGINT) AS need FROM req LEFT JOIN "
+            "(SELECT label, count(*) AS have FROM fin GROUP BY label) c ON req.label = c.label, tgt "
+            "WHERE tgt.target - coalesce(c.have, 0) > 0"
+        )
     raise ValueError(tail)
 
 

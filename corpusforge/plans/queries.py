@@ -482,6 +482,16 @@ def q_collect_fold(spark, sf_dir):
     return C.extend_corpus(clean_base(spark, sf_dir), res.accepted).select(*CORPUS_COLS)
 
 
+@register("shortfall_report", FS.fold_sql(FX.LABELS, cfg=FOLD_CFG, tail="shortfall"))
+def q_shortfall_report(spark, sf_dir):
+    """Labels still short of the target after K1 (needs are computed
+    before the final dedupe, so base duplicates can leave a shortfall)."""
+    cb = clean_base(spark, sf_dir)
+    target = sum(r[1] for r in cb.groupBy("label").count().collect()) // 5
+    final = C.extend_corpus(cb, run_fold(spark, sf_dir).accepted)
+    return profile.shortfall(final, FX.LABELS, target)
+
+
 @register("collect_accepted", FS.fold_sql(FX.LABELS, cfg=FOLD_CFG, tail="accepted"))
 def q_collect_accepted(spark, sf_dir):
     return run_fold(spark, sf_dir).accepted.select(*ACC_COLS)

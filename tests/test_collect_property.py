@@ -108,3 +108,26 @@ def test_fold_equals_sequential_loop(spark):
         per[r["step"]] = r["count"]
     for m in res.metrics.collect():
         assert m["added"] == per.get(m["step"], 0)
+
+
+def test_rerun_skips_finished_steps(spark, tmp_path):
+    """A rerun with the same run folder reads finished steps back."""
+    reg = sources_frame(spark, [{"name": "a", "label": "L", "base_url": "https://a/"},
+                                {"name": "b", "label": "L", "base_url": "https://b/"}])
+    pages = spark.createDataFrame([("a", 1, 200), ("a", 2, 200), ("b", 1, 200)],
+                                  "source string, page_no long, http_status int")
+    items = spark.createDataFrame(
+        [("a", 1, 0, "first headline here", "/1"), ("a", 2, 0, "second headline here", "/2"),
+         ("b", 1, 0, "first headline here", "/3"), ("b", 1, 1, "third headline here", "/4")],
+        "source string, page_no long, pos long, title string, href string")
+    run = str(tmp_path / "run")
+    r1 = collect_fold(spark, pages, items, reg, None, {"L": 3}, ["L"], CollectConfig(), run_dir=run)
+    first = sorted((r.source, r.text) for r in r1.accepted.collect())
+    assert first == [("a", "first headline here"), ("a", "second headline here"), ("b", "third headline here")]
+    import os
+    marker = os.path.join(run, "step=0001", "_SUCCESS")
+    mtime = os.path.getmtime(marker)
+    r2 = collect_fold(spark, pages, items, reg, None, {"L": 3}, ["L"], CollectConfig(), run_dir=run)
+    assert sorted((r.source, r.text) for r in r2.accepted.collect()) == first
+    assert os.path.getmtime(marker) == mtime
+    assert [tuple(m)[3:] for m in r2.metrics.orderBy("step").collect()] == [(2, 2), (1, 1)]
