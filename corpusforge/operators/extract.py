@@ -57,7 +57,15 @@ def html_matches(
                     rows.append(key + m)
             yield pd.DataFrame(rows, columns=[f.name for f in out_schema.fields])
 
-    return pages.select(*keys, html_col).mapInPandas(run, out_schema)
+    src = pages.select(*keys, html_col)
+    # Parsing is CPU-bound Python: when the scan yields fewer partitions than
+    # there are task slots (few large files or row groups), spread the pages
+    # round-robin first.  A large table already has more splits than slots
+    # and is not shuffled.
+    slots = src.sparkSession.sparkContext.defaultParallelism
+    if src.rdd.getNumPartitions() < slots:
+        src = src.repartition(slots)
+    return src.mapInPandas(run, out_schema)
 
 
 def extract_links(

@@ -24,6 +24,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Pages are large rows: keep Arrow batches to the extraction job small.
+        .config("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
