@@ -64,6 +64,11 @@ class CollectConfig:
 
 
 ACCEPTED_COLS = ["step", "source", "label", "page_no", "pos", "text", "url", "norm"]
+CAND_COLS = ["source", "label", "page_no", "pos", "text", "url", "norm"]
+PREP_SCHEMA = (
+    "kind string, source string, page_no long, ord long, label string, pos long, text string, url string, "
+    "norm string, _part string"
+)
 STEP_SCHEMA = (
     "kind string, step int, source string, label string, page_no long, pos long, text string, url string, norm string"
 )
@@ -223,16 +228,20 @@ def collect_fold(
     vis = visible_pages(pages, counts, reg, cfg)
     seen = seen_set(base) if base is not None else None
 
-    vis_path, cand_path = f"{run_dir}/visible", f"{run_dir}/candidates"
-    if not path_exists(spark, f"{vis_path}/_SUCCESS"):
-        vis.write.mode("overwrite").parquet(vis_path)
-    vis = spark.read.parquet(vis_path)
-    if not path_exists(spark, f"{cand_path}/_SUCCESS"):
-        # Partition directory per source (prefixed so the value is always
-        # read back as a string): each step prunes to its own source.
-        c = candidates(kept, vis, reg, seen, cfg).withColumn("_part", F.concat(F.lit("s_"), F.col("source")))
-        c.write.mode("overwrite").partitionBy("_part").parquet(cand_path)
-    cand_all = spark.read.parquet(cand_path)
+    # Visible pages and candidates go out in one write (one job): both hang
+    # off the same deduplicated items, whose shuffle Spark then reuses.  A
+    # directory per source (prefixed so the value always reads back as a
+    # string) lets each step prune to its own source.
+    prep_path = f"{run_dir}/prepared"
+    if not path_exists(spark, f"{prep_path}/_SUCCESS"):
+        v = vis.select(F.lit("vis").alias("kind"), "source", "page_no", "ord")
+        c = candidates(kept, vis, reg, seen, cfg).select(F.lit("cand").alias("kind"), *CAND_COLS)
+        v.unionByName(c, allowMissingColumns=True).withColumn(
+            "_part", F.concat(F.lit("s_"), F.col("source"))
+        ).write.mode("overwrite").partitionBy("_part").parquet(prep_path)
+    prep = spark.read.schema(PREP_SCHEMA).parquet(prep_path)
+    vis = prep.filter(F.col("kind") == "vis").select("_part", "source", "page_no", "ord")
+    cand_all = prep.filter(F.col("kind") == "cand").select("_part", *CAND_COLS)
 
     reg_rows = [r.asDict() for r in reg.select("priority", "name", "label").collect()]  # tens of rows
     step = 0
@@ -257,7 +266,7 @@ def collect_fold(
                 )
                 acc, pg = source_step(
                     cand_all.filter(F.col("_part") == f"s_{name}").drop("_part"),
-                    vis.filter(F.col("source") == name),
+                    vis.filter(F.col("_part") == f"s_{name}").drop("_part"),
                     acc_norms,
                     remaining,
                     cfg.k_for(name),

@@ -3,9 +3,10 @@
 The supplied ``documents`` table stands in for corpus rows and for the
 archive of listing pages:
 
-* ``headlines(row_id, text, label, source, url)``: first 80 characters of a
-  document, label from its language, ``url`` null for every tenth row;
-* ``base``: even ``row_id`` (the existing corpus);
+* ``headlines(row_id, text, label, source, url)``: the whole document text,
+  label from its language, ``url`` null for every tenth row;
+* ``base``: even ``row_id`` (the existing corpus); base and archive together
+  hold every row of the table;
 * ``archive(source, page_no, pos, title, href, label, item_id)``: odd ``row_id`` as
   captured listing-page items; page ``row_id div 100 + 1``, position
   ``(row_id mod 100) div 20`` (five items per source and page);
@@ -24,7 +25,6 @@ from pyspark.sql import functions as F
 
 # Language -> label mapping of the driver views.
 LANG_LABELS = {"en": "Politics", "fr": "World", "de": "Sports", "es": "Economy"}
-HEADLINE_CHARS = 80
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,7 +46,7 @@ def headlines(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = read_table(spark, sf_dir, "documents")
     return d.select(
         F.col("doc_id").cast("long").alias("row_id"),
-        F.substring("text", 1, HEADLINE_CHARS).alias("text"),
+        F.col("text"),
         _label_of(F.col("lang")).alias("label"),
         F.col("source"),
         F.when(F.col("doc_id") % 10 == 0, F.lit(None).cast("string"))
@@ -92,7 +92,7 @@ def page_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL_HEADLINES = """headlines AS (
   SELECT CAST(doc_id AS BIGINT) AS row_id,
-         substring(text, 1, 80) AS text,
+         text,
          CASE lang WHEN 'en' THEN 'Politics' WHEN 'fr' THEN 'World'
                    WHEN 'de' THEN 'Sports' WHEN 'es' THEN 'Economy' END AS label,
          source,
