@@ -6,7 +6,8 @@ separators U+001C..U+001F, NEL U+0085 and every Unicode separator
 (``\\p{Z}``: NBSP, U+1680, U+2000..U+200A, U+2028, U+2029, U+202F, U+205F,
 U+3000).  Spark's ``trim`` strips only U+0020 and Java's ``\\s`` misses
 NBSP, so the class is spelled out.  The same text works in Java regex and
-RE2, so the SQL oracles use it verbatim.
+RE2, so the SQL oracles use it verbatim.  Stripping uses the same set as
+explicit characters with ``btrim`` (ends only, no scan of the text).
 """
 
 from __future__ import annotations
@@ -18,7 +19,6 @@ from pyspark.sql import functions as F
 
 # Regex character class of Python white space (works in Java regex and RE2).
 WS_CLASS = r"[\t\n\x0b\f\r \x1c-\x1f\x85\p{Z}]"
-_STRIP_RE = r"\A" + WS_CLASS + r"+|" + WS_CLASS + r"+\z"
 _RUNS_RE = WS_CLASS + "+"
 
 
@@ -26,14 +26,36 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# The same white-space set as explicit characters (Python's str.isspace()).
+WS_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    + "".join(chr(c) for c in range(0x2000, 0x200B))
+    + "\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def strip_ws(c: Column | str) -> Column:
-    """Python ``str.strip()`` on both ends (null stays null)."""
-    return F.regexp_replace(_c(c), _STRIP_RE, "")
+    """Python ``str.strip()`` on both ends (null stays null).
+
+    ``btrim`` with the explicit character set only looks at the two ends of
+    the string (a regex would scan every character of long texts)."""
+    return F.btrim(_c(c), F.lit(WS_CHARS))
 
 
 def norm_text(c: Column | str) -> Column:
-    """Lower-case, split on Unicode white space, join with one space."""
-    return F.trim(F.regexp_replace(F.lower(_c(c)), _RUNS_RE, " "))
+    """Lower-case, split on Unicode white space, join with one space.
+
+    Every white-space character is first mapped to a plain space with
+    ``translate`` (a per-character table), so the regex only collapses runs
+    of one literal character."""
+    spaced = F.translate(F.lower(_c(c)), WS_CHARS, " " * len(WS_CHARS))
+    return F.trim(F.regexp_replace(spaced, "  +", " "))
+
+
+def norm_key(c: Column | str) -> Column:
+    """Fixed-width key of the normalised text (``sha2``, 64 hex chars): what
+    seen sets, anti joins and keep-first shuffle instead of whole texts."""
+    return F.sha2(norm_text(c), 256)
 
 
 def text_len(c: Column | str) -> Column:

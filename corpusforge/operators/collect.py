@@ -63,14 +63,14 @@ class CollectConfig:
         return self.zero_streak_by_source.get(name, self.zero_streak)
 
 
-ACCEPTED_COLS = ["step", "source", "label", "page_no", "pos", "text", "url", "norm"]
-CAND_COLS = ["source", "label", "page_no", "pos", "text", "url", "norm"]
+ACCEPTED_COLS = ["step", "source", "label", "page_no", "pos", "text", "url", "nkey"]
+CAND_COLS = ["source", "label", "page_no", "pos", "text", "url", "nkey"]
 PREP_SCHEMA = (
     "kind string, source string, page_no long, ord long, label string, pos long, text string, url string, "
-    "norm string, _part string"
+    "nkey string, _part string"
 )
 STEP_SCHEMA = (
-    "kind string, step int, source string, label string, page_no long, pos long, text string, url string, norm string"
+    "kind string, step int, source string, label string, page_no long, pos long, text string, url string, nkey string"
 )
 
 
@@ -132,10 +132,12 @@ def candidates(kept: DataFrame, vis: DataFrame, reg: DataFrame, seen: DataFrame
     c = c.join(r, "source")
     if cfg.apply_keyword_filter:
         c = c.filter(~F.col("_apply") | keyword_any_array("norm", F.col("keywords")))
+    # From here on the fixed-width key stands for the normalised text.
+    c = c.withColumn("nkey", F.sha2(F.col("norm"), 256))
     if seen is not None:
-        c = c.join(seen.select("norm"), "norm", "left_anti")
-    c = c.select("source", "label", "page_no", "pos", F.col("title").alias("text"), F.col("href").alias("url"), "norm")
-    return keep_first(c, ["source", "norm"], order_cols=("page_no", "pos"))
+        c = c.join(seen.select("nkey"), "nkey", "left_anti")
+    c = c.select("source", "label", "page_no", "pos", F.col("title").alias("text"), F.col("href").alias("url"), "nkey")
+    return keep_first(c, ["source", "nkey"], order_cols=("page_no", "pos"))
 
 
 # Accepted-so-far norms are broadcast to the anti join only below this many
@@ -160,7 +162,7 @@ def source_step(
     c = cand
     if accepted_norms is not None:
         small = accepted_rows is not None and accepted_rows <= ACCEPTED_BROADCAST_ROWS
-        c = c.join(F.broadcast(accepted_norms) if small else accepted_norms, "norm", "left_anti")
+        c = c.join(F.broadcast(accepted_norms) if small else accepted_norms, "nkey", "left_anti")
     # One exchange by page: the in-page rank and the page's added count come
     # from the same window partition.
     in_page = Window.partitionBy("page_no")
@@ -261,7 +263,7 @@ def collect_fold(
             sp = f"{run_dir}/step={step:04d}"
             if not path_exists(spark, f"{sp}/_SUCCESS"):
                 acc_norms = (
-                    spark.read.schema(STEP_SCHEMA).parquet(*step_paths).filter(F.col("kind") == "acc").select("norm")
+                    spark.read.schema(STEP_SCHEMA).parquet(*step_paths).filter(F.col("kind") == "acc").select("nkey")
                     if step_paths else None
                 )
                 acc, pg = source_step(
@@ -275,12 +277,12 @@ def collect_fold(
                 # Accepted rows and visited pages go out in one write (one
                 # job per step); ``kind`` tells them apart.
                 out = acc.select(
-                    F.lit("acc").alias("kind"), "page_no", "pos", "text", "url", "norm"
+                    F.lit("acc").alias("kind"), "page_no", "pos", "text", "url", "nkey"
                 ).unionByName(
                     pg.select(F.lit("page").alias("kind"), "page_no"), allowMissingColumns=True
                 ).select(
                     "kind", F.lit(step).cast("int").alias("step"), F.lit(name).alias("source"),
-                    F.lit(label).alias("label"), "page_no", "pos", "text", "url", "norm",
+                    F.lit(label).alias("label"), "page_no", "pos", "text", "url", "nkey",
                 )
                 # Step metrics ride along with the write (no extra job).
                 obs = Observation(f"collect_step_{step}")
@@ -302,7 +304,7 @@ def collect_fold(
         accepted = spark.read.schema(STEP_SCHEMA).parquet(*step_paths).filter(F.col("kind") == "acc").select(*ACCEPTED_COLS)
     else:
         accepted = spark.createDataFrame(
-            [], "step int, source string, label string, page_no long, pos long, text string, url string, norm string"
+            [], "step int, source string, label string, page_no long, pos long, text string, url string, nkey string"
         )
     metrics = spark.createDataFrame(
         metric_rows, "step int, source string, label string, pages_visited long, added long"

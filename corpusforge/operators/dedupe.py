@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusforge.functions.text import norm_text
+from corpusforge.functions.text import norm_key
 
 
 def keep_first(
@@ -41,7 +41,7 @@ def dedupe_norm(df: DataFrame, text_col: str = "text", order_cols: Sequence[str]
     The shuffle key is ``sha2(norm)`` (fixed 64 bytes) instead of the long
     text itself.
     """
-    return keep_first(df, [F.sha2(norm_text(text_col), 256)], order_cols)
+    return keep_first(df, [norm_key(text_col)], order_cols)
 
 
 def dedupe_text(df: DataFrame, text_col: str = "text", order_cols: Sequence[str] = ("part_no", "row_id")) -> DataFrame:
@@ -60,11 +60,11 @@ def dedupe_text_label(df: DataFrame, order_cols: Sequence[str] = ("part_no", "ro
 
 
 def seen_set(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """A10: distinct normalised text as a one-column frame ``norm``."""
-    return df.select(norm_text(text_col).alias("norm")).distinct()
+    """A10: distinct normalised texts, as their fixed-width key ``nkey``."""
+    return df.select(norm_key(text_col).alias("nkey")).distinct()
 
 
-def unseen(items: DataFrame, seen: DataFrame, norm_col: str = "norm") -> DataFrame:
+def unseen(items: DataFrame, seen: DataFrame, norm_col: str = "nkey") -> DataFrame:
     """Items whose normalised title is not in ``seen`` (left anti join;
     AQE turns it into a broadcast join when the seen side is small at run
     time, a shuffled hash/sort-merge join otherwise)."""

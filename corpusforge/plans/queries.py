@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusforge.functions import text as TX
 from corpusforge.functions.text import norm_text
 from corpusforge.operators import clean, profile
 from corpusforge.plans import sqltext as S
@@ -280,7 +281,7 @@ def q_label_needs(spark, sf_dir):
 )
 def q_unseen_items(spark, sf_dir):
     seen = D.seen_set(clean_base(spark, sf_dir))
-    items = V.archive(spark, sf_dir).withColumn("norm", norm_text("title"))
+    items = V.archive(spark, sf_dir).withColumn("nkey", TX.norm_key("title"))
     return D.unseen(items, seen).select("source", "page_no", "pos", "title")
 
 
@@ -706,7 +707,7 @@ def q_topup_no_quota(spark, sf_dir):
     p = pages_tbl(spark, sf_dir)
     t = X.title_and_intro(p, PAGE_KEY, "h1", ["article > p", "article p"]).join(_page_tags(p), "page_id")
     new = t.select(F.col("page_id").alias("row_id"), "text", "label", "source", F.lit("").alias("url"))
-    new = D.unseen(new.withColumn("norm", norm_text("text")), D.seen_set(clean_base(spark, sf_dir))).drop("norm")
+    new = D.unseen(new.withColumn("nkey", TX.norm_key("text")), D.seen_set(clean_base(spark, sf_dir))).drop("nkey")
     return M.union_parts([clean_base(spark, sf_dir).select(*HEADLINE_COLS), new]).select(*PART_COLS)
 
 

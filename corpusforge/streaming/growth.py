@@ -26,7 +26,7 @@ from corpusforge.operators.dedupe import keep_first, seen_set
 from corpusforge.session import path_exists
 from corpusforge.sources.registry import apply_keywords
 
-OUT_COLS = ["batch_id", "source", "label", "page_no", "pos", "text", "url", "norm"]
+OUT_COLS = ["batch_id", "source", "label", "page_no", "pos", "text", "url", "nkey"]
 
 
 def _previous(spark: SparkSession, out_dir: str, batch_id: int) -> DataFrame | None:
@@ -61,7 +61,7 @@ def growth_batch(
         return
     seen = seen_set(base)
     if prev is not None:
-        seen = seen.unionByName(prev.select("norm")).distinct()
+        seen = seen.unionByName(prev.select("nkey")).distinct()
     lab = spark.createDataFrame([(l, i, need[l]) for i, l in enumerate(labels)], "label string, label_pos int, need long")
     r = reg.select(F.col("name").alias("source"), "label", "priority", apply_keywords().alias("_apply"), "keywords")
     c = (
@@ -70,11 +70,12 @@ def growth_batch(
         .join(F.broadcast(r), "source")
         .filter(~F.col("_apply") | keyword_any_array("norm", F.col("keywords")))
         .join(F.broadcast(lab), "label")
-        .join(seen, "norm", "left_anti")
+        .withColumn("nkey", F.sha2(F.col("norm"), 256))
+        .join(seen, "nkey", "left_anti")
         .select("source", "label", "label_pos", "priority", "need", "page_no", "pos",
-                F.col("title").alias("text"), F.col("href").alias("url"), "norm")
+                F.col("title").alias("text"), F.col("href").alias("url"), "nkey")
     )
-    c = keep_first(c, ["norm"], order_cols=("label_pos", "priority", "page_no", "pos"))
+    c = keep_first(c, ["nkey"], order_cols=("label_pos", "priority", "page_no", "pos"))
     max_need = max(need.values())
     w = Window.partitionBy("label").orderBy("priority", "page_no", "pos")
     acc = (

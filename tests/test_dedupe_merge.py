@@ -1,6 +1,6 @@
 from corpusforge.operators.dedupe import dedupe_norm, dedupe_text, dedupe_text_url, seen_set, unseen
 from corpusforge.operators.merge import union_parts
-from corpusforge.functions.text import norm_text
+from corpusforge.functions.text import norm_key
 
 
 def test_keep_first_across_labels_and_parts(spark):
@@ -30,5 +30,5 @@ def test_text_url_null_safe(spark):
 
 def test_unseen(spark):
     base = spark.createDataFrame([("Hello World",)], "text string")
-    items = spark.createDataFrame([("hello   world",), ("fresh",)], "title string").withColumn("norm", norm_text("title"))
+    items = spark.createDataFrame([("hello   world",), ("fresh",)], "title string").withColumn("nkey", norm_key("title"))
     assert [r.title for r in unseen(items, seen_set(base)).collect()] == ["fresh"]
