@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from corpusforge.functions.text import contains_none, path_accepted, strip_ws
 from corpusforge.operators.dedupe import keep_first
+from corpusforge.session import spread
 
 HIT_FIELDS = [
     T.StructField("sel_idx", T.IntegerType()),
@@ -57,15 +58,9 @@ def html_matches(
                     rows.append(key + m)
             yield pd.DataFrame(rows, columns=[f.name for f in out_schema.fields])
 
-    src = pages.select(*keys, html_col)
-    # Parsing is CPU-bound Python: when the scan yields fewer partitions than
-    # there are task slots (few large files or row groups), spread the pages
-    # round-robin first.  A large table already has more splits than slots
-    # and is not shuffled.
-    slots = src.sparkSession.sparkContext.defaultParallelism
-    if src.rdd.getNumPartitions() < slots:
-        src = src.repartition(slots)
-    return src.mapInPandas(run, out_schema)
+    # Parsing is CPU-bound Python: spread a small page table over all task
+    # slots first (no-op for a large one).
+    return spread(pages.select(*keys, html_col)).mapInPandas(run, out_schema)
 
 
 def extract_links(

@@ -23,12 +23,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from corpusforge.session import spread
+
 # Language -> label mapping of the driver views.
 LANG_LABELS = {"en": "Politics", "fr": "World", "de": "Sports", "es": "Economy"}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Scan of a supplied table, spread over all task slots when the file
+    has fewer splits than slots (text work is CPU-bound)."""
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def _label_of(lang: Column) -> Column:

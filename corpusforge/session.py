@@ -7,7 +7,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -56,6 +56,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin ``df`` over all task slots when it has fewer partitions
+    than slots (a small file with few row groups feeding CPU-heavy text or
+    parsing work).  A large input already has more splits than slots and is
+    returned unchanged: no shuffle at scale."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+
+
 def is_local_path(p: str) -> bool:
     return "://" not in p or p.startswith("file:")
 
