@@ -70,7 +70,8 @@ PREP_SCHEMA = (
     "nkey string, _part string"
 )
 STEP_SCHEMA = (
-    "kind string, step int, source string, label string, page_no long, pos long, text string, url string, nkey string"
+    "kind string, step int, source string, label string, page_no long, pos long, text string, url string, nkey string, "
+    "added long, running_total long"
 )
 
 
@@ -191,10 +192,21 @@ def source_step(
     return acc.drop("before", "_rk", "_added"), pg
 
 
+def _page_counters(pg: DataFrame, need: int | None) -> DataFrame:
+    """Rows accepted on each visited page (the quota caps the last one)
+    and the running total after it."""
+    added = F.col("added") if need is None else F.least(F.col("added"), F.lit(need) - F.col("before"))
+    return pg.select(
+        F.lit("page").alias("kind"), "page_no", added.cast("long").alias("added"),
+        (F.col("before") + added).cast("long").alias("running_total"),
+    )
+
+
 @dataclass
 class FoldResult:
     accepted: DataFrame  # ACCEPTED_COLS
     metrics: DataFrame  # step, source, label, pages_visited, added
+    pages: DataFrame  # A11: step, source, label, page_no, added, running_total
     needs: dict[str, int]
 
 
@@ -279,10 +291,10 @@ def collect_fold(
                 out = acc.select(
                     F.lit("acc").alias("kind"), "page_no", "pos", "text", "url", "nkey"
                 ).unionByName(
-                    pg.select(F.lit("page").alias("kind"), "page_no"), allowMissingColumns=True
+                    _page_counters(pg, remaining), allowMissingColumns=True
                 ).select(
                     "kind", F.lit(step).cast("int").alias("step"), F.lit(name).alias("source"),
-                    F.lit(label).alias("label"), "page_no", "pos", "text", "url", "nkey",
+                    F.lit(label).alias("label"), "page_no", "pos", "text", "url", "nkey", "added", "running_total",
                 )
                 # Step metrics ride along with the write (no extra job).
                 obs = Observation(f"collect_step_{step}")
@@ -309,7 +321,15 @@ def collect_fold(
     metrics = spark.createDataFrame(
         metric_rows, "step int, source string, label string, pages_visited long, added long"
     )
-    return FoldResult(accepted, metrics, dict(needs))
+    if step_paths:
+        pages_df = spark.read.schema(STEP_SCHEMA).parquet(*step_paths).filter(F.col("kind") == "page").select(
+            "step", "source", "label", "page_no", "added", "running_total"
+        )
+    else:
+        pages_df = spark.createDataFrame(
+            [], "step int, source string, label string, page_no long, added long, running_total long"
+        )
+    return FoldResult(accepted=accepted, metrics=metrics, pages=pages_df, needs=dict(needs))
 
 
 def extend_corpus(base: DataFrame, accepted: DataFrame, dedupe: bool = True) -> DataFrame:

@@ -129,9 +129,16 @@ def fold_sql(
             f"(SELECT count(*) FROM p{i}, r{i} WHERE p{i}.cut = 0 AND p{i}.before < r{i}.rem) AS pages_visited, "
             f"(SELECT count(*) FROM acc{i}) AS added, (SELECT rem FROM r{i}) AS rem)"
         )
+        ctes.append(
+            f"pm{i} AS (SELECT CAST({i} AS INTEGER) AS step, {S.q(name)} AS source, {S.q(label)} AS label, "
+            f"p{i}.page_no, CAST(least(p{i}.added, r{i}.rem - p{i}.before) AS BIGINT) AS added, "
+            f"CAST(p{i}.before + least(p{i}.added, r{i}.rem - p{i}.before) AS BIGINT) AS running_total, r{i}.rem "
+            f"FROM p{i}, r{i} WHERE p{i}.cut = 0 AND p{i}.before < r{i}.rem)"
+        )
     if st:
         ctes.append("accall AS (" + " UNION ALL ".join(f"SELECT * FROM acc{i}" for i, _, _ in st) + ")")
         ctes.append("mall AS (" + " UNION ALL ".join(f"SELECT * FROM m{i}" for i, _, _ in st) + ")")
+        ctes.append("pmall AS (" + " UNION ALL ".join(f"SELECT * FROM pm{i}" for i, _, _ in st) + ")")
     else:
         ctes.append("accall AS (SELECT CAST(NULL AS INTEGER) AS step, '' AS source, '' AS label, CAST(NULL AS BIGINT) "
                     "AS page_no, CAST(NULL AS BIGINT) AS pos, '' AS text, '' AS url, '' AS norm WHERE FALSE)")
@@ -139,6 +146,8 @@ def fold_sql(
     head = "WITH " + ",\n".join(ctes) + "\n"
     if tail == "accepted":
         return head + "SELECT step, source, label, page_no, pos, text, url FROM accall"
+    if tail == "page_metrics":
+        return head + "SELECT step, source, label, page_no, added, running_total FROM pmall WHERE rem > 0"
     if tail == "metrics":
         return head + "SELECT step, source, label, pages_visited, added FROM mall WHERE rem > 0"
     if tail == "corpus":

@@ -493,6 +493,12 @@ def q_shortfall_report(spark, sf_dir):
     return profile.shortfall(final, FX.LABELS, target)
 
 
+@register("collect_page_metrics", FS.fold_sql(FX.LABELS, cfg=FOLD_CFG, tail="page_metrics"))
+def q_collect_page_metrics(spark, sf_dir):
+    """Per visited page, rows added and the running total of its step."""
+    return run_fold(spark, sf_dir).pages
+
+
 @register("collect_accepted", FS.fold_sql(FX.LABELS, cfg=FOLD_CFG, tail="accepted"))
 def q_collect_accepted(spark, sf_dir):
     return run_fold(spark, sf_dir).accepted.select(*ACC_COLS)
