@@ -10,7 +10,8 @@ Scale notes (few labels, many rows):
   in that order, so ``h < f`` keeps a *prefix* of it.  ``f`` is chosen from
   the label count for ~1.2x the target plus slack; the survivors (bounded by
   a small multiple of the target) are ranked.  If a label's survivors fall
-  short (improbable) it is redone with ``f = 1``: exact either way.
+  short (improbable) ``f`` grows 4x and the label is re-filtered: exact
+  either way.
 * Over-sampling only touches labels with fewer rows than the target, so
   both join sides are bounded by the target.
 """
@@ -79,11 +80,17 @@ def down_sample(
         h = _hex8_to_long(F.col("_k")) / F.lit(float(2**32))
         return keyed.filter(F.col(label_col).isin(list(frac_of)) & (h < f))
 
-    surv = pick(fracs)
-    got = {r[0]: int(r[1]) for r in surv.groupBy(label_col).count().collect()}
-    short = {l: 1.0 for l in big if got.get(l, 0) < target}
-    if short:
-        surv = pick({l: fr for l, fr in fracs.items() if l not in short}).unionByName(pick(short))
+    # Survivors are counted per label (one tiny row each); a label that falls
+    # short (improbable) is retried with a 4x wider hash prefix, so the
+    # window below always sees a bounded number of rows per label.
+    while True:
+        surv = pick(fracs)
+        got = {r[0]: int(r[1]) for r in surv.groupBy(label_col).count().collect()}
+        short = [l for l in big if got.get(l, 0) < target and fracs[l] < 1.0]
+        if not short:
+            break
+        for l in short:
+            fracs[l] = min(1.0, fracs[l] * 4)
     w = Window.partitionBy(label_col).orderBy("_k", "row_id")
     return (
         surv.withColumn("_rn", F.row_number().over(w))

@@ -164,13 +164,10 @@ def source_step(
     if accepted_norms is not None:
         small = accepted_rows is not None and accepted_rows <= ACCEPTED_BROADCAST_ROWS
         c = c.join(F.broadcast(accepted_norms) if small else accepted_norms, "nkey", "left_anti")
-    # One exchange by page: the in-page rank and the page's added count come
-    # from the same window partition.
-    in_page = Window.partitionBy("page_no")
-    c = c.withColumn("_rk", F.row_number().over(in_page.orderBy("pos"))).withColumn(
-        "_added", F.count(F.lit(1)).over(in_page)
-    )
-    added = c.filter(F.col("_rk") == 1).select("page_no", F.col("_added").alias("added"))
+    # Page-level counts come from a partial aggregate (small), the in-page
+    # rank from a window partitioned by page; only the page table is reused.
+    added = c.groupBy("page_no").agg(F.count(F.lit(1)).alias("added"))
+    c = c.withColumn("_rk", F.row_number().over(Window.partitionBy("page_no").orderBy("pos")))
     pg = vis.select("page_no", "ord").join(added, "page_no", "left").withColumn(
         "added", F.coalesce("added", F.lit(0)).cast("long")
     )
@@ -189,7 +186,7 @@ def source_step(
     acc = c.join(pg.select("page_no", "before"), "page_no")
     if need is not None:
         acc = acc.filter(F.col("before") + F.col("_rk") <= need)
-    return acc.drop("before", "_rk", "_added"), pg
+    return acc.drop("before", "_rk"), pg
 
 
 def _page_counters(pg: DataFrame, need: int | None) -> DataFrame:

@@ -211,10 +211,10 @@ def discover_feed(
     a = html_matches(pages, key_cols, ["a"], union=True, scope_tag="li").filter(
         F.col("href").isNotNull() & F.col("href").contains(href_part)
     )
+    # Equi-join on (page, enclosing li): each link meets only its own li.
     t1 = (
-        a.join(li.filter(F.col("li_text").contains(cat)), [*key_cols], "inner")
-        .filter(F.col("scope_pos") >= F.col("li_pos"))
-        .filter(_inside("scope_pos", "li_pos"))
+        a.withColumnRenamed("scope_pos", "li_pos")
+        .join(li.filter(F.col("li_text").contains(cat)), [*key_cols, "li_pos"], "inner")
         .select(*key_cols, F.lit(1).alias("tier"), "li_pos", "doc_pos", "href")
     )
     t2 = a.filter(F.lower("text_joined").contains(cat)).select(
@@ -224,11 +224,3 @@ def discover_feed(
         F.min_by("href", F.struct("tier", "li_pos", "doc_pos")).alias("feed_url")
     )
     return pages.select(*key_cols).join(best, list(key_cols), "left")
-
-
-def _inside(scope_col: str, li_col: str):
-    # The nearest enclosing li is the li itself, or nested inside it; the
-    # reference searches descendants of the matching li, so a link whose
-    # nearest li is the matching li counts.  Nested lists are rare; the
-    # nearest-li test keeps the join per page bounded.
-    return F.col(scope_col) == F.col(li_col)
