@@ -45,18 +45,19 @@ def dedupe_norm(df: DataFrame, text_col: str = "text", order_cols: Sequence[str]
 
 
 def dedupe_text(df: DataFrame, text_col: str = "text", order_cols: Sequence[str] = ("part_no", "row_id")) -> DataFrame:
-    """Keep-first by raw text (case-sensitive, nulls equal)."""
-    return keep_first(df, [text_col], order_cols)
+    """Keep-first by raw text (case-sensitive, nulls equal).  The
+    shuffle key is ``sha2(text)`` (null stays null, so nulls group)."""
+    return keep_first(df, [F.sha2(F.col(text_col), 256)], order_cols)
 
 
 def dedupe_text_url(df: DataFrame, order_cols: Sequence[str] = ("part_no", "row_id")) -> DataFrame:
     """D3: keep-first by ``(text, url)``, null-safe."""
-    return keep_first(df, ["text", "url"], order_cols)
+    return keep_first(df, [F.sha2(F.col("text"), 256), "url"], order_cols)
 
 
 def dedupe_text_label(df: DataFrame, order_cols: Sequence[str] = ("part_no", "row_id")) -> DataFrame:
     """Keep-first by ``(text, label)``."""
-    return keep_first(df, ["text", "label"], order_cols)
+    return keep_first(df, [F.sha2(F.col("text"), 256), "label"], order_cols)
 
 
 def seen_set(df: DataFrame, text_col: str = "text") -> DataFrame:

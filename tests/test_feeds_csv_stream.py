@@ -72,3 +72,19 @@ def test_growth_batch_is_idempotent(spark, tmp_path):
         growth_batch(items, 0, base, reg, ["A"], 3, out)
     rows = sorted((r.page_no, r.pos) for r in spark.read.parquet(out).collect())
     assert rows == [(1, 1), (2, 1)]
+
+
+def test_growth_twice_on_same_input_adds_nothing(spark, tmp_path):
+    from corpusforge.sources.registry import sources_frame
+    from corpusforge.streaming.growth import growth_batch
+
+    base = spark.createDataFrame([("an existing headline", "A")], "text string, label string")
+    reg = sources_frame(spark, [{"name": "s", "label": "A", "base_url": "https://s/"}])
+    items = spark.createDataFrame(
+        [("s", 1, 0, "a brand new headline", "/1"), ("s", 1, 1, "another fresh headline", "/2")],
+        "source string, page_no long, pos long, title string, href string")
+    out = str(tmp_path / "out")
+    growth_batch(items, 0, base, reg, ["A"], 10, out)
+    growth_batch(items, 1, base, reg, ["A"], 10, out)
+    got = spark.read.parquet(out).groupBy("batch_id").count().collect()
+    assert {r["batch_id"]: r["count"] for r in got} == {0: 2}
