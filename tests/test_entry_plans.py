@@ -63,3 +63,18 @@ def test_window_group_limit_and_pushdown(spark, tmp_path):
     assert "PushedFilters: [IsNotNull(label), EqualTo(label,A)]" in s
     assert "ReadSchema: struct<text:string,label:string>" in s
     assert "WindowGroupLimit" in _plan(head_per_group(spark.read.parquet(path), 3))
+
+
+def test_no_single_partition_over_rows(spark):
+    """Scale check: outside the fold's page-level table, no query funnels
+    its rows through one partition (global windows / sorts)."""
+    qs = E.queries()
+    for name in ["clean_corpus", "dedupe_norm", "dedupe_text", "unseen_items", "balance_full", "job_balance",
+                 "samples_per_label", "keyword_filter", "label_needs", "merge_tolerant", "feed_items",
+                 "page_links", "page_headings", "category_members", "profile_report", "shuffle_seeded"]:
+        lines = _plan(qs[name](spark, SF_SMALL)).splitlines()
+        for i, line in enumerate(lines):
+            if "Exchange SinglePartition" in line:
+                # Only the final step of a global aggregate (one partial row
+                # per partition) may gather into one partition.
+                assert "Aggregate" in lines[i - 1], (name, lines[i - 1])
