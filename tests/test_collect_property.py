@@ -16,7 +16,7 @@ def norm(t):
     return " ".join(t.lower().split())
 
 
-def simulate(case, min_len=12):
+def simulate(case, min_len=12, empty_test="long_enough", stop_on_http=True):
     seen = set(case["base"])
     out = []
     remaining = case["need"]
@@ -30,14 +30,22 @@ def simulate(case, min_len=12):
             if status is None:
                 continue
             if status != 200:
-                break
+                if stop_on_http:
+                    break
+                continue
             kept, loc = [], set()
             for t, h in items:
                 if len(t) < min_len or (t, h) in loc:
                     continue
                 loc.add((t, h))
                 kept.append((t, h))
-            if not kept:
+            if empty_test == "raw":
+                empty = not items
+            elif empty_test == "deduped":
+                empty = not set(items)
+            else:
+                empty = not kept
+            if empty:
                 break
             added = 0
             for t, h in kept:
@@ -61,7 +69,7 @@ def simulate(case, min_len=12):
 
 def make_case(rng, c):
     def title():
-        n = rng.randint(1, 3)
+        n = rng.randint(0, 3)
         return f"c{c} " + " ".join(rng.choice(WORDS) for _ in range(n))
 
     sources = []
@@ -77,8 +85,14 @@ def make_case(rng, c):
     return {"label": f"L{c:03d}", "sources": sources, "need": rng.randint(0, 8), "base": base}
 
 
-def test_fold_equals_sequential_loop(spark):
-    rng = random.Random(7)
+import pytest
+
+
+@pytest.mark.parametrize("empty_test,stop_on_http,seed", [
+    ("long_enough", True, 7), ("raw", True, 11), ("deduped", False, 13),
+])
+def test_fold_equals_sequential_loop(spark, empty_test, stop_on_http, seed):
+    rng = random.Random(seed)
     cases = [make_case(rng, c) for c in range(24)]
     reg_rows, page_rows, item_rows, base_rows, k_map = [], [], [], [], {}
     for case in cases:
@@ -97,10 +111,11 @@ def test_fold_equals_sequential_loop(spark):
     base = spark.createDataFrame(base_rows, "text string, label string")
     labels = [c["label"] for c in cases]
     needs = {c["label"]: c["need"] for c in cases}
-    cfg = CollectConfig(zero_streak=None, zero_streak_by_source=k_map)
+    cfg = CollectConfig(zero_streak=None, zero_streak_by_source=k_map, empty_test=empty_test,
+                        stop_on_http=stop_on_http)
     res = collect_fold(spark, pages, items, reg, base, needs, labels, cfg)
     got = sorted((r.source, r.page_no, r.text) for r in res.accepted.collect())
-    want = sorted(x for c in cases for x in simulate(c))
+    want = sorted(x for c in cases for x in simulate(c, empty_test=empty_test, stop_on_http=stop_on_http))
     assert got == want
     # metrics: one row per executed step, added == rows per step
     per = {}
