@@ -44,8 +44,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = tempfile.mkdtemp(prefix="corpusforge-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+    try:
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(d)
+    except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect)
+        pass
     return d
 
 
@@ -61,8 +64,12 @@ def spread(df: DataFrame) -> DataFrame:
     than slots (a small file with few row groups feeding CPU-heavy text or
     parsing work).  A large input already has more splits than slots and is
     returned unchanged: no shuffle at scale."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: leave as is
+        return df
+    return df.repartition(slots) if parts < slots else df
 
 
 def is_local_path(p: str) -> bool:
