@@ -1147,8 +1147,9 @@ def q_incremental_growth(spark, sf_dir):
     cb = clean_base(spark, sf_dir)
     target = base_target(cb)
     reg = sources_frame(spark, FX.REGISTRY)
+    gbase = G.prepare_base(spark, cb, f"{root}/base")
     for parity in (1, 0):
         items.filter(F.col("page_no") % 2 == parity).write.mode("append").parquet(items_dir)
-        q = G.start_growth(spark, items_dir, cb, reg, FX.LABELS, target, out_dir, ckpt)
+        q = G.start_growth(spark, items_dir, gbase, reg, FX.LABELS, target, out_dir, ckpt)
         q.awaitTermination()
     return spark.read.parquet(out_dir).select("batch_id", "source", "label", "page_no", "pos", "text", "url")

@@ -6,6 +6,10 @@ the first of each normalised title inside the batch, and appends up to each
 label's remaining need.  Page-order stop rules (W2/W3/W5) do not apply:
 arrival order is not page order.
 
+The base corpus is reduced once, before the stream starts, to its
+normalised-text keys (written under the checkpoint folder) and per-label
+counts (``prepare_base``): a micro-batch never rescans the corpus.
+
 Exactly-once output: a batch writes to ``out_dir/batch_id=<id>`` with
 overwrite, so a replayed batch (after a lost executor or driver restart)
 rewrites the same folder; progress lives in the streaming checkpoint on the
@@ -15,15 +19,16 @@ shared file system.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from corpusforge import schema
-from corpusforge.functions.text import keyword_any_array, norm_text
-from corpusforge.operators.dedupe import keep_first, seen_set
-from corpusforge.session import path_exists
+from corpusforge.functions.text import keyword_any_array, norm_key, norm_text
+from corpusforge.operators.dedupe import keep_first
+from corpusforge.session import path_exists, scratch_path
 from corpusforge.sources.registry import apply_keywords
 
 OUT_COLS = ["batch_id", "source", "label", "page_no", "pos", "text", "url", "nkey"]
@@ -38,10 +43,31 @@ def _previous(spark: SparkSession, out_dir: str, batch_id: int) -> DataFrame | N
     return prev.filter(F.col("batch_id") < batch_id)
 
 
+@dataclass(frozen=True)
+class GrowthBase:
+    """The corpus as the stream needs it, computed once before it starts:
+    the normalised-text keys (written under the checkpoint folder) and the
+    per-label row counts (one small number per label)."""
+
+    keys_path: str
+    counts: dict
+
+
+def prepare_base(spark: SparkSession, base: DataFrame, path: str | None = None) -> GrowthBase:
+    """Materialise ``(nkey, label)`` of the base corpus once, so micro-batches
+    never rescan or re-normalise it."""
+    path = path or scratch_path(spark, "growth-base")
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        base.select(norm_key("text").alias("nkey"), "label").write.mode("overwrite").parquet(path)
+    keys = spark.read.schema("nkey string, label string").parquet(path)
+    counts = {r[0]: int(r[1]) for r in keys.groupBy("label").count().collect()}  # one row per label
+    return GrowthBase(path, counts)
+
+
 def growth_batch(
     batch: DataFrame,
     batch_id: int,
-    base: DataFrame,
+    gbase: GrowthBase,
     reg: DataFrame,
     labels: Sequence[str],
     target: int,
@@ -51,17 +77,17 @@ def growth_batch(
     """Process one micro-batch (also callable on a static frame)."""
     spark = batch.sparkSession
     prev = _previous(spark, out_dir, batch_id)
-    counted = base.select("label", "text")
+    have = {l: gbase.counts.get(l, 0) for l in labels}
     if prev is not None:
-        counted = counted.unionByName(prev.select("label", "text"))
-    # Tiny: one row per requested label.
-    have = {r[0]: int(r[1]) for r in counted.filter(F.col("label").isin(list(labels))).groupBy("label").count().collect()}
+        # Appended rows so far: bounded by the quotas; one row per label.
+        for r in prev.filter(F.col("label").isin(list(labels))).groupBy("label").count().collect():
+            have[r[0]] += int(r[1])
     need = {l: max(0, target - have.get(l, 0)) for l in labels}
     if max(need.values(), default=0) <= 0:
         return
-    seen = seen_set(base)
+    seen = spark.read.schema("nkey string, label string").parquet(gbase.keys_path).select("nkey")
     if prev is not None:
-        seen = seen.unionByName(prev.select("nkey")).distinct()
+        seen = seen.unionByName(prev.select("nkey"))
     lab = spark.createDataFrame([(l, i, need[l]) for i, l in enumerate(labels)], "label string, label_pos int, need long")
     r = reg.select(F.col("name").alias("source"), "label", "priority", apply_keywords().alias("_apply"), "keywords")
     c = (
@@ -91,7 +117,7 @@ def growth_batch(
 def start_growth(
     spark: SparkSession,
     items_dir: str,
-    base: DataFrame,
+    gbase: GrowthBase,
     reg: DataFrame,
     labels: Sequence[str],
     target: int,
@@ -103,7 +129,7 @@ def start_growth(
     """Start the stream over ``items_dir`` (files of ``schema.ITEMS``)."""
     stream = spark.readStream.schema(schema.ITEMS).parquet(items_dir)
     w = stream.writeStream.foreachBatch(
-        lambda df, bid: growth_batch(df, bid, base, reg, labels, target, out_dir, min_title_len)
+        lambda df, bid: growth_batch(df, bid, gbase, reg, labels, target, out_dir, min_title_len)
     ).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     return w.start()

@@ -59,7 +59,7 @@ def test_csv_roundtrip_edges(spark, tmp_path):
 
 def test_growth_batch_is_idempotent(spark, tmp_path):
     from corpusforge.sources.registry import sources_frame
-    from corpusforge.streaming.growth import growth_batch
+    from corpusforge.streaming.growth import growth_batch, prepare_base
 
     base = spark.createDataFrame([("existing headline one", "A")], "text string, label string")
     reg = sources_frame(spark, [{"name": "s", "label": "A", "base_url": "https://s/"}])
@@ -68,15 +68,16 @@ def test_growth_batch_is_idempotent(spark, tmp_path):
          ("s", 2, 0, "A brand new headline", "/3"), ("s", 2, 1, "another fresh headline", "/4")],
         "source string, page_no long, pos long, title string, href string")
     out = str(tmp_path / "out")
+    gbase = prepare_base(spark, base, str(tmp_path / "base"))
     for _ in range(2):  # a replayed batch rewrites the same folder
-        growth_batch(items, 0, base, reg, ["A"], 3, out)
+        growth_batch(items, 0, gbase, reg, ["A"], 3, out)
     rows = sorted((r.page_no, r.pos) for r in spark.read.parquet(out).collect())
     assert rows == [(1, 1), (2, 1)]
 
 
 def test_growth_twice_on_same_input_adds_nothing(spark, tmp_path):
     from corpusforge.sources.registry import sources_frame
-    from corpusforge.streaming.growth import growth_batch
+    from corpusforge.streaming.growth import growth_batch, prepare_base
 
     base = spark.createDataFrame([("an existing headline", "A")], "text string, label string")
     reg = sources_frame(spark, [{"name": "s", "label": "A", "base_url": "https://s/"}])
@@ -84,7 +85,8 @@ def test_growth_twice_on_same_input_adds_nothing(spark, tmp_path):
         [("s", 1, 0, "a brand new headline", "/1"), ("s", 1, 1, "another fresh headline", "/2")],
         "source string, page_no long, pos long, title string, href string")
     out = str(tmp_path / "out")
-    growth_batch(items, 0, base, reg, ["A"], 10, out)
-    growth_batch(items, 1, base, reg, ["A"], 10, out)
+    gbase = prepare_base(spark, base, str(tmp_path / "base"))
+    growth_batch(items, 0, gbase, reg, ["A"], 10, out)
+    growth_batch(items, 1, gbase, reg, ["A"], 10, out)
     got = spark.read.parquet(out).groupBy("batch_id").count().collect()
     assert {r["batch_id"]: r["count"] for r in got} == {0: 2}
