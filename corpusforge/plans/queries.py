@@ -958,18 +958,16 @@ def q_csv_roundtrip(spark, sf_dir):
     return CSV.read_corpus_csv(spark, path, "row_id long, text string, label string, source string, url string")
 
 
-@register("tolerant_load", _wv("base") + "\nSELECT CAST(0 AS INTEGER) AS part_no, row_id, text, label, source, url "
+@register("tolerant_load", _wv("base") + "\nSELECT CAST(1 AS INTEGER) AS part_no, row_id, text, label, source, url "
           "FROM base")
 def q_tolerant_load(spark, sf_dir):
-    """A missing part reads as empty; the union carries on."""
+    """A missing first part reads as empty (part 0); the union with
+    the base (part 1) carries on."""
     from corpusforge.session import scratch_path
 
     missing = CSV.read_tolerant(spark, scratch_path(spark, "does-not-exist") + "/x.csv",
                                 "row_id long, text string, label string, source string, url string")
-    u = M.union_parts([missing, V.base(spark, sf_dir)])
-    return u.filter(F.col("part_no") == 1).withColumn("part_no", F.lit(0)).unionByName(
-        u.filter(F.col("part_no") == 0)
-    ).select(*PART_COLS)
+    return M.union_parts([missing, V.base(spark, sf_dir)]).select(*PART_COLS)
 
 
 @register(
