@@ -16,10 +16,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pyspark import cloudpickle
+
+import corpusforge
+from corpusforge.functions import html as _html
 from corpusforge.functions.text import contains_none, path_accepted, strip_ws
 from corpusforge.operators.dedupe import keep_first
 from corpusforge.session import spread
 
+# The parser helper travels to the Python workers by value: executors need
+# neither this repository on their path nor an installed package.
+cloudpickle.register_pickle_by_value(corpusforge)
+
 HIT_FIELDS = [
     T.StructField("sel_idx", T.IntegerType()),
     T.StructField("doc_pos", T.LongType()),
@@ -47,14 +55,12 @@ def html_matches(
     out_schema = T.StructType(list(in_schema.fields) + HIT_FIELDS)
 
     def run(batches):
-        from corpusforge.functions.html import matches
-
         for pdf in batches:
             rows = []
             for rec in pdf.itertuples(index=False):
                 d = rec._asdict()
                 key = tuple(d[k] for k in keys)
-                for m in matches(d[html_col], sels, union, scope_tag):
+                for m in _html.matches(d[html_col], sels, union, scope_tag):
                     rows.append(key + m)
             yield pd.DataFrame(rows, columns=[f.name for f in out_schema.fields])
 

@@ -75,3 +75,23 @@ def test_feed_discovery(spark):
                                   "page_id long, html string")
     got = {r.page_id: r.feed_url for r in discover_feed(pages, ["page_id"], "ciyaaraha").collect()}
     assert got == {1: "/api/zz", 2: "/api/q", 3: None}
+
+
+def test_workers_do_not_need_the_package_on_their_path(spark):
+    """The parser helper is shipped by value, so executors started outside
+    the repository (another working directory, a cluster) can run it."""
+    import subprocess
+    import sys
+    import textwrap
+
+    code = textwrap.dedent('''
+        import sys
+        sys.path.insert(0, "/root/repo")
+        from pyspark.sql import SparkSession
+        s = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+        from corpusforge.operators.extract import extract_links
+        pages = s.createDataFrame([(1, "<h2><a href='/x'>A headline long enough</a></h2>")], "page_id long, html string")
+        print("ROWS", extract_links(pages, ["page_id"]).count())
+    ''')
+    out = subprocess.run([sys.executable, "-c", code], cwd="/tmp", capture_output=True, text=True, timeout=300)
+    assert "ROWS 1" in out.stdout, out.stderr[-2000:]
