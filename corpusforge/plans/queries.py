@@ -191,7 +191,7 @@ def q_project_text_label(spark, sf_dir):
 
 @register(
     "count_label",
-    _wv("headlines") + "\nSELECT count_if(label = 'Sports') AS n FROM headlines",
+    _wv("headlines") + "\nSELECT CAST(count_if(label = 'Sports') AS BIGINT) AS n FROM headlines",
 )
 def q_count_label(spark, sf_dir):
     return profile.count_if_label(V.headlines(spark, sf_dir), "Sports")
@@ -1058,8 +1058,8 @@ def _sql_profile() -> str:
         "row_number() OVER (PARTITION BY label ORDER BY row_id) AS rn FROM headlines "
         "WHERE label IN ('Politics', 'World', 'Sports', 'Economy')) WHERE rn <= 5\n"
         "UNION ALL SELECT 'nulls', column_name, nulls FROM np\n"
-        "UNION ALL SELECT 'total_nulls', '', sum(nulls) FROM np\n"
-        "UNION ALL SELECT 'columns_with_nulls', '', count_if(nulls > 0) FROM np"
+        "UNION ALL SELECT 'total_nulls', '', CAST(sum(nulls) AS BIGINT) FROM np\n"
+        "UNION ALL SELECT 'columns_with_nulls', '', CAST(count_if(nulls > 0) AS BIGINT) FROM np"
     )
 
 
@@ -1150,4 +1150,6 @@ def q_incremental_growth(spark, sf_dir):
         items.filter(F.col("page_no") % 2 == parity).write.mode("append").parquet(items_dir)
         q = G.start_growth(spark, items_dir, gbase, reg, FX.LABELS, target, out_dir, ckpt)
         q.awaitTermination()
-    return spark.read.parquet(out_dir).select("batch_id", "source", "label", "page_no", "pos", "text", "url")
+    out = spark.read.parquet(out_dir)
+    # batch_id also names the output folders; read it back as the long it is.
+    return out.select(F.col("batch_id").cast("long").alias("batch_id"), "source", "label", "page_no", "pos", "text", "url")
