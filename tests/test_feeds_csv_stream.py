@@ -90,3 +90,16 @@ def test_growth_twice_on_same_input_adds_nothing(spark, tmp_path):
     growth_batch(items, 1, gbase, reg, ["A"], 10, out)
     got = spark.read.parquet(out).groupBy("batch_id").count().collect()
     assert {r["batch_id"]: r["count"] for r in got} == {0: 2}
+
+
+def test_scan_with_report(spark, tmp_path):
+    from corpusforge.sources.csv import read_with_report
+
+    p = tmp_path / "c.csv"
+    p.write_text("text,label\nfirst headline,A\nsecond headline,B\nthird headline,A\n")
+    df, rep = read_with_report(spark, str(p), "text string, label string")
+    assert rep == {"rows": 3, "n_labels": 2}
+    _, rep2 = read_with_report(spark, str(tmp_path / "nope.csv"), "text string, label string")
+    assert rep2 == {"rows": 0, "n_labels": 0}
+    _, rep3 = read_with_report(spark, str(p), "text string")
+    assert rep3["message"] == "no label column"
