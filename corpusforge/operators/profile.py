@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusforge.functions.text import clamp_need
@@ -120,3 +120,61 @@ def label_needs(
 def shortfall(df: DataFrame, labels: Sequence[str], target: int, label_col: str = "label") -> DataFrame:
     """Labels still short of the target after a run."""
     return label_needs(df, labels, target, label_col).filter(F.col("need") > 0)
+
+
+def profile_report(
+    df: DataFrame,
+    label_col: str = "label",
+    source_col: str = "source",
+    order_col: str = "row_id",
+    sample_labels: Sequence[str] = ("Politics", "World", "Sports", "Economy"),
+    n_samples: int = 5,
+) -> DataFrame:
+    """K19 as one long table ``(metric, key, value)``: row count, distinct
+    labels/sources with their first rows, per-column nulls, their total and
+    the number of columns with nulls, and the first rows of each sampled
+    label.
+
+    One grouping-sets aggregate over ``(label)``, ``(source)`` and ``()``
+    yields everything but the samples in a single pass over the data; the
+    per-label samples are a second pass with ``WindowGroupLimit``.
+    """
+    cols = df.columns
+    g = df.groupingSets([[label_col], [source_col], []], label_col, source_col).agg(
+        F.grouping_id().alias("_gid"),
+        F.min(order_col).alias("first_row"),
+        F.count(F.lit(1)).alias("n"),
+        F.count_distinct(label_col).alias("n_labels"),
+        F.count_distinct(source_col).alias("n_sources"),
+        *[F.sum(F.col(c).isNull().cast("long")).alias(f"_null{i}") for i, c in enumerate(cols)],
+    )
+
+    def row(metric: str, key, value) -> Column:
+        return F.struct(F.lit(metric).alias("metric"), key.cast("string").alias("key"), value.cast("long").alias("value"))
+
+    # The aggregate is consumed once: each grouping-set row emits its own
+    # metrics, so the data is scanned a single time for all of them.
+    nulls = [F.coalesce(F.col(f"_null{i}"), F.lit(0)) for i in range(len(cols))]
+    total_rows = F.array(
+        row("rows", F.lit(""), F.col("n")),
+        row("n_labels", F.lit(""), F.col("n_labels")),
+        row("n_sources", F.lit(""), F.col("n_sources")),
+        *[row("nulls", F.lit(c), nulls[i]) for i, c in enumerate(cols)],
+        row("total_nulls", F.lit(""), sum(nulls[1:], nulls[0])),
+        row("columns_with_nulls", F.lit(""), sum(((x > 0).cast("long") for x in nulls[1:]), (nulls[0] > 0).cast("long"))),
+    )
+    emitted = (
+        F.when(F.col("_gid") == 1, F.array(row("label_first_row", F.col(label_col), F.col("first_row"))))
+        .when(F.col("_gid") == 2, F.array(row("source_first_row", F.col(source_col), F.col("first_row"))))
+        .otherwise(total_rows)
+    )
+    aggs = g.select(F.explode(emitted).alias("r")).select("r.*")
+    w = Window.partitionBy(label_col).orderBy(order_col)
+    samples = (
+        df.filter(F.col(label_col).isin(list(sample_labels)))
+        .select(label_col, order_col, F.row_number().over(w).alias("_rn"))
+        .filter(F.col("_rn") <= n_samples)
+        .select(row("sample", F.concat(F.col(label_col), F.lit(":"), F.col("_rn").cast("string")), F.col(order_col)).alias("r"))
+        .select("r.*")
+    )
+    return aggs.unionByName(samples)

@@ -1065,37 +1065,9 @@ def _sql_profile() -> str:
 
 @register("profile_report", _sql_profile())
 def q_profile_report(spark, sf_dir):
-    """K19 as one long table ``(metric, key, value)``."""
-    h = V.headlines(spark, sf_dir)
-    one = h.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_distinct("label").alias("n_labels"),
-        F.count_distinct("source").alias("n_sources"),
-    )
-    out = one.select(F.explode(F.array(*[
-        F.struct(F.lit(m).alias("metric"), F.lit("").alias("key"), F.col(m).cast("long").alias("value"))
-        for m in ("rows", "n_labels", "n_sources")
-    ])).alias("s")).select("s.*")
-    lab = profile.distinct_values(h, "label").select(F.lit("label_first_row").alias("metric"),
-                                                     F.col("label").alias("key"), F.col("first_row").alias("value"))
-    src = profile.distinct_values(h, "source").select(F.lit("source_first_row").alias("metric"),
-                                                      F.col("source").alias("key"), F.col("first_row").alias("value"))
-    w = profile.head_per_group(clean.filter_labels(h, FX.LABELS).select("label", "row_id"), 5)
-    from pyspark.sql import Window as _W
-    smp = w.withColumn("_rn", F.row_number().over(_W.partitionBy("label").orderBy("row_id"))).select(
-        F.lit("sample").alias("metric"), F.concat("label", F.lit(":"), F.col("_rn").cast("string")).alias("key"),
-        F.col("row_id").alias("value"))
-    np_ = profile.null_profile(h)
-    nul = np_.select(F.lit("nulls").alias("metric"), F.col("column_name").alias("key"), F.col("nulls").alias("value"))
-    tot = np_.agg(F.sum("nulls").cast("long").alias("t"), F.count_if(F.col("nulls") > 0).alias("c")).select(
-        F.explode(F.array(
-            F.struct(F.lit("total_nulls").alias("metric"), F.lit("").alias("key"), F.col("t").alias("value")),
-            F.struct(F.lit("columns_with_nulls").alias("metric"), F.lit("").alias("key"), F.col("c").cast("long").alias("value")),
-        )).alias("s")).select("s.*")
-    res = out
-    for d in (lab, src, smp, nul, tot):
-        res = res.unionByName(d)
-    return res
+    """K19 as one long table ``(metric, key, value)`` (one grouping-sets pass
+    plus the per-label samples)."""
+    return profile.profile_report(V.headlines(spark, sf_dir), sample_labels=FX.LABELS)
 
 
 # -------------------------------------------------------------- streaming --
