@@ -132,11 +132,15 @@ def headings_with_fallback(
     ``len(text) > min_len_exclusive``."""
     m = html_matches(pages, key_cols, list(tiers), union=False)
     last = len(tiers) - 1
-    cnt = m.groupBy(*key_cols, "sel_idx").agg(F.count(F.lit(1)).alias("_n"))
-    ok = cnt.filter((F.col("_n") >= min_count) | (F.col("sel_idx") == last))
-    chosen = ok.groupBy(*key_cols).agg(F.min("sel_idx").alias("sel_idx"))
+    # The pages are parsed once: tier sizes and the chosen tier come from
+    # windows over each page's matches (bounded by the page).
+    n_in_tier = F.count(F.lit(1)).over(Window.partitionBy(*key_cols, "sel_idx"))
+    ok = (F.col("_n") >= min_count) | (F.col("sel_idx") == last)
+    chosen = F.min(F.when(ok, F.col("sel_idx"))).over(Window.partitionBy(*key_cols))
     return (
-        m.join(chosen, [*key_cols, "sel_idx"], "left_semi")
+        m.withColumn("_n", n_in_tier)
+        .withColumn("_chosen", chosen)
+        .filter(F.col("sel_idx") == F.col("_chosen"))
         .select(*key_cols, F.col("sel_idx").alias("tier"), F.col("doc_pos").alias("pos"),
                 F.col(TEXT_MODES[text_mode]).alias("text"))
         .filter(F.length("text") > min_len_exclusive)
@@ -154,19 +158,18 @@ def title_and_intro(
     order, then document order) with ``len >= min_intro``; text is
     ``title + '. ' + intro``; pages without either yield no row."""
     m = html_matches(pages, key_cols, [title_sel, *intro_sels], union=False)
-    # Title: pieces joined without separator; intro: pieces joined by " ".
-    t = (
-        m.filter(F.col("sel_idx") == 0)
-        .groupBy(*key_cols)
-        .agg(F.min_by(F.col("text_joined"), F.col("doc_pos")).alias("title"))
-    )
+    # One pass, one aggregate per page: title = first title match (pieces
+    # joined without separator), intro = first candidate long enough
+    # (pieces joined by " "); rows outside a role have a null ordering and
+    # are ignored by min_by.
     txt = F.col("text_spaced")
-    i = (
-        m.filter((F.col("sel_idx") > 0) & (F.length(txt) > 0) & (F.length(txt) >= min_intro))
-        .groupBy(*key_cols)
-        .agg(F.min_by(txt, F.struct("sel_idx", "doc_pos")).alias("intro"))
+    is_title = F.col("sel_idx") == 0
+    is_intro = (F.col("sel_idx") > 0) & (F.length(txt) > 0) & (F.length(txt) >= min_intro)
+    agg = m.groupBy(*key_cols).agg(
+        F.min_by(F.col("text_joined"), F.when(is_title, F.col("doc_pos"))).alias("title"),
+        F.min_by(txt, F.when(is_intro, F.struct("sel_idx", "doc_pos"))).alias("intro"),
     )
-    return t.join(i, list(key_cols)).select(
+    return agg.filter(F.col("title").isNotNull() & F.col("intro").isNotNull()).select(
         *key_cols, "title", "intro", F.concat("title", F.lit(". "), "intro").alias("text")
     )
 
@@ -209,24 +212,28 @@ def discover_feed(
     """First link whose href contains ``href_part`` inside the first
     ``<li>`` whose text contains ``category`` (case-insensitive); else the
     first link anywhere whose own text contains it.  ``(keys..., feed_url)``
-    for every page (null when none)."""
+    for every page (null when none).  A link belongs to its nearest
+    enclosing ``<li>`` (inside nested lists the outer item does not also
+    claim it)."""
     cat = category.lower()
-    li = html_matches(pages, key_cols, ["li"], union=True).select(
-        *key_cols, F.col("doc_pos").alias("li_pos"), F.lower("text_spaced").alias("li_text")
-    )
-    a = html_matches(pages, key_cols, ["a"], union=True, scope_tag="li").filter(
-        F.col("href").isNotNull() & F.col("href").contains(href_part)
+    # One parse: li elements (selector 0) and links (selector 1, carrying the
+    # position of their enclosing li).  Each link learns its li's text from a
+    # window over (page, li) -- no join, so the pages are parsed once.
+    m = html_matches(pages, key_cols, ["li", "a"], union=False, scope_tag="li")
+    li_pos = F.when(F.col("sel_idx") == 0, F.col("doc_pos")).otherwise(F.col("scope_pos"))
+    m = m.withColumn("li_pos", li_pos).withColumn(
+        "li_text",
+        F.max(F.when(F.col("sel_idx") == 0, F.lower("text_spaced"))).over(Window.partitionBy(*key_cols, "li_pos")),
     )
-    # Equi-join on (page, enclosing li): each link meets only its own li.
-    t1 = (
-        a.withColumnRenamed("scope_pos", "li_pos")
-        .join(li.filter(F.col("li_text").contains(cat)), [*key_cols, "li_pos"], "inner")
-        .select(*key_cols, F.lit(1).alias("tier"), "li_pos", "doc_pos", "href")
-    )
-    t2 = a.filter(F.lower("text_joined").contains(cat)).select(
-        *key_cols, F.lit(2).alias("tier"), F.lit(0).cast("long").alias("li_pos"), "doc_pos", "href"
-    )
-    best = t1.unionByName(t2).groupBy(*key_cols).agg(
-        F.min_by("href", F.struct("tier", "li_pos", "doc_pos")).alias("feed_url")
+    a = m.filter((F.col("sel_idx") == 1) & F.col("href").isNotNull() & F.col("href").contains(href_part))
+    tier1 = F.when((F.col("li_pos") >= 0) & F.coalesce(F.col("li_text").contains(cat), F.lit(False)),
+                   F.struct(F.lit(1).alias("tier"), F.col("li_pos"), F.col("doc_pos")))
+    tier2 = F.when(F.lower("text_joined").contains(cat),
+                   F.struct(F.lit(2).alias("tier"), F.lit(0).cast("long").alias("li_pos"), F.col("doc_pos")))
+    best = (
+        a.select(*key_cols, "href", F.explode(F.array(tier1, tier2)).alias("_k"))
+        .filter(F.col("_k").isNotNull())
+        .groupBy(*key_cols)
+        .agg(F.min_by("href", "_k").alias("feed_url"))
     )
     return pages.select(*key_cols).join(best, list(key_cols), "left")
