@@ -31,6 +31,7 @@ folder, which cuts lineage and lets a rerun skip finished steps (W8).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -235,6 +236,7 @@ def collect_fold(
     steps are read back instead of recomputed.
     """
     run_dir = run_dir or scratch_path(spark, "collect")
+    run_tag = uuid.uuid4().hex[:8]  # observation names must not repeat within a session
     kept, counts = prepare_items(items, cfg)
     vis = visible_pages(pages, counts, reg, cfg)
     seen = seen_set(base) if base is not None else None
@@ -294,7 +296,7 @@ def collect_fold(
                     F.lit(label).alias("label"), "page_no", "pos", "text", "url", "nkey", "added", "running_total",
                 )
                 # Step metrics ride along with the write (no extra job).
-                obs = Observation(f"collect_step_{step}")
+                obs = Observation(f"collect_{run_tag}_step_{step}")
                 out.observe(
                     obs, F.count_if(F.col("kind") == "acc").alias("n"), F.count_if(F.col("kind") == "page").alias("pv")
                 ).write.mode("overwrite").parquet(sp)
