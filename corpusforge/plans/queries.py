@@ -1042,7 +1042,7 @@ def q_harvest_dedupe(spark, sf_dir):
                       max_items=_FEED_MAX)
     fi = f.select(F.lit(1).alias("part_no"), F.col("page_no").alias("k1"), F.col("item_no").alias("k2"),
                   F.col("source").alias("k3"), "text", "label", "source", "url")
-    return D.keep_first(l.unionByName(fi), ["text"], order_cols=("part_no", "k1", "k2", "k3"))
+    return D.keep_first(l.unionByName(fi), [F.sha2(F.col("text"), 256)], order_cols=("part_no", "k1", "k2", "k3"))
 
 
 def _sql_profile() -> str:
