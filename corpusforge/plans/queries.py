@@ -475,22 +475,28 @@ ACC_COLS = ["step", "source", "label", "page_no", "pos", "text", "url"]
 CORPUS_COLS = ["part_no", "row_id", "step", "page_no", "pos", "text", "label", "source", "url"]
 
 
+def run_extend(spark, sf_dir, labels=FX.LABELS, cfg=FOLD_CFG):
+    """K1 through the job API: target = a fifth of the cleaned base rows."""
+    from corpusforge.plans import jobs
+
+    target = base_target(clean_base(spark, sf_dir))
+    items = V.archive(spark, sf_dir).select("source", "page_no", "pos", "title", "href")
+    return jobs.extend_to_target(spark, V.base(spark, sf_dir), V.page_status(spark, sf_dir), items,
+                                 FX.REGISTRY, labels, target, cfg)
+
+
 @register("collect_fold", FS.fold_sql(FX.LABELS, cfg=FOLD_CFG, tail="corpus"))
 def q_collect_fold(spark, sf_dir):
     """Flagship K1: extend the base corpus to the per-label target from the
     prioritised sources, then keep-first by normalised text."""
-    res = run_fold(spark, sf_dir)
-    return C.extend_corpus(clean_base(spark, sf_dir), res.accepted).select(*CORPUS_COLS)
+    return run_extend(spark, sf_dir).corpus.select(*CORPUS_COLS)
 
 
 @register("shortfall_report", FS.fold_sql(FX.LABELS, cfg=FOLD_CFG, tail="shortfall"))
 def q_shortfall_report(spark, sf_dir):
     """Labels still short of the target after K1 (needs are computed
     before the final dedupe, so base duplicates can leave a shortfall)."""
-    cb = clean_base(spark, sf_dir)
-    target = sum(r[1] for r in cb.groupBy("label").count().collect()) // 5
-    final = C.extend_corpus(cb, run_fold(spark, sf_dir).accepted)
-    return profile.shortfall(final, FX.LABELS, target)
+    return run_extend(spark, sf_dir).shortfall
 
 
 @register("collect_page_metrics", FS.fold_sql(FX.LABELS, cfg=FOLD_CFG, tail="page_metrics"))
