@@ -119,9 +119,20 @@ def classify_label(
     )
 
 
+_CASED = r"[\p{Lu}\p{Ll}\p{Lt}]"
+
+
 def title_case(c: Column | str) -> Column:
-    """``str.title().strip()`` for single-word labels."""
-    return strip_ws(F.initcap(_c(c)))
+    """Python ``str.title()`` then strip.
+
+    A character is upper-cased when the one before it is not a cased
+    letter (start, space, apostrophe, hyphen, digit...), else lower-cased --
+    Python's rule, which Spark's ``initcap`` (words split on spaces only)
+    does not follow.  Native: a ``transform`` over the characters."""
+    chars = F.split(_c(c), "")
+    prev_cased = lambda i: (i > 0) & F.element_at(chars, i).rlike(_CASED)  # noqa: E731 (element_at is 1-based)
+    titled = F.transform(chars, lambda ch, i: F.when(prev_cased(i), F.lower(ch)).otherwise(F.upper(ch)))
+    return strip_ws(F.array_join(titled, ""))
 
 
 def cut_first_hyphen(c: Column | str) -> Column:

@@ -66,7 +66,9 @@ def test_hyphen_cut_titlecase_sniff(spark):
     rows = [("Sicir-barar - BBC",), ("No hyphen here",), ("-leading",), ("a - Outlet",)]
     df = spark.createDataFrame(rows, "t string")
     assert [r[0] for r in df.select(cut_first_hyphen("t")).collect()] == ["Sicir", "No hyphen here", "", "a"]
-    df2 = spark.createDataFrame([(" sports ",), ("ECONOMY",)], "l string")
-    assert [r[0] for r in df2.select(title_case("l")).collect()] == ["Sports", "Economy"]
+    labels = [" sports ", "ECONOMY", "faa'iido weyn", "3rd place", "sicir-barar", "ÉTÉ chaud", ""]
+    df2 = spark.createDataFrame([(x,) for x in labels], "l string")
+    # Python's str.title(): a new word starts after any uncased character
+    assert [r[0] for r in df2.select(title_case("l")).collect()] == [x.title().strip() for x in labels]
     x = spark.createDataFrame([("  <?xml version='1.0'?><rss/>",), ("<html><feed",), ("plain",)], "x string")
     assert [r[0] for r in x.select(looks_like_xml("x")).collect()] == [True, True, False]
