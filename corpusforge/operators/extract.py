@@ -78,6 +78,7 @@ def extract_links(
     order_mode: str = "document",
     dedupe: bool = True,
     strict_len: bool = False,
+    href_default: str | None = "",
 ) -> DataFrame:
     """``(keys..., pos, title, href)`` items of each page.
 
@@ -87,7 +88,8 @@ def extract_links(
     * ``text_mode``: ``spaced`` / ``joined`` / ``whole`` (E1 / E2 / E7);
     * keep ``len(title) >= min_len`` (``> min_len`` with ``strict_len``);
     * ``dedupe``: first ``(title, href)`` of each page (D4; off in E6).
-    ``href`` is stripped, a missing one becomes ``""``.
+    ``href`` is stripped; a missing one becomes ``href_default`` (``""`` as
+    in E1, ``None`` keeps it null as the E6 scrapers do).
     """
     from corpusforge.sources.registry import DEFAULT_SELECTORS
 
@@ -104,7 +106,8 @@ def extract_links(
         *key_cols,
         pos.alias("pos"),
         title.alias("title"),
-        F.coalesce(strip_ws(F.col("href")), F.lit("")).alias("href"),
+        (strip_ws(F.col("href")) if href_default is None
+         else F.coalesce(strip_ws(F.col("href")), F.lit(href_default))).alias("href"),
     )
     ln = F.length("title")
     items = items.filter((ln > min_len) if strict_len else (ln >= min_len)).filter(ln > 0)

@@ -48,6 +48,8 @@ def test_extract_links_filters(spark):
     assert titles.count("Duplicate title x") == 1
     assert "11 chars ok" not in titles and "12 chars ok!" in titles
     assert {r.title: r.href for r in items}["No href title long"] == ""
+    nulls = extract_links(pages, ["page_id"], ["h2 a"], min_len=5, dedupe=False, href_default=None)
+    assert {r.title: r.href for r in nulls.collect()}["No href title long"] is None
     assert {r.title: r.href for r in items}["First bold title here"] == "/one"
     sel = extract_links(pages, ["page_id"], ["h3 a", "h1 a"], min_len=5, order_mode="selector", dedupe=False)
     assert [r.title for r in sel.orderBy("pos").collect()] == [
