@@ -235,8 +235,11 @@ def collect_fold(
     folder on the shared file system) makes the run restartable: finished
     steps are read back instead of recomputed.
     """
+    reuse = run_dir is not None
     run_dir = run_dir or scratch_path(spark, "collect")
     run_tag = uuid.uuid4().hex[:8]  # observation names must not repeat within a session
+    if reuse:
+        _check_fingerprint(spark, run_dir, needs, labels, cfg, reg)
     kept, counts = prepare_items(items, cfg)
     vis = visible_pages(pages, counts, reg, cfg)
     seen = seen_set(base) if base is not None else None
@@ -331,6 +334,30 @@ def collect_fold(
     return FoldResult(accepted=accepted, metrics=metrics, pages=pages_df, needs=dict(needs))
 
 
+class RunMismatchError(ValueError):
+    """A run folder holds steps of a run with other parameters."""
+
+
+def _check_fingerprint(spark: SparkSession, run_dir: str, needs, labels, cfg, reg: DataFrame) -> None:
+    """A restart may only reuse finished steps of the *same* run: the needs,
+    labels, configuration and registry are recorded in the run folder on
+    first use and compared on every later use."""
+    import hashlib
+    import json
+
+    reg_rows = sorted(json.dumps(r.asDict(), sort_keys=True, default=str) for r in reg.collect())  # tens of rows
+    doc = json.dumps({"needs": dict(needs), "labels": list(labels), "cfg": repr(cfg), "registry": reg_rows},
+                     sort_keys=True, default=str)
+    digest = hashlib.sha256(doc.encode()).hexdigest()
+    path = f"{run_dir}/_fingerprint"
+    if path_exists(spark, f"{path}/_SUCCESS"):
+        old = spark.read.schema("digest string").json(path).first()
+        if old is None or old["digest"] != digest:
+            raise RunMismatchError(f"{run_dir} holds a run with other parameters; use a new run folder")
+    else:
+        spark.createDataFrame([(digest,)], "digest string").coalesce(1).write.mode("overwrite").json(path)
+
+
 def extend_corpus(base: DataFrame, accepted: DataFrame, dedupe: bool = True) -> DataFrame:
     """K1 tail: U1 base (part 0) with accepted rows (part 1, in step/page/pos
     order), then D1 keep-first by normalised text (base rows win)."""

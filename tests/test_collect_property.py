@@ -146,3 +146,18 @@ def test_rerun_skips_finished_steps(spark, tmp_path):
     assert sorted((r.source, r.text) for r in r2.accepted.collect()) == first
     assert os.path.getmtime(marker) == mtime
     assert [tuple(m)[3:] for m in r2.metrics.orderBy("step").collect()] == [(2, 2), (1, 1)]
+
+
+def test_rerun_with_other_parameters_is_refused(spark, tmp_path):
+    import pytest as _pytest
+
+    from corpusforge.operators.collect import RunMismatchError
+
+    reg = sources_frame(spark, [{"name": "a", "label": "L", "base_url": "https://a/"}])
+    pages = spark.createDataFrame([("a", 1, 200)], "source string, page_no long, http_status int")
+    items = spark.createDataFrame([("a", 1, 0, "first headline here", "/1")],
+                                  "source string, page_no long, pos long, title string, href string")
+    run = str(tmp_path / "run")
+    collect_fold(spark, pages, items, reg, None, {"L": 1}, ["L"], CollectConfig(), run_dir=run)
+    with _pytest.raises(RunMismatchError):
+        collect_fold(spark, pages, items, reg, None, {"L": 2}, ["L"], CollectConfig(), run_dir=run)
