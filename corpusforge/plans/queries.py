@@ -623,8 +623,20 @@ def q_page_links_variants(spark, sf_dir):
     return out
 
 
+def _unescape_sql(x: str) -> str:
+    """html.parser unescapes entities; the supplied articles use these five.
+    A text cut inside an entity ends in its legacy form without ``;``
+    (``...&amp``), which HTML5 also decodes: handled first, at the end only."""
+    out = x
+    for ent, ch in (("&amp", "&"), ("&lt", "<"), ("&gt", ">"), ("&quot", '"'), ("&#39", "'")):
+        out = f"regexp_replace({out}, {S.q(ent + '$')}, {S.q(ch)})"
+    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
+        out = f"replace({out}, {S.q(ent)}, {S.q(ch)})"
+    return out
+
+
 def _sql_h1(min_len_exclusive: int, tier: int) -> str:
-    txt = S.strip("replace(replace(regexp_extract(html, '<h1>(.*?)</h1>', 1), '&quot;', '\"'), '&amp;', '&')")
+    txt = S.strip(_unescape_sql("regexp_extract(html, '<h1>(.*?)</h1>', 1)"))
     return (f"SELECT page_id, CAST({tier} AS INTEGER) AS tier, text FROM (SELECT page_id, {txt} AS text FROM pages) "
             f"WHERE length(text) > {min_len_exclusive}")
 
@@ -704,15 +716,38 @@ def q_feed_discovery(spark, sf_dir):
     return X.discover_feed(pages_tbl(spark, sf_dir), PAGE_KEY, "the", "/t").select("page_id", "feed_url")
 
 
-@register("page_title_intro")
+# SQL twin of E12 for the supplied pages: every article is ``<h1>T</h1>``
+# followed by ``<p><b>`` that is never closed, so (html.parser nesting) the
+# first ``article > p`` holds every later text node of the article; its text
+# is those nodes, unescaped and stripped, joined by one space.
+_H1_RAW = "regexp_extract(a, " + S.q("^<h1>([^<]*)</h1>") + ", 1)"
+_REST = "regexp_replace(a, " + S.q("^<h1>[^<]*</h1>") + ", '')"
+_SQL_INTRO = (
+    "art AS (SELECT page_id, url, regexp_extract(html, '<article>(.*?)</article>', 1) AS a FROM pages),\n"
+    f"ti AS (SELECT page_id, url, {S.strip(_unescape_sql(_H1_RAW))} AS title, "
+    f"array_to_string(list_filter(list_transform(string_split_regex({_REST}, '<[^>]*>'), "
+    f"lambda x: {S.strip(_unescape_sql('x'))}), lambda x: x <> ''), ' ') AS intro FROM art),\n"
+    "tix AS (SELECT page_id, url, title, intro, title || '. ' || intro AS text FROM ti WHERE length(intro) >= 15)"
+)
+
+
+@register("page_title_intro", "WITH " + _SQL_INTRO + "\nSELECT page_id, title, intro, text FROM tix")
 def q_page_title_intro(spark, sf_dir):
-    """E12 + P21 (rows-only: unclosed ``<p><b>`` nesting defeats a regex
-    oracle; checked against hand-written pages in the tests)."""
+    """E12 + P21: title and first long-enough intro paragraph of each page."""
     t = X.title_and_intro(pages_tbl(spark, sf_dir), PAGE_KEY, "h1", ["article > p", "article p"])
     return t.select("page_id", "title", "intro", "text")
 
 
-@register("topup_no_quota")
+@register(
+    "topup_no_quota",
+    _wv("base") + ",\n" + S.clean_cte("base", "cbase") + ",\n" + _SQL_INTRO + ",\n"
+    "tags AS (SELECT page_id, " + _SQL_PAGE_TAGS + " FROM pages),\n"
+    f"seen AS (SELECT DISTINCT {S.norm('text')} AS norm FROM cbase),\n"
+    "new AS (SELECT tix.page_id AS row_id, tix.text, tags.label, tags.source, '' AS url FROM tix "
+    f"JOIN tags ON tix.page_id = tags.page_id WHERE {S.norm('tix.text')} NOT IN (SELECT norm FROM seen))\n"
+    "SELECT CAST(0 AS INTEGER) AS part_no, row_id, text, label, source, url FROM cbase UNION ALL "
+    "SELECT CAST(1 AS INTEGER) AS part_no, row_id, text, label, source, url FROM new",
+)
 def q_topup_no_quota(spark, sf_dir):
     """Encyclopedia-style top-up: title + intro texts, minus everything
     already in the base (J1), appended (U1), no length filter, no quota."""
