@@ -73,5 +73,7 @@ def unseen(items: DataFrame, seen: DataFrame, norm_col: str = "nkey") -> DataFra
 
 
 def dedupe_in_page(items: DataFrame, page_keys: Sequence[str] = ("source", "page_no")) -> DataFrame:
-    """First occurrence of ``(title, href)`` inside each page."""
-    return keep_first(items, [*page_keys, "title", "href"], order_cols=("pos",))
+    """First occurrence of ``(title, href)`` inside each page (hashed
+    keys: titles can be long; null hashes to null, so nulls still group)."""
+    return keep_first(items, [*page_keys, F.sha2(F.col("title"), 256), F.sha2(F.col("href"), 256)],
+                      order_cols=("pos",))

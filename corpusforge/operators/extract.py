@@ -21,7 +21,7 @@ from pyspark import cloudpickle
 import corpusforge
 from corpusforge.functions import html as _html
 from corpusforge.functions.text import contains_none, path_accepted, strip_ws
-from corpusforge.operators.dedupe import keep_first
+from corpusforge.operators.dedupe import dedupe_in_page
 from corpusforge.session import spread
 
 # The parser helper travels to the Python workers by value: executors need
@@ -112,7 +112,7 @@ def extract_links(
     ln = F.length("title")
     items = items.filter((ln > min_len) if strict_len else (ln >= min_len)).filter(ln > 0)
     if dedupe:
-        items = keep_first(items, [*key_cols, "title", "href"], order_cols=("pos",))
+        items = dedupe_in_page(items, key_cols)
     return items
 
 
