@@ -60,8 +60,11 @@ def _signed(x: int) -> int:
 
 def _sketch(hashes: Column, bands: int) -> Column:
     """MinHash: of each band the least hash under that band's mask."""
-    masks = [_signed(int(m)) for m in splitmix(bands, 11)]
-    return F.array(*[F.array_min(F.transform(hashes, lambda h, m=m: h.bitwiseXOR(F.lit(m)))) for m in masks])
+
+    def least(mask: int) -> Column:
+        return F.array_min(F.transform(hashes, lambda h: h.bitwiseXOR(F.lit(mask))))
+
+    return F.array(*[least(_signed(int(m))) for m in splitmix(bands, 11)])
 
 
 def templates_of(spark: SparkSession, notices: dict[str, str]) -> DataFrame:
@@ -115,13 +118,10 @@ def scan(docs: DataFrame, templates: DataFrame, containment: float = CONTAINMENT
         bank = spark.createDataFrame(
             [(i, own, b, v) for i, own, sketch in mine for b, v in enumerate(sketch)], "license_id string, own array<long>, band int, least long"
         )
-        last = F.greatest(F.lit(0), F.ceil((F.size("hashes") - width) / stride)).cast("int")  # windows 0 to last
-        of = lambda i, last=last, width=width, stride=stride: F.sequence(
-            F.greatest(F.lit(0), F.ceil((i - width + 1) / stride).cast("int")), F.least(last, F.floor(i / stride).cast("int"))
+        at = F.explode(F.array_distinct(F.flatten(F.transform("places", _windows_of(width, stride)))))
+        windows = hashed.select("doc_id", "row", "hashes", at.alias("window")).select(
+            "doc_id", "row", (F.col("window") * stride).alias("start_word"), F.slice("hashes", F.col("window") * stride + 1, width).alias("part")
         )
-        windows = hashed.select(
-            "doc_id", "row", "hashes", F.explode(F.array_distinct(F.flatten(F.transform("places", of)))).alias("window")
-        ).select("doc_id", "row", (F.col("window") * stride).alias("start_word"), F.slice("hashes", F.col("window") * stride + 1, width).alias("part"))
         banded = windows.select("*", F.posexplode(_sketch(F.col("part"), bands)).alias("band", "least"))
         share = F.size(F.array_intersect("own", "part")) / F.size("own")
         hits = (
@@ -137,5 +137,17 @@ def scan(docs: DataFrame, templates: DataFrame, containment: float = CONTAINMENT
     )
 
 
+def _windows_of(width: int, stride: int):
+    """Numbers of the windows that hold a shingle, by its place; the last one
+    ends with the text."""
+    last = F.greatest(F.lit(0), F.ceil((F.size("hashes") - width) / stride)).cast("int")
+
+    def of(i: Column) -> Column:
+        first = F.greatest(F.lit(0), F.ceil((i - width + 1) / stride).cast("int"))
+        return F.sequence(F.least(first, last), F.least(last, F.floor(i / stride).cast("int")))
+
+    return of
+
+
 def _sketch_of(own: list[int], bands: int) -> list[int]:
     return [min(h ^ _signed(int(m)) for h in own) for m in splitmix(bands, 11)]

@@ -51,7 +51,7 @@ OP1_SQL = r"""
 WITH t AS (SELECT conv_id, turn, role, text FROM conversations),
      c AS (SELECT *, 'c' || turn AS call_id, 'c' || (turn - 2) AS parent_id,
                   CASE role WHEN 'user' THEN 'ask' ELSE 'configure' END AS name,
-                  len(list_filter(regexp_split_to_array(text, '[ \n]+'), w -> w <> '')) AS words,
+                  len([w FOR w IN regexp_split_to_array(text, '[ \n]+') IF w <> '']) AS words,
                   turn // 2 - row_number() OVER (PARTITION BY conv_id, turn % 2 ORDER BY turn) AS island
            FROM t WHERE role IN ('user', 'system')),
      d AS (SELECT *, row_number() OVER (PARTITION BY conv_id, turn % 2, island ORDER BY turn) - 1 AS above FROM c),
@@ -93,9 +93,9 @@ def op6_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP6_SQL = """
-WITH v AS (SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS e FROM embeddings
+WITH v AS (SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS e FROM embeddings
            WHERE embedding IS NOT NULL
-             AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = len(embedding)),
+             AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = len(embedding)),
      s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
            FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
      r AS (SELECT query_id, vec_id, score,

@@ -103,17 +103,15 @@ def depths(calls: DataFrame) -> DataFrame:
     """(conv_id, call_id, depth) of distinct (conv_id, call_id, parent_id): how
     many calls a call depends on in turn; null on a cycle, or below one.  A
     parent that isn't among the calls doesn't count."""
-    own = calls.select("conv_id", "call_id")
-    up = calls.join(own.withColumnRenamed("call_id", "known"), (calls.conv_id == own.conv_id) & (F.col("parent_id") == F.col("known")), "left").select(
-        calls.conv_id, "call_id", F.col("known").alias("above")
-    )
+    own = calls.select(F.col("conv_id").alias("c"), F.col("call_id").alias("above"))
+    up = calls.join(own, (F.col("conv_id") == F.col("c")) & (F.col("parent_id") == F.col("above")), "left")
     at = staged(up.select("conv_id", "call_id", "above", F.col("above").isNotNull().cast("long").alias("depth")), "depths")
     bound = at.groupBy("conv_id").count().agg(F.max("count")).first()[0] or 0
     for _ in range(max(0, bound - 1).bit_length() + 1):
         if at.filter("above is not null").isEmpty():
             break
         step = at.select(F.col("conv_id").alias("c"), F.col("call_id").alias("via"), F.col("above").alias("next"), F.col("depth").alias("more"))
-        on = (at.conv_id == F.col("c")) & (at.above == F.col("via"))
+        on = (F.col("conv_id") == F.col("c")) & (F.col("above") == F.col("via"))
         at = staged(at.join(step, on, "left").select("conv_id", "call_id", F.col("next").alias("above"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth")), "depths")
     return at.select("conv_id", "call_id", F.when(F.col("above").isNull(), F.col("depth")).alias("depth"))
 
