@@ -49,9 +49,15 @@ def words(text: Column) -> Column:
 
 
 def shingles(ws: Column) -> Column:
-    """Hashes of the shingles in order; none for fewer words than a shingle."""
-    at = F.when(F.size(ws) >= SHINGLE, F.sequence(F.lit(0), F.size(ws) - SHINGLE)).otherwise(F.array().cast("array<int>"))
-    return F.transform(at, lambda i: F.xxhash64(*[F.get(ws, i + k) for k in range(SHINGLE)]))
+    """Hashes of the shingles in order; none for fewer words than a shingle.
+
+    The words are zipped with themselves instead of being looked up by place:
+    the optimiser may put the expression of ``ws`` in its place, and inside a
+    lambda that would be computed anew for each shingle."""
+    n = F.size(ws)
+    zipped = F.arrays_zip(*[F.slice(ws, k + 1, n).alias(f"w{k}") for k in range(SHINGLE)])
+    every = F.transform(zipped, lambda x: F.xxhash64(*[x[f"w{k}"] for k in range(SHINGLE)]))
+    return F.slice(every, 1, F.greatest(F.lit(0), n - SHINGLE + 1))
 
 
 def _signed(x: int) -> int:
@@ -94,7 +100,8 @@ def scan(docs: DataFrame, templates: DataFrame, containment: float = CONTAINMENT
     templates there are no rows."""
     spark = docs.sparkSession
     known = (
-        templates.select("license_id", F.array_distinct(shingles(words(F.col("text")))).alias("own"))
+        templates.select("license_id", words(F.col("text")).alias("words"))
+        .select("license_id", F.array_distinct(shingles(F.col("words"))).alias("own"))
         .filter(F.size("own") > 0).select("license_id", "own", F.size("own").alias("w"))
     )
     total = known.agg(F.sum("w")).first()[0] or 0
@@ -107,10 +114,10 @@ def scan(docs: DataFrame, templates: DataFrame, containment: float = CONTAINMENT
     wanted = sorted({h for _, own, _ in rows for h in own})
     classes = _widths([w for _, _, w in rows])
 
-    texts = docs.select(F.col("doc_id").cast("long"), "text")
-    hashed = texts.select("doc_id", F.xxhash64("text").alias("row"), shingles(words(F.col("text"))).alias("hashes"))
+    texts = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("row"), words(F.col("text")).alias("words"))
+    hashed = texts.select("doc_id", "row", shingles(F.col("words")).alias("hashes"))
     some = F.transform("hashes", lambda h, i: F.when(h.isin(wanted), i))
-    hashed = hashed.withColumn("places", F.filter(some, lambda i: i.isNotNull())).filter(F.size("places") > 0)
+    hashed = hashed.withColumn("places", F.filter(some, lambda i: i.isNotNull()))
     found = None
     for low, high, width, stride in classes:
         bands = max(1, math.ceil(math.log(MISS) / math.log(1 - low / width))) if low < width else 1
@@ -119,9 +126,10 @@ def scan(docs: DataFrame, templates: DataFrame, containment: float = CONTAINMENT
             [(i, own, b, v) for i, own, sketch in mine for b, v in enumerate(sketch)], "license_id string, own array<long>, band int, least long"
         )
         at = F.explode(F.array_distinct(F.flatten(F.transform("places", _windows_of(width, stride)))))
+        last = F.greatest(F.lit(0), F.ceil((F.size("hashes") - width) / stride)).cast("int")  # it ends with the text
         windows = hashed.select("doc_id", "row", "hashes", at.alias("window")).select(
-            "doc_id", "row", (F.col("window") * stride).alias("start_word"), F.slice("hashes", F.col("window") * stride + 1, width).alias("part")
-        )
+            "doc_id", "row", "hashes", (F.least("window", last) * stride).alias("start_word")
+        ).select("doc_id", "row", "start_word", F.slice("hashes", F.col("start_word") + 1, width).alias("part"))
         banded = windows.select("*", F.posexplode(_sketch(F.col("part"), bands)).alias("band", "least"))
         share = F.size(F.array_intersect("own", "part")) / F.size("own")
         hits = (
@@ -138,13 +146,11 @@ def scan(docs: DataFrame, templates: DataFrame, containment: float = CONTAINMENT
 
 
 def _windows_of(width: int, stride: int):
-    """Numbers of the windows that hold a shingle, by its place; the last one
-    ends with the text."""
-    last = F.greatest(F.lit(0), F.ceil((F.size("hashes") - width) / stride)).cast("int")
+    """Numbers of the windows that hold a shingle, by its place."""
 
     def of(i: Column) -> Column:
         first = F.greatest(F.lit(0), F.ceil((i - width + 1) / stride).cast("int"))
-        return F.sequence(F.least(first, last), F.least(last, F.floor(i / stride).cast("int")))
+        return F.sequence(F.least(first, F.floor(i / stride).cast("int")), F.floor(i / stride).cast("int"))
 
     return of
 

@@ -17,6 +17,7 @@ that a third of all items share is numbered by many tasks.
 from __future__ import annotations
 
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
@@ -29,31 +30,39 @@ from pyspark.sql.window import Window
 from corpusforge.llm.common import staged, texts_of, worker_cache
 
 CAPACITY = 2048
-CACHED_WORDS = 400_000  # words whose ids a worker keeps; it starts afresh beyond that
+CACHED_WORDS = 1_000_000  # (about 200 MB) words whose ids a worker keeps; it starts afresh beyond that
 SALTS = 4096
+SLICE = 4 << 20  # bytes of text whose words are held at a time
 
 
-def _ids(tokenizer: str, cache: dict, texts: list[bytes]) -> Iterator[bytes]:
+def _ids(tokenizer: str, cache: dict, texts: list[bytes]) -> list[bytes]:
     """Token ids of each text, as little-endian unsigned 32-bit numbers.
 
     The tokenizer drops white space and never joins what it separates, so ids
     are looked up by white-space separated chunk."""
-    tok = cache.get(tokenizer)
-    if tok is None:
+    if tokenizer not in cache:
         from tokenizers import Tokenizer
 
-        tok = cache[tokenizer] = (Tokenizer.from_file(tokenizer), {})
-    encoder, known = tok
-    for text in texts:
-        words = text.split()
-        new = list({w for w in words if w not in known})
-        if new:
-            if len(known) + len(new) > CACHED_WORDS:
-                known.clear()
-                new = list(set(words))
-            for word, code in zip(new, encoder.encode_batch_fast([w.decode() for w in new], add_special_tokens=False), strict=True):
-                known[word] = np.array(code.ids, "<u4").tobytes()
-        yield b"".join(map(known.__getitem__, words))
+        cache[tokenizer] = (Tokenizer.from_file(tokenizer), {})
+    encoder, known = cache[tokenizer]  # array('I') is little-endian where Spark runs
+    lists = [t.split() for t in texts]
+    new = set().union(*lists).difference(known)
+    if len(known) + len(new) > CACHED_WORDS:
+        known.clear()
+        new = set().union(*lists)
+    words = list(new)
+    codes = encoder.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+    known.update((w, array("I", c.ids).tobytes()) for w, c in zip(words, codes, strict=True))
+    return [b"".join(map(known.__getitem__, ws)) for ws in lists]
+
+
+def _slices(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``SLICE`` bytes together."""
+    lo = 0
+    while lo < len(offsets) - 1:
+        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + SLICE, "right")) - 1)
+        yield lo, hi
+        lo = hi
 
 
 def _piece_rows(tokenizer: str, capacity: int):
@@ -64,17 +73,18 @@ def _piece_rows(tokenizer: str, capacity: int):
         for batch in batches:
             data, offsets = texts_of(batch.column("text"))
             raw = data.tobytes()
-            texts = [raw[offsets[i] : offsets[i + 1]] for i in range(len(offsets) - 1)]
             row, piece, start, length, crc = [], [], [], [], []
-            for i, ids in enumerate(_ids(tokenizer, worker_cache(), texts)):
-                ids += bytes(4)
-                for k, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    part = ids[at : at + 4 * capacity]
-                    row.append(i)
-                    piece.append(k)
-                    start.append(at // 4)
-                    length.append(len(part) // 4)
-                    crc.append(zlib.crc32(part))
+            for lo, hi in _slices(offsets):
+                texts = [raw[offsets[i] : offsets[i + 1]] for i in range(lo, hi)]
+                for i, ids in enumerate(_ids(tokenizer, worker_cache(), texts), lo):
+                    ids += bytes(4)
+                    for k, at in enumerate(range(0, len(ids), 4 * capacity)):
+                        part = ids[at : at + 4 * capacity]
+                        row.append(i)
+                        piece.append(k)
+                        start.append(at // 4)
+                        length.append(len(part) // 4)
+                        crc.append(zlib.crc32(part))
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id").take(pa.array(row, pa.int64())),
                 "piece": pa.array(piece, pa.int32()),
