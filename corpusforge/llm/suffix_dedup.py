@@ -150,14 +150,20 @@ def _place(start: np.ndarray, offset: np.ndarray, count: np.ndarray, tag: np.nda
     return (start.astype(np.int64) << 31) | (offset.astype(np.int64) << 24) | (count.astype(np.int64) << 17) | tag.astype(np.int64)
 
 
-def _crowds(key1: np.ndarray, key2: np.ndarray, early: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _spread(doc: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Buckets for rows that are finished and need no others."""
+    return mix64(doc.astype(np.uint64) * np.uint64(GOLDEN) + start.astype(np.uint64))
+
+
+def _crowds(key1: np.ndarray, key2: np.ndarray, early: np.ndarray, spread: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(kind, bucket, buckets that need a marker) of rows merged in a batch."""
     kind = np.where(early, RUN, REPEAT).astype(np.int8)
     own = np.flatnonzero(early)
     names, inverse, size = np.unique(key1[own], return_inverse=True, return_counts=True)
     crowd = size >= CROWD
     kind[own[crowd[inverse]]] = CROWDED
-    return kind, np.where(kind == RUN, key1, mix64(key1 ^ (key2 * np.uint64(GOLDEN)))), names[crowd]
+    bucket = np.where(kind == CROWDED, mix64(key1 ^ (key2 * np.uint64(GOLDEN))), key1)
+    return kind, np.where(kind == REPEAT, spread, bucket), names[crowd]
 
 
 def _batch(bucket: np.ndarray, marked: np.ndarray, **columns: np.ndarray) -> pa.RecordBatch:
@@ -183,7 +189,7 @@ def _run_rows(depth: int, gram: int):
                 continue
             by, early = _earliest(mix64(r["key1"]) ^ r["key2"], _order(doc, r["text"], r["start"]))
             text, start, offset, count, key1, key2 = (r[n][by] for n in ("text", "start", "offset", "count", "key1", "key2"))
-            kind, bucket, marked = _crowds(key1, key2, early)
+            kind, bucket, marked = _crowds(key1, key2, early, _spread(doc[text], start))
             yield _batch(bucket, marked, key2=key2, doc=doc[text], place=_place(start, offset, count, tag[text]), kind=kind)
 
     return rows
@@ -240,7 +246,7 @@ def _cell_rows(depth: int):
             key2 = mix64(core2 ^ mix64(left ^ mix64(right ^ mix64((8 * high + low + 1).astype(np.uint64)))))
             by, early = _earliest(mix64(core1) ^ key2, _order(doc, text, start))
             text, start, high, low, core1, core2, key2, left, right = (x[by] for x in (text, start, high, low, core1, core2, key2, left, right))
-            kind, bucket, marked = _crowds(core1, key2, early)
+            kind, bucket, marked = _crowds(core1, key2, early, _spread(doc[text], start))
             place = _place(start, high, high - low + 1, tag[text])
             yield _batch(bucket, marked, key2=key2, doc=doc[text], place=place, kind=kind, core1=core1, core2=core2, left=left, right=right)
 
@@ -248,10 +254,19 @@ def _cell_rows(depth: int):
 
 
 def _key_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Suffixes of the cells that go on, by their whole key."""
+    """Suffixes of the cells that go on, by their whole key; cells that are
+    repeats pass through."""
     np.seterr(over="ignore")
     for batch in batches:
-        columns = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in ("doc", "place", "core1", "core2", "left", "right")}
+        columns = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in ("doc", "place", "core1", "core2", "left", "right", "repeat")}
+        over = columns.pop("repeat").astype(bool)
+        doc, place = columns["doc"][over], columns["place"][over]
+        if len(doc):
+            bucket = _spread(doc, place)
+            yield _batch(bucket, bucket[:0], key2=np.zeros(len(doc), np.int64), doc=doc, place=place, kind=np.full(len(doc), REPEAT, np.int8))
+        if over.all():
+            continue
+        columns = {n: x[~over] for n, x in columns.items()}
         doc, place = columns["doc"], columns["place"]
         core1, core2, left, right = (columns[n].view(np.uint64) for n in ("core1", "core2", "left", "right"))
         start, high, count = place >> 31, (place >> 24) & 127, (place >> 17) & 127
@@ -265,6 +280,7 @@ def _key_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by, early = _earliest(mix64(bucket) ^ key2, _order(doc, row, start))
         row, start, bucket, key2 = row[by], start[by], bucket[by], key2[by]
         one = np.ones(len(row), np.int64)
+        bucket = np.where(early, bucket, _spread(doc[row], start))
         yield _batch(bucket, bucket[:0], key2=key2, doc=doc[row], place=_place(start, 0 * one, one, place[row] & _TAGS), kind=np.where(early, RUN, REPEAT).astype(np.int8))
 
 
@@ -334,13 +350,12 @@ def repeated_places(texts: DataFrame, depth: int, gram: int) -> DataFrame:
     runs = staged(_sift(texts.mapInArrow(_run_rows(depth, gram), _ROWS)), "suffix-runs")
     on = runs.filter(~F.col("repeat")).groupBy("doc", _TAG).agg(F.collect_list("place").alias("places"))
     cells = _sift(texts.join(on.hint("shuffle_hash"), ["doc", "tag"]).mapInArrow(_cell_rows(depth), _ROWS + _CELLS))
-    keys = cells.filter(~F.col("repeat")).mapInArrow(_key_rows, _ROWS)
+    keys = cells.mapInArrow(_key_rows, _ROWS)
     late = (
         keys.withColumn("first", F.min(_START).over(Window.partitionBy("bucket", "key2")))
         .filter((F.col("kind") == REPEAT) | (_START > F.col("first")))
     )
-    found = [x.select("doc", "place") for x in (runs.filter("repeat"), cells.filter("repeat"), late)]
-    return found[0].unionByName(found[1]).unionByName(found[2])
+    return runs.filter("repeat").select("doc", "place").unionByName(late.select("doc", "place"))
 
 
 def dedup_substrings(docs: DataFrame, depth: int = 100, gram: int = 32) -> DataFrame:
