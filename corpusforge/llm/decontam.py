@@ -125,9 +125,11 @@ def _tiled(index: Index, coverage: float, texts: list[str | None]) -> Iterator[t
         words[b : b + len(x)] = [number(w, 0) for w in x]
     place, item, at = index.hits(words)
     text = np.searchsorted(begin, place, side="right") - 1
+    if not len(text):
+        return
     by = np.lexsort((item, text))
     text, item, place, at = text[by], item[by], place[by], at[by]
-    first = np.flatnonzero(np.concatenate(([True], (text[1:] != text[:-1]) | (item[1:] != item[:-1])))) if len(text) else []
+    first = np.flatnonzero(np.concatenate(([True], (text[1:] != text[:-1]) | (item[1:] != item[:-1]))))
     for lo, hi in zip(first, [*first[1:], len(text)], strict=True):
         found = tiles(place[lo:hi], at[lo:hi], index.tile)
         covered = sum(n for _, _, n in found)

@@ -34,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -324,8 +324,12 @@ def _digest_rows(depth: int):
     return rows
 
 
-_START = F.struct("doc", F.shiftright("place", 31).alias("start"))
-_TAG = F.col("place").bitwiseAND(F.lit(_TAGS)).alias("tag")
+def _start() -> Column:
+    return F.struct("doc", F.shiftright("place", 31).alias("start"))
+
+
+def _tag() -> Column:
+    return F.col("place").bitwiseAND(F.lit(_TAGS)).alias("tag")
 
 
 def _sift(rows: DataFrame) -> DataFrame:
@@ -337,8 +341,8 @@ def _sift(rows: DataFrame) -> DataFrame:
         .withColumn("mixed", (F.min("key2").over(bucket) != F.max("key2").over(bucket)) | (F.col("kind") == CROWDED))
         .filter((F.col("n") > 1) | (F.col("kind") != RUN))
         .filter(F.col("kind") != MARKER)
-        .withColumn("first", F.min(_START).over(group))
-        .withColumn("repeat", (F.col("kind") == REPEAT) | (_START > F.col("first")))
+        .withColumn("first", F.min(_start()).over(group))
+        .withColumn("repeat", (F.col("kind") == REPEAT) | (_start() > F.col("first")))
         .filter(F.col("repeat") | F.col("mixed"))
         .drop("bucket", "key2", "kind", "n", "mixed", "first")
     )
@@ -348,12 +352,12 @@ def repeated_places(texts: DataFrame, depth: int, gram: int) -> DataFrame:
     """(doc, place) of every repeat, as runs of suffixes; ``texts`` has
     doc, tag, text."""
     runs = staged(_sift(texts.mapInArrow(_run_rows(depth, gram), _ROWS)), "suffix-runs")
-    on = runs.filter(~F.col("repeat")).groupBy("doc", _TAG).agg(F.collect_list("place").alias("places"))
+    on = runs.filter(~F.col("repeat")).groupBy("doc", _tag()).agg(F.collect_list("place").alias("places"))
     cells = _sift(texts.join(on.hint("shuffle_hash"), ["doc", "tag"]).mapInArrow(_cell_rows(depth), _ROWS + _CELLS))
     keys = cells.mapInArrow(_key_rows, _ROWS)
     late = (
-        keys.withColumn("first", F.min(_START).over(Window.partitionBy("bucket", "key2")))
-        .filter((F.col("kind") == REPEAT) | (_START > F.col("first")))
+        keys.withColumn("first", F.min(_start()).over(Window.partitionBy("bucket", "key2")))
+        .filter((F.col("kind") == REPEAT) | (_start() > F.col("first")))
     )
     return runs.filter("repeat").select("doc", "place").unionByName(late.select("doc", "place"))
 
@@ -375,7 +379,7 @@ def dedup_substrings(docs: DataFrame, depth: int = 100, gram: int = 32) -> DataF
         F.pmod(F.xxhash64("text"), F.lit(_TAGS + 1)).alias("tag"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    places = repeated_places(texts, depth, gram).groupBy("doc", _TAG).agg(F.collect_list("place").alias("places"))
+    places = repeated_places(texts, depth, gram).groupBy("doc", _tag()).agg(F.collect_list("place").alias("places"))
     return (
         texts.join(places.hint("shuffle_hash"), ["doc", "tag"], "left")
         .select(F.nullif("doc", F.lit(_NO_DOC)).alias("doc_id"), "text", "places")
