@@ -31,7 +31,9 @@ from corpusforge.llm.common import staged
 
 BLOCK = 4096
 QUERIES = 4096
-DEPTHS = (1 / 16, 1 / 8, 1 / 4, 3 / 8, 1 / 2, 3 / 4, 1.0)  # of a block
+DEPTHS = (1 / 2, 3 / 4, 7 / 8)  # of a block: where reading pauses and bounds are compared
+RESOLVED = 64  # so few vectors left are resolved without reading on
+TOGETHER = 512  # queries whose bounds are held at a time
 
 
 class Block:
@@ -44,32 +46,38 @@ class Block:
         self.lists = np.take_along_axis(vectors, order, axis=0)  # ascending
         self.place = np.empty_like(order, dtype=np.int32)
         np.put_along_axis(self.place, order, np.arange(n, dtype=np.int32)[:, None], axis=0)
-        self.least_id = np.array([x[0] for x in ids])
-
-    def search(self, query: np.ndarray, k: int, floor: float) -> tuple[np.ndarray, np.ndarray]:
-        """Rows (and scores) that may be among the ``k`` best; every row with a
-        score of at least the k-th best, and of at least ``floor``, is in."""
-        n, dims = self.vectors.shape
-        up = query >= 0
-        worst = np.where(up, self.lists[0], self.lists[-1]) * query
-        alive = np.arange(n)
+
+    def _read(self, depth: int) -> np.ndarray:
+        """What has been seen of each vector after reading ``depth`` entries from
+        the upper ends and from the lower ends, and which are unread."""
+        up, down = self.place >= len(self.place) - depth, self.place < depth
+        return np.hstack((self.vectors * up, self.vectors * down, ~up, ~down)).astype(np.float64)
+
+    def search(self, queries: np.ndarray, k: int, floors: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each query the rows (and scores) that may be among its ``k`` best:
+        every row that scores at least its k-th best, and at least its floor."""
+        n = len(self.vectors)
+        up, down = np.maximum(queries, 0.0), np.minimum(queries, 0.0)
+        floors = floors.copy()
+        alive = np.ones((n, len(queries)), bool)
+        open_ = np.arange(len(queries))  # queries that read on
         for part in DEPTHS:
-            depth = min(n, max(1, int(np.ceil(part * n))))
-            place = self.place[alive]
-            seen = np.where(up, place >= n - depth, place < depth)
-            known = np.where(seen, self.vectors[alive], 0.0) @ query
-            unseen = ~seen
-            point = np.where(up, self.lists[n - depth], self.lists[depth - 1]) * query
-            lower = known + unseen @ worst
-            upper = known + unseen @ point
-            if len(alive) > k:
-                floor = max(floor, np.partition(lower, len(lower) - k)[len(lower) - k])
-            alive = alive[upper >= floor]
-            if len(alive) <= 4 * k or depth == n:
+            depth = int(part * n)
+            if not depth or not len(open_):
                 break
-        scores = self.vectors[alive] @ query
-        keep = scores >= floor
-        return alive[keep], scores[keep]
+            seen = self._read(depth)
+            u, d = up[open_], down[open_]
+            if n > k:
+                lower = seen @ np.hstack((u, d, u * self.lists[0], d * self.lists[-1])).T
+                floors[open_] = np.maximum(floors[open_], np.partition(lower, n - k, axis=0)[n - k])
+            upper = seen @ np.hstack((u, d, u * self.lists[n - depth], d * self.lists[depth - 1])).T
+            alive[:, open_] &= upper >= floors[open_]
+            open_ = open_[alive[:, open_].sum(axis=0) > RESOLVED]
+        for j, query in enumerate(queries):
+            rows = np.flatnonzero(alive[:, j])
+            scores = self.vectors[rows] @ query
+            keep = scores >= floors[j]
+            yield rows[keep], scores[keep]
 
 
 def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -85,16 +93,16 @@ def _search_rows(keys: list[int], queries: list[np.ndarray], k: int):
 
         def block(dims: int, rows_: list) -> None:
             b = Block(np.array([v for v, _ in rows_], np.float64).reshape(len(rows_), dims), [i for _, i in rows_])
-            for key, q in zip(keys, queries, strict=True):
-                if len(q) != dims:
-                    continue
-                scores, ids = best.get(key, (np.zeros(0), np.zeros(0, np.int64)))
-                floor = scores[-1] if len(scores) == k else -np.inf
-                row, score = b.search(q, k, floor)
-                ids = np.concatenate([ids, *[b.ids[r] for r in row]])
-                scores = np.concatenate([scores, np.repeat(score, [len(b.ids[r]) for r in row])])
-                top = _best(scores, ids, k)
-                best[key] = scores[top], ids[top]
+            mine = [j for j, q in enumerate(queries) if len(q) == dims]
+            for lo in range(0, len(mine), TOGETHER):
+                part = mine[lo : lo + TOGETHER]
+                tops = [best.get(keys[j], (np.zeros(0), np.zeros(0, np.int64))) for j in part]
+                floors = np.array([scores[-1] if len(scores) == k else -np.inf for scores, _ in tops])
+                for j, (scores, ids), (row, score) in zip(part, tops, b.search(np.array([queries[j] for j in part]), k, floors), strict=True):
+                    ids = np.concatenate([ids, *[b.ids[r] for r in row]])
+                    scores = np.concatenate([scores, np.repeat(score, [len(b.ids[r]) for r in row])])
+                    top = _best(scores, ids, k)
+                    best[keys[j]] = scores[top], ids[top]
 
         for batch in batches:
             for vector, ids in zip(batch.column("vector"), batch.column("ids"), strict=True):
