@@ -376,7 +376,7 @@ def dedup_substrings(docs: DataFrame, depth: int = 100, gram: int = 32) -> DataF
         raise ValueError("gram must be over 7, depth from gram + 1 to gram + 126")
     texts = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_DOC)).alias("doc"),
-        F.pmod(F.xxhash64("text"), F.lit(_TAGS + 1)).alias("tag"),
+        F.xxhash64("text").bitwiseAND(F.lit(_TAGS)).alias("tag"),  # never null, so that both joins share one exchange
         F.coalesce("text", F.lit("")).alias("text"),
     )
     places = repeated_places(texts, depth, gram).groupBy("doc", _tag()).agg(F.collect_list("place").alias("places"))
