@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 import types
 
@@ -28,6 +29,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the shuffle files of what has been staged: it
+    does so once the driver has collected the plans' objects, which can take
+    long on a driver with little to do."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def worker_cache() -> dict:
     """A dict that lives as long as the Python worker, whichever task uses it
     (functions pickled by value get new module globals for every task)."""

@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from corpusforge.llm.common import GOLDEN, mix64, splitmix, staged, texts_of
+from corpusforge.llm.common import GOLDEN, mix64, release, splitmix, staged, texts_of
 
 SEGMENT = 1 << 20  # bytes hashed at a time; longer texts go in overlapping segments
 CROWD = 16  # texts of one digit-1 bucket in a batch from which the bucket is dealt by both digits
@@ -352,6 +352,7 @@ def repeated_places(texts: DataFrame, depth: int, gram: int) -> DataFrame:
     """(doc, place) of every repeat, as runs of suffixes; ``texts`` has
     doc, tag, text."""
     runs = staged(_sift(texts.mapInArrow(_run_rows(depth, gram), _ROWS)), "suffix-runs")
+    release(texts.sparkSession)
     on = runs.filter(~F.col("repeat")).groupBy("doc", _tag()).agg(F.collect_list("place").alias("places"))
     cells = _sift(texts.join(on.hint("shuffle_hash"), ["doc", "tag"]).mapInArrow(_cell_rows(depth), _ROWS + _CELLS))
     keys = cells.mapInArrow(_key_rows, _ROWS)
