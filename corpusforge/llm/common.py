@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import sys
+import time
 import types
 
 import numpy as np
@@ -32,9 +33,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner drop the shuffle files of what has been staged: it
     does so once the driver has collected the plans' objects, which can take
-    long on a driver with little to do."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    long on a driver with little to do.  The first round lets go of Python's
+    handles on them."""
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def worker_cache() -> dict:

@@ -363,7 +363,7 @@ def repeated_places(texts: DataFrame, depth: int, gram: int) -> DataFrame:
     return runs.filter("repeat").select("doc", "place").unionByName(late.select("doc", "place"))
 
 
-def dedup_substrings(docs: DataFrame, depth: int = 100, gram: int = 32) -> DataFrame:
+def dedup_substrings(docs: DataFrame, depth: int = 100, gram: int = 24) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): n_bytes, n_removed, n_spans,
     kept_sha256, after removing every byte covered by a ``depth``-byte string
     that also starts earlier (smaller doc_id, or earlier in the same document).
