@@ -118,26 +118,30 @@ def scan(docs: DataFrame, templates: DataFrame, containment: float = CONTAINMENT
     hashed = texts.select("doc_id", "row", shingles(F.col("words")).alias("hashes"))
     some = F.transform("hashes", lambda h, i: F.when(h.isin(wanted), i))
     hashed = hashed.withColumn("places", F.filter(some, lambda i: i.isNotNull()))
-    found = None
-    for low, high, width, stride in classes:
-        bands = max(1, math.ceil(math.log(MISS) / math.log(1 - low / width))) if low < width else 1
-        mine = [(i, own, _sketch_of(own, bands)) for i, own, w in rows if low <= w <= high]
-        bank = spark.createDataFrame(
-            [(i, own, b, v) for i, own, sketch in mine for b, v in enumerate(sketch)], "license_id string, own array<long>, band int, least long"
-        )
-        at = F.explode(F.array_distinct(F.flatten(F.transform("places", _windows_of(width, stride)))))
-        last = F.greatest(F.lit(0), F.ceil((F.size("hashes") - width) / stride)).cast("int")  # it ends with the text
-        windows = hashed.select("doc_id", "row", "hashes", at.alias("window")).select(
-            "doc_id", "row", "hashes", (F.least("window", last) * stride).alias("start_word")
-        ).select("doc_id", "row", "start_word", F.slice("hashes", F.col("start_word") + 1, width).alias("part"))
-        banded = windows.select("*", F.posexplode(_sketch(F.col("part"), bands)).alias("band", "least"))
-        share = F.size(F.array_intersect("own", "part")) / F.size("own")
-        hits = (
-            banded.join(F.broadcast(bank), ["band", "least"])  # at most TEMPLATE_SHINGLES rows per band
-            .select("doc_id", "row", "license_id", share.alias("containment"), "start_word", (F.size("part") + SHINGLE - 1).alias("n_words"))
-            .filter(F.col("containment") >= containment)
-        )
-        found = hits if found is None else found.unionByName(hits)
+    bands = [max(1, math.ceil(math.log(MISS) / math.log(1 - low / width))) if low < width else 1 for low, _, width, _ in classes]
+    bank, windows = [], []
+    for c, ((low, high, width, stride), n) in enumerate(zip(classes, bands, strict=True)):
+        for i, own, w in rows:
+            if low <= w <= high:
+                bank += [(c, i, own, b, v) for b, v in enumerate(_sketch_of(own, n))]
+        at = F.array_distinct(F.flatten(F.transform("places", _windows_of(width, stride))))
+        windows.append(F.transform(at, _struct_of(c)))
+    bank = spark.createDataFrame(bank, "class int, license_id string, own array<long>, band int, least long")
+    width, stride = (F.get(F.array(*[F.lit(x[k]) for x in classes]), F.col("at.class")) for k in (2, 3))
+    last = F.greatest(F.lit(0), F.ceil((F.size("hashes") - F.col("width")) / F.col("stride"))).cast("int")  # it ends with the text
+    cut = (
+        hashed.select("doc_id", "row", "hashes", F.explode(F.concat(*windows)).alias("at"))
+        .select("doc_id", "row", "hashes", "at.class", "at.window", width.alias("width"), stride.alias("stride"))
+        .select("doc_id", "row", "hashes", "class", "width", (F.least("window", last) * F.col("stride")).alias("start_word"))
+        .select("doc_id", "row", "class", "start_word", F.slice("hashes", F.col("start_word") + 1, F.col("width")).alias("part"))
+    )
+    banded = cut.select("*", F.posexplode(_sketch(F.col("part"), max(bands))).alias("band", "least"))
+    share = F.size(F.array_intersect("own", "part")) / F.size("own")
+    found = (
+        banded.join(F.broadcast(bank), ["class", "band", "least"])  # at most TEMPLATE_SHINGLES rows per band
+        .select("doc_id", "row", "license_id", share.alias("containment"), "start_word", (F.size("part") + SHINGLE - 1).alias("n_words"))
+        .filter(F.col("containment") >= containment)
+    )
     best = F.max_by(F.struct("containment", "start_word", "n_words"), F.struct("containment", -F.col("start_word"), -F.col("n_words")))
     return (
         found.groupBy("doc_id", "row", "license_id").agg(best.alias("best"))
@@ -155,5 +159,9 @@ def _windows_of(width: int, stride: int):
     return of
 
 
+def _struct_of(c: int):
+    return lambda w: F.struct(F.lit(c).alias("class"), w.alias("window"))
+
+
 def _sketch_of(own: list[int], bands: int) -> list[int]:
     return [min(h ^ _signed(int(m)) for h in own) for m in splitmix(bands, 11)]
