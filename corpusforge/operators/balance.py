@@ -116,12 +116,14 @@ def over_sample(
     spark = df.sparkSession
     if not small:
         return df.limit(0).withColumn("draw", F.lit(0).cast("long"))
-    lab = spark.createDataFrame(list(small.items()), f"{label_col} string, n long")
-    draws = (
-        lab.withColumn("draw", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(target).cast("long"))))
-        .withColumn("_rn", F.pmod(_hex8_to_long(_md5_key(seed, F.col(label_col), F.col("draw"))), F.col("n")) + 1)
-        .select(label_col, "draw", "_rn")
-    )
+    # One range per label: no array of ``target`` draws, so no limit on it.
+    draws = None
+    for l, n in small.items():
+        own = spark.range(1, target + 1).select(F.lit(l).alias(label_col), F.col("id").alias("draw"), F.lit(n).cast("long").alias("n"))
+        draws = own if draws is None else draws.unionByName(own)
+    draws = draws.withColumn(
+        "_rn", F.pmod(_hex8_to_long(_md5_key(seed, F.col(label_col), F.col("draw"))), F.col("n")) + 1
+    ).select(label_col, "draw", "_rn")
     # Only labels below the target are numbered: every window partition is
     # smaller than the target.
     w = Window.partitionBy(label_col).orderBy("row_id")

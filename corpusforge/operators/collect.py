@@ -142,19 +142,12 @@ def candidates(kept: DataFrame, vis: DataFrame, reg: DataFrame, seen: DataFrame
     return keep_first(c, ["source", "nkey"], order_cols=("page_no", "pos"))
 
 
-# Accepted-so-far norms are broadcast to the anti join only below this many
-# rows (their count is known on the driver: it is the sum of earlier steps'
-# accepted rows, itself bounded by the quotas); above it the join shuffles.
-ACCEPTED_BROADCAST_ROWS = 2_000_000
-
-
 def source_step(
     cand: DataFrame,
     vis: DataFrame,
     accepted_norms: DataFrame | None,
     need: int | None,
     k: int | None,
-    accepted_rows: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """One (label, source) step over that source's candidates.
 
@@ -163,8 +156,7 @@ def source_step(
     """
     c = cand
     if accepted_norms is not None:
-        small = accepted_rows is not None and accepted_rows <= ACCEPTED_BROADCAST_ROWS
-        c = c.join(F.broadcast(accepted_norms) if small else accepted_norms, "nkey", "left_anti")
+        c = c.join(accepted_norms, "nkey", "left_anti")  # AQE measures the accepted side
     # Page-level counts come from a partial aggregate (small), the in-page
     # rank from a window partitioned by page; only the page table is reused.
     added = c.groupBy("page_no").agg(F.count(F.lit(1)).alias("added"))
@@ -286,7 +278,6 @@ def collect_fold(
                     acc_norms,
                     remaining,
                     cfg.k_for(name),
-                    accepted_rows=accepted_total,
                 )
                 # Accepted rows and visited pages go out in one write (one
                 # job per step); ``kind`` tells them apart.

@@ -3,7 +3,6 @@ folder taken from ``spark.checkpoint.dir``."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -42,6 +41,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="corpusforge-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     try:
@@ -72,15 +73,8 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(slots) if parts < slots else df
 
 
-def is_local_path(p: str) -> bool:
-    return "://" not in p or p.startswith("file:")
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """File-system agnostic existence test through the Hadoop FS API."""
-    if is_local_path(path):
-        return os.path.exists(path.replace("file:", "", 1) if path.startswith("file:") else path)
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(conf).exists(p)
+    """Existence test through the Hadoop file system that Spark itself uses
+    for the path, with or without a scheme."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
