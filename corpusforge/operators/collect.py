@@ -255,7 +255,6 @@ def collect_fold(
     step = 0
     step_paths: list[str] = []
     metric_rows: list[tuple] = []
-    accepted_total = 0
     for label, srcs in _step_plan(reg_rows, labels):
         need = needs.get(label, 0)
         remaining = need
@@ -302,7 +301,6 @@ def collect_fold(
             n, pages_visited = int(cnt["n"]), int(cnt["pv"])
             step_paths.append(sp)
             metric_rows.append((step, name, label, pages_visited, n))
-            accepted_total += n
             if remaining is not None:
                 remaining -= n
     if step_paths:
