@@ -6,9 +6,10 @@ element list and matches a small CSS subset: type selectors, ``.class``,
 combinators and comma unions.  Tree building is lenient the way browsers'
 simplest builders are: void elements never open, an end tag closes the
 nearest open element of that name (and everything opened inside it), a
-stray end tag is ignored, unclosed elements close at the end.  Text inside
-``script``/``style`` and comments is not text.  Entities are unescaped by
-the parser.
+stray end tag is ignored, unclosed elements close at the end.  A repeated
+attribute keeps its last value.  Comments and text inside ``script``,
+``style``, ``template``, ``rt`` and ``rp`` are not text.  Entities are
+unescaped by the parser.
 
 Everything after matching (length filters, tiers, first-of, dedupe) is
 done by Spark built-ins on the emitted rows.
@@ -24,7 +25,8 @@ from html.parser import HTMLParser
 VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
-RAW_TEXT = frozenset(("script", "style"))
+# Elements whose text is not part of a page's text.
+NO_TEXT = frozenset(("script", "style", "template", "rt", "rp"))
 
 
 @dataclass
@@ -32,6 +34,7 @@ class Element:
     tag: str
     attrs: dict
     parent: int  # index of the parent element, -1 for the root
+    hidden: bool = False  # inside (or itself) an element without text
     children: list = field(default_factory=list)  # ints (elements) or str (text)
 
 
@@ -42,12 +45,10 @@ class _Builder(HTMLParser):
         self.stack: list[int] = [0]
 
     def handle_starttag(self, tag, attrs):
-        d: dict = {}
-        for k, v in attrs:
-            if k not in d:
-                d[k] = "" if v is None else v
+        d = {k: "" if v is None else v for k, v in attrs}
         idx = len(self.els)
-        self.els.append(Element(tag, d, self.stack[-1]))
+        hidden = tag in NO_TEXT or self.els[self.stack[-1]].hidden
+        self.els.append(Element(tag, d, self.stack[-1], hidden))
         self.els[self.stack[-1]].children.append(idx)
         if tag not in VOID:
             self.stack.append(idx)
@@ -65,7 +66,7 @@ class _Builder(HTMLParser):
 
     def handle_data(self, data):
         top = self.els[self.stack[-1]]
-        if top.tag in RAW_TEXT:
+        if top.hidden:
             return
         top.children.append(data)
 
@@ -184,17 +185,19 @@ def select(els: list[Element], chains: list[tuple]) -> list[int]:
     return [i for i in range(1, len(els)) if any(_match_chain(els, i, c) for c in chains)]
 
 
-def nearest(els: list[Element], i: int, tag: str) -> int:
-    p = els[i].parent
-    while p > 0:
-        if els[p].tag == tag:
-            return p
-        p = els[p].parent
-    return -1
+def subtree_ends(els: list[Element]) -> list[int]:
+    """Index of the last element inside each element (itself if none): the
+    elements below ``i`` are exactly ``i + 1 .. ends[i]``."""
+    ends = list(range(len(els)))
+    for i in range(len(els) - 1, 0, -1):
+        p = els[i].parent
+        ends[p] = max(ends[p], ends[i])
+    return ends
 
 
-def matches(html: str, selectors: list[str], union: bool, scope_tag: str | None = None):
-    """Yield ``(sel_idx, doc_pos, spaced, joined, whole, href, scope_pos)``.
+def matches(html: str, selectors: list[str], union: bool):
+    """Yield ``(sel_idx, doc_pos, spaced, joined, whole, href, end_pos)``;
+    the elements inside a hit have positions ``doc_pos + 1 .. end_pos``.
 
     ``union=True``: the comma union of all selectors, one row per element
     (``sel_idx`` = first selector it matches), document order.
@@ -212,6 +215,7 @@ def matches(html: str, selectors: list[str], union: bool, scope_tag: str | None
     else:
         for k, chains in enumerate(compiled):
             hits.extend((k, i) for i in select(els, chains))
+    ends = subtree_ends(els) if hits else []
     for k, i in hits:
         parts = strings(els, i)
         href = els[i].attrs.get("href")
@@ -222,5 +226,5 @@ def matches(html: str, selectors: list[str], union: bool, scope_tag: str | None
             text_joined(parts),
             text_whole(parts),
             href,
-            nearest(els, i, scope_tag) if scope_tag else -1,
+            ends[i],
         )

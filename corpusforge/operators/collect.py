@@ -19,6 +19,11 @@ Both cut-offs and the quota select a *prefix* in ``(page, pos)`` order, so
 this equals the loop.  Across sources the fold is sequential (W6/W7): rows
 behind one source's cut stay unseen and can be claimed by the next source.
 
+A source is a registry row: its id is its ``priority``, and one site may
+serve several labels under the same name.  Pages and items that carry a
+``priority`` column belong to that row alone, others to every row of their
+source name.
+
 Scale: the per-item work for *all* sources (length filter, in-page dedupe,
 stop rules, keyword filter, anti join with the base seen set, keep-first
 per ``(source, norm)``) is one distributed pass, written once, partitioned
@@ -98,7 +103,7 @@ def prepare_items(items: DataFrame, cfg: CollectConfig) -> tuple[DataFrame, Data
 def visible_pages(pages: DataFrame, counts: DataFrame, reg: DataFrame, cfg: CollectConfig) -> DataFrame:
     """Pages each source actually reads before a hard stop (W1-W3), with
     their ordinal among visited pages.  Page-level table only."""
-    r = F.broadcast(reg.select(F.col("name").alias("source"), "start_page", "max_pages"))
+    r = reg.select(F.col("name").alias("source"), "start_page", "max_pages")
     p = (
         pages.select("source", "page_no", "http_status")
         .join(r, "source")
@@ -125,9 +130,7 @@ def visible_pages(pages: DataFrame, counts: DataFrame, reg: DataFrame, cfg: Coll
 def candidates(kept: DataFrame, vis: DataFrame, reg: DataFrame, seen: DataFrame | None, cfg: CollectConfig) -> DataFrame:
     """Items on visited pages that pass the keyword filter, are not in the
     seen set and are the first of their norm in their source."""
-    r = F.broadcast(
-        reg.select(F.col("name").alias("source"), "label", apply_keywords().alias("_apply"), "keywords")
-    )
+    r = reg.select(F.col("name").alias("source"), "label", apply_keywords().alias("_apply"), "keywords")
     c = kept.join(vis.select("source", "page_no"), ["source", "page_no"], "left_semi").withColumn(
         "norm", norm_text("title")
     )
@@ -200,6 +203,14 @@ class FoldResult:
     needs: dict[str, int]
 
 
+def _by_id(df: DataFrame, reg: DataFrame) -> DataFrame:
+    """``df`` with ``source`` = the registry row's id."""
+    if "priority" in df.columns:
+        return df.withColumn("source", F.col("priority").cast("string")).drop("priority")
+    ids = reg.select(F.col("name").alias("source"), F.col("priority").cast("string").alias("_id"))
+    return df.join(ids, "source").withColumn("source", F.col("_id")).drop("_id")
+
+
 def _step_plan(reg_rows: Sequence, labels: Sequence[str]) -> list[tuple[str, list]]:
     """W6/W7 order: labels in the given order, each label's sources in
     registry priority order (J2)."""
@@ -219,19 +230,29 @@ def collect_fold(
     labels: Sequence[str],
     cfg: CollectConfig = CollectConfig(),
     run_dir: str | None = None,
+    input_version: str | None = None,
 ) -> FoldResult:
     """K1/K2 core: fold over labels and their sources with one shared seen
     set (base norms plus everything accepted so far).
 
     ``needs[label] = None`` means no quota for that label.  ``run_dir`` (a
     folder on the shared file system) makes the run restartable: finished
-    steps are read back instead of recomputed.
+    steps are read back instead of recomputed, provided that parameters and
+    inputs are the same.  ``input_version`` names the inputs' state; without
+    it, a restartable run reads them once more for a digest of their rows.
     """
     reuse = run_dir is not None
+    reg_rows = [r.asDict() for r in reg.select("priority", "name", "label").collect()]  # tens of rows
+    if len({r["priority"] for r in reg_rows}) < len(reg_rows):
+        raise ValueError("registry rows must have different priorities: they are the ids of the sources")
     run_dir = run_dir or scratch_path(spark, "collect")
     run_tag = uuid.uuid4().hex[:8]  # observation names must not repeat within a session
     if reuse:
-        _check_fingerprint(spark, run_dir, needs, labels, cfg, reg)
+        if input_version is None:
+            input_version = "/".join(content_digest(d) for d in (pages, items, base) if d is not None)
+        _check_fingerprint(spark, run_dir, needs, labels, cfg, reg, input_version)
+    pages, items = _by_id(pages, reg), _by_id(items, reg)
+    reg = reg.withColumn("name", F.col("priority").cast("string"))
     kept, counts = prepare_items(items, cfg)
     vis = visible_pages(pages, counts, reg, cfg)
     seen = seen_set(base) if base is not None else None
@@ -251,7 +272,6 @@ def collect_fold(
     vis = prep.filter(F.col("kind") == "vis").select("_part", "source", "page_no", "ord")
     cand_all = prep.filter(F.col("kind") == "cand").select("_part", *CAND_COLS)
 
-    reg_rows = [r.asDict() for r in reg.select("priority", "name", "label").collect()]  # tens of rows
     step = 0
     step_paths: list[str] = []
     metric_rows: list[tuple] = []
@@ -264,7 +284,7 @@ def collect_fold(
             step += 1
             if remaining is not None and remaining <= 0:
                 continue
-            name = src["name"]
+            name, part = src["name"], f"s_{src['priority']}"
             sp = f"{run_dir}/step={step:04d}"
             if not path_exists(spark, f"{sp}/_SUCCESS"):
                 acc_norms = (
@@ -272,8 +292,8 @@ def collect_fold(
                     if step_paths else None
                 )
                 acc, pg = source_step(
-                    cand_all.filter(F.col("_part") == f"s_{name}").drop("_part"),
-                    vis.filter(F.col("_part") == f"s_{name}").drop("_part"),
+                    cand_all.filter(F.col("_part") == part).drop("_part"),
+                    vis.filter(F.col("_part") == part).drop("_part"),
                     acc_norms,
                     remaining,
                     cfg.k_for(name),
@@ -324,25 +344,40 @@ def collect_fold(
 
 
 class RunMismatchError(ValueError):
-    """A run folder holds steps of a run with other parameters."""
+    """A run folder holds steps of a run with other parameters or inputs."""
+
 
+def content_digest(df: DataFrame) -> str:
+    """Digest of the rows of ``df`` in any order: their number and the sums
+    of two hashes, from one scan with partial aggregates."""
+    cols = [F.col(f"`{c}`") for c in sorted(df.columns)]
+    low = F.shiftrightunsigned(F.xxhash64(*cols), 2).cast("decimal(38,0)")
+    r = df.agg(F.count(F.lit(1)), F.sum(low), F.sum(F.hash(*cols).cast("long"))).first()
+    return ":".join(str(x) for x in r)
 
-def _check_fingerprint(spark: SparkSession, run_dir: str, needs, labels, cfg, reg: DataFrame) -> None:
+
+def _check_fingerprint(spark: SparkSession, run_dir: str, needs, labels, cfg, reg: DataFrame, inputs: str) -> None:
     """A restart may only reuse finished steps of the *same* run: the needs,
-    labels, configuration and registry are recorded in the run folder on
-    first use and compared on every later use."""
-    import hashlib
+    labels, configuration, registry and state of the inputs are recorded in
+    the run folder on first use and compared on every later use."""
     import json
 
     reg_rows = sorted(json.dumps(r.asDict(), sort_keys=True, default=str) for r in reg.collect())  # tens of rows
-    doc = json.dumps({"needs": dict(needs), "labels": list(labels), "cfg": repr(cfg), "registry": reg_rows},
+    doc = json.dumps({"needs": dict(needs), "labels": list(labels), "cfg": repr(cfg), "registry": reg_rows, "inputs": inputs},
                      sort_keys=True, default=str)
+    check_run(spark, run_dir, doc)
+
+
+def check_run(spark: SparkSession, run_dir: str, doc: str) -> None:
+    """Record ``doc`` in the run folder on first use, compare it later."""
+    import hashlib
+
     digest = hashlib.sha256(doc.encode()).hexdigest()
     path = f"{run_dir}/_fingerprint"
     if path_exists(spark, f"{path}/_SUCCESS"):
         old = spark.read.schema("digest string").json(path).first()
         if old is None or old["digest"] != digest:
-            raise RunMismatchError(f"{run_dir} holds a run with other parameters; use a new run folder")
+            raise RunMismatchError(f"{run_dir} holds a run with other parameters or inputs; use a new run folder")
     else:
         spark.createDataFrame([(digest,)], "digest string").coalesce(1).write.mode("overwrite").json(path)
 

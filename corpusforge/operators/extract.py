@@ -35,7 +35,7 @@ HIT_FIELDS = [
     T.StructField("text_joined", T.StringType()),
     T.StructField("text_whole", T.StringType()),
     T.StructField("href", T.StringType()),
-    T.StructField("scope_pos", T.LongType()),
+    T.StructField("end_pos", T.LongType()),
 ]
 TEXT_MODES = {"spaced": "text_spaced", "joined": "text_joined", "whole": "text_whole"}
 
@@ -45,7 +45,6 @@ def html_matches(
     key_cols: Sequence[str],
     selectors: Sequence[str],
     union: bool = True,
-    scope_tag: str | None = None,
     html_col: str = "html",
 ) -> DataFrame:
     """Selector matches of every page: ``key_cols`` + ``HIT_FIELDS``."""
@@ -60,7 +59,7 @@ def html_matches(
             for rec in pdf.itertuples(index=False):
                 d = rec._asdict()
                 key = tuple(d[k] for k in keys)
-                for m in _html.matches(d[html_col], sels, union, scope_tag):
+                for m in _html.matches(d[html_col], sels, union):
                     rows.append(key + m)
             yield pd.DataFrame(rows, columns=[f.name for f in out_schema.fields])
 
@@ -212,31 +211,28 @@ def discover_feed(
     category: str,
     href_part: str = "/api/",
 ) -> DataFrame:
-    """First link whose href contains ``href_part`` inside the first
-    ``<li>`` whose text contains ``category`` (case-insensitive); else the
-    first link anywhere whose own text contains it.  ``(keys..., feed_url)``
-    for every page (null when none).  A link belongs to its nearest
-    enclosing ``<li>`` (inside nested lists the outer item does not also
-    claim it)."""
+    """The ``<li>`` elements in document order whose text contains
+    ``category`` (case-insensitive): the first one that holds, at any depth,
+    a link whose href contains ``href_part`` gives its first such link; else
+    the first such link anywhere whose own text contains ``category``.
+    ``(keys..., feed_url)`` for every page (null when none)."""
     cat = category.lower()
-    # One parse: li elements (selector 0) and links (selector 1, carrying the
-    # position of their enclosing li).  Each link learns its li's text from a
-    # window over (page, li) -- no join, so the pages are parsed once.
-    m = html_matches(pages, key_cols, ["li", "a"], union=False, scope_tag="li")
-    li_pos = F.when(F.col("sel_idx") == 0, F.col("doc_pos")).otherwise(F.col("scope_pos"))
-    m = m.withColumn("li_pos", li_pos).withColumn(
-        "li_text",
-        F.max(F.when(F.col("sel_idx") == 0, F.lower("text_spaced"))).over(Window.partitionBy(*key_cols, "li_pos")),
-    )
-    a = m.filter((F.col("sel_idx") == 1) & F.col("href").isNotNull() & F.col("href").contains(href_part))
-    tier1 = F.when((F.col("li_pos") >= 0) & F.coalesce(F.col("li_text").contains(cat), F.lit(False)),
-                   F.struct(F.lit(1).alias("tier"), F.col("li_pos"), F.col("doc_pos")))
-    tier2 = F.when(F.lower("text_joined").contains(cat),
-                   F.struct(F.lit(2).alias("tier"), F.lit(0).cast("long").alias("li_pos"), F.col("doc_pos")))
+    # One parse: li elements (selector 0) and links (selector 1).  Positions
+    # are in document order, so the next wanted link after an li lies inside
+    # it exactly if it comes no later than the li's end: one running window
+    # per page, no pairs of lists and links.
+    m = html_matches(pages, key_cols, ["li", "a"], union=False)
+    wanted = (F.col("sel_idx") == 1) & F.col("href").isNotNull() & F.col("href").contains(href_part)
+    after = Window.partitionBy(*key_cols).orderBy(F.desc("doc_pos")).rowsBetween(Window.unboundedPreceding, -1)
+    m = m.withColumn("_next", F.last(F.when(wanted, F.struct("doc_pos", "href")), ignorenulls=True).over(after))
+    in_list = (F.col("sel_idx") == 0) & F.lower("text_spaced").contains(cat) & (F.col("_next.doc_pos") <= F.col("end_pos"))
+    own_text = wanted & F.lower("text_joined").contains(cat)
+    tier = F.when(in_list, F.lit(1)).when(own_text, F.lit(2))
     best = (
-        a.select(*key_cols, "href", F.explode(F.array(tier1, tier2)).alias("_k"))
-        .filter(F.col("_k").isNotNull())
+        m.withColumn("_tier", tier)
+        .filter(F.col("_tier").isNotNull())
         .groupBy(*key_cols)
-        .agg(F.min_by("href", "_k").alias("feed_url"))
+        .agg(F.min_by(F.when(F.col("_tier") == 1, F.col("_next.href")).otherwise(F.col("href")),
+                      F.struct("_tier", "doc_pos")).alias("feed_url"))
     )
     return pages.select(*key_cols).join(best, list(key_cols), "left")

@@ -37,15 +37,24 @@ REGISTRY = [
      "base_url": "https://src15.example.org/p=", "max_pages": 300000, "keywords": TEXT_KEYWORDS},
     {"name": "src17", "label": "Economy", "type": "keyword_archive", "pagination": "wp",
      "base_url": "https://src17.example.org/", "max_pages": 300000, "keywords": []},
+    {"name": "src19", "label": "Politics", "type": "wp_category", "pagination": "wp",
+     "base_url": "https://src19.example.org/category/politics/", "max_pages": 200000},
+]
+# The sources of the whole listing: the archive's and the even-numbered ones.
+ALL_SOURCES = REGISTRY + [
+    {"name": f"src{i}", "label": LABELS[i // 2 % len(LABELS)], "type": "keyword_archive" if i % 4 else "wp_category",
+     "pagination": "param" if i % 4 else "wp", "base_url": f"https://src{i}.example.org/all", "max_pages": 200000,
+     "keywords": TEXT_KEYWORDS}
+    for i in range(0, 20, 2)
 ]
 
 
-def sql_registry() -> str:
+def sql_registry(sources=None) -> str:
     """The registry as a DuckDB ``VALUES`` CTE named ``registry``."""
     from corpusforge.sources.registry import source_row
 
     rows = []
-    for i, s in enumerate(REGISTRY):
+    for i, s in enumerate(REGISTRY if sources is None else sources):
         r = source_row(i + 1, s)
         sel = "[" + ", ".join(S.q(x) for x in r[8]) + "]::VARCHAR[]"
         kw = "[" + ", ".join(S.q(x) for x in r[9]) + "]::VARCHAR[]"

@@ -41,6 +41,7 @@ def extend_to_target(
     cfg: collect.CollectConfig = collect.CollectConfig(),
     dedupe_base_first: bool = False,
     run_dir: str | None = None,
+    input_version: str | None = None,
 ) -> ExtendResult:
     """K1: extend a corpus until each label reaches ``target``.
 
@@ -50,7 +51,8 @@ def extend_to_target(
     dedupes the base first so duplicates do not count toward the target.
     ``pages(source, page_no, http_status)`` and ``items(source, page_no,
     pos, title, href)`` are the captured listing pages and their extracted
-    items (see ``operators.extract``).
+    items (see ``operators.extract``); ``run_dir`` and ``input_version`` as in
+    ``collect.collect_fold``.
     """
     b = clean.clean_corpus(base)
     if dedupe_base_first:
@@ -58,7 +60,7 @@ def extend_to_target(
     reg = registry if isinstance(registry, DataFrame) else sources_frame(spark, registry)
     needs_df = profile.label_needs(b, labels, target)
     needs = {r["label"]: int(r["need"]) for r in needs_df.collect()}  # one row per label
-    res = collect.collect_fold(spark, pages, items, reg, b, needs, labels, cfg, run_dir)
+    res = collect.collect_fold(spark, pages, items, reg, b, needs, labels, cfg, run_dir, input_version)
     final = collect.extend_corpus(b, res.accepted)
     return ExtendResult(final, res.accepted, res.metrics, res.pages, needs,
                         profile.shortfall(final, labels, target))

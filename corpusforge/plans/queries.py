@@ -262,13 +262,13 @@ def base_target(cb) -> int:
 
 @register(
     "label_needs",
-    _wv("base") + ",\n" + S.clean_cte("base", "cbase") + ",\n" + FX.sql_labels() + ",\n" + _target_rows_div(5)
+    _wv("headlines") + ",\n" + S.clean_cte("headlines", "cbase") + ",\n" + FX.sql_labels() + ",\n" + _target_rows_div(5)
     + "\nSELECT req.label_pos, req.label, CAST(coalesce(c.have, 0) AS BIGINT) AS have, "
     "CAST(greatest(0, tgt.target - coalesce(c.have, 0)) AS BIGINT) AS need "
     "FROM req LEFT JOIN (SELECT label, count(*) AS have FROM cbase GROUP BY label) c ON req.label = c.label, tgt",
 )
 def q_label_needs(spark, sf_dir):
-    cb = clean_base(spark, sf_dir)
+    cb = clean.clean_corpus(V.headlines(spark, sf_dir))
     return profile.label_needs(cb, FX.LABELS, base_target(cb))
 
 
@@ -662,13 +662,13 @@ _SQL_PAGE_TAGS = (
 )
 
 
-def _page_tags(pages):
+PAGE_URL_KEY = ["page_id", "url"]  # the url goes through the parse with its page
+
+
+def _with_tags(rows):
+    """P20: label and source of each row from its page's url."""
     lang = F.regexp_extract("url", r"\.example\.[a-z]+/([a-z]+)/", 1)
-    return pages.select(
-        "page_id",
-        V._label_of(lang).alias("label"),
-        F.regexp_extract("url", "://([^/]+)", 1).alias("source"),
-    )
+    return rows.withColumns({"label": V._label_of(lang), "source": F.regexp_extract("url", "://([^/]+)", 1)})
 
 
 @register(
@@ -680,8 +680,8 @@ def q_harvest_all(spark, sf_dir):
     """K3: headings of every page, tagged with the page's label and source
     (P20), all kept (no dedupe)."""
     p = pages_tbl(spark, sf_dir)
-    h = X.headings_with_fallback(p, PAGE_KEY, ("h2.post-title", "h1"), 1, 15)
-    return h.join(_page_tags(p), "page_id").select("page_id", "text", "label", "source")
+    h = X.headings_with_fallback(p, PAGE_URL_KEY, ("h2.post-title", "h1"), 1, 15)
+    return _with_tags(h).select("page_id", "text", "label", "source")
 
 
 _CAT = dict(reject_words=["the", "ing", "and"], accept_prefix="/", reject_prefixes=["/a", "/b", "/c"],
@@ -743,18 +743,20 @@ def q_page_title_intro(spark, sf_dir):
     _wv("base") + ",\n" + S.clean_cte("base", "cbase") + ",\n" + _SQL_INTRO + ",\n"
     "tags AS (SELECT page_id, " + _SQL_PAGE_TAGS + " FROM pages),\n"
     f"seen AS (SELECT DISTINCT {S.norm('text')} AS norm FROM cbase),\n"
-    "new AS (SELECT tix.page_id AS row_id, tix.text, tags.label, tags.source, '' AS url FROM tix "
-    f"JOIN tags ON tix.page_id = tags.page_id WHERE {S.norm('tix.text')} NOT IN (SELECT norm FROM seen))\n"
+    "new AS (SELECT tix.page_id AS row_id, tix.text, tags.label, tags.source, tix.url FROM tix "
+    f"JOIN tags ON tix.page_id = tags.page_id WHERE {S.norm('tix.text')} NOT IN (SELECT norm FROM seen) "
+    f"QUALIFY row_number() OVER (PARTITION BY {S.norm('tix.text')} ORDER BY tix.page_id) = 1)\n"
     "SELECT CAST(0 AS INTEGER) AS part_no, row_id, text, label, source, url FROM cbase UNION ALL "
     "SELECT CAST(1 AS INTEGER) AS part_no, row_id, text, label, source, url FROM new",
 )
 def q_topup_no_quota(spark, sf_dir):
     """Encyclopedia-style top-up: title + intro texts, minus everything
-    already in the base (J1), appended (U1), no length filter, no quota."""
-    p = pages_tbl(spark, sf_dir)
-    t = X.title_and_intro(p, PAGE_KEY, "h1", ["article > p", "article p"]).join(_page_tags(p), "page_id")
-    new = t.select(F.col("page_id").alias("row_id"), "text", "label", "source", F.lit("").alias("url"))
-    new = D.unseen(new.withColumn("nkey", TX.norm_key("text")), D.seen_set(clean_base(spark, sf_dir))).drop("nkey")
+    already in the base (J1) or met on an earlier page (D5), appended (U1)
+    with the page's url; no length filter, no quota."""
+    t = X.title_and_intro(pages_tbl(spark, sf_dir), PAGE_URL_KEY, "h1", ["article > p", "article p"])
+    new = _with_tags(t).select(F.col("page_id").alias("row_id"), "text", "label", "source", "url")
+    new = D.unseen(new.withColumn("nkey", TX.norm_key("text")), D.seen_set(clean_base(spark, sf_dir)))
+    new = D.keep_first(new, ["nkey"], order_cols=("row_id",)).drop("nkey")
     return M.union_parts([clean_base(spark, sf_dir).select(*HEADLINE_COLS), new]).select(*PART_COLS)
 
 
@@ -764,14 +766,14 @@ _XML_BAD = r"[\x00-\x08\x0b\x0c\x0d\x0e-\x1f]"
 
 
 def feeds_tbl(spark, sf_dir):
-    """Captured feeds built from the archive: one feed per (source, page);
-    page mod 3 = 1 RSS, = 2 Atom, = 0 not XML.  Each feed holds the five
+    """Captured feeds built from the listing: one feed per (source, page);
+    odd pages RSS, even pages Atom, one page in 25 not XML.  Each feed holds the five
     items of its page, so grouping is bounded."""
-    a = V.archive(spark, sf_dir)
+    a = V.listing(spark, sf_dir)
     t = F.regexp_replace("title", _XML_BAD, "")
     esc = F.regexp_replace(F.regexp_replace(F.regexp_replace(t, "&", "&amp;"), "<", "&lt;"), ">", "&gt;")
     pub = F.concat(F.lit("2024-01-"), F.lpad((F.col("pos") + 1).cast("string"), 2, "0"))
-    kind = F.col("page_no") % 3
+    kind = F.when(F.col("page_no") % 25 == 10, 0).when(F.col("page_no") % 2 == 1, 1).otherwise(2)
     item = (
         F.when(kind == 1, F.concat(F.lit("<item><title>"), esc, F.lit("</title><link>"), F.col("href"),
                                    F.lit("</link><pubDate>"), pub, F.lit("</pubDate></item>")))
@@ -782,7 +784,7 @@ def feeds_tbl(spark, sf_dir):
     g = a.select("source", "page_no", "pos", item.alias("x")).groupBy("source", "page_no").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "x"))), lambda s: s["x"]), "").alias("body")
     )
-    kind = F.col("page_no") % 3
+    kind = F.when(F.col("page_no") % 25 == 10, 0).when(F.col("page_no") % 2 == 1, 1).otherwise(2)
     xml = (
         F.when(kind == 1, F.concat(F.lit('<?xml version="1.0"?><rss version="2.0"><channel><title>f</title>'),
                                    F.col("body"), F.lit("</channel></rss>")))
@@ -796,9 +798,9 @@ def feeds_tbl(spark, sf_dir):
 _FEED_MAX = 4
 _SQL_FEED_BASE = (
     "fi AS (SELECT source, page_no, pos, "
-    f"regexp_replace(title, {S.q(_XML_BAD)}, '', 'g') AS t, href, page_no % 3 AS kind, "
+    f"regexp_replace(title, {S.q(_XML_BAD)}, '', 'g') AS t, href, CASE WHEN page_no % 2 = 1 THEN 1 ELSE 2 END AS kind, "
     "'2024-01-' || lpad(CAST(pos + 1 AS VARCHAR), 2, '0') AS pub, "
-    "row_number() OVER (PARTITION BY source, page_no ORDER BY pos) AS item_no FROM archive WHERE page_no % 3 <> 0)"
+    "row_number() OVER (PARTITION BY source, page_no ORDER BY pos) AS item_no FROM listing WHERE page_no % 25 <> 10)"
 )
 
 
@@ -810,7 +812,7 @@ def _sql_classify(x: str) -> str:
 
 @register(
     "feed_items",
-    _wv("archive") + ",\n" + _SQL_FEED_BASE + ",\n"
+    _wv("listing") + ",\n" + _SQL_FEED_BASE + ",\n"
     f"f2 AS (SELECT source, page_no, item_no, {S.strip('t')} AS text, "
     f"CASE WHEN kind = 1 THEN {S.strip('href')} ELSE '' END AS url, pub AS published FROM fi WHERE item_no <= {_FEED_MAX})\n"
     f"SELECT source, page_no, item_no, text, label, url, published FROM (SELECT *, {_sql_classify('text')} AS label "
@@ -827,7 +829,7 @@ def q_feed_items(spark, sf_dir):
 
 @register(
     "search_feed_titles",
-    _wv("archive") + ",\n" + _SQL_FEED_BASE + "\n"
+    _wv("listing") + ",\n" + _SQL_FEED_BASE + "\n"
     f"SELECT source, page_no, item_no, text FROM (SELECT source, page_no, item_no, "
     f"{S.strip("split_part(t, '-', 1)")} AS text FROM fi) WHERE length(text) > 15",
 )
@@ -848,7 +850,7 @@ from corpusforge.sources.registry import apply_keywords, frontier, labels_withou
 
 def _sql_kw_case(col: str) -> str:
     parts = []
-    for s in FX.REGISTRY:
+    for s in FX.ALL_SOURCES:
         apply = s.get("type") == "keyword_archive" or s.get("use_keyword_filter", False)
         kws = list(s.get("keywords") or [])
         cond = S.any_contains(col, kws) if (apply and kws) else "TRUE"
@@ -858,44 +860,44 @@ def _sql_kw_case(col: str) -> str:
 
 @register(
     "keyword_filter",
-    _wv("archive") + ",\n" + FX.sql_registry() + "\n"
-    f"SELECT a.source, a.page_no, a.pos, a.title, r.label FROM archive a JOIN registry r ON a.source = r.name "
+    _wv("listing") + ",\n" + FX.sql_registry(FX.ALL_SOURCES) + "\n"
+    f"SELECT a.source, a.page_no, a.pos, a.title, r.label FROM listing a JOIN registry r ON a.source = r.name "
     f"WHERE {_sql_kw_case(S.norm('a.title')).replace('CASE source', 'CASE a.source')}",
 )
 def q_keyword_filter(spark, sf_dir):
     """P6 + P6a: keyword filter only where the source type asks for it."""
-    reg = F.broadcast(sources_frame(spark, FX.REGISTRY).select(
+    reg = F.broadcast(sources_frame(spark, FX.ALL_SOURCES).select(
         F.col("name").alias("source"), "label", apply_keywords().alias("_apply"), "keywords"))
-    a = V.archive(spark, sf_dir).select("source", "page_no", "pos", "title").join(reg, "source")
+    a = V.listing(spark, sf_dir).select("source", "page_no", "pos", "title").join(reg, "source")
     keep = ~F.col("_apply") | TX.keyword_any_array(norm_text("title"), F.col("keywords"))
     return a.filter(keep).select("source", "page_no", "pos", "title", "label")
 
 
 def _sql_classify_q() -> str:
-    return (_wv("archive") + f"\nSELECT source, page_no, pos, title, {_sql_classify('title')} AS predicted "
-            "FROM archive")
+    return (_wv("listing") + f"\nSELECT source, page_no, pos, title, {_sql_classify('title')} AS predicted "
+            "FROM listing")
 
 
 @register("classify_label", _sql_classify_q())
 def q_classify_label(spark, sf_dir):
     """Keyword vote (tie -> first label, no hit -> Other)."""
-    a = V.archive(spark, sf_dir)
+    a = V.listing(spark, sf_dir)
     return a.select("source", "page_no", "pos", "title",
                     TX.classify_label("title", FX.FIRST_KW, FX.SECOND_KW).alias("predicted"))
 
 
 @register(
     "registry_join",
-    _wv("archive") + ",\n" + FX.sql_registry() + "\n"
+    _wv("listing") + ",\n" + FX.sql_registry(FX.ALL_SOURCES) + "\n"
     "SELECT r.priority, r.name, r.label, a.page_no, a.pos, a.title, "
     "(r.type = 'keyword_archive' OR r.use_keyword_filter) AS apply_keywords "
-    "FROM archive a JOIN registry r ON a.source = r.name",
+    "FROM listing a JOIN registry r ON a.source = r.name",
 )
 def q_registry_join(spark, sf_dir):
     """Items tagged with their source's registry row."""
-    reg = sources_frame(spark, FX.REGISTRY)
+    reg = sources_frame(spark, FX.ALL_SOURCES)
     r = F.broadcast(reg.select("priority", "name", "label", apply_keywords().alias("apply_keywords")))
-    a = V.archive(spark, sf_dir).select("source", "page_no", "pos", "title")
+    a = V.listing(spark, sf_dir).select("source", "page_no", "pos", "title")
     return a.join(r, a["source"] == r["name"]).select(
         "priority", "name", "label", "page_no", "pos", "title", "apply_keywords"
     )
@@ -906,16 +908,16 @@ _LABELS_PLUS = FX.LABELS + ["Health"]
 
 @register(
     "label_sources",
-    _wv("archive") + ",\n" + FX.sql_registry() + ",\n" + FX.sql_labels("req", _LABELS_PLUS) + "\n"
+    _wv("listing") + ",\n" + FX.sql_registry(FX.ALL_SOURCES) + ",\n" + FX.sql_labels("req", _LABELS_PLUS) + "\n"
     "SELECT req.label_pos, req.label, CAST(count(r.name) AS BIGINT) AS n_sources FROM req LEFT JOIN "
-    "(SELECT * FROM registry WHERE name IN (SELECT source FROM archive)) r ON r.label = req.label "
+    "(SELECT * FROM registry WHERE name IN (SELECT source FROM listing)) r ON r.label = req.label "
     "GROUP BY req.label_pos, req.label",
 )
 def q_label_sources(spark, sf_dir):
     """J2 report: how many captured sources each requested label has
     (``Health`` has none)."""
-    captured = V.archive(spark, sf_dir).select(F.col("source").alias("name")).distinct()
-    reg = sources_frame(spark, FX.REGISTRY).join(captured, "name", "left_semi")
+    captured = V.listing(spark, sf_dir).select(F.col("source").alias("name")).distinct()
+    reg = sources_frame(spark, FX.ALL_SOURCES).join(captured, "name", "left_semi")
     return labels_without_sources(spark, _LABELS_PLUS, reg)
 
 
@@ -926,14 +928,14 @@ def _sql_page_url() -> str:
 
 
 _SQL_FRONTIER_JOIN = (
-    "FROM page_status ps JOIN registry r ON ps.source = r.name "
+    "FROM listing_status ps JOIN registry r ON ps.source = r.name "
     "AND ps.page_no BETWEEN r.start_page AND r.max_pages"
 )
 
 
 def _frontier_df(spark, sf_dir):
-    reg = F.broadcast(sources_frame(spark, FX.REGISTRY))
-    ps = V.page_status(spark, sf_dir)
+    reg = F.broadcast(sources_frame(spark, FX.ALL_SOURCES))
+    ps = V.listing_status(spark, sf_dir)
     return ps.join(reg, ps["source"] == reg["name"]).filter(
         F.col("page_no").between(F.col("start_page"), F.col("max_pages"))
     )
@@ -941,7 +943,7 @@ def _frontier_df(spark, sf_dir):
 
 @register(
     "frontier_urls",
-    _wv("page_status") + ",\n" + FX.sql_registry() + f"\nSELECT r.name, ps.page_no, {_sql_page_url()} AS url "
+    _wv("listing_status") + ",\n" + FX.sql_registry(FX.ALL_SOURCES) + f"\nSELECT r.name, ps.page_no, {_sql_page_url()} AS url "
     + _SQL_FRONTIER_JOIN,
 )
 def q_frontier_urls(spark, sf_dir):
@@ -953,7 +955,7 @@ def q_frontier_urls(spark, sf_dir):
 
 @register(
     "always_suffixed_urls",
-    _wv("page_status") + ",\n" + FX.sql_registry()
+    _wv("listing_status") + ",\n" + FX.sql_registry(FX.ALL_SOURCES)
     + "\nSELECT r.name, ps.page_no, regexp_replace(r.base_url, '/+$', '') || '/page/' || CAST(ps.page_no AS VARCHAR) "
     "|| '/' AS url, r.label || '_' || r.name AS label_key " + _SQL_FRONTIER_JOIN,
 )
@@ -967,13 +969,13 @@ def q_always_suffixed_urls(spark, sf_dir):
 
 @register(
     "label_from_key",
-    _wv("archive") + "\nSELECT source, page_no, pos, label || '_' || source AS label_key, "
+    _wv("listing") + "\nSELECT source, page_no, pos, label || '_' || source AS label_key, "
     "CASE WHEN contains(label || '_' || source, 'Sports') THEN 'Sports' ELSE label || '_' || source END AS label "
-    "FROM archive",
+    "FROM listing",
 )
 def q_label_from_key(spark, sf_dir):
     """Label from a registry key (``'Sports' if 'Sports' in key``)."""
-    a = V.archive(spark, sf_dir).withColumn("label_key", F.concat("label", F.lit("_"), "source"))
+    a = V.listing(spark, sf_dir).withColumn("label_key", F.concat("label", F.lit("_"), "source"))
     return a.select("source", "page_no", "pos", "label_key", U.label_from_key("label_key").alias("label"))
 
 
@@ -999,16 +1001,16 @@ def q_csv_roundtrip(spark, sf_dir):
     return CSV.read_corpus_csv(spark, path, "row_id long, text string, label string, source string, url string")
 
 
-@register("tolerant_load", _wv("base") + "\nSELECT CAST(1 AS INTEGER) AS part_no, row_id, text, label, source, url "
-          "FROM base")
+@register("tolerant_load", _wv("headlines") + "\nSELECT CAST(1 AS INTEGER) AS part_no, row_id, text, label, source, url "
+          "FROM headlines")
 def q_tolerant_load(spark, sf_dir):
     """A missing first part reads as empty (part 0); the union with
-    the base (part 1) carries on."""
+    the corpus (part 1) carries on."""
     from corpusforge.session import scratch_path
 
     missing = CSV.read_tolerant(spark, scratch_path(spark, "does-not-exist") + "/x.csv",
                                 "row_id long, text string, label string, source string, url string")
-    return M.union_parts([missing, V.base(spark, sf_dir)]).select(*PART_COLS)
+    return M.union_parts([missing, V.headlines(spark, sf_dir)]).select(*PART_COLS)
 
 
 @register(
@@ -1061,7 +1063,7 @@ def q_concat_parts(spark, sf_dir):
 @register(
     "harvest_dedupe",
     "WITH " + _SQL_NAV + ",\nlinks AS (" + _sql_links(12) + "),\n"
-    + _wv("archive")[len("WITH "):] + ",\n" + _SQL_FEED_BASE + ",\n"
+    + _wv("listing")[len("WITH "):] + ",\n" + _SQL_FEED_BASE + ",\n"
     f"f2 AS (SELECT source, page_no, item_no, {S.strip('t')} AS text, "
     f"CASE WHEN kind = 1 THEN {S.strip('href')} ELSE '' END AS url FROM fi WHERE item_no <= {_FEED_MAX}),\n"
     f"feeds AS (SELECT * FROM (SELECT *, {_sql_classify('text')} AS label FROM f2 WHERE length(text) >= 12) "
@@ -1076,7 +1078,7 @@ def q_concat_parts(spark, sf_dir):
 def q_harvest_dedupe(spark, sf_dir):
     """K4/K5: page links and feed items unioned, then keep-first by text."""
     p = pages_tbl(spark, sf_dir)
-    links = X.number_items(X.extract_links(p, PAGE_KEY, ["li a"], min_len=12), PAGE_KEY).join(_page_tags(p), "page_id")
+    links = _with_tags(X.number_items(X.extract_links(p, PAGE_URL_KEY, ["li a"], min_len=12), PAGE_URL_KEY))
     l = links.select(F.lit(0).alias("part_no"), F.col("page_id").cast("long").alias("k1"), F.col("item_no").alias("k2"),
                      F.lit("").alias("k3"), F.col("title").alias("text"), "label", "source", F.col("href").alias("url"))
     f = FD.feed_items(feeds_tbl(spark, sf_dir), ["source", "page_no"], None, FX.FIRST_KW, FX.SECOND_KW,

@@ -7,10 +7,12 @@ archive of listing pages:
   label from its language, ``url`` null for every tenth row;
 * ``base``: even ``row_id`` (the existing corpus); base and archive together
   hold every row of the table;
-* ``archive(source, page_no, pos, title, href, label, item_id)``: odd ``row_id`` as
-  captured listing-page items; page ``row_id div 100 + 1``, position
+* ``listing(source, page_no, pos, title, href, label, item_id)``: every row as
+  a captured listing-page item; page ``row_id div 100 + 1``, position
   ``(row_id mod 100) div 20`` (five items per source and page);
-* ``page_status(source, page_no, http_status)``: null (request error) when
+* ``archive``: the ``listing`` items of odd ``row_id``;
+* ``page_status(source, page_no, http_status)`` of the archive's pages,
+  ``listing_status`` of all pages: null (request error) when
   ``(page_no*7 + src) mod 11 = 0``, 404 on the last page of every third
   source, else 200.
 
@@ -23,16 +25,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusforge.session import spread
-
 # Language -> label mapping of the driver views.
 LANG_LABELS = {"en": "Politics", "fr": "World", "de": "Sports", "es": "Economy"}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan of a supplied table, spread over all task slots when the file
-    has fewer splits than slots (text work is CPU-bound)."""
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    """Scan of a supplied table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _label_of(lang: Column) -> Column:
@@ -63,9 +62,8 @@ def base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return headlines(spark, sf_dir).filter(F.col("row_id") % 2 == 0)
 
 
-def archive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    h = headlines(spark, sf_dir).filter(F.col("row_id") % 2 == 1)
-    return h.select(
+def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return headlines(spark, sf_dir).select(
         "source",
         (F.floor(F.col("row_id") / 100) + 1).cast("long").alias("page_no"),
         F.floor((F.col("row_id") % 100) / 20).cast("long").alias("pos"),
@@ -76,10 +74,22 @@ def archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return listing(spark, sf_dir).filter(F.col("item_id") % 2 == 1)
+
+
 def page_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _status_of(archive(spark, sf_dir))
+
+
+def listing_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _status_of(listing(spark, sf_dir))
+
+
+def _status_of(items: DataFrame) -> DataFrame:
     # Page-level table (one row per captured page): the window runs over
     # pages, never over items.
-    p = archive(spark, sf_dir).select("source", "page_no").distinct()
+    p = items.select("source", "page_no").distinct()
     # Last page per source as an aggregate joined back (no window holding a
     # whole source's pages in one task).
     last = p.groupBy("source").agg(F.max("page_no").alias("_last"))
@@ -108,12 +118,14 @@ SQL_HEADLINES = """headlines AS (
 
 SQL_BASE = """base AS (SELECT * FROM headlines WHERE row_id % 2 = 0)"""
 
-SQL_ARCHIVE = """archive AS (
+SQL_LISTING = """listing AS (
   SELECT source, CAST(row_id // 100 + 1 AS BIGINT) AS page_no,
          CAST((row_id % 100) // 20 AS BIGINT) AS pos, text AS title,
          'https://' || source || '.example.org/n/' || CAST(row_id AS VARCHAR) AS href, label,
          row_id AS item_id
-  FROM headlines WHERE row_id % 2 = 1)"""
+  FROM headlines)"""
+
+SQL_ARCHIVE = """archive AS (SELECT * FROM listing WHERE item_id % 2 = 1)"""
 
 SQL_PAGE_STATUS = """page_status AS (
   SELECT source, page_no,
@@ -126,10 +138,13 @@ SQL_PAGE_STATUS = """page_status AS (
 SQL_VIEWS = {
     "headlines": SQL_HEADLINES,
     "base": SQL_BASE,
+    "listing": SQL_LISTING,
     "archive": SQL_ARCHIVE,
     "page_status": SQL_PAGE_STATUS,
+    "listing_status": SQL_PAGE_STATUS.replace("page_status", "listing_status").replace("FROM archive", "FROM listing"),
 }
-_DEPS = {"headlines": [], "base": ["headlines"], "archive": ["headlines"], "page_status": ["archive"]}
+_DEPS = {"headlines": [], "base": ["headlines"], "listing": ["headlines"], "archive": ["listing"],
+         "page_status": ["archive"], "listing_status": ["listing"]}
 
 
 def with_views(*names: str) -> str:

@@ -20,7 +20,6 @@ from corpusforge.session import scratch_path
 
 _CSV_OPTS = {
     "header": "true",
-    "multiLine": "true",
     "quote": '"',
     "escape": '"',
     "ignoreLeadingWhiteSpace": "false",
@@ -39,13 +38,20 @@ def na_to_null(df: DataFrame, cols: Sequence[str] | None = None, tokens: Sequenc
     return df
 
 
-def read_corpus_csv(spark: SparkSession, path: str, schema_: T.StructType | str | None = None) -> DataFrame:
+def read_corpus_csv(spark: SparkSession, path: str, schema_: T.StructType | str | None = None,
+                    quoted_newlines: bool = True) -> DataFrame:
     """CSV corpus scan.  With ``schema_=None`` every column is read as
-    string (no inference pass over the data)."""
-    r = spark.read.options(**_CSV_OPTS)
-    if schema_ is not None:
-        r = r.schema(schema_)
-    return na_to_null(r.csv(path))
+    string (no inference pass over the data).  With a schema, the header's
+    columns are taken by name and cast; a column the header lacks is null and
+    further ones are left out.  ``quoted_newlines=False`` promises that no
+    field holds a line break: one large file is then read by many tasks."""
+    df = na_to_null(spark.read.options(**_CSV_OPTS, multiLine=str(quoted_newlines).lower()).csv(path))
+    if schema_ is None:
+        return df
+    fields = (T.StructType.fromDDL(schema_) if isinstance(schema_, str) else schema_).fields
+    return df.select(*[
+        (F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields
+    ])
 
 
 def read_tolerant(spark: SparkSession, path: str, schema_: T.StructType | str) -> DataFrame:
@@ -61,13 +67,13 @@ def read_tolerant(spark: SparkSession, path: str, schema_: T.StructType | str) -
 
 
 def read_with_report(spark: SparkSession, path: str, schema_: T.StructType | str) -> tuple[DataFrame, dict]:
-    """S3: read, and report row count and label values (or a message)."""
-    from corpusforge.operators.profile import distinct_count
-
+    """S3: read, and report row count and the label values (A3) with their
+    number, or a message.  A corpus has a handful of labels."""
     df = read_tolerant(spark, path, schema_)
     rep: dict = {"rows": df.count()}
     if "label" in df.columns:
-        rep["n_labels"] = distinct_count(df, "label", "n").collect()[0][0]
+        rep["labels"] = sorted(r[0] for r in df.select("label").distinct().collect() if r[0] is not None)
+        rep["n_labels"] = len(rep["labels"])
     else:
         rep["message"] = "no label column"
     return df, rep

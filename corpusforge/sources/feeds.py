@@ -1,7 +1,10 @@
 """RSS / Atom feed items (S9, E8, E9, P9, P10, W10) with ``from_xml``.
 
 A captured feed table ``(…keys, xml)`` is parsed JVM-side; malformed or
-non-XML text gives a null record (no items), never a failed job.
+non-XML text gives a null record (no items), never a failed job.  Items are
+those of every channel, in order, then those at the root; any namespace
+prefix will do.  Of a repeated child the first counts, and of text with
+markup inside, the text before the markup.
 """
 
 from __future__ import annotations
@@ -13,28 +16,37 @@ from pyspark.sql import functions as F
 
 from corpusforge.functions.text import classify_label, cut_first_hyphen, looks_like_xml, strip_ws
 
+_TEXTS = "ARRAY<STRUCT<_VALUE: ARRAY<STRING>>>"  # a child's occurrences, each with its pieces of text
+_ITEMS = f"ARRAY<STRUCT<title: {_TEXTS}, link: {_TEXTS}, pubDate: {_TEXTS}>>"
 FEED_SCHEMA = (
-    "channel STRUCT<item: ARRAY<STRUCT<title: STRING, link: STRING, pubDate: STRING>>>, "
-    "entry ARRAY<STRUCT<title: STRING, updated: STRING>>"
+    f"channel ARRAY<STRUCT<item: {_ITEMS}>>, item {_ITEMS}, entry ARRAY<STRUCT<title: {_TEXTS}, updated: {_TEXTS}>>"
 )
 
 
+def _first_text(child: Column) -> Column:
+    return F.get(F.get(child, 0)["_VALUE"], 0)
+
+
 def feed_entries(feeds: DataFrame, key_cols: Sequence[str], xml_col: str = "xml",
                  max_items: int | None = None) -> DataFrame:
     """Sniff (P10), parse, take RSS ``item``s or else Atom ``entry``s, keep the
     first ``max_items`` *before* any filter (W10); one row per entry with
     ``item_no`` (1-based), raw ``title``, ``link`` (Atom: ``""``), ``published``."""
-    parsed = F.from_xml(F.col(xml_col), FEED_SCHEMA)
+    parsed = F.from_xml(F.col(xml_col), FEED_SCHEMA, {"ignoreNamespace": "true"})
+    none = F.from_json(F.lit("[]"), _ITEMS)
+    in_channels = F.flatten(F.transform(parsed["channel"], lambda c: F.coalesce(c["item"], none)))
     rss = F.transform(
-        parsed["channel"]["item"],
-        lambda it: F.struct(it["title"].alias("title"), F.coalesce(it["link"], F.lit("")).alias("link"),
-                            it["pubDate"].alias("published")),
+        F.concat(F.coalesce(in_channels, none), F.coalesce(parsed["item"], none)),
+        lambda it: F.struct(_first_text(it["title"]).alias("title"),
+                            F.coalesce(_first_text(it["link"]), F.lit("")).alias("link"),
+                            _first_text(it["pubDate"]).alias("published")),
     )
     atom = F.transform(
         parsed["entry"],
-        lambda it: F.struct(it["title"].alias("title"), F.lit("").alias("link"), it["updated"].alias("published")),
+        lambda it: F.struct(_first_text(it["title"]).alias("title"), F.lit("").alias("link"),
+                            _first_text(it["updated"]).alias("published")),
     )
-    items: Column = F.when(F.coalesce(F.size(rss), F.lit(0)) > 0, rss).otherwise(atom)
+    items: Column = F.when(F.size(rss) > 0, rss).otherwise(atom)
     items = F.when(looks_like_xml(F.col(xml_col)), items)
     if max_items is not None:
         items = F.slice(items, 1, max_items)

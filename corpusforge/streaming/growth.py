@@ -27,10 +27,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from corpusforge import schema
 from corpusforge.functions.text import keyword_any_array, norm_key, norm_text
+from corpusforge.operators.collect import check_run, content_digest
 from corpusforge.operators.dedupe import keep_first
 from corpusforge.session import path_exists, scratch_path
 from corpusforge.sources.registry import apply_keywords
 
+OUT_SCHEMA = "batch_id long, source string, label string, page_no long, pos long, text string, url string, nkey string"
 OUT_COLS = ["batch_id", "source", "label", "page_no", "pos", "text", "url", "nkey"]
 
 
@@ -53,10 +55,15 @@ class GrowthBase:
     counts: dict
 
 
-def prepare_base(spark: SparkSession, base: DataFrame, path: str | None = None) -> GrowthBase:
+def prepare_base(spark: SparkSession, base: DataFrame, path: str | None = None,
+                 version: str | None = None) -> GrowthBase:
     """Materialise ``(nkey, label)`` of the base corpus once, so micro-batches
-    never rescan or re-normalise it."""
-    path = path or scratch_path(spark, "growth-base")
+    never rescan or re-normalise it.  A given ``path`` is reused by a restart
+    if the base is the same: ``version`` names its state (without it, a digest
+    of its rows does); for another base it must be another path."""
+    if path is not None:
+        check_run(spark, path, version or content_digest(base))
+    path = f"{path or scratch_path(spark, 'growth-base')}/keys"
     if not path_exists(spark, f"{path}/_SUCCESS"):
         base.select(norm_key("text").alias("nkey"), "label").write.mode("overwrite").parquet(path)
     keys = spark.read.schema("nkey string, label string").parquet(path)
@@ -83,7 +90,10 @@ def growth_batch(
         for r in prev.filter(F.col("label").isin(list(labels))).groupBy("label").count().collect():
             have[r[0]] += int(r[1])
     need = {l: max(0, target - have.get(l, 0)) for l in labels}
+    target_dir = f"{out_dir}/batch_id={batch_id}"
     if max(need.values(), default=0) <= 0:
+        # Nothing to add: an empty batch, so the output can always be read.
+        spark.createDataFrame([], OUT_SCHEMA).write.mode("overwrite").parquet(target_dir)
         return
     seen = spark.read.schema("nkey string, label string").parquet(gbase.keys_path).select("nkey")
     if prev is not None:
@@ -93,7 +103,7 @@ def growth_batch(
     c = (
         batch.filter(F.length("title") >= min_title_len)
         .withColumn("norm", norm_text("title"))
-        .join(F.broadcast(r), "source")
+        .join(r, "source")
         .filter(~F.col("_apply") | keyword_any_array("norm", F.col("keywords")))
         .join(F.broadcast(lab), "label")
         .withColumn("nkey", F.sha2(F.col("norm"), 256))
@@ -102,16 +112,23 @@ def growth_batch(
                 F.col("title").alias("text"), F.col("href").alias("url"), "nkey")
     )
     c = keep_first(c, ["nkey"], order_cols=("label_pos", "priority", "page_no", "pos"))
-    max_need = max(need.values())
-    w = Window.partitionBy("label").orderBy("priority", "page_no", "pos")
-    acc = (
-        c.withColumn("_rk", F.row_number().over(w))
-        .filter(F.col("_rk") <= max_need)  # constant limit: planned as a WindowGroupLimit
-        .filter(F.col("_rk") <= F.col("need"))
+    # The quota is a prefix in (priority, page, pos) order: running counts over
+    # the page-level table, ranks inside a page; no window holds a label's items.
+    path = scratch_path(spark, f"growth-candidates-{batch_id}")
+    c.write.parquet(path)
+    c = spark.read.schema(c.schema).parquet(path)
+    page = ["label", "priority", "page_no"]
+    earlier = Window.partitionBy("label").orderBy("priority", "page_no").rowsBetween(Window.unboundedPreceding, -1)
+    before = (
+        c.groupBy(*page).agg(F.count(F.lit(1)).alias("_n"))
+        .select(*page, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     )
-    acc.select(F.lit(batch_id).cast("long").alias("batch_id"), *OUT_COLS[1:]).write.mode("overwrite").parquet(
-        f"{out_dir}/batch_id={batch_id}"
+    rank = F.row_number().over(Window.partitionBy(*page).orderBy("pos", "url", "nkey"))
+    acc = (
+        c.withColumn("_rk", rank).join(before, page)
+        .filter(F.col("_before") + F.col("_rk") <= F.col("need"))
     )
+    acc.select(F.lit(batch_id).cast("long").alias("batch_id"), *OUT_COLS[1:]).write.mode("overwrite").parquet(target_dir)
 
 
 def start_growth(

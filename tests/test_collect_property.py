@@ -161,3 +161,67 @@ def test_rerun_with_other_parameters_is_refused(spark, tmp_path):
     collect_fold(spark, pages, items, reg, None, {"L": 1}, ["L"], CollectConfig(), run_dir=run)
     with _pytest.raises(RunMismatchError):
         collect_fold(spark, pages, items, reg, None, {"L": 2}, ["L"], CollectConfig(), run_dir=run)
+
+
+@pytest.mark.parametrize("own_pages", [False, True])
+def test_one_name_under_two_labels_equals_sequential_loop(spark, own_pages):
+    """A registry row is a source of its own: the same site name may serve
+    several labels, on the same captured pages or on its own (``priority``)."""
+    rng = random.Random(17)
+    cases, reg_rows, page_rows, item_rows, base_rows, needs = [], [], [], [], [], {}
+    for c in range(12):
+        case = make_case(rng, c)
+        site = f"site{c}"
+        rows = []
+        for j, s in enumerate(case["sources"]):
+            s = dict(s, name=site, k=4)
+            if not own_pages and j:
+                s["pages"] = rows[0]["pages"]
+            rows.append(s)
+            reg_rows.append({"name": site, "label": f"{case['label']}-{j}", "base_url": "https://x/",
+                             "type": "keyword_archive" if s["kw"] else "wp_category", "keywords": s["kw"]})
+            if own_pages or not j:
+                for p, st, items in s["pages"]:
+                    page_rows.append((len(reg_rows), site, p, st))
+                    item_rows += [(len(reg_rows), site, p, i, t, h) for i, (t, h) in enumerate(items)]
+        base_rows += [(b, case["label"]) for b in case["base"]]
+        seen = list(case["base"])
+        for j, s in enumerate(rows):
+            label = f"{case['label']}-{j}"
+            needs[label] = rng.randint(1, 5)
+            got = simulate({"base": seen, "need": needs[label], "sources": [s]})
+            cases += [(label, *x) for x in got]
+            seen += [norm(t) for _, _, t in got]
+    pages = spark.createDataFrame(page_rows, "priority int, source string, page_no long, http_status int")
+    items = spark.createDataFrame(item_rows, "priority int, source string, page_no long, pos long, title string, href string")
+    if not own_pages:
+        pages, items = pages.drop("priority"), items.drop("priority")
+    base = spark.createDataFrame(base_rows, "text string, label string")
+    res = collect_fold(spark, pages, items, sources_frame(spark, reg_rows), base, needs, list(needs),
+                       CollectConfig(zero_streak=4))
+    assert sorted((r.label, r.source, r.page_no, r.text) for r in res.accepted.collect()) == sorted(cases)
+
+
+def test_rerun_on_other_items_is_refused(spark, tmp_path):
+    from corpusforge.operators.collect import RunMismatchError
+
+    reg = sources_frame(spark, [{"name": "a", "label": "L", "base_url": "https://a/"}])
+    pages = spark.createDataFrame([("a", 1, 200)], "source string, page_no long, http_status int")
+
+    def run(title, **kw):
+        items = spark.createDataFrame([("a", 1, 0, title, "/1")],
+                                      "source string, page_no long, pos long, title string, href string")
+        res = collect_fold(spark, pages, items, reg, None, {"L": 1}, ["L"], run_dir=str(tmp_path / "run"), **kw)
+        return [r.text for r in res.accepted.collect()]
+
+    assert run("first headline here") == run("first headline here") == ["first headline here"]
+    with pytest.raises(RunMismatchError):
+        run("second headline here")
+
+
+def test_ids_of_sources_are_unique(spark):
+    reg = sources_frame(spark, [{"name": "a", "label": "L", "base_url": "https://a/"}])
+    none = spark.createDataFrame([], "source string, page_no long, http_status int")
+    items = spark.createDataFrame([], "source string, page_no long, pos long, title string, href string")
+    with pytest.raises(ValueError):
+        collect_fold(spark, none, items, reg.union(reg), None, {"L": 1}, ["L"])

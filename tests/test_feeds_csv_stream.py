@@ -89,7 +89,7 @@ def test_growth_twice_on_same_input_adds_nothing(spark, tmp_path):
     growth_batch(items, 0, gbase, reg, ["A"], 10, out)
     growth_batch(items, 1, gbase, reg, ["A"], 10, out)
     got = spark.read.parquet(out).groupBy("batch_id").count().collect()
-    assert {r["batch_id"]: r["count"] for r in got} == {0: 2}
+    assert {r["batch_id"]: r["count"] for r in got} == {0: 2}  # the second batch is there, and empty
 
 
 def test_scan_with_report(spark, tmp_path):
@@ -98,8 +98,84 @@ def test_scan_with_report(spark, tmp_path):
     p = tmp_path / "c.csv"
     p.write_text("text,label\nfirst headline,A\nsecond headline,B\nthird headline,A\n")
     df, rep = read_with_report(spark, str(p), "text string, label string")
-    assert rep == {"rows": 3, "n_labels": 2}
+    assert rep == {"rows": 3, "labels": ["A", "B"], "n_labels": 2}
     _, rep2 = read_with_report(spark, str(tmp_path / "nope.csv"), "text string, label string")
-    assert rep2 == {"rows": 0, "n_labels": 0}
+    assert rep2 == {"rows": 0, "labels": [], "n_labels": 0}
     _, rep3 = read_with_report(spark, str(p), "text string")
     assert rep3["message"] == "no label column"
+
+
+def test_feed_entries_in_any_shape(spark):
+    from corpusforge.sources.feeds import feed_entries
+
+    shapes = {
+        1: "<rss><channel><item><title>a</title></item></channel><channel><item><title>b</title></item></channel></rss>",
+        2: "<rss><item><title>root</title></item></rss>",
+        3: "<rss><channel><item><title>first</title><title>second</title></item></channel></rss>",
+        4: "<rss><channel><item><title>a <b>bold</b> tail</title></item></channel></rss>",
+        5: '<?xml version="1.0"?><a:feed xmlns:a="http://www.w3.org/2005/Atom"><a:entry><a:title>atom</a:title>'
+           "<a:updated>2024</a:updated></a:entry></a:feed>",
+        6: "<rss><channel><item><link>u</link></item></channel></rss>",
+        7: "<rss><channel><item><title>cut off",
+        8: "<rss/>",
+        9: "",
+        10: None,
+    }
+    feeds = spark.createDataFrame(list(shapes.items()), "fid long, xml string")
+    got = sorted((r.fid, r.item_no, r.title, r.link, r.published) for r in feed_entries(feeds, ["fid"]).collect())
+    assert got == [
+        (1, 1, "a", "", None), (1, 2, "b", "", None), (2, 1, "root", "", None),
+        (3, 1, "first", "", None), (4, 1, "a", "", None), (5, 1, "atom", "", "2024"), (6, 1, None, "u", None),
+    ]
+
+
+def test_csv_columns_bind_by_name(spark, tmp_path):
+    p = tmp_path / "in.csv"
+    p.write_text("label,text,website,n\nSports,some headline text,site1,7\n")
+    for quoted in (True, False):
+        df = read_corpus_csv(spark, str(p), "text string, label string, source string, n long", quoted)
+        assert df.columns == ["text", "label", "source", "n"]
+        assert [tuple(r) for r in df.collect()] == [("some headline text", "Sports", None, 7)]
+
+
+def test_growth_with_nothing_to_add_writes_an_empty_batch(spark, tmp_path):
+    from corpusforge.sources.registry import sources_frame
+    from corpusforge.streaming.growth import growth_batch, prepare_base
+
+    base = spark.createDataFrame([("an existing headline", "A")], "text string, label string")
+    reg = sources_frame(spark, [{"name": "s", "label": "A", "base_url": "https://s/"}])
+    items = spark.createDataFrame([("s", 1, 0, "a brand new headline", "/1")],
+                                  "source string, page_no long, pos long, title string, href string")
+    out = str(tmp_path / "out")
+    growth_batch(items, 0, prepare_base(spark, base, str(tmp_path / "base")), reg, ["A"], 1, out)
+    assert spark.read.parquet(out).count() == 0
+
+
+def test_growth_base_of_other_rows_is_refused(spark, tmp_path):
+    import pytest
+
+    from corpusforge.operators.collect import RunMismatchError
+    from corpusforge.streaming.growth import prepare_base
+
+    path = str(tmp_path / "base")
+    one = spark.createDataFrame([("first headline", "A")], "text string, label string")
+    two = one.union(spark.createDataFrame([("second headline", "A")], one.schema))
+    assert prepare_base(spark, one, path).counts == {"A": 1}
+    assert prepare_base(spark, one, path).counts == {"A": 1}
+    with pytest.raises(RunMismatchError):
+        prepare_base(spark, two, path)
+
+
+def test_growth_quota_is_a_prefix_over_pages(spark, tmp_path):
+    from corpusforge.sources.registry import sources_frame
+    from corpusforge.streaming.growth import growth_batch, prepare_base
+
+    base = spark.createDataFrame([], "text string, label string")
+    reg = sources_frame(spark, [{"name": s, "label": "A", "base_url": "https://s/"} for s in ("s", "t")])
+    items = spark.createDataFrame(
+        [(s, p, i, f"headline {s} {p} number {i}", "/x") for s in ("t", "s") for p in (2, 1) for i in (2, 1, 0)],
+        "source string, page_no long, pos long, title string, href string")
+    out = str(tmp_path / "out")
+    growth_batch(items, 0, prepare_base(spark, base, str(tmp_path / "base")), reg, ["A"], 8, out)
+    got = sorted((r.source, r.page_no, r.pos) for r in spark.read.parquet(out).collect())
+    assert got == [("s", p, i) for p in (1, 2) for i in (0, 1, 2)] + [("t", 1, 0), ("t", 1, 1)]

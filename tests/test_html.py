@@ -97,3 +97,21 @@ def test_workers_do_not_need_the_package_on_their_path(spark):
     ''')
     out = subprocess.run([sys.executable, "-c", code], cwd="/tmp", capture_output=True, text=True, timeout=300)
     assert "ROWS 1" in out.stdout, out.stderr[-2000:]
+
+
+def test_repeated_attribute_keeps_the_last_value():
+    assert [h[5] for h in matches("<a href='/1' href='/2'>x</a>", ["a"], True)] == ["/2"]
+
+
+def test_template_and_ruby_notes_are_not_text():
+    page = "<a href='/1'>t <template>x <b>y</b></template><ruby>k<rp>(</rp><rt>r</rt></ruby></a>"
+    assert [h[3] for h in matches(page, ["a"], True)] == ["tk"]
+
+
+def test_feed_discovery_in_nested_lists(spark):
+    nested = ("<ul><li>Ciyaaraha<ul><li>other <a href='/x'>x</a> <a href='/api/in'>in</a></li></ul></li>"
+              "<li>Ciyaaraha <a href='/api/later'>later</a></li></ul>")
+    empty_first = "<li>Ciyaaraha</li><li>none <a href='/api/no'>n</a></li><li>ciyaaraha <a href='/api/yes'>y</a></li>"
+    pages = spark.createDataFrame([(1, nested), (2, empty_first), (3, None), (4, "")], "page_id long, html string")
+    got = {r.page_id: r.feed_url for r in discover_feed(pages, ["page_id"], "ciyaaraha").collect()}
+    assert got == {1: "/api/in", 2: "/api/yes", 3: None, 4: None}
