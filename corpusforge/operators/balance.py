@@ -1,19 +1,18 @@
-"""Class balancing and seeded shuffles.
+"""Class balancing and seeded shuffles.
 
 Randomness is a hash of ``(seed, row identity)`` so a retried task, a rerun
 or a different ``spark.sql.shuffle.partitions`` gives the same rows.
 
-Scale notes (few labels, many rows):
-
-* Down-sampling never windows a whole label.  The per-label order is
-  ``md5(seed:row_id)``; its first 32 bits as a fraction ``h`` are monotone
-  in that order, so ``h < f`` keeps a *prefix* of it.  ``f`` is chosen from
-  the label count for ~1.2x the target plus slack; the survivors (bounded by
-  a small multiple of the target) are ranked.  If a label's survivors fall
-  short (improbable) ``f`` grows 4x and the label is re-filtered: exact
-  either way.
-* Over-sampling only touches labels with fewer rows than the target, so
-  both join sides are bounded by the target.
+Scale notes (few labels, many rows): no window holds a label.  Rows fall into
+buckets that respect the order asked for (a prefix of the md5 key, or a range
+of ``row_id``); buckets are counted, and running sums over the counts say
+where each bucket begins.
+
+* Down-sampling keeps whole buckets as they are scanned, with no shuffle, and
+  ranks only the one bucket of each label in which the target falls.
+* Over-sampling only touches labels with fewer rows than the target; a row's
+  number is its bucket's beginning plus its rank inside the bucket.
+* ``reindex`` numbers a whole shuffled table the same way.
 """
 
 from __future__ import annotations
@@ -26,6 +25,9 @@ from pyspark.sql import functions as F
 from corpusforge.operators.profile import value_counts
 
 DEFAULT_SEED = 42
+KEY_DIGITS = 4  # of the md5 key, for the buckets of a label
+INDEX_DIGITS = 3  # of the shuffle key, for the buckets of a whole table
+RANGES = 256  # of row_id
 
 
 def _md5_key(seed: int, *parts: Column) -> Column:
@@ -56,6 +58,13 @@ def _counts(df: DataFrame, label_col: str) -> dict[str, int]:
     return {r[0]: int(r[1]) for r in value_counts(df, label_col, "n").collect()}
 
 
+def _begun(sizes: DataFrame, by: Sequence[str], bucket: str) -> DataFrame:
+    """``sizes(by..., bucket, n)`` with ``before``: the rows in earlier buckets.
+    The window runs over bucket counts, never over rows."""
+    w = Window.partitionBy(*by).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    return sizes.withColumn("before", F.coalesce(F.sum("n").over(w), F.lit(0)).cast("long"))
+
+
 def down_sample(
     df: DataFrame,
     target: int,
@@ -66,37 +75,58 @@ def down_sample(
     """B1: for labels with ``n >= target`` keep the ``target`` rows first in
     ``md5(seed:row_id)`` order (without replacement)."""
     counts = _counts(df, label_col) if counts is None else counts
-    big = {l: n for l, n in counts.items() if n >= target}
+    big = [l for l, n in counts.items() if n >= target]
     if not big or target <= 0:
         return df.limit(0).withColumn("draw", F.lit(0).cast("long"))
-    fracs = {l: min(1.0, (1.2 * target + 64) / n) for l, n in big.items()}
-    keyed = df.filter(F.col(label_col).isin(list(big))).withColumn("_k", order_key(seed))
-
-    def pick(frac_of: dict[str, float]) -> DataFrame:
-        f = None
-        for l, fr in frac_of.items():
-            cond = F.col(label_col) == l
-            f = F.when(cond, F.lit(fr)) if f is None else f.when(cond, F.lit(fr))
-        h = _hex8_to_long(F.col("_k")) / F.lit(float(2**32))
-        return keyed.filter(F.col(label_col).isin(list(frac_of)) & (h < f))
-
-    # Survivors are counted per label (one tiny row each); a label that falls
-    # short (improbable) is retried with a 4x wider hash prefix, so the
-    # window below always sees a bounded number of rows per label.
-    while True:
-        surv = pick(fracs)
-        got = {r[0]: int(r[1]) for r in surv.groupBy(label_col).count().collect()}
-        short = [l for l in big if got.get(l, 0) < target and fracs[l] < 1.0]
-        if not short:
-            break
-        for l in short:
-            fracs[l] = min(1.0, fracs[l] * 4)
-    w = Window.partitionBy(label_col).orderBy("_k", "row_id")
+    keyed = df.filter(F.col(label_col).isin(big)).withColumn("_k", order_key(seed))
+    keyed = keyed.withColumn("_b", F.substring("_k", 1, KEY_DIGITS))
+    sizes = keyed.groupBy(label_col, "_b").agg(F.count(F.lit(1)).alias("n"))
+    # The bucket in which the target falls: one row per label.
+    edges = _begun(sizes, [label_col], "_b").filter((F.col("before") < target) & (F.col("before") + F.col("n") >= target))
+    edge = room = None
+    for r in edges.collect():
+        here = F.col(label_col) == r[label_col]
+        edge = F.when(here, F.lit(r["_b"])) if edge is None else edge.when(here, F.lit(r["_b"]))
+        left = F.lit(target - r["before"])
+        room = F.when(here, left) if room is None else room.when(here, left)
+    whole = keyed.filter(F.col("_b") < edge)
+    w = Window.partitionBy(label_col, "_b").orderBy("_k", "row_id")
+    cut = keyed.filter(F.col("_b") == edge).withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= room).drop("_rn")
+    return whole.unionByName(cut).drop("_k", "_b").withColumn("draw", F.lit(0).cast("long"))
+
+
+def _numbered(df: DataFrame, label_col: str) -> DataFrame:
+    """``df`` with ``_rn``: the number of each row in its label, from 1, in
+    ``row_id`` order.  Buckets are ranges of ``row_id`` that hold about equally
+    many rows of all labels together."""
+    parts = [F.lit(i / RANGES) for i in range(1, RANGES)]
+    cuts = df.agg(F.percentile_approx("row_id", F.array(*parts)).alias("cuts")).first()["cuts"] or []  # RANGES numbers
+    cuts = F.array(*[F.lit(c) for c in sorted(set(cuts))])
+    ranged = df.withColumn("_b", F.size(F.filter(cuts, lambda c: c <= F.col("row_id"))))
+    sizes = ranged.groupBy(label_col, "_b").agg(F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy(label_col, "_b").orderBy("row_id")
+    return (
+        ranged.withColumn("_rk", F.row_number().over(w))
+        .join(_begun(sizes, [label_col], "_b"), [label_col, "_b"])
+        .withColumn("_rn", F.col("before") + F.col("_rk"))
+        .drop("_b", "_rk", "n", "before")
+    )
+
+
+def reindex(df: DataFrame, key: str = "shuffle_key", ties: Sequence[str] = ("row_id",), name: str = "row_no") -> DataFrame:
+    """The 0-based position of each row in the order of its (hexadecimal)
+    ``key``, rows of equal keys in the order of ``ties``."""
+    bucketed = df.withColumn("_b", F.substring(key, 1, INDEX_DIGITS))
+    sizes = bucketed.groupBy("_b").agg(F.count(F.lit(1)).alias("n"))
+    begun, at = [], 0
+    for r in sizes.orderBy("_b").collect():  # at most 16 ** INDEX_DIGITS counts
+        begun.append((r["_b"], at))
+        at += r["n"]
+    offsets = df.sparkSession.createDataFrame(begun, "_b string, _before long")
+    rank = F.row_number().over(Window.partitionBy("_b").orderBy(key, *ties))
     return (
-        surv.withColumn("_rn", F.row_number().over(w))
-        .filter(F.col("_rn") <= target)
-        .drop("_rn", "_k")
-        .withColumn("draw", F.lit(0).cast("long"))
+        bucketed.withColumn("_rk", rank).join(F.broadcast(offsets), "_b")
+        .withColumn(name, F.col("_before") + F.col("_rk") - 1).drop("_b", "_rk", "_before")
     )
 
 
@@ -124,10 +154,7 @@ def over_sample(
     draws = draws.withColumn(
         "_rn", F.pmod(_hex8_to_long(_md5_key(seed, F.col(label_col), F.col("draw"))), F.col("n")) + 1
     ).select(label_col, "draw", "_rn")
-    # Only labels below the target are numbered: every window partition is
-    # smaller than the target.
-    w = Window.partitionBy(label_col).orderBy("row_id")
-    rows = df.filter(F.col(label_col).isin(list(small))).withColumn("_rn", F.row_number().over(w).cast("long"))
+    rows = _numbered(df.filter(F.col(label_col).isin(list(small))), label_col)
     return rows.join(draws, [label_col, "_rn"], "inner").drop("_rn")
 
 

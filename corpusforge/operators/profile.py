@@ -135,40 +135,39 @@ def profile_report(
     the number of columns with nulls, and the first rows of each sampled
     label.
 
-    One grouping-sets aggregate over ``(label)``, ``(source)`` and ``()``
-    yields everything but the samples in a single pass over the data; the
-    per-label samples are a second pass with ``WindowGroupLimit``.
+    One aggregate by ``(label, source)`` reads the data; everything but the
+    samples follows from its rows (labels x sources at most), whose shuffle
+    Spark reuses.  The per-label samples are a second pass with
+    ``WindowGroupLimit``.
     """
     cols = df.columns
-    g = df.groupingSets([[label_col], [source_col], []], label_col, source_col).agg(
-        F.grouping_id().alias("_gid"),
+    g = df.groupBy(label_col, source_col).agg(
         F.min(order_col).alias("first_row"),
         F.count(F.lit(1)).alias("n"),
-        F.count_distinct(label_col).alias("n_labels"),
-        F.count_distinct(source_col).alias("n_sources"),
         *[F.sum(F.col(c).isNull().cast("long")).alias(f"_null{i}") for i, c in enumerate(cols)],
     )
 
     def row(metric: str, key, value) -> Column:
         return F.struct(F.lit(metric).alias("metric"), key.cast("string").alias("key"), value.cast("long").alias("value"))
 
-    # The aggregate is consumed once: each grouping-set row emits its own
-    # metrics, so the data is scanned a single time for all of them.
+    def first_rows(col: str, metric: str) -> DataFrame:
+        firsts = g.groupBy(col).agg(F.min("first_row").alias("first_row"))
+        return firsts.select(row(metric, F.col(col), F.col("first_row")).alias("r")).select("r.*")
+
+    totals = g.agg(
+        F.sum("n").alias("n"), F.count_distinct(label_col).alias("n_labels"), F.count_distinct(source_col).alias("n_sources"),
+        *[F.sum(f"_null{i}").alias(f"_null{i}") for i in range(len(cols))],
+    )
     nulls = [F.coalesce(F.col(f"_null{i}"), F.lit(0)) for i in range(len(cols))]
-    total_rows = F.array(
-        row("rows", F.lit(""), F.col("n")),
+    whole = totals.select(F.explode(F.array(
+        row("rows", F.lit(""), F.coalesce("n", F.lit(0))),
         row("n_labels", F.lit(""), F.col("n_labels")),
         row("n_sources", F.lit(""), F.col("n_sources")),
         *[row("nulls", F.lit(c), nulls[i]) for i, c in enumerate(cols)],
         row("total_nulls", F.lit(""), sum(nulls[1:], nulls[0])),
         row("columns_with_nulls", F.lit(""), sum(((x > 0).cast("long") for x in nulls[1:]), (nulls[0] > 0).cast("long"))),
-    )
-    emitted = (
-        F.when(F.col("_gid") == 1, F.array(row("label_first_row", F.col(label_col), F.col("first_row"))))
-        .when(F.col("_gid") == 2, F.array(row("source_first_row", F.col(source_col), F.col("first_row"))))
-        .otherwise(total_rows)
-    )
-    aggs = g.select(F.explode(emitted).alias("r")).select("r.*")
+    )).alias("r")).select("r.*")
+    aggs = whole.unionByName(first_rows(label_col, "label_first_row")).unionByName(first_rows(source_col, "source_first_row"))
     w = Window.partitionBy(label_col).orderBy(order_col)
     samples = (
         df.filter(F.col(label_col).isin(list(sample_labels)))

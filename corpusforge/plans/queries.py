@@ -441,6 +441,17 @@ def q_shuffle_seeded(spark, sf_dir):
     return B.shuffle(cleaned(spark, sf_dir).select(*HEADLINE_COLS), FX.SEED)
 
 
+@register(
+    "shuffle_reindexed",
+    _wv("headlines") + ",\n" + _CLEAN
+    + ",\nkeyed AS (SELECT row_id, text, label, source, url, " + S.md5_key(FX.SEED, "row_id") + " AS shuffle_key FROM cleaned)"
+    + "\nSELECT *, row_number() OVER (ORDER BY shuffle_key, row_id) - 1 AS row_no FROM keyed",
+)
+def q_shuffle_reindexed(spark, sf_dir):
+    """The shuffled rows, numbered anew."""
+    return B.reindex(B.shuffle(cleaned(spark, sf_dir).select(*HEADLINE_COLS), FX.SEED))
+
+
 # ---------------------------------------------------------------- collect --
 
 from corpusforge.operators import collect as C  # noqa: E402

@@ -107,7 +107,6 @@ def growth_batch(
         .filter(~F.col("_apply") | keyword_any_array("norm", F.col("keywords")))
         .join(F.broadcast(lab), "label")
         .withColumn("nkey", F.sha2(F.col("norm"), 256))
-        .join(seen, "nkey", "left_anti")
         .select("source", "label", "label_pos", "priority", "need", "page_no", "pos",
                 F.col("title").alias("text"), F.col("href").alias("url"), "nkey")
     )
@@ -117,6 +116,10 @@ def growth_batch(
     path = scratch_path(spark, f"growth-candidates-{batch_id}")
     c.write.parquet(path)
     c = spark.read.schema(c.schema).parquet(path)
+    # Of the corpus keys only those that the batch has too are of interest: the
+    # batch's side is the small one, which AQE may broadcast.
+    met = seen.join(c.select("nkey"), "nkey", "left_semi")
+    c = c.join(met, "nkey", "left_anti")
     page = ["label", "priority", "page_no"]
     earlier = Window.partitionBy("label").orderBy("priority", "page_no").rowsBetween(Window.unboundedPreceding, -1)
     before = (

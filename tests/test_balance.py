@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from corpusforge.operators.balance import NotEnoughRowsError, balance, balance_strict
+from corpusforge.operators.balance import NotEnoughRowsError, balance, balance_strict, down_sample, over_sample, reindex, shuffle
 
 
 def _corpus(spark, sizes):
@@ -43,3 +43,28 @@ def test_strict(spark):
         balance_strict(df, 5, ["A", "Z"])
     out = balance_strict(df, 10, ["A", "B"])
     assert {r[0]: r[1] for r in out.groupBy("label").count().collect()} == {"A": 10, "B": 10}
+
+
+def test_no_window_holds_a_label(spark):
+    df = _corpus(spark, {"A": 50, "B": 5})
+    for out in (down_sample(df, 20), over_sample(df, 20)):
+        windows = [x for x in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "row_number()" in x and "Window" in x]
+        assert windows and all("_b#" in x.split("windowspecdefinition(")[1].split(" ASC")[0] for x in windows)
+
+
+def test_same_rows_as_one_window_over_each_label(spark):
+    df = _corpus(spark, {"A": 700, "B": 40, "C": 1})
+    key = F.md5(F.concat(F.lit("5:"), F.col("row_id").cast("string")))
+    order = {}
+    for r in df.withColumn("k", key).sort("k").collect():
+        order.setdefault(r["label"], []).append(r["row_id"])
+    got = down_sample(df, 33, seed=5).select("label", "row_id").collect()
+    assert sorted(tuple(r) for r in got) == sorted((x, i) for x in "AB" for i in order[x][:33])
+
+
+def test_rows_are_numbered_in_shuffled_order(spark):
+    df = shuffle(_corpus(spark, {"A": 300, "B": 9}), 3)
+    rows = reindex(df).collect()
+    assert [r["row_id"] for r in sorted(rows, key=lambda r: r["row_no"])] == [r["row_id"] for r in df.sort("shuffle_key", "row_id").collect()]
+    assert sorted(r["row_no"] for r in rows) == list(range(309))
+    assert reindex(df.limit(0)).count() == 0
