@@ -10,6 +10,7 @@ pages; a single page is bounded by its size.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -21,7 +22,7 @@ from pyspark import cloudpickle
 import corpusforge
 from corpusforge.functions import html as _html
 from corpusforge.functions.text import contains_none, path_accepted, strip_ws
-from corpusforge.operators.dedupe import dedupe_in_page
+from corpusforge.operators.dedupe import dedupe_in_page, keep_first
 from corpusforge.session import spread
 
 # The parser helper travels to the Python workers by value: executors need
@@ -43,13 +44,19 @@ TEXT_MODES = {"spaced": "text_spaced", "joined": "text_joined", "whole": "text_w
 def html_matches(
     pages: DataFrame,
     key_cols: Sequence[str],
-    selectors: Sequence[str],
+    selectors: Sequence[str] | str,
     union: bool = True,
     html_col: str = "html",
 ) -> DataFrame:
-    """Selector matches of every page: ``key_cols`` + ``HIT_FIELDS``."""
+    """Selector matches of every page: ``key_cols`` + ``HIT_FIELDS``.  A string
+    as ``selectors`` names a column with each page's own list (null or empty:
+    the default list)."""
+    from corpusforge.sources.registry import DEFAULT_SELECTORS
+
     keys = list(key_cols)
-    sels = list(selectors)
+    own = selectors if isinstance(selectors, str) else None
+    sels = DEFAULT_SELECTORS if own else list(selectors)
+    read = [*keys, html_col, *([own] if own else [])]
     in_schema = pages.select(*keys).schema
     out_schema = T.StructType(list(in_schema.fields) + HIT_FIELDS)
 
@@ -59,19 +66,20 @@ def html_matches(
             for rec in pdf.itertuples(index=False):
                 d = rec._asdict()
                 key = tuple(d[k] for k in keys)
-                for m in _html.matches(d[html_col], sels, union):
+                mine = sels if own is None or d[own] is None or not len(d[own]) else list(d[own])
+                for m in _html.matches(d[html_col], mine, union):
                     rows.append(key + m)
             yield pd.DataFrame(rows, columns=[f.name for f in out_schema.fields])
 
     # Parsing is CPU-bound Python: spread a small page table over all task
     # slots first (no-op for a large one).
-    return spread(pages.select(*keys, html_col)).mapInPandas(run, out_schema)
+    return spread(pages.select(*read)).mapInPandas(run, out_schema)
 
 
 def extract_links(
     pages: DataFrame,
     key_cols: Sequence[str],
-    selectors: Sequence[str] | None = None,
+    selectors: Sequence[str] | str | None = None,
     min_len: int = 12,
     text_mode: str = "spaced",
     order_mode: str = "document",
@@ -81,7 +89,8 @@ def extract_links(
 ) -> DataFrame:
     """``(keys..., pos, title, href)`` items of each page.
 
-    * ``selectors`` empty -> the default heading/title-class list;
+    * ``selectors`` empty -> the default heading/title-class list; a string
+      names a column with each page's own list (``document`` order only);
     * ``order_mode``: ``document`` (CSS union, E1) or ``selector`` (one
       selector after the other, E5);
     * ``text_mode``: ``spaced`` / ``joined`` / ``whole`` (E1 / E2 / E7);
@@ -92,12 +101,12 @@ def extract_links(
     """
     from corpusforge.sources.registry import DEFAULT_SELECTORS
 
-    sels = list(selectors) if selectors else DEFAULT_SELECTORS
     union = order_mode == "document"
     if order_mode not in ("document", "selector"):
         raise ValueError(f"Unknown order_mode: {order_mode}")
-    m = html_matches(pages, key_cols, sels if not union else [", ".join(sels)], union=True) if union else \
-        html_matches(pages, key_cols, sels, union=False)
+    if isinstance(selectors, str) and not union:
+        raise ValueError("each page's own selectors are taken in document order")
+    m = html_matches(pages, key_cols, selectors or DEFAULT_SELECTORS, union)
     title = F.col(TEXT_MODES[text_mode])
     big = F.lit(1 << 32).cast("long")
     pos = F.col("doc_pos") if union else F.col("sel_idx").cast("long") * big + F.col("doc_pos")
@@ -115,6 +124,65 @@ def extract_links(
     return items
 
 
+@dataclass(frozen=True)
+class LinkRule:
+    """One way of taking items off a page (see ``extract_links``)."""
+
+    name: str
+    selectors: Sequence[str]
+    min_len: int = 12
+    text_mode: str = "spaced"
+    order_mode: str = "document"
+    dedupe: bool = True
+    strict_len: bool = False
+
+
+def extract_variants(pages: DataFrame, key_cols: Sequence[str], rules: Sequence[LinkRule]) -> DataFrame:
+    """``(variant, keys..., pos, title, href)``: the items of several rules,
+    each page being parsed once."""
+    sels: list[str] = []
+    owner: list[int] = []  # rule of each selector
+    for i, r in enumerate(rules):
+        mine = [", ".join(r.selectors)] if r.order_mode == "document" else list(r.selectors)
+        sels += mine
+        owner += [i] * len(mine)
+    rule = F.get(F.array(*[F.lit(i) for i in owner]), F.col("sel_idx"))
+
+    def of(values: Sequence) -> F.Column:
+        return F.get(F.array(*[v if isinstance(v, F.Column) else F.lit(v) for v in values]), F.col("_rule"))
+
+    big = F.lit(1 << 32).cast("long")
+    m = html_matches(pages, key_cols, sels, union=False).withColumn("_rule", rule)
+    items = m.select(
+        of([r.name for r in rules]).alias("variant"), *key_cols,
+        (F.col("sel_idx").cast("long") * big + F.col("doc_pos")).alias("pos"),
+        of([F.col(TEXT_MODES[r.text_mode]) for r in rules]).alias("title"),
+        F.coalesce(strip_ws(F.col("href")), F.lit("")).alias("href"),
+        of([r.min_len + r.strict_len for r in rules]).alias("_least"), of([r.dedupe for r in rules]).alias("_dedupe"),
+    )
+    items = items.filter((F.length("title") >= F.col("_least")) & (F.length("title") > 0))
+    # A rule that keeps repeats keys every item by its position.
+    place = F.when(~F.col("_dedupe"), F.col("pos"))
+    keys = ["variant", *key_cols, F.sha2(F.col("title"), 256), F.sha2(F.col("href"), 256), place]
+    return keep_first(items, keys, order_cols=("pos",)).drop("_least", "_dedupe")
+
+
+def links_by_source(pages: DataFrame, reg: DataFrame) -> DataFrame:
+    """E1 for a crawl: raw items ``(priority, source, page_no, pos, title,
+    href)`` of captured ``pages`` (``schema.PAGES``), by the selectors of each
+    registry row that reads the page.  Pages with a ``priority`` column belong
+    to that row alone, others to every row of their source name.  Only pages
+    that were fetched (status 200) and lie in the row's range are parsed."""
+    rows = reg.select("priority", F.col("name").alias("source"), "selectors", "start_page", "max_pages")
+    on = ["priority"] if "priority" in pages.columns else ["source"]
+    rows = rows.drop("source") if on == ["priority"] else rows
+    mine = (
+        pages.filter("http_status = 200").select(*on, *({"source", "page_no", "html"} - set(on))).join(rows, on)
+        .filter(F.col("page_no").between(F.col("start_page"), F.col("max_pages")))
+    )
+    return extract_links(mine, ["priority", "source", "page_no"], "selectors", min_len=0, dedupe=False)
+
+
 def number_items(items: DataFrame, key_cols: Sequence[str], pos_col: str = "pos", name: str = "item_no") -> DataFrame:
     """Dense 1-based position of each item inside its page (window per page)."""
     w = Window.partitionBy(*key_cols).orderBy(pos_col)

@@ -48,6 +48,19 @@ ALL_SOURCES = REGISTRY + [
     for i in range(0, 20, 2)
 ]
 
+# Sources of captured pages: two of the sites serve two labels, with selectors of
+# their own.
+PAGE_SOURCES = [
+    {"name": "example.com", "label": "Politics", "base_url": "https://example.com/", "selectors": ["nav li a"], "max_pages": 2000000000},
+    {"name": "example.com", "label": "World", "base_url": "https://example.com/", "selectors": [".entry-title", "article h1"],
+     "max_pages": 2000000000},
+    {"name": "example.org", "label": "Sports", "base_url": "https://example.org/", "selectors": ["h2 a", "li a"],
+     "type": "keyword_archive", "keywords": TEXT_KEYWORDS, "max_pages": 2000000000},
+    {"name": "example.org", "label": "Economy", "base_url": "https://example.org/", "selectors": ["article h1"],
+     "max_pages": 2000000000},
+    {"name": "example.net", "label": "Economy", "base_url": "https://example.net/", "selectors": ["nav a"], "max_pages": 2000000000},
+]
+
 
 def sql_registry(sources=None) -> str:
     """The registry as a DuckDB ``VALUES`` CTE named ``registry``."""

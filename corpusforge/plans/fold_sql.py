@@ -35,9 +35,11 @@ def fold_sql(
     quota: bool = True,
     target_div: int = 5,
     tail: str = "accepted",
+    captured: str | None = None,
 ) -> str:
     """``tail``: ``accepted`` rows, ``metrics`` per step, ``corpus`` (K1:
-    base ∪ accepted, keep-first by normalised text) or ``shortfall`` (A13)."""
+    base ∪ accepted, keep-first by normalised text) or ``shortfall`` (A13).
+    ``captured``: CTEs that define ``archive`` and ``page_status`` anew."""
     reg_sql = _registry_sql(registry)
     stop = []
     if cfg.stop_on_http:
@@ -59,7 +61,8 @@ def fold_sql(
         counted = ("(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source, page_no, title, href "
                    "ORDER BY pos) AS _d FROM archive) WHERE _d = 1)")
     ctes = [
-        V.with_views("base", "archive", "page_status")[len("WITH "):],
+        V.with_views("base", *([] if captured else ["archive", "page_status"]))[len("WITH "):],
+        *([captured] if captured else []),
         S.clean_cte("base", "cbase"),
         FX.sql_labels("req", labels),
         f"tgt AS (SELECT count(*) // {target_div} AS target FROM cbase)",

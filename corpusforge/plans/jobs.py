@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from corpusforge import schema
 from corpusforge.functions.text import title_case
 from corpusforge.operators import balance as B
-from corpusforge.operators import clean, collect, dedupe, merge, profile
+from corpusforge.operators import clean, collect, dedupe, extract, merge, profile
+from corpusforge.session import scratch_path
 from corpusforge.sources.registry import sources_frame
 
 
@@ -66,6 +67,30 @@ def extend_to_target(
                         profile.shortfall(final, labels, target))
 
 
+def extend_from_pages(
+    spark: SparkSession,
+    base: DataFrame,
+    pages: DataFrame,
+    registry: Sequence[Mapping] | DataFrame,
+    labels: Sequence[str] = tuple(schema.DEFAULT_LABELS),
+    target: int = schema.DEFAULT_TARGET,
+    cfg: collect.CollectConfig = collect.CollectConfig(),
+    dedupe_base_first: bool = False,
+    run_dir: str | None = None,
+    input_version: str | None = None,
+) -> ExtendResult:
+    """K1 from captured pages (``schema.PAGES``): each source's own selectors
+    give the items of its pages (written once, so no page is parsed again), and
+    ``extend_to_target`` does the rest."""
+    reg = registry if isinstance(registry, DataFrame) else sources_frame(spark, registry)
+    items = extract.links_by_source(pages, reg)
+    path = scratch_path(spark, "page-items")
+    items.write.parquet(path)
+    items = spark.read.schema(items.schema).parquet(path)
+    status = pages.drop("html", "url")
+    return extend_to_target(spark, base, status, items, reg, labels, target, cfg, dedupe_base_first, run_dir, input_version)
+
+
 def balance_job(df: DataFrame, target: int, seed: int = B.DEFAULT_SEED, dedupe_text_label: bool = False) -> DataFrame:
     """Clean, down-/over-sample every label to ``target``, seeded
     shuffle key; optionally drop repeated ``(text, label)`` afterwards (D6)."""

@@ -607,31 +607,23 @@ def q_page_links(spark, sf_dir):
 
 
 _VARIANTS = [
-    # (name, selectors, min_len, text_mode, order_mode, dedupe, strict)
-    ("joined_min5", ["nav li a"], 5, "joined", "document", True, False),
-    ("selector_major_min3", ["nav a", "li a"], 3, "spaced", "selector", True, False),
-    ("no_dedupe_gt8", ["h2 a", "h3 a", "li a"], 8, "spaced", "document", False, True),
+    X.LinkRule("joined_min5", ["nav li a"], 5, "joined"),
+    X.LinkRule("selector_major_min3", ["nav a", "li a"], 3, order_mode="selector"),
+    X.LinkRule("no_dedupe_gt8", ["h2 a", "h3 a", "li a"], 8, dedupe=False, strict_len=True),
 ]
 
 
 @register(
     "page_links_variants",
     "WITH " + _SQL_NAV + "\n" + "\nUNION ALL\n".join(
-        _sql_links(m, d, st, n) for n, _s, m, _t, _o, d, st in _VARIANTS
+        _sql_links(r.min_len, r.dedupe, r.strict_len, r.name) for r in _VARIANTS
     ),
 )
 def q_page_links_variants(spark, sf_dir):
     """Text modes, selector-major order, dedupe off, other
-    minimum lengths."""
-    out = None
-    p = pages_tbl(spark, sf_dir)
-    for name, sels, m, tm, om, d, st in _VARIANTS:
-        items = X.extract_links(p, PAGE_KEY, sels, min_len=m, text_mode=tm, order_mode=om, dedupe=d, strict_len=st)
-        items = X.number_items(items, PAGE_KEY).select(
-            F.lit(name).alias("variant"), "page_id", "item_no", "title", "href"
-        )
-        out = items if out is None else out.unionByName(items)
-    return out
+    minimum lengths; each page is parsed once."""
+    items = X.extract_variants(pages_tbl(spark, sf_dir), PAGE_KEY, _VARIANTS)
+    return X.number_items(items, ["variant", *PAGE_KEY]).select("variant", "page_id", "item_no", "title", "href")
 
 
 def _unescape_sql(x: str) -> str:
@@ -695,6 +687,51 @@ def q_harvest_all(spark, sf_dir):
     return _with_tags(h).select("page_id", "text", "label", "source")
 
 
+# Captured listing pages: the source is the page's domain, a page is a page of
+# its own, and one in 37 could not be fetched.
+PAGE_CFG = C.CollectConfig(min_title_len=5, empty_test="raw")
+_SQL_CAPTURED = (
+    "cap AS (SELECT page_id, 'example.' || regexp_extract(url, '\\.example\\.([a-z]+)/', 1) AS source, "
+    "CAST(page_id + 1 AS BIGINT) AS page_no, CASE WHEN page_id % 37 = 36 THEN NULL ELSE 200 END AS http_status, html FROM pages),\n"
+    + _SQL_NAV + ",\nheadings AS (" + _sql_h1(0, 1) + "),\n"
+    "ids(id, name, heads) AS (VALUES "
+    + ", ".join(f"('{i + 1}', {S.q(r['name'])}, {'h1' in r['selectors'][-1]})" for i, r in enumerate(FX.PAGE_SOURCES)) + "),\n"
+    "archive AS (SELECT ids.id AS source, cap.page_no, CAST(nav.i AS BIGINT) AS pos, nav.title, nav.href FROM cap "
+    "JOIN ids ON ids.name = cap.source AND NOT ids.heads JOIN navt nav ON nav.page_id = cap.page_id "
+    "WHERE cap.http_status = 200 AND nav.title <> '' UNION ALL "
+    "SELECT ids.id, cap.page_no, 0, headings.text, '' FROM cap JOIN ids ON ids.name = cap.source AND ids.heads "
+    "JOIN headings ON headings.page_id = cap.page_id WHERE cap.http_status = 200),\n"
+    "page_status AS (SELECT ids.id AS source, cap.page_no, cap.http_status FROM cap JOIN ids ON ids.name = cap.source)"
+)
+
+
+def captured(spark, sf_dir):
+    """The ``pages`` table as captured listing pages (``schema.PAGES``)."""
+    return pages_tbl(spark, sf_dir).select(
+        F.concat(F.lit("example."), F.regexp_extract("url", r"\.example\.([a-z]+)/", 1)).alias("source"),
+        (F.col("page_id") + 1).cast("long").alias("page_no"), "url",
+        F.when(F.col("page_id") % 37 != 36, F.lit(200)).alias("http_status"), "html",
+    )
+
+
+@register(
+    "corpus_from_pages",
+    "SELECT f.part_no, f.row_id, f.step, f.page_no, f.text, f.label, coalesce(n.name, f.source) AS source, f.url FROM ("
+    + FS.fold_sql(FX.LABELS, [{**r, "name": str(i + 1)} for i, r in enumerate(FX.PAGE_SOURCES)], PAGE_CFG, tail="corpus",
+                  captured=_SQL_CAPTURED)
+    + ") f LEFT JOIN (VALUES " + ", ".join(f"('{i + 1}', {S.q(r['name'])})" for i, r in enumerate(FX.PAGE_SOURCES))
+    + ") n(id, name) ON f.source = n.id AND f.part_no = 1",
+)
+def q_corpus_from_pages(spark, sf_dir):
+    """K1 from captured pages: each source's own selectors, sites that serve
+    two labels, quotas and stop rules, then keep-first with the base."""
+    from corpusforge.plans import jobs
+
+    target = base_target(clean_base(spark, sf_dir))
+    res = jobs.extend_from_pages(spark, V.base(spark, sf_dir), captured(spark, sf_dir), FX.PAGE_SOURCES, FX.LABELS, target, PAGE_CFG)
+    return res.corpus.select(*[c for c in CORPUS_COLS if c != "pos"])
+
+
 _CAT = dict(reject_words=["the", "ing", "and"], accept_prefix="/", reject_prefixes=["/a", "/b", "/c"],
             host="https://cat.example.org", limit=3)
 

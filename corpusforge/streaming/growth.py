@@ -29,6 +29,7 @@ from corpusforge import schema
 from corpusforge.functions.text import keyword_any_array, norm_key, norm_text
 from corpusforge.operators.collect import check_run, content_digest
 from corpusforge.operators.dedupe import keep_first
+from corpusforge.operators.extract import links_by_source
 from corpusforge.session import path_exists, scratch_path
 from corpusforge.sources.registry import apply_keywords
 
@@ -100,10 +101,12 @@ def growth_batch(
         seen = seen.unionByName(prev.select("nkey"))
     lab = spark.createDataFrame([(l, i, need[l]) for i, l in enumerate(labels)], "label string, label_pos int, need long")
     r = reg.select(F.col("name").alias("source"), "label", "priority", apply_keywords().alias("_apply"), "keywords")
+    on = "priority" if "priority" in batch.columns else "source"  # items of one registry row, or of a site
+    r = r.drop("source") if on == "priority" else r
     c = (
         batch.filter(F.length("title") >= min_title_len)
         .withColumn("norm", norm_text("title"))
-        .join(r, "source")
+        .join(r, on)
         .filter(~F.col("_apply") | keyword_any_array("norm", F.col("keywords")))
         .join(F.broadcast(lab), "label")
         .withColumn("nkey", F.sha2(F.col("norm"), 256))
@@ -145,11 +148,17 @@ def start_growth(
     checkpoint: str,
     available_now: bool = True,
     min_title_len: int = 12,
+    pages: bool = False,
 ) -> StreamingQuery:
-    """Start the stream over ``items_dir`` (files of ``schema.ITEMS``)."""
-    stream = spark.readStream.schema(schema.ITEMS).parquet(items_dir)
-    w = stream.writeStream.foreachBatch(
-        lambda df, bid: growth_batch(df, bid, gbase, reg, labels, target, out_dir, min_title_len)
-    ).option("checkpointLocation", checkpoint)
+    """Start the stream over ``items_dir`` (files of ``schema.ITEMS``; with
+    ``pages`` files of ``schema.PAGES``, whose items are taken by each source's
+    selectors)."""
+    stream = spark.readStream.schema(schema.PAGES if pages else schema.ITEMS).parquet(items_dir)
+
+    def batch(df: DataFrame, bid: int) -> None:
+        items = links_by_source(df, reg) if pages else df
+        growth_batch(items, bid, gbase, reg, labels, target, out_dir, min_title_len)
+
+    w = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     return w.start()

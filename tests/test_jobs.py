@@ -37,3 +37,48 @@ def test_merge_and_balance_jobs(spark):
     assert {r.label: r["count"] for r in out.groupBy("label").count().collect()} == {"A": 12, "B": 12}
     top = jobs.label_report(df).first()
     assert (top.label, top["count"]) == ("A", 20)
+
+
+_PAGE = '<ul><li><a href="/l{0}">list headline {0}</a></li></ul><h2><a href="/h{0}">heading headline {0}</a></h2>'
+_REG = [{"name": "s", "label": "A", "base_url": "https://s/", "selectors": ["li a"]},
+        {"name": "s", "label": "B", "base_url": "https://s/"},  # default selectors
+        {"name": "t", "label": "B", "base_url": "https://t/", "selectors": ["h2 a", "li a"], "start_page": 2}]
+
+
+def _captures(spark):
+    rows = [("s", 1, "u", 200, _PAGE.format(1)), ("s", 2, "u", None, _PAGE.format(2)), ("s", 3, "u", 404, _PAGE.format(3)),
+            ("s", 4, "u", 200, _PAGE.format(4)), ("t", 1, "u", 200, _PAGE.format(5)), ("t", 2, "u", 200, _PAGE.format(6)),
+            ("t", 3, "u", 200, None)]
+    return spark.createDataFrame(rows, "source string, page_no long, url string, http_status int, html string")
+
+
+def test_each_source_reads_its_pages_with_its_own_selectors(spark):
+    base = spark.createDataFrame([(1, "list headline 6", "A")], "row_id long, text string, label string")
+    r = jobs.extend_from_pages(spark, base, _captures(spark), _REG, ["A", "B"], 10)
+    got = sorted((x.step, x.label, x.source, x.page_no, x.text, x.url) for x in r.accepted.collect())
+    assert got == [(1, "A", "s", 1, "list headline 1", "/l1"), (2, "B", "s", 1, "heading headline 1", "/h1"),
+                   (3, "B", "t", 2, "heading headline 6", "/h6")]
+
+
+def test_pages_of_one_registry_row(spark):
+    from corpusforge.operators.extract import links_by_source
+    from corpusforge.sources.registry import sources_frame
+
+    pages = _captures(spark).withColumn("priority", F.lit(2))
+    got = links_by_source(pages, sources_frame(spark, _REG)).filter("page_no = 1").select("priority", "source", "title").collect()
+    assert sorted(tuple(x) for x in got) == [(2, "s", "heading headline 1"), (2, "t", "heading headline 5")]
+
+
+def test_stream_of_pages(spark, tmp_path):
+    from corpusforge.sources.registry import sources_frame
+    from corpusforge.streaming.growth import prepare_base, start_growth
+
+    base = spark.createDataFrame([("list headline 1", "A")], "text string, label string")
+    _captures(spark).write.parquet(str(tmp_path / "pages"))
+    q = start_growth(spark, str(tmp_path / "pages"), prepare_base(spark, base, str(tmp_path / "base")), sources_frame(spark, _REG),
+                     ["A", "B"], 3, str(tmp_path / "out"), str(tmp_path / "ckpt"), pages=True)
+    q.awaitTermination()
+    got = sorted((x.label, x.source, x.text) for x in spark.read.parquet(str(tmp_path / "out")).collect())
+    # stop rules play no part in a stream: pages after an error count too
+    assert got == [("A", "s", "list headline 4"), ("B", "s", "heading headline 1"), ("B", "s", "heading headline 4"),
+                   ("B", "t", "list headline 6")]
