@@ -203,7 +203,7 @@ class FoldResult:
     needs: dict[str, int]
 
 
-def _by_id(df: DataFrame, reg: DataFrame) -> DataFrame:
+def by_id(df: DataFrame, reg: DataFrame) -> DataFrame:
     """``df`` with ``source`` = the registry row's id."""
     if "priority" in df.columns:
         return df.withColumn("source", F.col("priority").cast("string")).drop("priority")
@@ -251,7 +251,7 @@ def collect_fold(
         if input_version is None:
             input_version = "/".join(content_digest(d) for d in (pages, items, base) if d is not None)
         _check_fingerprint(spark, run_dir, needs, labels, cfg, reg, input_version)
-    pages, items = _by_id(pages, reg), _by_id(items, reg)
+    pages, items = by_id(pages, reg), by_id(items, reg)
     reg = reg.withColumn("name", F.col("priority").cast("string"))
     kept, counts = prepare_items(items, cfg)
     vis = visible_pages(pages, counts, reg, cfg)

@@ -90,7 +90,7 @@ def extract_links(
     """``(keys..., pos, title, href)`` items of each page.
 
     * ``selectors`` empty -> the default heading/title-class list; a string
-      names a column with each page's own list (``document`` order only);
+      names a column with each page's own list;
     * ``order_mode``: ``document`` (CSS union, E1) or ``selector`` (one
       selector after the other, E5);
     * ``text_mode``: ``spaced`` / ``joined`` / ``whole`` (E1 / E2 / E7);
@@ -104,8 +104,6 @@ def extract_links(
     union = order_mode == "document"
     if order_mode not in ("document", "selector"):
         raise ValueError(f"Unknown order_mode: {order_mode}")
-    if isinstance(selectors, str) and not union:
-        raise ValueError("each page's own selectors are taken in document order")
     m = html_matches(pages, key_cols, selectors or DEFAULT_SELECTORS, union)
     title = F.col(TEXT_MODES[text_mode])
     big = F.lit(1 << 32).cast("long")
@@ -167,7 +165,9 @@ def extract_variants(pages: DataFrame, key_cols: Sequence[str], rules: Sequence[
     return keep_first(items, keys, order_cols=("pos",)).drop("_least", "_dedupe")
 
 
-def links_by_source(pages: DataFrame, reg: DataFrame) -> DataFrame:
+def links_by_source(
+    pages: DataFrame, reg: DataFrame, text_mode: str = "spaced", order_mode: str = "document", href_default: str | None = ""
+) -> DataFrame:
     """E1 for a crawl: raw items ``(priority, source, page_no, pos, title,
     href)`` of captured ``pages`` (``schema.PAGES``), by the selectors of each
     registry row that reads the page.  Pages with a ``priority`` column belong
@@ -180,7 +180,9 @@ def links_by_source(pages: DataFrame, reg: DataFrame) -> DataFrame:
         pages.filter("http_status = 200").select(*on, *({"source", "page_no", "html"} - set(on))).join(rows, on)
         .filter(F.col("page_no").between(F.col("start_page"), F.col("max_pages")))
     )
-    return extract_links(mine, ["priority", "source", "page_no"], "selectors", min_len=0, dedupe=False)
+    return extract_links(
+        mine, ["priority", "source", "page_no"], "selectors", 0, text_mode, order_mode, dedupe=False, href_default=href_default
+    )
 
 
 def number_items(items: DataFrame, key_cols: Sequence[str], pos_col: str = "pos", name: str = "item_no") -> DataFrame:

@@ -62,6 +62,28 @@ PAGE_SOURCES = [
 ]
 
 
+def _site(domain: str, label: str, selectors: list[str], keywords: list[str] | None = None) -> dict:
+    more = {} if keywords is None else {"type": "keyword_archive", "keywords": keywords}
+    return {"name": f"example.{domain}", "label": label, "base_url": f"https://example.{domain}/", "selectors": selectors,
+            "max_pages": 2000000000, **more}
+
+
+# The top-ups on the captured pages: sources in order and their selectors.
+# Titles are lower-cased before the test, so a keyword in capitals never fits.
+TOPUP_SOURCES = {
+    "topup_one_site": [_site("com", "Sports", ["li a"]), _site("com", "Economy", ["article h1"])],
+    "topup_three_sites": [_site("com", "Economy", ["article h1", "li a"]), _site("net", "Economy", ["article h1", "li a"]),
+                          _site("org", "Sports", ["article h1", "li a"])],
+    "topup_keyword_site": [_site("com", "Sports", ["nav a"]), _site("org", "Sports", ["article h1"]),
+                           _site("net", "Economy", ["article h1"], ["THE", "ment", "free"])],
+    "topup_backup_site": [_site("com", "Sports", ["nav li a"]), _site("org", "Sports", ["article h1"])],
+    "topup_categories_then_archive": [_site("com", "Economy", ["li a"]), _site("net", "Economy", ["li a"]),
+                                      _site("org", "Economy", ["article h1"], TEXT_KEYWORDS)],
+    "topup_archives": [_site(d, "Economy", ["article h1"], TEXT_KEYWORDS) for d in ("com", "org", "net")],
+    "topup_two_archives": [_site("org", "Economy", ["article h1"], TEXT_KEYWORDS), _site("com", "Economy", ["nav a"], TEXT_KEYWORDS)],
+}
+
+
 def sql_registry(sources=None) -> str:
     """The registry as a DuckDB ``VALUES`` CTE named ``registry``."""
     from corpusforge.sources.registry import source_row

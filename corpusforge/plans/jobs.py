@@ -43,6 +43,7 @@ def extend_to_target(
     dedupe_base_first: bool = False,
     run_dir: str | None = None,
     input_version: str | None = None,
+    dedupe_final: bool = True,
 ) -> ExtendResult:
     """K1: extend a corpus until each label reaches ``target``.
 
@@ -53,7 +54,8 @@ def extend_to_target(
     ``pages(source, page_no, http_status)`` and ``items(source, page_no,
     pos, title, href)`` are the captured listing pages and their extracted
     items (see ``operators.extract``); ``run_dir`` and ``input_version`` as in
-    ``collect.collect_fold``.
+    ``collect.collect_fold``; without ``dedupe_final`` new rows are appended to
+    the base as it is.
     """
     b = clean.clean_corpus(base)
     if dedupe_base_first:
@@ -62,7 +64,7 @@ def extend_to_target(
     needs_df = profile.label_needs(b, labels, target)
     needs = {r["label"]: int(r["need"]) for r in needs_df.collect()}  # one row per label
     res = collect.collect_fold(spark, pages, items, reg, b, needs, labels, cfg, run_dir, input_version)
-    final = collect.extend_corpus(b, res.accepted)
+    final = collect.extend_corpus(b, res.accepted, dedupe_final)
     return ExtendResult(final, res.accepted, res.metrics, res.pages, needs,
                         profile.shortfall(final, labels, target))
 
@@ -83,14 +85,61 @@ def extend_from_pages(
     give the items of its pages (written once, so no page is parsed again), and
     ``extend_to_target`` does the rest."""
     reg = registry if isinstance(registry, DataFrame) else sources_frame(spark, registry)
-    items = extract.links_by_source(pages, reg)
-    path = scratch_path(spark, "page-items")
-    items.write.parquet(path)
-    items = spark.read.schema(items.schema).parquet(path)
+    items = _written(extract.links_by_source(pages, reg))
     status = pages.drop("html", "url")
     return extend_to_target(spark, base, status, items, reg, labels, target, cfg, dedupe_base_first, run_dir, input_version)
 
 
+def _written(items: DataFrame) -> DataFrame:
+    path = scratch_path(items.sparkSession, "page-items")
+    items.write.parquet(path)
+    return items.sparkSession.read.schema(items.schema).parquet(path)
+
+
+@dataclass(frozen=True)
+class TopUp:
+    """One top-up (K11-K15, K17, K18): sources in order, each with its label,
+    selectors and keywords, and how their pages are read."""
+
+    sources: Sequence[Mapping]
+    cfg: collect.CollectConfig
+    text_mode: str = "joined"
+    order_mode: str = "document"
+
+    @property
+    def labels(self) -> list[str]:
+        return list(dict.fromkeys(s["label"] for s in self.sources))
+
+
+def top_up(
+    spark: SparkSession, base: DataFrame, pages: DataFrame, job: TopUp, target: int = schema.DEFAULT_TARGET,
+    run_dir: str | None = None, input_version: str | None = None,
+) -> ExtendResult:
+    """Fill the job's labels up to ``target`` from its sources, one after the
+    other, and append what is new to the base (no final dedupe)."""
+    reg = sources_frame(spark, job.sources)
+    items = _written(extract.links_by_source(pages, reg, job.text_mode, job.order_mode))
+    return extend_to_target(spark, base, pages.drop("html", "url"), items, reg, job.labels, target, job.cfg,
+                            run_dir=run_dir, input_version=input_version, dedupe_final=False)
+
+
+def harvest_pages(spark: SparkSession, pages: DataFrame, registry: Sequence[Mapping], cfg: collect.CollectConfig) -> DataFrame:
+    """K4: every item of the pages that the stop rules leave, labelled by its
+    source, keep-first by ``(text, url)`` (E6, W2, W3, D3); no quota and no seen
+    set.  A missing link stays null."""
+    reg = sources_frame(spark, registry)
+    items = _written(extract.links_by_source(pages, reg, "joined", href_default=None))
+    items, pages = collect.by_id(items, reg), collect.by_id(pages.drop("html", "url"), reg)
+    ids = reg.withColumn("name", F.col("priority").cast("string"))
+    kept, counts = collect.prepare_items(items, cfg)
+    visited = collect.visible_pages(pages, counts, ids, cfg).select("source", "page_no")
+    names = reg.select(F.col("priority").cast("string").alias("source"), "priority", "name", "label")
+    rows = kept.join(visited, ["source", "page_no"], "left_semi").join(names, "source").select(
+        "priority", F.col("name").alias("source"), "label", "page_no", "pos", F.col("title").alias("text"), F.col("href").alias("url")
+    )
+    return dedupe.dedupe_text_url(rows, order_cols=("priority", "page_no", "pos"))
+
+
 def balance_job(df: DataFrame, target: int, seed: int = B.DEFAULT_SEED, dedupe_text_label: bool = False) -> DataFrame:
     """Clean, down-/over-sample every label to ``target``, seeded
     shuffle key; optionally drop repeated ``(text, label)`` afterwards (D6)."""

@@ -7,6 +7,7 @@ has a DuckDB SQL twin used as the correctness oracle.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -456,6 +457,7 @@ def q_shuffle_reindexed(spark, sf_dir):
 
 from corpusforge.operators import collect as C  # noqa: E402
 from corpusforge.plans import fold_sql as FS  # noqa: E402
+from corpusforge.plans import jobs  # noqa: E402
 from corpusforge.sources.registry import sources_frame  # noqa: E402
 
 # Streak thresholds scaled to the data size (80 / 25 / 10 in the reference).
@@ -488,8 +490,6 @@ CORPUS_COLS = ["part_no", "row_id", "step", "page_no", "pos", "text", "label", "
 
 def run_extend(spark, sf_dir, labels=FX.LABELS, cfg=FOLD_CFG):
     """K1 through the job API: target = a fifth of the cleaned base rows."""
-    from corpusforge.plans import jobs
-
     target = base_target(clean_base(spark, sf_dir))
     items = V.archive(spark, sf_dir).select("source", "page_no", "pos", "title", "href")
     return jobs.extend_to_target(spark, V.base(spark, sf_dir), V.page_status(spark, sf_dir), items,
@@ -659,6 +659,47 @@ def q_heading_cascade(spark, sf_dir):
     return h.select("page_id", "tier", "text")
 
 
+def retagged(spark, sf_dir):
+    """The pages with other heading tags: of three pages the first has its
+    title as ``h2.post-title``, the second as ``h3``, the third keeps ``h1``;
+    of two pages the first has its menu entries as ``h2``."""
+    html = F.col("html")
+    title = lambda tag: F.regexp_replace(F.regexp_replace(html, "<h1>", f"<{tag}>"), "</h1>", f"</{tag.split()[0]}>")
+    p = pages_tbl(spark, sf_dir)
+    third = F.col("page_id") % 3
+    p = p.withColumn("html", F.when(third == 0, title('h2 class="post-title"')).when(third == 1, title("h3")).otherwise(html))
+    menu = F.replace(F.replace(html, F.lit("<li>"), F.lit("<h2>")), F.lit("</li>"), F.lit("</h2>"))
+    return p.withColumn("html", F.when(F.col("page_id") % 2 == 0, menu).otherwise(html))
+
+
+_SQL_H1_ALL = "hd AS (" + _sql_h1(0, 0) + ")"
+
+
+@register(
+    "heading_tiers",
+    "WITH " + _SQL_H1_ALL + "\nSELECT page_id, CAST(page_id % 3 AS INTEGER) AS tier, text FROM hd WHERE length(text) > 15",
+)
+def q_heading_tiers(spark, sf_dir):
+    """E7 where each of the three tiers has its pages."""
+    h = X.headings_with_fallback(retagged(spark, sf_dir), PAGE_KEY, ("h2.post-title", "h3", "h1"), 1, 15)
+    return h.select("page_id", "tier", "text")
+
+
+@register(
+    "heading_counts",
+    "WITH " + _SQL_NAV + ",\n" + _SQL_H1_ALL + ",\n"
+    "u AS (SELECT page_id, 0 AS tier, title AS text FROM navt WHERE page_id % 2 = 0 UNION ALL "
+    "SELECT page_id, 0, text FROM hd WHERE page_id % 2 = 0 AND page_id % 3 = 0 UNION ALL "
+    "SELECT page_id, 2, text FROM hd WHERE page_id % 2 = 1 AND page_id % 3 = 2)\n"
+    "SELECT page_id, CAST(tier AS INTEGER) AS tier, text FROM u WHERE length(text) > 4",
+)
+def q_heading_counts(spark, sf_dir):
+    """E7b where a tier needs three elements: menu entries make the first one
+    of every second page, the rest fall through to the last."""
+    h = X.headings_with_fallback(retagged(spark, sf_dir), PAGE_KEY, ("h2", "h3", "h1"), 3, 4)
+    return h.select("page_id", "tier", "text")
+
+
 _SQL_PAGE_TAGS = (
     "CASE regexp_extract(url, '\\.example\\.[a-z]+/([a-z]+)/', 1) WHEN 'en' THEN 'Politics' WHEN 'fr' THEN 'World' "
     "WHEN 'de' THEN 'Sports' WHEN 'es' THEN 'Economy' END AS label, regexp_extract(url, '://([^/]+)', 1) AS source"
@@ -690,21 +731,40 @@ def q_harvest_all(spark, sf_dir):
 # Captured listing pages: the source is the page's domain, a page is a page of
 # its own, and one in 37 could not be fetched.
 PAGE_CFG = C.CollectConfig(min_title_len=5, empty_test="raw")
-_SQL_CAPTURED = (
+_SQL_CAP = (
     "cap AS (SELECT page_id, 'example.' || regexp_extract(url, '\\.example\\.([a-z]+)/', 1) AS source, "
     "CAST(page_id + 1 AS BIGINT) AS page_no, CASE WHEN page_id % 37 = 36 THEN NULL ELSE 200 END AS http_status, html FROM pages),\n"
     + _SQL_NAV + ",\nheadings AS (" + _sql_h1(0, 1) + "),\n"
-    "ids(id, name, heads) AS (VALUES "
-    + ", ".join(f"('{i + 1}', {S.q(r['name'])}, {'h1' in r['selectors'][-1]})" for i, r in enumerate(FX.PAGE_SOURCES)) + "),\n"
-    "archive AS (SELECT ids.id AS source, cap.page_no, CAST(nav.i AS BIGINT) AS pos, nav.title, nav.href FROM cap "
-    "JOIN ids ON ids.name = cap.source AND NOT ids.heads JOIN navt nav ON nav.page_id = cap.page_id "
-    "WHERE cap.http_status = 200 AND nav.title <> '' UNION ALL "
-    "SELECT ids.id, cap.page_no, 0, headings.text, '' FROM cap JOIN ids ON ids.name = cap.source AND ids.heads "
-    "JOIN headings ON headings.page_id = cap.page_id WHERE cap.http_status = 200),\n"
-    "page_status AS (SELECT ids.id AS source, cap.page_no, cap.http_status FROM cap JOIN ids ON ids.name = cap.source)"
 )
 
 
+def _sql_captured(sources) -> str:
+    """Items and pages of the captures for each registry row (its id as the
+    source): menu links, headings, or the headings before the links."""
+    rows = []
+    for i, r in enumerate(sources):
+        heads, links = "article h1" in r["selectors"], any(x.endswith(" a") for x in r["selectors"])
+        rows.append(f"('{i + 1}', {S.q(r['name'])}, {heads}, {links})")
+    return (
+        _SQL_CAP + f"ids(id, name, heads, links) AS (VALUES {', '.join(rows)}),\n"
+        "archive AS (SELECT ids.id AS source, cap.page_no, CAST(nav.i AS BIGINT) AS pos, nav.title, nav.href FROM cap "
+        "JOIN ids ON ids.name = cap.source AND ids.links JOIN navt nav ON nav.page_id = cap.page_id "
+        "WHERE cap.http_status = 200 AND nav.title <> '' UNION ALL "
+        "SELECT ids.id, cap.page_no, 0, headings.text, '' FROM cap JOIN ids ON ids.name = cap.source AND ids.heads "
+        "JOIN headings ON headings.page_id = cap.page_id WHERE cap.http_status = 200),\n"
+        "page_status AS (SELECT ids.id AS source, cap.page_no, cap.http_status FROM cap JOIN ids ON ids.name = cap.source)"
+    )
+
+
+def _sql_from_pages(columns: str, sources, labels, cfg, tail: str) -> str:
+    """Twin of a fold over the captures; ids become names again."""
+    own = {str(i + 1): cfg.k_for(r["name"]) for i, r in enumerate(sources)}
+    fold = FS.fold_sql(labels, [{**r, "name": str(i + 1)} for i, r in enumerate(sources)],
+                       replace(cfg, zero_streak_by_source=own), tail=tail, captured=_sql_captured(sources))
+    names = ", ".join(f"('{i + 1}', {S.q(r['name'])})" for i, r in enumerate(sources))
+    return f"SELECT {columns} FROM ({fold}) f LEFT JOIN (VALUES {names}) n(id, name) ON f.source = n.id"
+
+
 def captured(spark, sf_dir):
     """The ``pages`` table as captured listing pages (``schema.PAGES``)."""
     return pages_tbl(spark, sf_dir).select(
@@ -716,22 +776,70 @@ def captured(spark, sf_dir):
 
 @register(
     "corpus_from_pages",
-    "SELECT f.part_no, f.row_id, f.step, f.page_no, f.text, f.label, coalesce(n.name, f.source) AS source, f.url FROM ("
-    + FS.fold_sql(FX.LABELS, [{**r, "name": str(i + 1)} for i, r in enumerate(FX.PAGE_SOURCES)], PAGE_CFG, tail="corpus",
-                  captured=_SQL_CAPTURED)
-    + ") f LEFT JOIN (VALUES " + ", ".join(f"('{i + 1}', {S.q(r['name'])})" for i, r in enumerate(FX.PAGE_SOURCES))
-    + ") n(id, name) ON f.source = n.id AND f.part_no = 1",
+    _sql_from_pages(
+        "f.part_no, f.row_id, f.step, f.page_no, f.text, f.label, CASE WHEN f.part_no = 1 THEN n.name ELSE f.source END AS source, f.url",
+        FX.PAGE_SOURCES, FX.LABELS, PAGE_CFG, "corpus"),
 )
 def q_corpus_from_pages(spark, sf_dir):
     """K1 from captured pages: each source's own selectors, sites that serve
     two labels, quotas and stop rules, then keep-first with the base."""
-    from corpusforge.plans import jobs
-
     target = base_target(clean_base(spark, sf_dir))
     res = jobs.extend_from_pages(spark, V.base(spark, sf_dir), captured(spark, sf_dir), FX.PAGE_SOURCES, FX.LABELS, target, PAGE_CFG)
     return res.corpus.select(*[c for c in CORPUS_COLS if c != "pos"])
 
 
+_NO_STREAK = replace(PAGE_CFG, zero_streak=None)
+TOPUPS = {
+    "topup_one_site": jobs.TopUp(FX.TOPUP_SOURCES["topup_one_site"], _NO_STREAK),  # K11
+    "topup_three_sites": jobs.TopUp(FX.TOPUP_SOURCES["topup_three_sites"], _NO_STREAK, order_mode="selector"),  # K12
+    "topup_keyword_site": jobs.TopUp(FX.TOPUP_SOURCES["topup_keyword_site"], _NO_STREAK),  # K13
+    "topup_backup_site": jobs.TopUp(FX.TOPUP_SOURCES["topup_backup_site"], _NO_STREAK),  # K14
+    "topup_categories_then_archive": jobs.TopUp(  # K15: 10 empty pages for categories, 25 for the archive
+        FX.TOPUP_SOURCES["topup_categories_then_archive"],
+        replace(PAGE_CFG, zero_streak=10, zero_streak_by_source={"example.org": 25})),
+    "topup_archives": jobs.TopUp(FX.TOPUP_SOURCES["topup_archives"], replace(PAGE_CFG, zero_streak=80), "spaced"),  # K17
+    "topup_two_archives": jobs.TopUp(FX.TOPUP_SOURCES["topup_two_archives"], _NO_STREAK),  # K18
+}
+
+
+def _register_top_up(name: str, job: jobs.TopUp) -> None:
+    def q(spark, sf_dir):
+        target = base_target(clean_base(spark, sf_dir))
+        res = jobs.top_up(spark, V.base(spark, sf_dir), captured(spark, sf_dir), job, target)
+        return res.accepted.select("step", "source", "label", "page_no", "text", "url")
+
+    q.__name__ = f"q_{name}"
+    columns = "f.step, n.name AS source, f.label, f.page_no, f.text, f.url"
+    register(name, _sql_from_pages(columns, job.sources, job.labels, job.cfg, "accepted"))(q)
+
+
+for _name, _job in TOPUPS.items():
+    _register_top_up(_name, _job)
+
+# Whole sites: an item may repeat within a page; a page without one ends its site.
+HARVEST_PAGES_CFG = C.CollectConfig(min_title_len=3, dedupe_in_page=False)
+
+
+@register(
+    "harvest_sites",
+    "WITH " + _sql_captured(FX.PAGE_SOURCES) + ",\nlong AS (SELECT * FROM archive WHERE length(title) >= 3),\n"
+    "n AS (SELECT source, page_no, count(*) AS n FROM long GROUP BY ALL),\n"
+    "stop AS (SELECT p.source, min(p.page_no) AS page_no FROM page_status p LEFT JOIN n USING (source, page_no) "
+    "WHERE p.http_status <> 200 OR (p.http_status = 200 AND n.n IS NULL) GROUP BY p.source),\n"
+    "lab(id, label) AS (VALUES " + ", ".join(f"('{i + 1}', {S.q(r['label'])})" for i, r in enumerate(FX.PAGE_SOURCES)) + "),\n"
+    "read AS (SELECT CAST(i.source AS INTEGER) AS priority, ids.name AS source, lab.label, i.page_no, i.title AS text, "
+    "CASE WHEN ids.heads THEN NULL ELSE i.href END AS url, i.pos FROM long i JOIN ids ON ids.id = i.source JOIN lab ON lab.id = i.source "
+    "LEFT JOIN stop ON stop.source = i.source WHERE stop.page_no IS NULL OR i.page_no < stop.page_no)\n"
+    "SELECT priority, source, label, page_no, text, url FROM read "
+    "QUALIFY row_number() OVER (PARTITION BY text, url ORDER BY priority, page_no, pos) = 1",
+)
+def q_harvest_sites(spark, sf_dir):
+    """K4: several sites page by page until their stop rule, keep-first by text
+    and link."""
+    rows = jobs.harvest_pages(spark, captured(spark, sf_dir), FX.PAGE_SOURCES, HARVEST_PAGES_CFG)
+    return rows.drop("pos")
+
+
 _CAT = dict(reject_words=["the", "ing", "and"], accept_prefix="/", reject_prefixes=["/a", "/b", "/c"],
             host="https://cat.example.org", limit=3)
 
