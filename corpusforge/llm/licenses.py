@@ -77,7 +77,7 @@ def templates_of(spark: SparkSession, notices: dict[str, str]) -> DataFrame:
     return spark.createDataFrame(list(notices.items()), "license_id string, text string")
 
 
-def _widths(sizes: list[int]) -> list[tuple[int, int, int, int]]:
+def widths(sizes: list[int]) -> list[tuple[int, int, int, int]]:
     """(least w, greatest w, window, stride) of classes of template sizes."""
     out: list[list[int]] = []
     for w in sorted(set(sizes)):
@@ -112,7 +112,7 @@ def scan(docs: DataFrame, templates: DataFrame, containment: float = CONTAINMENT
     if not rows:
         return spark.createDataFrame([], schema)
     wanted = sorted({h for _, own, _ in rows for h in own})
-    classes = _widths([w for _, _, w in rows])
+    classes = widths([w for _, _, w in rows])
 
     texts = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("row"), words(F.col("text")).alias("words"))
     hashed = texts.select("doc_id", "row", shingles(F.col("words")).alias("hashes"))

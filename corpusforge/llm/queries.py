@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,6 +81,33 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"), licenses.templates_of(spark, licenses.NOTICES))
 
 
+def _op3_sql() -> str:
+    """Containment of every template in every window, without bands."""
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    words = lambda x: f"list_filter(string_split_regex(lower({x}), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> '')"
+    k = licenses.SHINGLE
+    shingles = f"list_transform(range(1, greatest(0, len(words) - {k - 1}) + 1), lambda i: array_to_string(words[i:i + {k - 1}], ' '))"
+    sizes = [len(re.findall(r"[^\W_]+", x)) - k + 1 for x in licenses.NOTICES.values()]
+    notices = ", ".join(f"({quoted(name)}, {quoted(text)})" for name, text in licenses.NOTICES.items())
+    classes = ", ".join(str(c) for c in licenses.widths([n for n in sizes if n > 0]))
+    return f"""
+WITH notice(license_id, text) AS (VALUES {notices}),
+     class(low, high, width, stride) AS (VALUES {classes}),
+     known AS (SELECT license_id, list_distinct({shingles}) AS own
+               FROM (SELECT license_id, {words("text")} AS words FROM notice)),
+     t AS (SELECT license_id, own, width, stride FROM known JOIN class ON len(own) BETWEEN low AND high),
+     d AS (SELECT doc_id, {shingles} AS s FROM (SELECT DISTINCT doc_id, {words("coalesce(text, '')")} AS words FROM documents)),
+     w AS (SELECT doc_id, license_id, own, width, stride, s,
+                  unnest(range(0, greatest(0, CAST(ceil((len(s) - width) / stride) AS BIGINT)) + 1)) AS n
+           FROM d JOIN t ON list_has_any(s, own)),
+     c AS (SELECT doc_id, license_id, CAST(n * stride AS INTEGER) AS start_word, own, s[n * stride + 1 : n * stride + width] AS part FROM w),
+     f AS (SELECT doc_id, license_id, len(list_intersect(own, part)) / len(own) AS containment, start_word,
+                  CAST(len(part) + {k - 1} AS INTEGER) AS n_words FROM c)
+SELECT doc_id, license_id, containment, start_word, n_words FROM f WHERE containment >= {licenses.CONTAINMENT}
+QUALIFY row_number() OVER (PARTITION BY doc_id, license_id ORDER BY containment DESC, start_word) = 1
+"""
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer(), capacity=2048)
 
@@ -129,4 +158,4 @@ QUERIES = {
     )
 }
 #: Those that SQL can express.
-ORACLE = {"op1_chat_formatting": OP1_SQL, "op6_topk_search": OP6_SQL}
+ORACLE = {"op1_chat_formatting": OP1_SQL, "op3_license_scan": _op3_sql(), "op6_topk_search": OP6_SQL}

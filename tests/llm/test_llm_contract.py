@@ -9,6 +9,6 @@ def test_queries_without_sql_are_exactly_these():
     assert {n.split("_")[0] for n in L.QUERIES} == {f"op{i}" for i in range(1, 11)}
     assert {*L.QUERIES, "pipeline"} <= set(qs)
     assert {*L.QUERIES, "pipeline"} - set(orc) == {
-        "op2_suffix_dedup", "op3_license_scan", "op4_best_fit_packing", "op5_pii", "op7_simhash", "op8_quality",
+        "op2_suffix_dedup", "op4_best_fit_packing", "op5_pii", "op7_simhash", "op8_quality",
         "op9_decontamination", "op10_url_filter", "pipeline",
     }

@@ -73,7 +73,7 @@ def test_op3_finds_notices(spark):
 
 
 def test_op3_bands_hold_their_guarantee():
-    for low, high, width, stride in licenses._widths([1, 3, 8, 9, 150, 170, 400]):
+    for low, high, width, stride in licenses.widths([1, 3, 8, 9, 150, 170, 400]):
         assert low / width >= 0.5 and width - stride + 1 >= high
     assert len({int(x) for x in splitmix(64, 11)}) == 64
 
