@@ -5,7 +5,8 @@
 * **Confirm**: a checksum or range rule drops matches: Luhn for cards, modulo
   97 for IBANs, parts up to 255 for addresses, the number of digits for phones.
 * **Score**: a kind starts with its own score, and words of its context within
-  ``REACH`` characters on either side raise it.  Spans under ``THRESHOLD`` are
+  ``REACH`` characters on either side raise it, whatever else stands between
+  (other matches of the kind too).  Spans under ``THRESHOLD`` are
   dropped; the base kinds (email, ip, card, phone) start above it, so context
   only ranks them, while a social-security number needs its context.
 
@@ -98,6 +99,17 @@ def _before(sizes: Column) -> Column:
     return F.flatten(F.filter(F.zip_with(inner, outer, shift), lambda x: x.isNotNull()))
 
 
+def _near(start: Column, end: Column) -> Column:
+    """``REACH`` characters of the text before ``start`` and after ``end``,
+    whatever is proposed there.  Taken from its block and the next one, since a
+    place in a string is found by counting from the beginning."""
+    block = lambda k: F.coalesce(F.get("_blocks", k.cast("int")), F.lit(""))
+    a, b = F.floor(start / BLOCK), F.floor(end / BLOCK)
+    left = F.concat(block(a - 1), F.left(block(a), start % BLOCK))
+    right = F.concat(F.substr(block(b), end % BLOCK + 1), block(b + 1))
+    return F.concat(F.right(left, F.lit(REACH)), F.lit(" "), F.left(right, F.lit(REACH)))
+
+
 _SPAN = "array<struct<kind:string,start:int,end:int,score:double>>"
 
 
@@ -111,17 +123,17 @@ def _spans(df: DataFrame, kind: str) -> DataFrame:
     some = F.size("_match") > 0
     df = df.withColumn("_gap", F.when(some, F.split("_text", pattern, -1)))
     n = F.size("_match")
-    left, right = F.slice("_gap", 1, n), F.slice("_gap", 2, n)
+    left = F.slice("_gap", 1, n)
     before = _before(F.zip_with(left, "_match", lambda g, m: F.length(g) + F.length(m)))
     # one array, so that nothing above is computed again for each element
-    items = F.arrays_zip(F.col("_match").alias("m"), before.alias("b"), left.alias("l"), right.alias("r"))
+    items = F.arrays_zip(F.col("_match").alias("m"), before.alias("b"), left.alias("l"))
 
     def span(x: Column) -> Column:
         start = x["b"] + F.length(x["l"])
-        near = F.concat(F.right(x["l"], F.lit(REACH)), F.lit(" "), F.left(x["r"], F.lit(REACH)))
-        bonus = F.when(F.rlike(F.lower(near), F.lit(words)), 0.3).otherwise(0.0)
+        end = start + F.length(x["m"])
+        bonus = F.when(F.rlike(F.lower(_near(start, end)), F.lit(words)), 0.3).otherwise(0.0)
         return F.struct(
-            F.lit(kind).alias("kind"), start.cast("int").alias("start"), (start + F.length(x["m"])).cast("int").alias("end"),
+            F.lit(kind).alias("kind"), start.cast("int").alias("start"), end.cast("int").alias("end"),
             F.least(F.lit(1.0), F.round(F.lit(score) + bonus, 2)).alias("score"), _valid(kind, x["m"]).alias("ok"),
         )
 
@@ -135,10 +147,11 @@ def find(docs: DataFrame) -> DataFrame:
     every whole text, by kind as listed in ``KINDS``, then by start; positions
     are code points, the end is exclusive.  A null text is empty."""
     df = docs.withColumn("_text", F.coalesce("text", F.lit("")))
+    df = df.withColumn("_blocks", F.regexp_extract_all("_text", F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0)))
     names = {k: f"_{k}" for k in KINDS}
     for kind, name in names.items():
         df = _spans(df, kind).withColumnRenamed(kind, name) if kind not in docs.columns else _aside(df, kind, name)
-    return df.withColumn("_spans", F.concat(*names.values())).drop("_text", *names.values())
+    return df.withColumn("_spans", F.concat(*names.values())).drop("_text", "_blocks", *names.values())
 
 
 def _aside(df: DataFrame, kind: str, name: str) -> DataFrame:

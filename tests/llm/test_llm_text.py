@@ -169,6 +169,16 @@ def test_op5_checksums_context_and_redaction(spark):
     assert pii.redact(df).columns == df.columns and pii.report(table(spark, [])).count() == 0
 
 
+def test_op5_context_goes_over_neighbours_and_blocks(spark):
+    rows = [
+        (1, "social security 078-05-1120, 219-09-9999"), (2, "078-05-1120 219-09-9999 ssn"),
+        (3, "y" * 250 + " ssn 078-05-1120"), (4, "😀" * 244 + "078-05-1120 ssn"), (5, "078-05-1120" + " " * 40 + "ssn"),
+        (6, "ssn" + " " * 37 + "078-05-1120 " + " " * 300 + "219-09-9999"),
+    ]
+    spans = {r.doc_id: r.spans for r in pii.report(table(spark, rows)).collect()}
+    assert spans == {1: "ssn:16:27,ssn:29:40", 2: "ssn:0:11,ssn:12:23", 3: "ssn:255:266", 4: "ssn:244:255", 5: "", 6: "ssn:40:51"}
+
+
 # 7. SimHash
 
 
