@@ -3,7 +3,7 @@
 * **Propose**: one regular expression for each kind gives its matches and the
   text between them, and so the place of each match.
 * **Confirm**: a checksum or range rule drops matches: Luhn for cards, modulo
-  97 for IBANs, parts up to 255 for addresses, the number of digits for phones.
+  97 for IBANs (as long as their country code says), parts up to 255 for addresses, the number of digits for phones.
 * **Score**: a kind starts with its own score, and words of its context within
   ``REACH`` characters on either side raise it, whatever else stands between
   (other matches of the kind too).  Spans under ``THRESHOLD`` are
@@ -24,13 +24,38 @@ REACH = 40
 THRESHOLD = 0.5
 BLOCK = 256
 _LOCAL, _LABEL = "[A-Za-z0-9._%+-]", "[A-Za-z0-9-]"
+#: Length of a country's IBANs: the registry of ISO 13616, and countries that use the form without an entry.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC",
+    32: "LC", 33: "RU",
+}
+
+
+def _iban() -> str:
+    """Proposes an IBAN at each place where one may begin: group 1 is as long as
+    the country says, or as far as it goes for other codes.  Only its first four
+    characters are consumed, so that it doesn't hide one that begins inside it."""
+    group = " ?[A-Z0-9]"
+    ends = lambda n: f"(?:{group}{{4}}){{{n // 4 - 1}}}" + (f"{group}{{{n % 4}}}" if n % 4 else "")
+    known = [f"(?:{codes.replace(' ', '|')})[0-9]{{2}}{ends(n)}" for n, codes in IBAN_LENGTHS.items()]
+    codes = "|".join(IBAN_LENGTHS.values()).replace(" ", "|")
+    other = f"(?!{codes})[A-Z]{{2}}[0-9]{{2}}(?:{group}{{4}}){{2,7}}+(?:{group}{{1,3}})?+"
+    return rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?=({'|'.join([*known, other])})(?![A-Za-z0-9])).{{4}}"
+
+
+_IBAN = _iban()
+#: Kinds whose match is group 1, of which the pattern consumes so many characters.
+AHEAD = {"iban": 4}
 #: kind: pattern, a character or class that every match has, score, words of its context
 KINDS: dict[str, tuple[str, str, float, str]] = {
     "email": (rf"(?:(?<!{_LOCAL})|\G){_LOCAL}++@{_LABEL}++(?:\.{_LABEL}++)++", "@", 0.9, r"e-?mail|contact|write|reach|mailto"),
     "ip": (r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}", ".", 0.6, r"\bip\b|address|host|server|client|login|logged"),
     "card": (r"[0-9](?:[ -]?[0-9])++", "", 0.8, r"card|visa|master|amex|credit|debit|payment|cvv|expir"),
     "phone": (r"\+[0-9][ ().0-9-]+[0-9]", "+", 0.7, r"phone|call|tel\b|mobile|cell|fax|whatsapp"),
-    "iban": (r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}+(?: ?[A-Z0-9]{1,3})?+(?![A-Za-z0-9])", "", 0.8, r"iban|bank|account|konto|transfer|bic|swift"),
+    "iban": (_IBAN, "", 0.8, r"iban|bank|account|konto|transfer|bic|swift"),
     "ssn": (r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])", "-", 0.3, r"\bssn\b|social security"),
 }
 BASE = ("email", "ip", "card", "phone")
@@ -116,7 +141,8 @@ _SPAN = "array<struct<kind:string,start:int,end:int,score:double>>"
 def _spans(df: DataFrame, kind: str) -> DataFrame:
     """Adds column ``kind``: its confirmed and scored spans, in order of start."""
     pattern, needs, score, words = KINDS[kind]
-    match = F.regexp_extract_all("_text", F.lit(pattern), F.lit(0))
+    match = F.regexp_extract_all("_text", F.lit(pattern), F.lit(1 if kind in AHEAD else 0))
+    used = lambda m: F.lit(AHEAD[kind]) if kind in AHEAD else F.length(m)
     if needs:
         match = F.when(F.contains("_text", F.lit(needs)), match)
     df = df.withColumn("_match", match)
@@ -124,7 +150,7 @@ def _spans(df: DataFrame, kind: str) -> DataFrame:
     df = df.withColumn("_gap", F.when(some, F.split("_text", pattern, -1)))
     n = F.size("_match")
     left = F.slice("_gap", 1, n)
-    before = _before(F.zip_with(left, "_match", lambda g, m: F.length(g) + F.length(m)))
+    before = _before(F.zip_with(left, "_match", lambda g, m: F.length(g) + used(m)))
     # one array, so that nothing above is computed again for each element
     items = F.arrays_zip(F.col("_match").alias("m"), before.alias("b"), left.alias("l"))
 

@@ -179,6 +179,35 @@ def test_op5_context_goes_over_neighbours_and_blocks(spark):
     assert spans == {1: "ssn:16:27,ssn:29:40", 2: "ssn:0:11,ssn:12:23", 3: "ssn:255:266", 4: "ssn:244:255", 5: "", 6: "ssn:40:51"}
 
 
+def test_op5_ibans_of_every_length_before_other_words(spark):
+    def iban(country, bban):
+        rest = int("".join(str(int(c, 36)) for c in bban + country + "00")) % 97
+        return f"{country}{98 - rest:02d}{bban}"
+
+    rows, want = [], {}
+    for n, codes in pii.IBAN_LENGTHS.items():
+        for country in codes.split():
+            bare = iban(country, "12345678901234567890123456789012"[: n - 4])
+            for form in (bare, " ".join(bare[k : k + 4] for k in range(0, n, 4))):
+                for after in ("", " Please pay", " 2024-01-01", " BIC GEBABEBB", ", " + form, " " + form):
+                    begins = [4, 4 + len(after)] if after.endswith(form) else [4]
+                    want[len(rows)] = ",".join(f"iban:{b}:{b + len(form)}" for b in begins)
+                    rows.append((len(rows), "pay " + form + after))
+    assert len(rows) == 12 * len({c for x in pii.IBAN_LENGTHS.values() for c in x.split()})  # none twice
+    texts = [
+        ("ES91 2100 0418 4502 0005 1332 Please pay", "iban:0:29"), ("BE68 5390 0754 7034 BIC GEBABEBB", "iban:0:19"),
+        ("AT611904300234573201 2024-01-01", "iban:0:20"), ("BE12 3456 AT61 1904 3002 3457 3201 X", "iban:10:34"),
+        ("BE68 5390 0754 7034X", ""), ("BE68 5390 0754 7035", ""), (iban("ZZ", "123456789012"), "iban:0:16"),
+    ]
+    for text, spans in texts:
+        want[len(rows)] = spans
+        rows.append((len(rows), text))
+    found = pii.report(table(spark, rows)).collect()
+    assert {r.doc_id: ",".join(s for s in r.spans.split(",") if s.startswith("iban")) for r in found} == want
+    out = {r.doc_id: r.text for r in pii.redact(table(spark, [(1, texts[0][0])])).collect()}
+    assert out == {1: "[IBAN] Please pay"}
+
+
 # 7. SimHash
 
 
