@@ -12,7 +12,9 @@ The k-th best score of earlier blocks of a task is a lower bound from the
 start.
 
 Equal vectors are merged first (only the ``k + 1`` smallest ids of equal
-vectors can appear), and so are equal queries.  The query set grows with the
+vectors can appear), and so are equal queries, unless their id has several
+vectors: none of these may appear, so such a query is searched by itself and
+passes over the rows of its id.  The query set grows with the
 table, so it is taken in chunks of ``QUERIES`` vectors; each chunk goes to all
 tasks and meets all blocks.
 """
@@ -41,6 +43,7 @@ class Block:
 
     def __init__(self, vectors: np.ndarray, ids: list[np.ndarray]):
         self.vectors, self.ids = vectors, ids
+        self.least, self.sole = np.array([i[0] for i in ids], np.int64), np.array([len(i) == 1 for i in ids], bool)
         n = len(vectors)
         order = np.argsort(vectors, axis=0, kind="stable")
         self.lists = np.take_along_axis(vectors, order, axis=0)  # ascending
@@ -53,13 +56,20 @@ class Block:
         up, down = self.place >= len(self.place) - depth, self.place < depth
         return np.hstack((self.vectors * up, self.vectors * down, ~up, ~down)).astype(np.float64)
 
-    def search(self, queries: np.ndarray, k: int, floors: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def search(
+        self, queries: np.ndarray, k: int, floors: np.ndarray, owns: list[int | None]
+    ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For each query the rows (and scores) that may be among its ``k`` best:
-        every row that scores at least its k-th best, and at least its floor."""
+        every row that scores at least its k-th best, and at least its floor.
+        Rows that have no id but the query's own (null for none) are passed over."""
         n = len(self.vectors)
         up, down = np.maximum(queries, 0.0), np.minimum(queries, 0.0)
         floors = floors.copy()
         alive = np.ones((n, len(queries)), bool)
+        for j, own in enumerate(owns):
+            if own is not None:
+                alive[:, j] = ~self.sole | (self.least != own)
+        others = alive.copy()
         open_ = np.arange(len(queries))  # queries that read on
         for part in DEPTHS:
             depth = int(part * n)
@@ -69,6 +79,7 @@ class Block:
             u, d = up[open_], down[open_]
             if n > k:
                 lower = seen @ np.hstack((u, d, u * self.lists[0], d * self.lists[-1])).T
+                lower[~others[:, open_]] = -np.inf
                 floors[open_] = np.maximum(floors[open_], np.partition(lower, n - k, axis=0)[n - k])
             upper = seen @ np.hstack((u, d, u * self.lists[n - depth], d * self.lists[depth - 1])).T
             alive[:, open_] &= upper >= floors[open_]
@@ -84,8 +95,9 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return np.lexsort((ids, -scores))[:k]
 
 
-def _search_rows(keys: list[int], queries: list[np.ndarray], k: int):
-    """For each query the ``k`` best (vec_id, score) of a task's vectors."""
+def _search_rows(keys: list[int], queries: list[np.ndarray], owns: list[int | None], k: int):
+    """For each query the ``k`` best (vec_id, score) of a task's vectors, those
+    of its own id (null for none) left out."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -98,9 +110,12 @@ def _search_rows(keys: list[int], queries: list[np.ndarray], k: int):
                 part = mine[lo : lo + TOGETHER]
                 tops = [best.get(keys[j], (np.zeros(0), np.zeros(0, np.int64))) for j in part]
                 floors = np.array([scores[-1] if len(scores) == k else -np.inf for scores, _ in tops])
-                for j, (scores, ids), (row, score) in zip(part, tops, b.search(np.array([queries[j] for j in part]), k, floors), strict=True):
+                hits = b.search(np.array([queries[j] for j in part]), k, floors, [owns[j] for j in part])
+                for j, (scores, ids), (row, score) in zip(part, tops, hits, strict=True):
                     ids = np.concatenate([ids, *[b.ids[r] for r in row]])
                     scores = np.concatenate([scores, np.repeat(score, [len(b.ids[r]) for r in row])])
+                    if owns[j] is not None:
+                        ids, scores = ids[ids != owns[j]], scores[ids != owns[j]]
                     top = _best(scores, ids, k)
                     best[keys[j]] = scores[top], ids[top]
 
@@ -139,28 +154,33 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     Components should be integers (scores are returned as such).  Vectors of
     another length than the query's are no candidates.  Rows that share a vec_id
     are one row if they are equal, else rows of their own, none of which is a
-    candidate of the others.  Other columns are ignored; an empty table gives
+    candidate of the others; if several of them ask, the ``k`` best of all their
+    pairs are returned under the one query_id.  Other columns are ignored; an empty table gives
     no rows.
     """
     rows = vectors.select("vec_id", "vector", is_query.alias("is_query")).dropDuplicates()
     first = F.row_number().over(Window.partitionBy("vector").orderBy("vec_id"))
     least = rows.select("vec_id", "vector").withColumn("n", first).filter(F.col("n") <= k + 1)
     merged = staged(least.groupBy("vector").agg(F.collect_list("vec_id").alias("ids")), "vectors")
-    asked = rows.filter("is_query").select("vec_id", "vector")
-    queries = staged(asked.groupBy("vector").agg(F.min("vec_id").alias("query")), "query-vectors")
+    several = rows.groupBy("vec_id").count().filter("count > 1").select("vec_id", F.col("vec_id").alias("own"))
+    asked = rows.filter("is_query").select("vec_id", "vector").join(several, "vec_id", "left")
+    # a key for each query: an id is none, since it may have several vectors
+    queries = staged(asked.select("vector", "own").distinct().withColumn("query", F.monotonically_increasing_id()), "query-vectors")
     found, schema = None, "query long, vec_id long, score long"
     n = queries.count()
     chunks = max(1, -(-n // QUERIES))
     for c in range(chunks):
         mine = queries.filter(F.pmod(F.xxhash64("query"), F.lit(chunks)) == c).sort("query").collect()  # a chunk
-        hits = merged.mapInArrow(_search_rows([r["query"] for r in mine], [np.array(r["vector"]) for r in mine], k + 1), schema)
+        search_rows = _search_rows([r["query"] for r in mine], [np.array(r["vector"]) for r in mine], [r["own"] for r in mine], k + 1)
+        hits = merged.mapInArrow(search_rows, schema)
         top = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id"))
         hits = hits.withColumn("n", top).filter(F.col("n") <= k + 1).drop("n")
         hits = staged(hits, "hits") if chunks > 1 else hits
         found = hits if found is None else found.unionByName(hits)
-    named = asked.join(queries, "vector").select(F.col("vec_id").alias("query_id"), "query")
+    same = (F.col("a.vector") == F.col("q.vector")) & F.col("a.own").eqNullSafe(F.col("q.own"))
+    named = asked.alias("a").join(queries.alias("q"), same).select(F.col("a.vec_id").alias("query_id"), "q.query")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return (
-        named.join(found, "query").filter("vec_id != query_id").dropDuplicates(["query_id", "vec_id", "score"])
+        named.join(found, "query").filter("vec_id != query_id")
         .withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
     )

@@ -114,6 +114,26 @@ def test_op6_query_chunks(spark, monkeypatch):
     assert sorted(map(tuple, got.collect())) == brute_topk(rows, 5)
 
 
+@pytest.mark.parametrize("block", [4096, 37])
+def test_op6_ids_with_several_vectors(spark, block, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK", block)
+    monkeypatch.setattr(topk, "QUERIES", 7)
+    rng = np.random.default_rng(7)
+    rows = [(int(i), [float(np.float32(x)) for x in rng.normal(size=4)]) for i in range(200)]
+    rows += [(50, [9.0, 0.0, 0.0, 0.0]), (250, [9.0, 0.0, 0.0, 0.0]), (300, rows[50][1]), (350, [1.0] * 4), (350, [1.0] * 4)]
+    rows += [(400, [5.0 + k / 4, 5.0, 5.0, 5.0]) for k in range(90)] + [(401, [6.0, 5.0, 5.0, 5.0]), (450, [5.0] * 4)]
+    rows += [(403, [8.0, 1.0, 0.0, 0.0]), (403, [8.0, 0.0, 1.0, 0.0]), (500, [1.0, 0.0, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    got = topk.search(topk.quantized(df), topk.F.col("vec_id") % 50 == 0, 5)
+    # as in the SQL: ranks over all pairs of a query_id
+    good = {(i, tuple(np.floor(256.0 * np.array(v)))) for i, v in rows}
+    want = []
+    for i in {i for i, _ in good if i % 50 == 0}:
+        pairs = sorted((-int(np.dot(q, v)), j) for a, q in good if a == i for j, v in good if j != i)
+        want += [(i, r + 1, j, -s) for r, (s, j) in enumerate(pairs[:5])]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
 # 10. URLs
 
 
