@@ -1,14 +1,16 @@
 """Benchmark decontamination (operator 9): greedy string tiling with running
 Karp-Rabin matching.
 
-* Texts become lower-case words (ASCII punctuation separates words).
+* Texts become lower-case words.  White space and punctuation of all scripts
+  separate them; a character of a script that is written without spaces, and a
+  symbol beyond ASCII, is a word of its own.
 * **Seeds**: the Karp-Rabin hash of every ``tile`` (5) words of a document is
   looked up among those of the benchmark items; equal words confirm it.
 * **Tiling** of each document and item that share a seed: of the matches made
   of neighbouring seeds, the longest are marked, then the longest of what is
   still unmarked on either side, and so on down to ``tile`` words.  No word of
   the item counts twice and the order of the tiles doesn't matter, so shuffled
-  passages are caught.
+  passages are caught.  An item of fewer words has one tile: all of it.
 * A document is contaminated by an item when the tiles cover at least
   ``coverage`` of the item's words.
 
@@ -19,6 +21,7 @@ passes over the documents, not a larger index.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,59 +34,92 @@ from corpusforge.llm.common import mix64, splitmix, staged
 TILE = 5
 COVERAGE = 0.6
 BLOCK = 1_000_000
-_SEPARATORS = bytes(32 if b < 48 or 57 < b < 65 or 90 < b < 97 or 122 < b < 128 else b for b in range(256))
+#: Blocks of scripts written without spaces (first and last code point).
+UNSPACED = (
+    (0xE00, 0xEFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19FF), (0x1A20, 0x1AAF), (0x1B00, 0x1B7F), (0x2E80, 0x2FDF),
+    (0x3000, 0x312F), (0x31A0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0xA4CF), (0xA980, 0xA9FF), (0xAA60, 0xAADF), (0xF900, 0xFAFF),
+    (0xFF66, 0xFF9F), (0x12000, 0x1345F), (0x16FE0, 0x18DFF), (0x1AFF0, 0x1B2FF), (0x20000, 0x3FFFF),
+)
 
 
-def words_of(text: str | None) -> list[bytes]:
-    return (text or "").lower().encode().translate(_SEPARATORS).split()
+class _Written(dict):
+    """What stands for a character (by code point) before the text is split."""
+
+    def __missing__(self, c: int) -> str:
+        x = chr(c)
+        kind = unicodedata.category(x)
+        if c < 128:
+            out = x if x.isalnum() else " "
+        elif kind[0] in "ZP" or kind == "Cc" or c in (0x200B, 0xFEFF):  # the last two: spaces without width
+            out = " "
+        elif kind[0] == "S" or any(a <= c <= b for a, b in UNSPACED):
+            out = f" {x} "
+        else:
+            out = x
+        self[c] = out
+        return out
+
+
+_WRITTEN = _Written()
+
+
+def words_of(text: str | None) -> list[str]:
+    return (text or "").lower().translate(_WRITTEN).split()
 
 
 class Index:
     """Seeds of a block of items."""
 
-    def __init__(self, items: list[tuple[int | None, list[bytes]]], tile: int):
-        self.tile = tile
+    def __init__(self, items: list[tuple[int | None, list[str]]], tile: int):
         self.ids = [i for i, _ in items]
-        self.number: dict[bytes, int] = {}
+        self.number: dict[str, int] = {}
         self.words = [np.array([self.number.setdefault(w, len(self.number) + 1) for w in ws], np.int64) for _, ws in items]
         self.values = splitmix(len(self.number) + 1, 9)
-        seeds, item, at = [], [], []
-        for k, ws in enumerate(self.words):
-            if len(ws) >= tile:
-                seeds.append(self.hashes(ws))
-                item.append(np.full(len(ws) - tile + 1, k))
-                at.append(np.arange(len(ws) - tile + 1))
-        join = lambda x, kind: np.concatenate(x) if x else np.zeros(0, kind)
-        seeds = join(seeds, np.uint64)
+        self.tile = [min(tile, len(ws)) for ws in self.words]  # of each item
+        self.flat = np.concatenate([*self.words, np.zeros(0, np.int64)])
+        self.begin = np.cumsum([0, *[len(ws) for ws in self.words]])
+        self.seeds = [self._seeds(n, 22 if n == tile else 16) for n in sorted({*self.tile} - {0})]
+
+    def _seeds(self, tile: int, bits: int) -> tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of the items with tiles of ``tile`` words: (tile, bits, sieve of the
+        upper bits, sorted seeds, their items, their places)."""
+        mine = [k for k, n in enumerate(self.tile) if n == tile]
+        size = [len(self.words[k]) - tile + 1 for k in mine]
+        seeds = np.concatenate([self.hashes(self.words[k], tile) for k in mine])
+        item, at = np.repeat(mine, size), np.concatenate([np.arange(n) for n in size])
         by = np.argsort(seeds, kind="stable")
-        self.seeds, self.item, self.at = seeds[by], join(item, np.int64)[by], join(at, np.int64)[by]
-        self.bits = 22
-        self.sieve = np.zeros(1 << self.bits, bool)
-        self.sieve[self.seeds >> np.uint64(64 - self.bits)] = True
+        sieve = np.zeros(1 << bits, bool)
+        sieve[seeds >> np.uint64(64 - bits)] = True
+        return tile, bits, sieve, seeds[by], item[by], at[by]
 
-    def hashes(self, words: np.ndarray) -> np.ndarray:
+    def hashes(self, words: np.ndarray, tile: int) -> np.ndarray:
         """Karp-Rabin hash of every ``tile`` neighbouring words."""
-        v, n = self.values[words], len(words) - self.tile + 1
+        v, n = self.values[words], len(words) - tile + 1
         h = np.zeros(n, np.uint64)
         with np.errstate(over="ignore"):
-            for k in range(self.tile):
+            for k in range(tile):
                 h = h * np.uint64(0x9E3779B97F4A7C15) + v[k : n + k]
             return mix64(h)
 
     def hits(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(place in ``words``, item, place in the item) of all shared seeds;
         0 is a word that no item has."""
-        none = np.zeros(0, np.int64)
-        if len(words) < self.tile or not len(self.seeds):
-            return none, none, none
-        h = self.hashes(words)
-        place = np.flatnonzero(self.sieve[h >> np.uint64(64 - self.bits)])
-        lo = np.searchsorted(self.seeds, h[place], "left")
-        n = np.searchsorted(self.seeds, h[place], "right") - lo
-        place, k = np.repeat(place, n), np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
-        item, at = self.item[k], self.at[k]
-        same = np.array([np.array_equal(words[p : p + self.tile], self.words[i][a : a + self.tile]) for p, i, a in zip(place, item, at, strict=True)], bool)
-        return place[same], item[same], at[same]
+        out = [(np.zeros(0, np.int64),) * 3]
+        for tile, bits, sieve, seeds, items, places in self.seeds:
+            if len(words) < tile:
+                continue
+            h = self.hashes(words, tile)
+            place = np.flatnonzero(sieve[h >> np.uint64(64 - bits)])
+            lo = np.searchsorted(seeds, h[place], "left")
+            n = np.searchsorted(seeds, h[place], "right") - lo
+            place, k = np.repeat(place, n), np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
+            item, at = items[k], places[k]
+            same = np.ones(len(place), bool)
+            for k in range(tile):
+                same &= words[place + k] == self.flat[self.begin[item] + at + k]
+            out.append((place[same], item[same], at[same]))
+        place, item, at = (np.concatenate(x) for x in zip(*out, strict=True))
+        return place, item, at
 
 
 def tiles(place: np.ndarray, at: np.ndarray, tile: int) -> list[tuple[int, int, int]]:
@@ -131,7 +167,7 @@ def _tiled(index: Index, coverage: float, texts: list[str | None]) -> Iterator[t
     text, item, place, at = text[by], item[by], place[by], at[by]
     first = np.flatnonzero(np.concatenate(([True], (text[1:] != text[:-1]) | (item[1:] != item[:-1]))))
     for lo, hi in zip(first, [*first[1:], len(text)], strict=True):
-        found = tiles(place[lo:hi], at[lo:hi], index.tile)
+        found = tiles(place[lo:hi], at[lo:hi], index.tile[item[lo]])
         covered = sum(n for _, _, n in found)
         if covered >= coverage * len(index.words[item[lo]]):
             yield int(text[lo]), int(item[lo]), covered, len(found)
@@ -183,8 +219,8 @@ def contaminated(docs: DataFrame, items: DataFrame, tile: int = TILE, coverage:
     document (doc_id, text) that holds at least ``coverage`` of an item
     (item_id, text).
 
-    Null and empty texts match nothing, and neither do items of fewer than
-    ``tile`` words, since no tile fits into them.  Null ids are returned as
+    Null and empty texts match nothing; an item of fewer than ``tile`` words
+    matches where all of it stands.  Null ids are returned as
     they are; repeated documents or items give repeated rows.  Other columns
     are ignored; without documents or items there are no rows.
     """

@@ -354,3 +354,20 @@ def test_op9_blocks_and_empty_tables(spark, monkeypatch):
     assert [r.doc_id for r in decontam.clean(docs, bench).collect()] == [9]
     assert decontam.contaminated(docs, bench.limit(0)).count() == 0 and decontam.clean(docs, bench.limit(0)).count() == 5
     assert decontam.contaminated(docs.filter(F.lit(False)), bench).count() == 0
+
+
+def test_op9_unspaced_scripts_and_short_items(spark):
+    items = [
+        (1, "机器学习模型在测试集上的准确率是多少"), (2, "東京タワーの高さは、何メートルですか。"), (3, "กรุงเทพมหานครเป็นเมืองหลวงของประเทศไทย"),
+        (4, "Who wrote Hamlet"), (5, "東京"), (6, "un «deux» trois—quatre… cinq\u3000six"), (7, "∀x∃y∀z"), (8, "हिन्दी भाषा कैसे लिखी जाती है"), (9, "…!"),
+    ]
+    docs = [
+        (1, "前文。" + items[0][1] + "？后文"), (2, "あ東京タワーの高さは何メートルですか"), (3, "ก" + items[2][1]), (4, "So, who wrote 'Hamlet'?"),
+        (5, "Hamlet wrote who"), (6, "un deux trois quatre cinq six"), (7, "(∀ x ∃ y ∀ z)"), (8, "x " + items[7][1] + "।"), (9, "京東、机器, x"), (10, None),
+    ]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = sorted(r[:5] for r in decontam.contaminated(table(spark, docs), bench).collect())
+    assert got == [
+        (1, 1, 18, 18, 1), (2, 2, 17, 17, 1), (2, 5, 2, 2, 1), (3, 3, 38, 38, 1), (4, 4, 3, 3, 1), (6, 6, 6, 6, 1), (7, 7, 6, 6, 1), (8, 8, 6, 6, 1),
+    ]
+    assert sorted(r.doc_id for r in decontam.clean(table(spark, docs), bench).collect()) == [5, 9, 10]
