@@ -5,32 +5,36 @@ words, each hashed once.
 
 * Texts are cut into **overlapping windows** sized for the templates: for
   templates of ``w`` shingles the windows hold ``w + s - 1`` shingles and start
-  every ``s = max(1, w // 2)``, so one window holds any such passage whole and
-  its Jaccard similarity to the template is at least ``w / (w + s - 1)``, which
-  is over 2/3.  Templates of similar size share a width.
+  every ``s = max(1, w // 2)``, so one window holds any such passage whole.
+  Templates of similar size share a width.
 * **MinHash bands** of one row each retrieve templates: with ``b`` bands a
-  passage is missed with a probability of ``(1 - J) ** b`` at most; ``b`` is
-  chosen so that this is under ``MISS``.
+  window is missed with a probability of ``(1 - J) ** b`` at most; ``b`` is
+  chosen so that this is under ``MISS`` for a window that holds just the
+  ``CONTAINMENT`` of the template.
 * **Exact containment** verifies: the share of the template's shingles that the
   window holds must be at least ``CONTAINMENT``.
 
 A band can only collide in a window that holds the template's least shingle of
 that band, so only windows with some template shingle are sketched.
+
+The templates are taken in blocks of at most ``TEMPLATE_SHINGLES`` shingles,
+each of which goes to every task; more templates mean more passes over the texts.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusforge.llm.common import splitmix
+from corpusforge.llm.common import splitmix, staged
 
 SHINGLE = 5
 CONTAINMENT = 0.8
 MISS = 1e-4
-TEMPLATE_SHINGLES = 200_000  # of all templates together; more is an error, since they go to every task
+TEMPLATE_SHINGLES = 200_000  # of a block of templates
 
 #: License notices to look for; a parameter of ``scan``.
 NOTICES = {
@@ -88,6 +92,27 @@ def widths(sizes: list[int]) -> list[tuple[int, int, int, int]]:
     return [(lo, hi, hi + max(1, hi // 2) - 1, max(1, hi // 2)) for lo, hi in out]
 
 
+def bands(low: int, width: int, containment: float) -> int:
+    """Bands for templates of ``low`` shingles or more in windows of ``width``:
+    of a window that holds ``containment`` of such a template the Jaccard
+    similarity is ``held / (low + width - held)`` at least."""
+    held = max(1, math.ceil(containment * low - 1e-9))
+    similar = held / (low + width - held)
+    return max(1, math.ceil(math.log(MISS) / math.log(1 - similar))) if similar < 1 else 1
+
+
+def _blocks(known: DataFrame) -> Iterator[list[tuple[str, list[int], int]]]:
+    block, size = [], 0
+    for r in known.toLocalIterator(prefetchPartitions=False):
+        if size + r["w"] > TEMPLATE_SHINGLES and block:
+            yield block
+            block, size = [], 0
+        block.append((r["license_id"], list(r["own"]), r["w"]))
+        size += r["w"]
+    if block:
+        yield block
+
+
 def scan(docs: DataFrame, templates: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
     """(doc_id, license_id, containment, start_word, n_words): for every row of
     ``docs`` (doc_id, text) and every template (license_id, text) that one of
@@ -104,23 +129,38 @@ def scan(docs: DataFrame, templates: DataFrame, containment: float = CONTAINMENT
         .select("license_id", F.array_distinct(shingles(F.col("words"))).alias("own"))
         .filter(F.size("own") > 0).select("license_id", "own", F.size("own").alias("w"))
     )
-    total = known.agg(F.sum("w")).first()[0] or 0
-    if total > TEMPLATE_SHINGLES:
-        raise ValueError(f"{total} template shingles; at most {TEMPLATE_SHINGLES}")
-    rows = [(r["license_id"], list(r["own"]), r["w"]) for r in known.collect()]
-    schema = "doc_id long, license_id string, containment double, start_word int, n_words int"
-    if not rows:
-        return spark.createDataFrame([], schema)
+    classes = widths([r["w"] for r in known.select("w").distinct().collect()])  # of all blocks, so that these don't matter
+    found = None
+    for block in _blocks(known):
+        if found is not None:  # earlier blocks are done before the next is held
+            found = staged(found, "licenses")
+        more = _found(docs, block, classes, containment)
+        found = more if found is None else found.unionByName(more)
+    if found is None:
+        return spark.createDataFrame([], "doc_id long, license_id string, containment double, start_word int, n_words int")
+    best = F.max_by(F.struct("containment", "start_word", "n_words"), F.struct("containment", -F.col("start_word"), -F.col("n_words")))
+    return (
+        found.groupBy("doc_id", "row", "license_id").agg(best.alias("best"))
+        .select("doc_id", "license_id", "best.containment", "best.start_word", "best.n_words")
+    )
+
+
+def _found(
+    docs: DataFrame, rows: list[tuple[str, list[int], int]], classes: list[tuple[int, int, int, int]], containment: float
+) -> DataFrame:
+    """The windows of ``docs`` that contain one of ``rows`` (license_id, its
+    shingles, their number), with the hash of their text as ``row``."""
+    spark = docs.sparkSession
     wanted = sorted({h for _, own, _ in rows for h in own})
-    classes = widths([w for _, _, w in rows])
+    classes = [c for c in classes if any(c[0] <= w <= c[1] for _, _, w in rows)]
 
     texts = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("row"), words(F.col("text")).alias("words"))
     hashed = texts.select("doc_id", "row", shingles(F.col("words")).alias("hashes"))
     some = F.transform("hashes", lambda h, i: F.when(h.isin(wanted), i))
     hashed = hashed.withColumn("places", F.filter(some, lambda i: i.isNotNull()))
-    bands = [max(1, math.ceil(math.log(MISS) / math.log(1 - low / width))) if low < width else 1 for low, _, width, _ in classes]
+    counts = [bands(low, width, containment) for low, _, width, _ in classes]
     bank, windows = [], []
-    for c, ((low, high, width, stride), n) in enumerate(zip(classes, bands, strict=True)):
+    for c, ((low, high, width, stride), n) in enumerate(zip(classes, counts, strict=True)):
         for i, own, w in rows:
             if low <= w <= high:
                 bank += [(c, i, own, b, v) for b, v in enumerate(_sketch_of(own, n))]
@@ -135,18 +175,13 @@ def scan(docs: DataFrame, templates: DataFrame, containment: float = CONTAINMENT
         .select("doc_id", "row", "hashes", "class", "width", (F.least("window", last) * F.col("stride")).alias("start_word"))
         .select("doc_id", "row", "class", "start_word", F.slice("hashes", F.col("start_word") + 1, F.col("width")).alias("part"))
     )
-    banded = cut.select("*", F.posexplode(_sketch(F.col("part"), max(bands))).alias("band", "least"))
+    banded = cut.select("*", F.posexplode(_sketch(F.col("part"), max(counts))).alias("band", "least"))
     share = F.size(F.array_intersect("own", "part")) / F.size("own")
-    found = (
-        banded.join(F.broadcast(bank), ["class", "band", "least"])  # at most TEMPLATE_SHINGLES rows per band
+    return (
+        banded.join(F.broadcast(bank), ["class", "band", "least"])  # at most a block's shingles per band
         .select("doc_id", "row", "license_id", share.alias("containment"), "start_word", (F.size("part") + SHINGLE - 1).alias("n_words"))
         .filter(F.col("containment") >= containment)
     )
-    best = F.max_by(F.struct("containment", "start_word", "n_words"), F.struct("containment", -F.col("start_word"), -F.col("n_words")))
-    return (
-        found.groupBy("doc_id", "row", "license_id").agg(best.alias("best"))
-        .select("doc_id", "license_id", "best.containment", "best.start_word", "best.n_words")
-    )
 
 
 def _windows_of(width: int, stride: int):

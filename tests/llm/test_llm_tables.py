@@ -78,6 +78,22 @@ def test_op3_bands_hold_their_guarantee():
     assert len({int(x) for x in splitmix(64, 11)}) == 64
 
 
+def test_op3_bands_find_windows_at_the_least_containment():
+    for low, _, width, _ in licenses.widths([1, 3, 5, 8, 150, 400, 6000]):
+        held = -(-low * 4 // 5)
+        assert (1 - held / (low + width - held)) ** licenses.bands(low, width, 0.8) <= licenses.MISS
+
+
+def test_op3_banks_of_any_size(spark, monkeypatch):
+    parts = [prose(60 + k, 20 + 9 * k) for k in range(5)]
+    docs = table(spark, [(k, prose(80 + k, 30) + " " + t + " " + prose(90 + k, 7)) for k, t in enumerate(parts)] + [(9, prose(99, 200))])
+    bank = spark.createDataFrame([(f"l{k // 2}", t) for k, t in enumerate(parts)], "license_id string, text string")
+    whole = sorted(map(tuple, licenses.scan(docs, bank).collect()))
+    assert [r[:3] for r in whole] == [(k, f"l{k // 2}", 1.0) for k in range(5)]
+    monkeypatch.setattr(licenses, "TEMPLATE_SHINGLES", 30)
+    assert sorted(map(tuple, licenses.scan(docs, bank).collect())) == whole
+
+
 # 6. top-k
 
 
