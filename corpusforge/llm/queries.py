@@ -7,7 +7,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusforge.llm import decontam, licenses, packing, pii, quality, simhash, suffix_dedup, tools, topk, urls
+from corpusforge.llm import decontam, licenses, packing, pii, quality, simhash, spelling, suffix_dedup, tools, topk, urls
 from corpusforge.llm.common import table
 
 #: Schemas of the two calls that op1 makes of the turns.
@@ -150,11 +150,15 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_chat_formatting, op2_suffix_dedup, op3_license_scan, op4_best_fit_packing, op5_pii, op6_topk_search, op7_simhash,
-        op8_quality, op9_decontamination, op10_url_filter,
+        op8_quality, op9_decontamination, op10_url_filter, op12_spelling_variants,
     )
 }
 #: Those that SQL can express.
