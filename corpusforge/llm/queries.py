@@ -7,7 +7,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusforge.llm import decontam, licenses, packing, pii, quality, simhash, spelling, suffix_dedup, tools, topk, urls
+from corpusforge.llm import boilerplate, decontam, lexical, licenses, packing, pii, quality, simhash, spelling, suffix_dedup, tools, topk, urls
 from corpusforge.llm.common import table
 
 #: Schemas of the two calls that op1 makes of the turns.
@@ -150,16 +150,41 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"))
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return boilerplate.extract(table(spark, sf_dir, "pages"))
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
+OP13_SQL = r"""
+WITH t AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+     q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+     d AS (SELECT doc_id, count(*) AS n FROM t GROUP BY doc_id),
+     s AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM d),
+     f AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY doc_id, term),
+     v AS (SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM f, s GROUP BY term),
+     r AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms))))::BIGINT AS score
+           FROM q JOIN v USING (term) JOIN f USING (term) JOIN d USING (doc_id), s GROUP BY item_id, doc_id)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM r WHERE score > 0 QUALIFY rank <= 50
+"""
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_chat_formatting, op2_suffix_dedup, op3_license_scan, op4_best_fit_packing, op5_pii, op6_topk_search, op7_simhash,
-        op8_quality, op9_decontamination, op10_url_filter, op12_spelling_variants,
+        op8_quality, op9_decontamination, op10_url_filter, op11_html_extraction, op12_spelling_variants,
+        op13_ranked_search,
     )
 }
 #: Those that SQL can express.
-ORACLE = {"op1_chat_formatting": OP1_SQL, "op3_license_scan": _op3_sql(), "op6_topk_search": OP6_SQL}
+ORACLE = {"op1_chat_formatting": OP1_SQL, "op3_license_scan": _op3_sql(), "op6_topk_search": OP6_SQL, "op13_ranked_search": OP13_SQL}
