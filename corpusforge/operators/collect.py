@@ -2,7 +2,7 @@
 D5, J1, J2, J5, P6, P6a, P20).
 
 The sequential crawl loop of one source is restated as prefix cuts over the
-page order, which makes it a handful of aggregates and windows:
+page order:
 
 * W1  request error (null status): page skipped, streak untouched;
 * W2  first non-200 page ends the source (``stop_on_http``; W2b continues);
@@ -10,42 +10,41 @@ page order, which makes it a handful of aggregates and windows:
 * D5/J1 an item is a candidate if its normalised title is not in the seen
   set and is the first of its norm in the source (``min`` over
   ``(page, pos)``); P6 keyword filter where P6a says so;
-* W5  ``streak = ord - max(ord where added > 0)`` over visited pages; pages
-  after the first page reaching ``K`` are cut;
+* W5  pages after the first one at which ``K`` visited pages in a row have added
+  nothing are cut;
 * W4  quota: ``before`` (accepted on earlier pages) + rank inside the page
   ``<= need``.
 
 Both cut-offs and the quota select a *prefix* in ``(page, pos)`` order, so
 this equals the loop.  Across sources the fold is sequential (W6/W7): rows
-behind one source's cut stay unseen and can be claimed by the next source.
+behind one source's cut stay unseen and can be claimed by the next source;
+``rounds`` finds its outcome for all sources at once.
 
 A source is a registry row: its id is its ``priority``, and one site may
 serve several labels under the same name.  Pages and items that carry a
 ``priority`` column belong to that row alone, others to every row of their
-source name.
-
-Scale: the per-item work for *all* sources (length filter, in-page dedupe,
-stop rules, keyword filter, anti join with the base seen set, keep-first
-per ``(source, norm)``) is one distributed pass, written once, partitioned
-by source.  The driver loop then runs one short step per source over that
-source's candidates only; windows run over the page-level table (one row
-per page, bounded by ``max_pages``), never over items; the in-page rank is
-partitioned by page.  Every step is written under the shared checkpoint
-folder, which cuts lineage and lets a rerun skip finished steps (W8).
+source name.  ``(source, page_no, pos)`` names an item.
+
+Scale: titles become keys in the map stage; in-page dedupe, stop rules, anti join
+with the base's seen set and keep-first work on keys and positions alone, in
+one pass that is written once.  Page tables are scanned in segments, rounds read
+them and the titles that several sources hold, and the titles of the accepted
+rows are looked up at the end.  Whatever is written goes under the shared
+checkpoint folder, which cuts lineage and lets a rerun skip finished parts (W8).
 """
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusforge.functions.text import keyword_any_array, norm_text
-from corpusforge.operators.dedupe import dedupe_in_page, keep_first, seen_set
-from corpusforge.session import path_exists, scratch_path
+from corpusforge.operators import rounds
+from corpusforge.operators.dedupe import dedupe_in_page, seen_set
+from corpusforge.session import local_rows, path_exists, scratch_path
 from corpusforge.sources.registry import apply_keywords
 
 
@@ -69,16 +68,11 @@ class CollectConfig:
         return self.zero_streak_by_source.get(name, self.zero_streak)
 
 
-ACCEPTED_COLS = ["step", "source", "label", "page_no", "pos", "text", "url", "nkey"]
-CAND_COLS = ["source", "label", "page_no", "pos", "text", "url", "nkey"]
+ACCEPTED_SCHEMA = "step int, source string, label string, page_no long, pos long, text string, url string, nkey string"
 PREP_SCHEMA = (
-    "kind string, source string, page_no long, ord long, label string, pos long, text string, url string, "
-    "nkey string, _part string"
-)
-STEP_SCHEMA = (
-    "kind string, step int, source string, label string, page_no long, pos long, text string, url string, nkey string, "
-    "added long, running_total long"
+    "kind string, step int, page_no long, pos long, nkey string, shared boolean, first int, own_before long, own long, n_shared long"
 )
+PAGE_COLS = ["step", "page_no", "own", "n_shared"]
 
 
 def prepare_items(items: DataFrame, cfg: CollectConfig) -> tuple[DataFrame, DataFrame]:
@@ -101,12 +95,12 @@ def prepare_items(items: DataFrame, cfg: CollectConfig) -> tuple[DataFrame, Data
 
 
 def visible_pages(pages: DataFrame, counts: DataFrame, reg: DataFrame, cfg: CollectConfig) -> DataFrame:
-    """Pages each source actually reads before a hard stop (W1-W3), with
-    their ordinal among visited pages.  Page-level table only."""
+    """(source, page_no) that each source actually reads before a hard stop
+    (W1-W3).  Page-level table only; a source's first stop is an aggregate."""
     r = reg.select(F.col("name").alias("source"), "start_page", "max_pages")
     p = (
         pages.select("source", "page_no", "http_status")
-        .join(r, "source")
+        .join(F.broadcast(r), "source")
         .filter(F.col("page_no").between(F.col("start_page"), F.col("max_pages")))
         .join(counts, ["source", "page_no"], "left")
         .withColumn("n_items", F.coalesce("n_items", F.lit(0)))
@@ -117,90 +111,115 @@ def visible_pages(pages: DataFrame, counts: DataFrame, reg: DataFrame, cfg: Coll
         stop = stop | (st.isNotNull() & (st != 200))
     if cfg.stop_on_empty:
         stop = stop | ((st == 200) & (F.col("n_items") == 0))
-    upto = Window.partitionBy("source").orderBy("page_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    p = p.withColumn("_stopped", F.max(stop.cast("int")).over(upto))
-    vis = p.filter((F.col("_stopped") == 0) & (st == 200))
-    return vis.select(
-        "source",
-        "page_no",
-        F.row_number().over(Window.partitionBy("source").orderBy("page_no")).cast("long").alias("ord"),
+    if cfg.stop_on_http or cfg.stop_on_empty:
+        ends = p.filter(stop).groupBy("source").agg(F.min("page_no").alias("_end"))
+        p = p.join(F.broadcast(ends), "source", "left").filter(F.col("_end").isNull() | (F.col("page_no") < F.col("_end")))
+    return p.filter(st == 200).select("source", "page_no")
+
+
+def item_keys(items: DataFrame, reg: DataFrame, cfg: CollectConfig) -> DataFrame:
+    """What collection needs of an item: its place, keys of title, link and
+    normalised title, whether the title is long enough and has a keyword that
+    its source asks for."""
+    r = reg.select(F.col("name").alias("source"), apply_keywords().alias("_apply"), "keywords")
+    rows = items.join(F.broadcast(r), "source").withColumn("norm", norm_text("title"))  # the caller has the registry on the driver
+    fits = ~F.col("_apply") | keyword_any_array("norm", F.col("keywords")) if cfg.apply_keyword_filter else F.lit(True)
+    return rows.select(
+        "source", "page_no", "pos", (F.length("title") >= cfg.min_title_len).alias("long"), F.sha2("title", 256).alias("tkey"),
+        F.sha2("href", 256).alias("hkey"), F.sha2("norm", 256).alias("nkey"), fits.alias("fits"),
     )
 
 
-def candidates(kept: DataFrame, vis: DataFrame, reg: DataFrame, seen: DataFrame | None, cfg: CollectConfig) -> DataFrame:
-    """Items on visited pages that pass the keyword filter, are not in the
-    seen set and are the first of their norm in their source."""
-    r = reg.select(F.col("name").alias("source"), "label", apply_keywords().alias("_apply"), "keywords")
-    c = kept.join(vis.select("source", "page_no"), ["source", "page_no"], "left_semi").withColumn(
-        "norm", norm_text("title")
-    )
-    c = c.join(r, "source")
-    if cfg.apply_keyword_filter:
-        c = c.filter(~F.col("_apply") | keyword_any_array("norm", F.col("keywords")))
-    # From here on the fixed-width key stands for the normalised text.
-    c = c.withColumn("nkey", F.sha2(F.col("norm"), 256))
+def candidates(items: DataFrame, pages: DataFrame, reg: DataFrame, seen: DataFrame | None, cfg: CollectConfig) -> tuple[DataFrame, DataFrame]:
+    """(visible pages, candidates): candidates are the items on visible pages
+    that pass the filters, are not in the seen set and are the first of their
+    norm in their source, as (source, nkey, page_no, pos)."""
+    # a page's items in one place: in-page repeats, item counts and the page's status meet without another shuffle
+    keys = item_keys(items, reg, cfg).repartition("source", "page_no")
+    in_page = ["source", "page_no", "tkey", "hkey"]
+    kept = keys.filter("long")
+    if cfg.dedupe_in_page:
+        kept = kept.groupBy(*in_page, "nkey", "fits").agg(F.min("pos").alias("pos"))
+    if cfg.empty_test == "raw":
+        counted = keys
+    elif cfg.empty_test == "deduped":
+        counted = keys.select(*in_page).distinct()
+    elif cfg.empty_test == "long_enough":
+        counted = kept
+    else:
+        raise ValueError(f"Unknown empty_test: {cfg.empty_test}")
+    vis = visible_pages(pages, counted.groupBy("source", "page_no").agg(F.count(F.lit(1)).alias("n_items")), reg, cfg)
+    c = kept.filter("fits").join(vis, ["source", "page_no"], "left_semi")
+    c = c.groupBy("source", "nkey").agg(F.min(F.struct("page_no", "pos")).alias("at"))
     if seen is not None:
         c = c.join(seen.select("nkey"), "nkey", "left_anti")
-    c = c.select("source", "label", "page_no", "pos", F.col("title").alias("text"), F.col("href").alias("url"), "nkey")
-    return keep_first(c, ["source", "nkey"], order_cols=("page_no", "pos"))
-
-
-def source_step(
-    cand: DataFrame,
-    vis: DataFrame,
-    accepted_norms: DataFrame | None,
-    need: int | None,
-    k: int | None,
-) -> tuple[DataFrame, DataFrame]:
-    """One (label, source) step over that source's candidates.
-
-    ``need=None`` means no quota (harvest).  Returns ``(accepted, pages)``
-    where ``pages`` has the per-page metrics of the visited pages.
-    """
-    c = cand
-    if accepted_norms is not None:
-        c = c.join(accepted_norms, "nkey", "left_anti")  # AQE measures the accepted side
-    # Page-level counts come from a partial aggregate (small), the in-page
-    # rank from a window partitioned by page; only the page table is reused.
-    added = c.groupBy("page_no").agg(F.count(F.lit(1)).alias("added"))
-    c = c.withColumn("_rk", F.row_number().over(Window.partitionBy("page_no").orderBy("pos")))
-    pg = vis.select("page_no", "ord").join(added, "page_no", "left").withColumn(
-        "added", F.coalesce("added", F.lit(0)).cast("long")
-    )
-    # Windows over the page-level table of one source (bounded by max_pages).
-    cur = Window.orderBy("page_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    prev = Window.orderBy("page_no").rowsBetween(Window.unboundedPreceding, -1)
-    pg = pg.withColumn("before", F.coalesce(F.sum("added").over(prev), F.lit(0)).cast("long"))
-    if k is not None:
-        streak = F.col("ord") - F.max(F.when(F.col("added") > 0, F.col("ord")).otherwise(F.lit(0))).over(cur)
-        pg = pg.withColumn("_streak", streak).withColumn(
-            "_cut", F.coalesce(F.max((F.col("_streak") >= k).cast("int")).over(prev), F.lit(0))
+    return vis, c.select("source", "nkey", "at.page_no", "at.pos")
+
+
+def _prepare(spark: SparkSession, run_dir: str, pages: DataFrame, items: DataFrame, reg: DataFrame, seen: DataFrame | None,
+             plan: Sequence[rounds.Step], cfg: CollectConfig) -> tuple[DataFrame, DataFrame]:
+    """Candidates of all steps, and their page tables, written once."""
+    path = f"{run_dir}/prepared"
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        steps = F.broadcast(local_rows(spark, [(s.step, s.source) for s in plan], "step int, source string"))
+        reg = reg.filter(F.col("name").isin([s.source for s in plan]))
+        vis, c = candidates(items, pages, reg, seen, cfg)
+        c, vis = c.join(steps, "source"), vis.join(steps, "source")
+        # a title has a row for each source that holds it: no more than the registry
+        holders = Window.partitionBy("nkey")
+        c = c.withColumn("shared", F.count(F.lit(1)).over(holders) > 1).withColumn("first", F.min("step").over(holders))
+        page = ["step", "page_no"]
+        earlier = Window.partitionBy(*page).orderBy("pos", "nkey").rowsBetween(Window.unboundedPreceding, -1)
+        own = F.when(F.col("shared"), 0).otherwise(1).cast("long")
+        each = vis.select(*page, *(F.lit(0).cast("long").alias(x) for x in ("own", "n_shared"))).unionByName(
+            c.select(*page, own.alias("own"), (1 - own).alias("n_shared"))
         )
-        pg = pg.filter(F.col("_cut") == 0).drop("_streak", "_cut")
-    if need is not None:
-        pg = pg.filter(F.col("before") < need)
-    acc = c.join(pg.select("page_no", "before"), "page_no")
-    if need is not None:
-        acc = acc.filter(F.col("before") + F.col("_rk") <= need)
-    return acc.drop("before", "_rk"), pg
-
-
-def _page_counters(pg: DataFrame, need: int | None) -> DataFrame:
-    """Rows accepted on each visited page (the quota caps the last one)
-    and the running total after it."""
-    added = F.col("added") if need is None else F.least(F.col("added"), F.lit(need) - F.col("before"))
-    return pg.select(
-        F.lit("page").alias("kind"), "page_no", added.cast("long").alias("added"),
-        (F.col("before") + added).cast("long").alias("running_total"),
+        table = each.groupBy(*page).agg(F.sum("own").alias("own"), F.sum("n_shared").alias("n_shared"))
+        c = c.withColumn("own_before", F.coalesce(F.sum(own).over(earlier), F.lit(0)))
+        rows = table.withColumn("kind", F.lit("page")).unionByName(c.withColumn("kind", F.lit("cand")), allowMissingColumns=True)
+        columns = [x.split() for x in PREP_SCHEMA.split(", ")]
+        rows.select(*(F.col(c).cast(t).alias(c) for c, t in columns)).write.mode("overwrite").parquet(path)
+    prep = spark.read.schema(PREP_SCHEMA).parquet(path)
+    cand = prep.filter(F.col("kind") == "cand").select("step", "page_no", "pos", "nkey", "shared", "first", "own_before")
+    return cand, prep.filter(F.col("kind") == "page").select(*PAGE_COLS)
+
+
+def _accepted(spark: SparkSession, resolved: rounds.Resolved, cand: DataFrame, items: DataFrame, plan: Sequence[rounds.Step]) -> DataFrame:
+    """Accepted rows, with the titles and links that candidates go without."""
+    keys = resolved.keys(spark)
+    place = ["step", "page_no", "pos", "nkey"]
+    own = cand.filter(~F.col("shared")).join(F.broadcast(resolved.ends_frame(spark)), "step").filter(F.col("page_no") <= F.col("last_page"))
+    # A step's last page may be cut inside: a title's own rank there counts the accepted shared titles before it
+    cut = (F.col("page_no") == F.col("last_page")) & F.col("room").isNotNull()
+    ends = F.broadcast(resolved.ends_frame(spark).filter("room is not null"))
+    there = keys.join(ends, "step").filter(cut).select(*place, "room", F.lit(False).alias("own"))
+    last = own.filter(cut).select(*place, "room", F.lit(True).alias("own")).unionByName(there)
+    rank = F.row_number().over(Window.partitionBy("step").orderBy("pos", "nkey"))
+    last = last.withColumn("_rk", rank).filter("own").filter(F.col("_rk") <= F.col("room"))
+    rows = own.filter(~cut).select(*place).unionByName(last.select(*place)).unionByName(keys.select(*place))
+    names = local_rows(spark, [(s.step, s.source, s.name, s.label) for s in plan], "step int, source string, name string, label string")
+    rows = rows.join(F.broadcast(names), "step")
+    if sum(e.rows for e in resolved.ends.values()) <= rounds.BROADCAST_ROWS:  # so many rows there are, known from the rounds
+        rows = F.broadcast(rows)
+    found = items.select("source", "page_no", "pos", "title", "href").join(rows, ["source", "page_no", "pos"])
+    return found.filter(F.sha2(norm_text("title"), 256) == F.col("nkey")).select(
+        "step", F.col("name").alias("source"), "label", *(F.col(c).cast("long").alias(c) for c in ("page_no", "pos")),
+        F.col("title").alias("text"), F.col("href").alias("url"), "nkey",
     )
 
 
 @dataclass
 class FoldResult:
-    accepted: DataFrame  # ACCEPTED_COLS
+    accepted: DataFrame  # ACCEPTED_SCHEMA
     metrics: DataFrame  # step, source, label, pages_visited, added
-    pages: DataFrame  # A11: step, source, label, page_no, added, running_total
+    page_counters: Callable[[], DataFrame]
     needs: dict[str, int]
+    rounds: int  # that ran before nothing changed any more
+
+    @property
+    def pages(self) -> DataFrame:
+        """Step, source, label, page_no, added, running_total (planned only if asked for)."""
+        return self.page_counters()
 
 
 def by_id(df: DataFrame, reg: DataFrame) -> DataFrame:
@@ -208,7 +227,7 @@ def by_id(df: DataFrame, reg: DataFrame) -> DataFrame:
     if "priority" in df.columns:
         return df.withColumn("source", F.col("priority").cast("string")).drop("priority")
     ids = reg.select(F.col("name").alias("source"), F.col("priority").cast("string").alias("_id"))
-    return df.join(ids, "source").withColumn("source", F.col("_id")).drop("_id")
+    return df.join(F.broadcast(ids), "source").withColumn("source", F.col("_id")).drop("_id")
 
 
 def _step_plan(reg_rows: Sequence, labels: Sequence[str]) -> list[tuple[str, list]]:
@@ -237,8 +256,8 @@ def collect_fold(
 
     ``needs[label] = None`` means no quota for that label.  ``run_dir`` (a
     folder on the shared file system) makes the run restartable: finished
-    steps are read back instead of recomputed, provided that parameters and
-    inputs are the same.  ``input_version`` names the inputs' state; without
+    parts (candidates, page tables, rounds, accepted rows) are read back instead
+    of recomputed, provided that parameters and inputs are the same.  ``input_version`` names the inputs' state; without
     it, a restartable run reads them once more for a digest of their rows.
     """
     reuse = run_dir is not None
@@ -246,101 +265,56 @@ def collect_fold(
     if len({r["priority"] for r in reg_rows}) < len(reg_rows):
         raise ValueError("registry rows must have different priorities: they are the ids of the sources")
     run_dir = run_dir or scratch_path(spark, "collect")
-    run_tag = uuid.uuid4().hex[:8]  # observation names must not repeat within a session
     if reuse:
         if input_version is None:
             input_version = "/".join(content_digest(d) for d in (pages, items, base) if d is not None)
         _check_fingerprint(spark, run_dir, needs, labels, cfg, reg, input_version)
     pages, items = by_id(pages, reg), by_id(items, reg)
     reg = reg.withColumn("name", F.col("priority").cast("string"))
-    kept, counts = prepare_items(items, cfg)
-    vis = visible_pages(pages, counts, reg, cfg)
+    # Static step numbers (label order x priority): a skipped step keeps its
+    # number, so reruns and reports line up.
+    plan = [
+        rounds.Step(i + 1, str(src["priority"]), src["name"], label, cfg.k_for(src["name"]))
+        for i, (label, src) in enumerate((l, x) for l, srcs in _step_plan(reg_rows, labels) for x in srcs)
+    ]
+    needs = {label: needs.get(label, 0) for label in labels}
+    active = [s for s in plan if needs[s.label] is None or needs[s.label] > 0]
     seen = seen_set(base) if base is not None else None
-
-    # Visible pages and candidates go out in one write (one job): both hang
-    # off the same deduplicated items, whose shuffle Spark then reuses.  A
-    # directory per source (prefixed so the value always reads back as a
-    # string) lets each step prune to its own source.
-    prep_path = f"{run_dir}/prepared"
-    if not path_exists(spark, f"{prep_path}/_SUCCESS"):
-        v = vis.select(F.lit("vis").alias("kind"), "source", "page_no", "ord")
-        c = candidates(kept, vis, reg, seen, cfg).select(F.lit("cand").alias("kind"), *CAND_COLS)
-        v.unionByName(c, allowMissingColumns=True).withColumn(
-            "_part", F.concat(F.lit("s_"), F.col("source"))
-        ).write.mode("overwrite").partitionBy("_part").parquet(prep_path)
-    prep = spark.read.schema(PREP_SCHEMA).parquet(prep_path)
-    vis = prep.filter(F.col("kind") == "vis").select("_part", "source", "page_no", "ord")
-    cand_all = prep.filter(F.col("kind") == "cand").select("_part", *CAND_COLS)
-
-    step = 0
-    step_paths: list[str] = []
-    metric_rows: list[tuple] = []
-    for label, srcs in _step_plan(reg_rows, labels):
-        need = needs.get(label, 0)
-        remaining = need
-        for src in srcs:
-            # Static step numbers (label order x priority): a skipped step
-            # keeps its number, so reruns and reports line up.
-            step += 1
-            if remaining is not None and remaining <= 0:
-                continue
-            name, part = src["name"], f"s_{src['priority']}"
-            sp = f"{run_dir}/step={step:04d}"
-            if not path_exists(spark, f"{sp}/_SUCCESS"):
-                acc_norms = (
-                    spark.read.schema(STEP_SCHEMA).parquet(*step_paths).filter(F.col("kind") == "acc").select("nkey")
-                    if step_paths else None
-                )
-                acc, pg = source_step(
-                    cand_all.filter(F.col("_part") == part).drop("_part"),
-                    vis.filter(F.col("_part") == part).drop("_part"),
-                    acc_norms,
-                    remaining,
-                    cfg.k_for(name),
-                )
-                # Accepted rows and visited pages go out in one write (one
-                # job per step); ``kind`` tells them apart.
-                out = acc.select(
-                    F.lit("acc").alias("kind"), "page_no", "pos", "text", "url", "nkey"
-                ).unionByName(
-                    _page_counters(pg, remaining), allowMissingColumns=True
-                ).select(
-                    "kind", F.lit(step).cast("int").alias("step"), F.lit(name).alias("source"),
-                    F.lit(label).alias("label"), "page_no", "pos", "text", "url", "nkey", "added", "running_total",
-                )
-                # Step metrics ride along with the write (no extra job).
-                obs = Observation(f"collect_{run_tag}_step_{step}")
-                out.observe(
-                    obs, F.count_if(F.col("kind") == "acc").alias("n"), F.count_if(F.col("kind") == "page").alias("pv")
-                ).write.mode("overwrite").parquet(sp)
-                cnt = obs.get
-            else:
-                cnt = spark.read.schema(STEP_SCHEMA).parquet(sp).agg(
-                    F.count_if(F.col("kind") == "acc").alias("n"), F.count_if(F.col("kind") == "page").alias("pv")
-                ).collect()[0].asDict()
-            n, pages_visited = int(cnt["n"]), int(cnt["pv"])
-            step_paths.append(sp)
-            metric_rows.append((step, name, label, pages_visited, n))
-            if remaining is not None:
-                remaining -= n
-    if step_paths:
-        accepted = spark.read.schema(STEP_SCHEMA).parquet(*step_paths).filter(F.col("kind") == "acc").select(*ACCEPTED_COLS)
+    accepted_path = f"{run_dir}/accepted"
+    if active:
+        cand, table = _prepare(spark, run_dir, pages, items, reg, seen, active, cfg)
+        shared = cand.filter("shared").drop("shared")
+        resolved = rounds.resolve(spark, table, shared, active, needs, f"{run_dir}/rounds")
+        if not path_exists(spark, f"{accepted_path}/_SUCCESS"):
+            _accepted(spark, resolved, cand, items, active).write.mode("overwrite").parquet(accepted_path)
     else:
-        accepted = spark.createDataFrame(
-            [], "step int, source string, label string, page_no long, pos long, text string, url string, nkey string"
-        )
-    metrics = spark.createDataFrame(
-        metric_rows, "step int, source string, label string, pages_visited long, added long"
+        table = local_rows(spark, [], "step int, page_no long, own long, n_shared long")
+        resolved = rounds.Resolved(f"{run_dir}/rounds", {}, {}, 0)
+        local_rows(spark, [], ACCEPTED_SCHEMA).write.mode("overwrite").parquet(accepted_path)
+    accepted = spark.read.schema(ACCEPTED_SCHEMA).parquet(accepted_path)
+    none = rounds.End(0, 0, 0, None)
+    left = {label: need for label, need in needs.items() if need is not None}
+    ran = []
+    for s in active:  # a step runs while its label still needs rows, even on no page at all
+        if left.get(s.label, 1) > 0:
+            ran.append((s, resolved.ends.get(s.step, none)))
+            if s.label in left:
+                left[s.label] -= ran[-1][1].rows
+    metrics = local_rows(
+        spark, [(s.step, s.name, s.label, e.pages, e.rows) for s, e in ran], "step int, source string, label string, pages_visited long, added long"
+    )
+    return FoldResult(accepted, metrics, lambda: _page_counters(spark, resolved, table, accepted, metrics), needs, resolved.jobs)
+
+
+def _page_counters(spark: SparkSession, resolved: rounds.Resolved, table: DataFrame, accepted: DataFrame, metrics: DataFrame) -> DataFrame:
+    """Rows accepted on each visited page and the running total after it."""
+    read = table.join(F.broadcast(resolved.ends_frame(spark)), "step").filter(F.col("page_no") <= F.col("last_page"))
+    rows = read.select("step", "page_no", F.lit(0).cast("long").alias("added")).unionByName(
+        accepted.select("step", "page_no", F.lit(1).cast("long").alias("added"))
+    )
+    return rounds.running_totals(rows).join(F.broadcast(metrics.select("step", "source", "label")), "step").select(
+        "step", "source", "label", "page_no", "added", "running_total"
     )
-    if step_paths:
-        pages_df = spark.read.schema(STEP_SCHEMA).parquet(*step_paths).filter(F.col("kind") == "page").select(
-            "step", "source", "label", "page_no", "added", "running_total"
-        )
-    else:
-        pages_df = spark.createDataFrame(
-            [], "step int, source string, label string, page_no long, added long, running_total long"
-        )
-    return FoldResult(accepted=accepted, metrics=metrics, pages=pages_df, needs=dict(needs))
 
 
 class RunMismatchError(ValueError):

@@ -26,10 +26,15 @@ class ExtendResult:
     corpus: DataFrame  # final corpus, keep-first by normalised text
     accepted: DataFrame  # rows collected per step
     metrics: DataFrame  # per step: pages visited, rows added
-    pages: DataFrame  # per visited page: rows added, running total
+    fold: collect.FoldResult
     needs: dict  # label -> rows requested at the start
     shortfall: DataFrame  # labels still below the target
 
+    @property
+    def pages(self) -> DataFrame:
+        """Per visited page: rows added, running total."""
+        return self.fold.pages
+
 
 def extend_to_target(
     spark: SparkSession,
@@ -65,7 +70,7 @@ def extend_to_target(
     needs = {r["label"]: int(r["need"]) for r in needs_df.collect()}  # one row per label
     res = collect.collect_fold(spark, pages, items, reg, b, needs, labels, cfg, run_dir, input_version)
     final = collect.extend_corpus(b, res.accepted, dedupe_final)
-    return ExtendResult(final, res.accepted, res.metrics, res.pages, needs,
+    return ExtendResult(final, res.accepted, res.metrics, res, needs,
                         profile.shortfall(final, labels, target))
 
 

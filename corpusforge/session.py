@@ -60,6 +60,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def local_rows(spark: SparkSession, rows, schema: str) -> DataFrame:
+    """A few rows that the driver has (one per source, label or column) as a
+    local relation: no job makes them, and Spark knows their size."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    struct = StructType.fromDDL(schema)
+    arrow = to_arrow_schema(struct)
+    columns = list(zip(*rows, strict=True)) or [[] for _ in struct]
+    return spark.createDataFrame(pa.table([pa.array(list(c), f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow), struct)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Round-robin ``df`` over all task slots when it has fewer partitions
     than slots (a small file with few row groups feeding CPU-heavy text or

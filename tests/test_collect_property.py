@@ -125,8 +125,8 @@ def test_fold_equals_sequential_loop(spark, empty_test, stop_on_http, seed):
         assert m["added"] == per.get(m["step"], 0)
 
 
-def test_rerun_skips_finished_steps(spark, tmp_path):
-    """A rerun with the same run folder reads finished steps back."""
+def test_rerun_skips_finished_parts(spark, tmp_path):
+    """A rerun with the same run folder reads finished parts back."""
     reg = sources_frame(spark, [{"name": "a", "label": "L", "base_url": "https://a/"},
                                 {"name": "b", "label": "L", "base_url": "https://b/"}])
     pages = spark.createDataFrame([("a", 1, 200), ("a", 2, 200), ("b", 1, 200)],
@@ -140,11 +140,11 @@ def test_rerun_skips_finished_steps(spark, tmp_path):
     first = sorted((r.source, r.text) for r in r1.accepted.collect())
     assert first == [("a", "first headline here"), ("a", "second headline here"), ("b", "third headline here")]
     import os
-    marker = os.path.join(run, "step=0001", "_SUCCESS")
-    mtime = os.path.getmtime(marker)
+    markers = [os.path.join(run, p, "_SUCCESS") for p in ("prepared", "rounds/round=0000", "accepted")]
+    mtimes = [os.path.getmtime(m) for m in markers]
     r2 = collect_fold(spark, pages, items, reg, None, {"L": 3}, ["L"], CollectConfig(), run_dir=run)
     assert sorted((r.source, r.text) for r in r2.accepted.collect()) == first
-    assert os.path.getmtime(marker) == mtime
+    assert [os.path.getmtime(m) for m in markers] == mtimes
     assert [tuple(m)[3:] for m in r2.metrics.orderBy("step").collect()] == [(2, 2), (1, 1)]
 
 
