@@ -69,11 +69,6 @@ class CollectConfig:
 
 
 ACCEPTED_SCHEMA = "step int, source string, label string, page_no long, pos long, text string, url string, nkey string"
-PREP_SCHEMA = (
-    "kind string, step int, page_no long, pos long, nkey string, shared boolean, first int, own_before long, own long, n_shared long"
-)
-PAGE_COLS = ["step", "page_no", "own", "n_shared"]
-
 
 def prepare_items(items: DataFrame, cfg: CollectConfig) -> tuple[DataFrame, DataFrame]:
     """E1 post-filters and the per-page item count used by the empty test.
@@ -164,42 +159,16 @@ def _prepare(spark: SparkSession, run_dir: str, pages: DataFrame, items: DataFra
         steps = F.broadcast(local_rows(spark, [(s.step, s.source) for s in plan], "step int, source string"))
         reg = reg.filter(F.col("name").isin([s.source for s in plan]))
         vis, c = candidates(items, pages, reg, seen, cfg)
-        c, vis = c.join(steps, "source"), vis.join(steps, "source")
-        # a title has a row for each source that holds it: no more than the registry
-        holders = Window.partitionBy("nkey")
-        c = c.withColumn("shared", F.count(F.lit(1)).over(holders) > 1).withColumn("first", F.min("step").over(holders))
-        page = ["step", "page_no"]
-        earlier = Window.partitionBy(*page).orderBy("pos", "nkey").rowsBetween(Window.unboundedPreceding, -1)
-        own = F.when(F.col("shared"), 0).otherwise(1).cast("long")
-        each = vis.select(*page, *(F.lit(0).cast("long").alias(x) for x in ("own", "n_shared"))).unionByName(
-            c.select(*page, own.alias("own"), (1 - own).alias("n_shared"))
-        )
-        table = each.groupBy(*page).agg(F.sum("own").alias("own"), F.sum("n_shared").alias("n_shared"))
-        c = c.withColumn("own_before", F.coalesce(F.sum(own).over(earlier), F.lit(0)))
-        rows = table.withColumn("kind", F.lit("page")).unionByName(c.withColumn("kind", F.lit("cand")), allowMissingColumns=True)
-        columns = [x.split() for x in PREP_SCHEMA.split(", ")]
-        rows.select(*(F.col(c).cast(t).alias(c) for c, t in columns)).write.mode("overwrite").parquet(path)
-    prep = spark.read.schema(PREP_SCHEMA).parquet(path)
-    cand = prep.filter(F.col("kind") == "cand").select("step", "page_no", "pos", "nkey", "shared", "first", "own_before")
-    return cand, prep.filter(F.col("kind") == "page").select(*PAGE_COLS)
+        rows = rounds.prepared(c.join(steps, "source").select("step", "page_no", "pos", "nkey"), vis.join(steps, "source"))
+        rows.write.mode("overwrite").parquet(path)
+    return rounds.cand_and_pages(spark.read.schema(rounds.PREP_SCHEMA).parquet(path))
 
 
 def _accepted(spark: SparkSession, resolved: rounds.Resolved, cand: DataFrame, items: DataFrame, plan: Sequence[rounds.Step]) -> DataFrame:
     """Accepted rows, with the titles and links that candidates go without."""
-    keys = resolved.keys(spark)
-    place = ["step", "page_no", "pos", "nkey"]
-    own = cand.filter(~F.col("shared")).join(F.broadcast(resolved.ends_frame(spark)), "step").filter(F.col("page_no") <= F.col("last_page"))
-    # A step's last page may be cut inside: a title's own rank there counts the accepted shared titles before it
-    cut = (F.col("page_no") == F.col("last_page")) & F.col("room").isNotNull()
-    ends = F.broadcast(resolved.ends_frame(spark).filter("room is not null"))
-    there = keys.join(ends, "step").filter(cut).select(*place, "room", F.lit(False).alias("own"))
-    last = own.filter(cut).select(*place, "room", F.lit(True).alias("own")).unionByName(there)
-    rank = F.row_number().over(Window.partitionBy("step").orderBy("pos", "nkey"))
-    last = last.withColumn("_rk", rank).filter("own").filter(F.col("_rk") <= F.col("room"))
-    rows = own.filter(~cut).select(*place).unionByName(last.select(*place)).unionByName(keys.select(*place))
     names = local_rows(spark, [(s.step, s.source, s.name, s.label) for s in plan], "step int, source string, name string, label string")
-    rows = rows.join(F.broadcast(names), "step")
-    if sum(e.rows for e in resolved.ends.values()) <= rounds.BROADCAST_ROWS:  # so many rows there are, known from the rounds
+    rows = rounds.accepted(spark, resolved, cand).join(F.broadcast(names), "step")
+    if resolved.n_rows() <= rounds.BROADCAST_ROWS:  # else the items are shuffled to them
         rows = F.broadcast(rows)
     found = items.select("source", "page_no", "pos", "title", "href").join(rows, ["source", "page_no", "pos"])
     return found.filter(F.sha2(norm_text("title"), 256) == F.col("nkey")).select(

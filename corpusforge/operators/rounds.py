@@ -35,6 +35,9 @@ from corpusforge.session import local_rows, path_exists
 SEGMENT = 4096
 #: Rows (some 100 bytes each) up to which a table whose count is known goes to the other side's tasks.
 BROADCAST_ROWS = 200_000
+PREP_SCHEMA = (
+    "kind string, step int, page_no long, pos long, nkey string, shared boolean, first int, own_before long, own long, n_shared long"
+)
 ROUND_SCHEMA = "kind string, step int, page_no long, pos long, nkey string, rows long, pages long, room long"
 
 
@@ -113,6 +116,9 @@ class Resolved:
     rounds: dict[int, int]
     jobs: int
 
+    def n_rows(self) -> int:
+        return sum(e.rows for e in self.ends.values())
+
     def ends_frame(self, spark: SparkSession) -> DataFrame:
         return local_rows(spark, [(s, e.last_page, e.room) for s, e in sorted(self.ends.items())], "step int, last_page long, room long")
 
@@ -268,6 +274,45 @@ def resolve(
         r += 1
 
 
+def prepared(candidates: DataFrame, pages: DataFrame) -> DataFrame:
+    """What ``resolve`` reads, to be written once: rows of kind "cand" (see
+    ``cand_and_pages``) and "page".  ``candidates``: step, page_no, pos, nkey, a
+    title once in a step; ``pages``: step, page_no."""
+    # a title has a row for each source that holds it: no more than the registry
+    holders = Window.partitionBy("nkey")
+    c = candidates.withColumn("shared", F.count(F.lit(1)).over(holders) > 1).withColumn("first", F.min("step").over(holders))
+    page = ["step", "page_no"]
+    earlier = Window.partitionBy(*page).orderBy("pos", "nkey").rowsBetween(Window.unboundedPreceding, -1)
+    own = F.when(F.col("shared"), 0).otherwise(1).cast("long")
+    each = pages.select(*page, *(F.lit(0).cast("long").alias(x) for x in ("own", "n_shared"))).unionByName(
+        c.select(*page, own.alias("own"), (1 - own).alias("n_shared"))
+    )
+    table = each.groupBy(*page).agg(F.sum("own").alias("own"), F.sum("n_shared").alias("n_shared"))
+    c = c.withColumn("own_before", F.coalesce(F.sum(own).over(earlier), F.lit(0)))
+    rows = table.withColumn("kind", F.lit("page")).unionByName(c.withColumn("kind", F.lit("cand")), allowMissingColumns=True)
+    return rows.select(*(F.col(c).cast(t).alias(c) for c, t in (x.split() for x in PREP_SCHEMA.split(", "))))
+
+
+def cand_and_pages(prep: DataFrame) -> tuple[DataFrame, DataFrame]:
+    cand = prep.filter(F.col("kind") == "cand").select("step", "page_no", "pos", "nkey", "shared", "first", "own_before")
+    return cand, prep.filter(F.col("kind") == "page").select("step", "page_no", "own", "n_shared")
+
+
+def accepted(spark: SparkSession, resolved: Resolved, cand: DataFrame) -> DataFrame:
+    """(step, page_no, pos, nkey) of all accepted candidates."""
+    keys = resolved.keys(spark)
+    place = ["step", "page_no", "pos", "nkey"]
+    own = cand.filter(~F.col("shared")).join(F.broadcast(resolved.ends_frame(spark)), "step").filter(F.col("page_no") <= F.col("last_page"))
+    # A step's last page may be cut inside: a title's own rank there counts the accepted shared titles before it
+    cut = (F.col("page_no") == F.col("last_page")) & F.col("room").isNotNull()
+    ends = F.broadcast(resolved.ends_frame(spark).filter("room is not null"))
+    there = keys.join(ends, "step").filter(cut).select(*place, "room", F.lit(False).alias("own"))
+    last = own.filter(cut).select(*place, "room", F.lit(True).alias("own")).unionByName(there)
+    rank = F.row_number().over(Window.partitionBy("step").orderBy("pos", "nkey"))
+    last = last.withColumn("_rk", rank).filter("own").filter(F.col("_rk") <= F.col("room"))
+    return own.filter(~cut).select(*place).unionByName(last.select(*place)).unionByName(keys.select(*place))
+
+
 def running_totals(pages: DataFrame, segment: int = SEGMENT) -> DataFrame:
     """``pages(step, page_no, added, ...)`` with ``running_total``."""
     free = pages.withColumn("need", F.lit(None).cast("long")).withColumn("k", F.lit(None).cast("int"))
