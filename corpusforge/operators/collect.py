@@ -23,7 +23,7 @@ behind one source's cut stay unseen and can be claimed by the next source;
 A source is a registry row: its id is its ``priority``, and one site may
 serve several labels under the same name.  Pages and items that carry a
 ``priority`` column belong to that row alone, others to every row of their
-source name.  ``(source, page_no, pos)`` names an item.
+source name.
 
 Scale: titles become keys in the map stage; in-page dedupe, stop rules, anti join
 with the base's seen set and keep-first work on keys and positions alone, in
@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from corpusforge.functions.text import keyword_any_array, norm_text
 from corpusforge.operators import rounds
-from corpusforge.operators.dedupe import dedupe_in_page, seen_set
+from corpusforge.operators.dedupe import dedupe_in_page, keep_first, seen_set
 from corpusforge.session import local_rows, path_exists, scratch_path
 from corpusforge.sources.registry import apply_keywords
 
@@ -171,10 +171,11 @@ def _accepted(spark: SparkSession, resolved: rounds.Resolved, cand: DataFrame, i
     if resolved.n_rows() <= rounds.BROADCAST_ROWS:  # else the items are shuffled to them
         rows = F.broadcast(rows)
     found = items.select("source", "page_no", "pos", "title", "href").join(rows, ["source", "page_no", "pos"])
-    return found.filter(F.sha2(norm_text("title"), 256) == F.col("nkey")).select(
+    found = found.filter(F.sha2(norm_text("title"), 256) == F.col("nkey")).select(
         "step", F.col("name").alias("source"), "label", *(F.col(c).cast("long").alias(c) for c in ("page_no", "pos")),
         F.col("title").alias("text"), F.col("href").alias("url"), "nkey",
     )
+    return keep_first(found, ["step", "nkey"], ("text", "url"))  # items that share a place and a title are one
 
 
 @dataclass

@@ -36,10 +36,12 @@ def fold_sql(
     target_div: int = 5,
     tail: str = "accepted",
     captured: str | None = None,
+    corpus: str = "base",
 ) -> str:
     """``tail``: ``accepted`` rows, ``metrics`` per step, ``corpus`` (K1:
     base ∪ accepted, keep-first by normalised text) or ``shortfall`` (A13).
-    ``captured``: CTEs that define ``archive`` and ``page_status`` anew."""
+    ``captured``: CTEs that define ``archive`` and ``page_status`` anew;
+    ``corpus``: the view that is extended."""
     reg_sql = _registry_sql(registry)
     stop = []
     if cfg.stop_on_http:
@@ -61,9 +63,9 @@ def fold_sql(
         counted = ("(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source, page_no, title, href "
                    "ORDER BY pos) AS _d FROM archive) WHERE _d = 1)")
     ctes = [
-        V.with_views("base", *([] if captured else ["archive", "page_status"]))[len("WITH "):],
+        V.with_views(corpus, *([] if captured else ["archive", "page_status"]))[len("WITH "):],
         *([captured] if captured else []),
-        S.clean_cte("base", "cbase"),
+        S.clean_cte(corpus, "cbase"),
         FX.sql_labels("req", labels),
         f"tgt AS (SELECT count(*) // {target_div} AS target FROM cbase)",
         "needs AS (SELECT req.label, CAST(greatest(0, tgt.target - coalesce(c.have, 0)) AS BIGINT) AS need "

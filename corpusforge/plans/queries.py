@@ -760,7 +760,7 @@ def _sql_from_pages(columns: str, sources, labels, cfg, tail: str) -> str:
     """Twin of a fold over the captures; ids become names again."""
     own = {str(i + 1): cfg.k_for(r["name"]) for i, r in enumerate(sources)}
     fold = FS.fold_sql(labels, [{**r, "name": str(i + 1)} for i, r in enumerate(sources)],
-                       replace(cfg, zero_streak_by_source=own), tail=tail, captured=_sql_captured(sources))
+                       replace(cfg, zero_streak_by_source=own), tail=tail, captured=_sql_captured(sources), corpus="headlines")
     names = ", ".join(f"('{i + 1}', {S.q(r['name'])})" for i, r in enumerate(sources))
     return f"SELECT {columns} FROM ({fold}) f LEFT JOIN (VALUES {names}) n(id, name) ON f.source = n.id"
 
@@ -783,8 +783,8 @@ def captured(spark, sf_dir):
 def q_corpus_from_pages(spark, sf_dir):
     """K1 from captured pages: each source's own selectors, sites that serve
     two labels, quotas and stop rules, then keep-first with the base."""
-    target = base_target(clean_base(spark, sf_dir))
-    res = jobs.extend_from_pages(spark, V.base(spark, sf_dir), captured(spark, sf_dir), FX.PAGE_SOURCES, FX.LABELS, target, PAGE_CFG)
+    target = base_target(clean.clean_corpus(V.headlines(spark, sf_dir)))
+    res = jobs.extend_from_pages(spark, V.headlines(spark, sf_dir), captured(spark, sf_dir), FX.PAGE_SOURCES, FX.LABELS, target, PAGE_CFG)
     return res.corpus.select(*[c for c in CORPUS_COLS if c != "pos"])
 
 
@@ -804,8 +804,8 @@ TOPUPS = {
 
 def _register_top_up(name: str, job: jobs.TopUp) -> None:
     def q(spark, sf_dir):
-        target = base_target(clean_base(spark, sf_dir))
-        res = jobs.top_up(spark, V.base(spark, sf_dir), captured(spark, sf_dir), job, target)
+        target = base_target(clean.clean_corpus(V.headlines(spark, sf_dir)))
+        res = jobs.top_up(spark, V.headlines(spark, sf_dir), captured(spark, sf_dir), job, target)
         return res.accepted.select("step", "source", "label", "page_no", "text", "url")
 
     q.__name__ = f"q_{name}"
@@ -896,7 +896,7 @@ def q_page_title_intro(spark, sf_dir):
 
 @register(
     "topup_no_quota",
-    _wv("base") + ",\n" + S.clean_cte("base", "cbase") + ",\n" + _SQL_INTRO + ",\n"
+    _wv("headlines") + ",\n" + S.clean_cte("headlines", "cbase") + ",\n" + _SQL_INTRO + ",\n"
     "tags AS (SELECT page_id, " + _SQL_PAGE_TAGS + " FROM pages),\n"
     f"seen AS (SELECT DISTINCT {S.norm('text')} AS norm FROM cbase),\n"
     "new AS (SELECT tix.page_id AS row_id, tix.text, tags.label, tags.source, tix.url FROM tix "
@@ -911,9 +911,10 @@ def q_topup_no_quota(spark, sf_dir):
     with the page's url; no length filter, no quota."""
     t = X.title_and_intro(pages_tbl(spark, sf_dir), PAGE_URL_KEY, "h1", ["article > p", "article p"])
     new = _with_tags(t).select(F.col("page_id").alias("row_id"), "text", "label", "source", "url")
-    new = D.unseen(new.withColumn("nkey", TX.norm_key("text")), D.seen_set(clean_base(spark, sf_dir)))
+    base = clean.clean_corpus(V.headlines(spark, sf_dir))
+    new = D.unseen(new.withColumn("nkey", TX.norm_key("text")), D.seen_set(base))
     new = D.keep_first(new, ["nkey"], order_cols=("row_id",)).drop("nkey")
-    return M.union_parts([clean_base(spark, sf_dir).select(*HEADLINE_COLS), new]).select(*PART_COLS)
+    return M.union_parts([base.select(*HEADLINE_COLS), new]).select(*PART_COLS)
 
 
 # ------------------------------------------------------------------ feeds --
@@ -1274,53 +1275,92 @@ def q_profile_report(spark, sf_dir):
 from corpusforge.streaming import growth as G  # noqa: E402
 
 
-def _sql_growth() -> str:
-    kw = _sql_kw_case(S.norm("a.title")).replace("CASE source", "CASE a.source")
-    def rnd(b: int, seen: str, need: str) -> str:
-        return (
-            f"c{b} AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY norm ORDER BY label_pos, priority, "
-            f"page_no, pos) AS _f FROM it WHERE batch = {b} AND norm NOT IN (SELECT norm FROM {seen})) WHERE _f = 1),\n"
-            f"acc{b} AS (SELECT c.* FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY priority, page_no, "
-            f"pos) AS rk FROM c{b}) c JOIN {need} n ON c.label = n.label WHERE c.rk <= n.need)"
-        )
+def _sql_growth(head: str, corpus: str, sources, names: str = "source") -> str:
+    """Two batches, each folded label by label and source by source (``it`` has
+    the items, with their batch and the registry row that reads them)."""
+    ctes, taken, by_label = [], "SELECT norm FROM seen0", {}
+    for b in (0, 1):
+        for n, label, src in FS.steps(sources, FX.LABELS):
+            priority = sources.index(src) + 1
+            used = "".join(f" - (SELECT count(*) FROM {x})" for x in by_label.get(label, []))
+            ctes.append(
+                f"b{b}s{n} AS (SELECT * FROM (SELECT *, row_number() OVER (ORDER BY page_no, pos) AS rk FROM (SELECT *, row_number() "
+                f"OVER (PARTITION BY norm ORDER BY page_no, pos) AS _f FROM it WHERE batch = {b} AND priority = {priority} "
+                f"AND norm NOT IN ({taken})) WHERE _f = 1) WHERE rk <= (SELECT need FROM need0 WHERE label = {S.q(label)}){used})"
+            )
+            taken += f" UNION ALL SELECT norm FROM b{b}s{n}"
+            by_label.setdefault(label, []).append(f"b{b}s{n}")
+    all_ = " UNION ALL ".join(f"SELECT CAST({x[1]} AS BIGINT) AS batch_id, {names}, label, page_no, pos, text, url FROM {x}"
+                              for xs in by_label.values() for x in xs)
     return (
-        _wv("base", "archive") + ",\n" + S.clean_cte("base", "cbase") + ",\n" + FX.sql_labels() + ",\n"
-        + FX.sql_registry() + ",\ntgt AS (SELECT count(*) // 5 AS target FROM cbase),\n"
-        f"it AS (SELECT a.source, a.page_no, a.pos, a.title AS text, a.href AS url, r.label, r.priority, req.label_pos, "
-        f"{S.norm('a.title')} AS norm, CASE WHEN a.page_no % 2 = 1 THEN 0 ELSE 1 END AS batch "
-        f"FROM archive a JOIN registry r ON a.source = r.name JOIN req ON req.label = r.label "
-        f"WHERE length(a.title) >= 12 AND {kw}),\n"
+        head + ",\n" + S.clean_cte(corpus, "cbase") + ",\ntgt AS (SELECT count(*) // 5 AS target FROM cbase),\n"
         f"seen0 AS (SELECT DISTINCT {S.norm('text')} AS norm FROM cbase),\n"
         "need0 AS (SELECT req.label, greatest(0, tgt.target - coalesce(h.n, 0)) AS need FROM req LEFT JOIN "
-        "(SELECT label, count(*) AS n FROM cbase GROUP BY label) h ON h.label = req.label, tgt),\n"
-        + rnd(0, "seen0", "need0") + ",\n"
-        "seen1 AS (SELECT norm FROM seen0 UNION SELECT norm FROM acc0),\n"
-        "need1 AS (SELECT n.label, greatest(0, n.need - coalesce(a.k, 0)) AS need FROM need0 n LEFT JOIN "
-        "(SELECT label, count(*) AS k FROM acc0 GROUP BY label) a ON a.label = n.label),\n"
-        + rnd(1, "seen1", "need1") + "\n"
-        "SELECT CAST(0 AS BIGINT) AS batch_id, source, label, page_no, pos, text, url FROM acc0 UNION ALL "
-        "SELECT CAST(1 AS BIGINT), source, label, page_no, pos, text, url FROM acc1"
+        "(SELECT label, count(*) AS n FROM cbase GROUP BY label) h ON h.label = req.label, tgt),\n" + ",\n".join(ctes) + "\n" + all_
+    )
+
+
+def _sql_growth_items() -> str:
+    kw = _sql_kw_case(S.norm("a.title")).replace("CASE source", "CASE a.source")
+    head = (
+        _wv("base", "archive") + ",\n" + FX.sql_labels() + ",\n" + FX.sql_registry() + ",\n"
+        "it AS (SELECT a.source, a.page_no, a.pos, a.title AS text, a.href AS url, r.label, r.priority, "
+        f"{S.norm('a.title')} AS norm, CASE WHEN a.page_no % 2 = 1 THEN 0 ELSE 1 END AS batch "
+        f"FROM archive a JOIN registry r ON a.source = r.name JOIN req ON req.label = r.label WHERE length(a.title) >= 12 AND {kw})"
     )
+    return _sql_growth(head, "base", list(FX.REGISTRY))
 
 
-@register("incremental_growth", _sql_growth())
+def _sql_growth_pages() -> str:
+    kw = " ".join(
+        f"WHEN {i + 1} THEN {S.any_contains(S.norm('a.title'), list(r['keywords']))}"
+        for i, r in enumerate(FX.PAGE_SOURCES) if r.get("type") == "keyword_archive"
+    )
+    head = (
+        _wv("headlines") + ",\n" + FX.sql_labels() + ",\n" + FX.sql_registry(FX.PAGE_SOURCES) + ",\n" + _sql_captured(FX.PAGE_SOURCES) + ",\n"
+        "it AS (SELECT r.name AS source, a.page_no, a.pos, a.title AS text, a.href AS url, r.label, r.priority, "
+        f"{S.norm('a.title')} AS norm, CASE WHEN a.page_no % 2 = 1 THEN 0 ELSE 1 END AS batch "
+        "FROM archive a JOIN registry r ON a.source = CAST(r.priority AS VARCHAR) "
+        f"WHERE length(a.title) >= 5 AND CASE r.priority {kw} ELSE TRUE END)"
+    )
+    sql = _sql_growth(head, "headlines", list(FX.PAGE_SOURCES))
+    return f"SELECT batch_id, source, label, page_no, text, url FROM ({sql})"
+
+
+def _grown(spark, base, batches, reg, target, pages):
+    """Output of a stream that is stopped and started again after each batch of files."""
+    from corpusforge.session import scratch_path
+
+    root = scratch_path(spark, "growth")
+    gbase = G.prepare_base(spark, base, f"{root}/base")
+    for rows in batches:
+        rows.write.mode("append").parquet(f"{root}/in")
+        q = G.start_growth(spark, f"{root}/in", gbase, reg, FX.LABELS, target, f"{root}/out", f"{root}/checkpoint",
+                           min_title_len=5 if pages else 12, pages=pages)
+        q.awaitTermination()
+    # batch_id also names the output folders; read it back as the long it is.
+    return spark.read.parquet(f"{root}/out").withColumn("batch_id", F.col("batch_id").cast("long"))
+
+
+@register("growth_from_pages", _sql_growth_pages())
+def q_growth_from_pages(spark, sf_dir):
+    """T1 from captured pages: odd pages, then even ones; each source's own
+    selectors give the items, keyed state what has been seen."""
+    base = clean.clean_corpus(V.headlines(spark, sf_dir))
+    cap = captured(spark, sf_dir).select("source", "page_no", "url", F.col("http_status").cast("int").alias("http_status"), "html")
+    reg = sources_frame(spark, FX.PAGE_SOURCES)
+    batches = [cap.filter(F.col("page_no") % 2 == parity) for parity in (1, 0)]
+    out = _grown(spark, base, batches, reg, base_target(base), pages=True)
+    return out.select("batch_id", "source", "label", "page_no", "text", "url")
+
+
+@register("incremental_growth", _sql_growth_items())
 def q_incremental_growth(spark, sf_dir):
     """Archive items arrive in two file batches (odd pages, then even
     pages); an ``availableNow`` stream appends unseen titles up to each
     label's remaining need.  Returns the appended rows (end state)."""
-    from corpusforge.session import scratch_path
-
-    root = scratch_path(spark, "growth")
-    items_dir, out_dir, ckpt = f"{root}/items", f"{root}/out", f"{root}/checkpoint"
     items = V.archive(spark, sf_dir).select("source", "page_no", "pos", "title", "href")
     cb = clean_base(spark, sf_dir)
-    target = base_target(cb)
-    reg = sources_frame(spark, FX.REGISTRY)
-    gbase = G.prepare_base(spark, cb, f"{root}/base")
-    for parity in (1, 0):
-        items.filter(F.col("page_no") % 2 == parity).write.mode("append").parquet(items_dir)
-        q = G.start_growth(spark, items_dir, gbase, reg, FX.LABELS, target, out_dir, ckpt)
-        q.awaitTermination()
-    out = spark.read.parquet(out_dir)
-    # batch_id also names the output folders; read it back as the long it is.
-    return out.select(F.col("batch_id").cast("long").alias("batch_id"), "source", "label", "page_no", "pos", "text", "url")
+    batches = [items.filter(F.col("page_no") % 2 == parity) for parity in (1, 0)]
+    out = _grown(spark, cb, batches, sources_frame(spark, FX.REGISTRY), base_target(cb), pages=False)
+    return out.select("batch_id", "source", "label", "page_no", "pos", "text", "url")

@@ -57,41 +57,6 @@ def test_csv_roundtrip_edges(spark, tmp_path):
     assert empty.count() == 0
 
 
-def test_growth_batch_is_idempotent(spark, tmp_path):
-    from corpusforge.sources.registry import sources_frame
-    from corpusforge.streaming.growth import growth_batch, prepare_base
-
-    base = spark.createDataFrame([("existing headline one", "A")], "text string, label string")
-    reg = sources_frame(spark, [{"name": "s", "label": "A", "base_url": "https://s/"}])
-    items = spark.createDataFrame(
-        [("s", 1, 0, "Existing   headline ONE", "/1"), ("s", 1, 1, "a brand new headline", "/2"),
-         ("s", 2, 0, "A brand new headline", "/3"), ("s", 2, 1, "another fresh headline", "/4")],
-        "source string, page_no long, pos long, title string, href string")
-    out = str(tmp_path / "out")
-    gbase = prepare_base(spark, base, str(tmp_path / "base"))
-    for _ in range(2):  # a replayed batch rewrites the same folder
-        growth_batch(items, 0, gbase, reg, ["A"], 3, out)
-    rows = sorted((r.page_no, r.pos) for r in spark.read.parquet(out).collect())
-    assert rows == [(1, 1), (2, 1)]
-
-
-def test_growth_twice_on_same_input_adds_nothing(spark, tmp_path):
-    from corpusforge.sources.registry import sources_frame
-    from corpusforge.streaming.growth import growth_batch, prepare_base
-
-    base = spark.createDataFrame([("an existing headline", "A")], "text string, label string")
-    reg = sources_frame(spark, [{"name": "s", "label": "A", "base_url": "https://s/"}])
-    items = spark.createDataFrame(
-        [("s", 1, 0, "a brand new headline", "/1"), ("s", 1, 1, "another fresh headline", "/2")],
-        "source string, page_no long, pos long, title string, href string")
-    out = str(tmp_path / "out")
-    gbase = prepare_base(spark, base, str(tmp_path / "base"))
-    growth_batch(items, 0, gbase, reg, ["A"], 10, out)
-    growth_batch(items, 1, gbase, reg, ["A"], 10, out)
-    got = spark.read.parquet(out).groupBy("batch_id").count().collect()
-    assert {r["batch_id"]: r["count"] for r in got} == {0: 2}  # the second batch is there, and empty
-
-
 def test_scan_with_report(spark, tmp_path):
     from corpusforge.sources.csv import read_with_report
 
@@ -138,19 +103,6 @@ def test_csv_columns_bind_by_name(spark, tmp_path):
         assert [tuple(r) for r in df.collect()] == [("some headline text", "Sports", None, 7)]
 
 
-def test_growth_with_nothing_to_add_writes_an_empty_batch(spark, tmp_path):
-    from corpusforge.sources.registry import sources_frame
-    from corpusforge.streaming.growth import growth_batch, prepare_base
-
-    base = spark.createDataFrame([("an existing headline", "A")], "text string, label string")
-    reg = sources_frame(spark, [{"name": "s", "label": "A", "base_url": "https://s/"}])
-    items = spark.createDataFrame([("s", 1, 0, "a brand new headline", "/1")],
-                                  "source string, page_no long, pos long, title string, href string")
-    out = str(tmp_path / "out")
-    growth_batch(items, 0, prepare_base(spark, base, str(tmp_path / "base")), reg, ["A"], 1, out)
-    assert spark.read.parquet(out).count() == 0
-
-
 def test_growth_base_of_other_rows_is_refused(spark, tmp_path):
     import pytest
 
@@ -164,18 +116,3 @@ def test_growth_base_of_other_rows_is_refused(spark, tmp_path):
     assert prepare_base(spark, one, path).counts == {"A": 1}
     with pytest.raises(RunMismatchError):
         prepare_base(spark, two, path)
-
-
-def test_growth_quota_is_a_prefix_over_pages(spark, tmp_path):
-    from corpusforge.sources.registry import sources_frame
-    from corpusforge.streaming.growth import growth_batch, prepare_base
-
-    base = spark.createDataFrame([], "text string, label string")
-    reg = sources_frame(spark, [{"name": s, "label": "A", "base_url": "https://s/"} for s in ("s", "t")])
-    items = spark.createDataFrame(
-        [(s, p, i, f"headline {s} {p} number {i}", "/x") for s in ("t", "s") for p in (2, 1) for i in (2, 1, 0)],
-        "source string, page_no long, pos long, title string, href string")
-    out = str(tmp_path / "out")
-    growth_batch(items, 0, prepare_base(spark, base, str(tmp_path / "base")), reg, ["A"], 8, out)
-    got = sorted((r.source, r.page_no, r.pos) for r in spark.read.parquet(out).collect())
-    assert got == [("s", p, i) for p in (1, 2) for i in (0, 1, 2)] + [("t", 1, 0), ("t", 1, 1)]
