@@ -37,8 +37,10 @@ def _md5_key(seed: int, *parts: Column) -> Column:
     return F.md5(F.concat(*pieces))
 
 
-def _hex8_to_long(h: Column) -> Column:
-    return F.conv(F.substring(h, 1, 8), 16, 10).cast("long")
+def _hex_to_long(h: Column) -> Column:
+    """60 bits: no label has so many rows that some could not be drawn, and the
+    remainders are as good as even."""
+    return F.conv(F.substring(h, 1, 15), 16, 10).cast("long")
 
 
 def order_key(seed: int = DEFAULT_SEED, id_col: str = "row_id") -> Column:
@@ -152,7 +154,7 @@ def over_sample(
         own = spark.range(1, target + 1).select(F.lit(l).alias(label_col), F.col("id").alias("draw"), F.lit(n).cast("long").alias("n"))
         draws = own if draws is None else draws.unionByName(own)
     draws = draws.withColumn(
-        "_rn", F.pmod(_hex8_to_long(_md5_key(seed, F.col(label_col), F.col("draw"))), F.col("n")) + 1
+        "_rn", F.pmod(_hex_to_long(_md5_key(seed, F.col(label_col), F.col("draw"))), F.col("n")) + 1
     ).select(label_col, "draw", "_rn")
     rows = _numbered(df.filter(F.col(label_col).isin(list(small))), label_col)
     return rows.join(draws, [label_col, "_rn"], "inner").drop("_rn")

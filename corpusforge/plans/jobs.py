@@ -18,6 +18,7 @@ from corpusforge.functions.text import title_case
 from corpusforge.operators import balance as B
 from corpusforge.operators import clean, collect, dedupe, extract, merge, profile
 from corpusforge.session import scratch_path
+from corpusforge.sources.corpus import CorpusStore, Version
 from corpusforge.sources.registry import sources_frame
 
 
@@ -95,6 +96,21 @@ def extend_from_pages(
     return extend_to_target(spark, base, status, items, reg, labels, target, cfg, dedupe_base_first, run_dir, input_version)
 
 
+CORPUS_ORDER = ("part_no", "row_id", "step", "page_no", "pos")
+
+
+def extend_version(
+    spark: SparkSession, store: CorpusStore, pages: DataFrame, items: DataFrame, registry: Sequence[Mapping] | DataFrame, **options
+) -> Version:
+    """K1 as it is re-run: extend the newest version of ``store`` and add the
+    result as the next one, in corpus order (rows of the base first); a row's
+    place there is its ``row_id`` in the next run.  ``options`` as in
+    ``extend_to_target``."""
+    base = store.read_numbered(name="row_id").select("row_id", "text", "label", "source", "url")
+    res = extend_to_target(spark, base, pages, items, registry, **options)
+    return store.write(res.corpus.select(*CORPUS_ORDER, "text", "label", "source", "url"), CORPUS_ORDER)
+
+
 def _written(items: DataFrame) -> DataFrame:
     path = scratch_path(items.sparkSession, "page-items")
     items.write.parquet(path)

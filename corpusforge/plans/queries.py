@@ -347,7 +347,7 @@ _SQL_DOWN = (
 _SQL_OVER = (
     "small AS (SELECT cnt.label, cnt.n, tgt.target FROM cnt, tgt WHERE cnt.n < tgt.target AND cnt.n > 0),\n"
     "draws AS (SELECT small.label, CAST(d.draw AS BIGINT) AS draw, "
-    f"({S.hex8_to_long(S.md5_key(FX.SEED, 'small.label', 'd.draw'))} % small.n) + 1 AS rn "
+    f"({S.hex_to_long(S.md5_key(FX.SEED, 'small.label', 'd.draw'))} % small.n) + 1 AS rn "
     "FROM small, generate_series(1, small.target) AS d(draw)),\n"
     "numbered AS (SELECT c.*, row_number() OVER (PARTITION BY c.label ORDER BY c.row_id) AS rn "
     "FROM cleaned c WHERE c.label IN (SELECT label FROM small)),\n"
@@ -1002,6 +1002,7 @@ def q_search_feed_titles(spark, sf_dir):
 from corpusforge.functions import text as TX  # noqa: E402
 from corpusforge.functions import urls as U  # noqa: E402
 from corpusforge.sources import csv as CSV  # noqa: E402
+from corpusforge.sources.corpus import CorpusStore  # noqa: E402
 from corpusforge.sources.registry import apply_keywords, frontier, labels_without_sources  # noqa: E402
 
 
@@ -1170,6 +1171,61 @@ def q_tolerant_load(spark, sf_dir):
     return M.union_parts([missing, V.headlines(spark, sf_dir)]).select(*PART_COLS)
 
 
+_TORN = "(row_id % 17 = 3 OR row_id % 23 = 5 OR row_id % 29 = 7)"
+
+
+@register(
+    "tolerant_rows",
+    _wv("headlines") + ", line AS (SELECT row_id, replace(replace(translate(text, chr(10) || chr(13), '  '), chr(92), '/'), "
+    "chr(34), chr(39)) AS text, label, source, url FROM headlines)\n"
+    f"SELECT row_id, {_na('text')} AS text, label, source, {_na('url')} AS url FROM line WHERE NOT {_TORN}",
+)
+def q_tolerant_rows(spark, sf_dir):
+    """CSV lines of which some lack fields, have one too many or a number
+    that is none: the rest is read, those are rejects."""
+    from corpusforge.session import scratch_path
+
+    text = F.replace(F.replace(F.translate("text", "\n\r", "  "), F.lit("\\"), F.lit("/")), F.lit('"'), F.lit("'"))
+    q = lambda c: F.concat(F.lit('"'), F.coalesce(c, F.lit("")), F.lit('"'))
+    rid, tail = F.col("row_id"), F.concat(F.lit(","), q(F.col("url")))
+    line = F.concat(
+        F.when(rid % 29 == 7, F.concat(F.lit("no"), rid.cast("string"))).otherwise(rid.cast("string")), F.lit(","), q(text), F.lit(","),
+        F.col("label"), F.lit(","), F.col("source"),
+        F.when(rid % 17 == 3, "").when(rid % 23 == 5, F.concat(tail, F.lit(",more"))).otherwise(tail),
+    )
+    path = scratch_path(spark, "torn-csv")
+    head = "row_id,text,label,source,url"
+    plain = {"header": "true", "quote": "", "escape": "", "quoteAll": "false", "sep": "\u0001", "escapeQuotes": "false"}
+    V.headlines(spark, sf_dir).select(line.alias(head)).write.options(**plain).csv(path)
+    good, _ = CSV.read_rows_tolerant(spark, path, "row_id long, text string, label string, source string, url string")
+    return good
+
+
+@register(
+    "corpus_versions",
+    _wv("base", "archive") + ",\n" + _SQL_ARCH_CORPUS + ",\n" + _SQL_UNION + ",\n"
+    f"kept AS (SELECT *, {S.md5_key(FX.SEED, 'part_no', 'row_id')} AS shuffle_key FROM parts "
+    f"QUALIFY row_number() OVER (PARTITION BY {S.norm('text')} ORDER BY part_no, row_id) = 1)\n"
+    "SELECT row_number() OVER (ORDER BY shuffle_key, part_no, row_id) - 1 AS row_no, part_no, row_id, text, label, shuffle_key FROM kept",
+)
+def q_corpus_versions(spark, sf_dir):
+    """A corpus version is written, a second run reads it back,
+    adds the archive's unseen titles and writes the next one in shuffled order;
+    the newest version's rows with their places."""
+    from corpusforge.session import scratch_path
+
+    store = CorpusStore(spark, scratch_path(spark, "corpus"))
+    order = ["shuffle_key", "part_no", "row_id"]
+    cols = ["part_no", "row_id", "text", "label"]
+    store.write(M.union_parts([V.base(spark, sf_dir)]).select(*cols))
+    old = store.read()
+    new = archive_as_corpus(spark, sf_dir).withColumn("nkey", TX.norm_key("text"))
+    new = D.unseen(new, D.seen_set(old)).withColumn("part_no", F.lit(1))
+    both = D.dedupe_norm(old.unionByName(new.select(*cols)))
+    store.write(B.shuffle(both, FX.SEED, ("part_no", "row_id")), order)
+    return store.read_numbered().select("row_no", "part_no", "row_id", "text", "label", "shuffle_key")
+
+
 @register(
     "merge_parts",
     _wv("base", "archive") + ",\n" + _SQL_ARCH_CORPUS + ",\n" + _SQL_UNION + "\n"

@@ -39,8 +39,8 @@ def md5_key(seed: int, *parts: str) -> str:
     return f"md5({inner})"
 
 
-def hex8_to_long(h: str) -> str:
-    return f"CAST(('0x' || substring({h}, 1, 8)) AS BIGINT)"
+def hex_to_long(h: str) -> str:
+    return f"CAST(('0x' || substring({h}, 1, 15)) AS BIGINT)"
 
 
 def clean_cte(src: str = "headlines", name: str = "cleaned", min_len: int | None = 5) -> str:

@@ -66,6 +66,39 @@ def read_tolerant(spark: SparkSession, path: str, schema_: T.StructType | str) -
         return spark.createDataFrame([], schema_)
 
 
+def read_rows_tolerant(spark: SparkSession, path: str, schema_: T.StructType | str, quoted_newlines: bool = False) -> tuple[DataFrame, DataFrame]:
+    """S2/S3 row by row: (good rows, rejects (line, reason)).
+
+    A row with too few or too many fields, or with a value that its column's
+    type can't hold, is a reject; a file that breaks off (say, a truncated
+    archive) gives its rows up to there, a file that is gone by the time it is
+    read none, and a path that never was gives two empty frames.  The header of
+    the first file names the columns, as in ``read_corpus_csv``."""
+    from pyspark.errors import AnalysisException
+
+    struct = T.StructType.fromDDL(schema_) if isinstance(schema_, str) else schema_
+    reader = spark.read.options(**_CSV_OPTS, multiLine=str(quoted_newlines).lower(), ignoreCorruptFiles="true", ignoreMissingFiles="true")
+    try:
+        names = reader.csv(path).columns
+    except AnalysisException:
+        return spark.createDataFrame([], struct), spark.createDataFrame([], "line string, reason string")
+    raw = T.StructType([*(T.StructField(n, T.StringType()) for n in names), T.StructField("_line", T.StringType())])
+    # without pruning, so that the number of fields is looked at whatever is asked for
+    rows = reader.options(mode="PERMISSIVE", columnNameOfCorruptRecord="_line", columnPruning="false").schema(raw).csv(path)
+    rows = na_to_null(rows, names)
+    reason = F.when(F.col("_line").isNotNull(), "fields")
+    for f in struct.fields:
+        if f.name in names:
+            value = F.col(f"`{f.name}`")
+            reason = reason.when(value.isNotNull() & value.try_cast(f.dataType).isNull(), f.name)
+    rows = rows.withColumn("_reason", reason)
+    good = rows.filter("_reason is null").select(*[
+        (F.col(f"`{f.name}`") if f.name in names else F.lit(None)).try_cast(f.dataType).alias(f.name) for f in struct.fields
+    ])
+    line = F.coalesce(F.col("_line"), F.concat_ws(",", *(F.coalesce(F.col(f"`{n}`"), F.lit("")) for n in names)))
+    return good, rows.filter("_reason is not null").select(line.alias("line"), F.col("_reason").alias("reason"))
+
+
 def read_with_report(spark: SparkSession, path: str, schema_: T.StructType | str) -> tuple[DataFrame, dict]:
     """S3: read, and report row count and the label values (A3) with their
     number, or a message.  A corpus has a handful of labels."""
