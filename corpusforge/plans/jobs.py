@@ -19,6 +19,7 @@ from corpusforge.operators import balance as B
 from corpusforge.operators import clean, collect, dedupe, extract, merge, profile
 from corpusforge.session import scratch_path
 from corpusforge.sources.corpus import CorpusStore, Version
+from corpusforge.sources.feeds import search_feed_titles
 from corpusforge.sources.registry import sources_frame
 
 
@@ -161,6 +162,33 @@ def harvest_pages(spark: SparkSession, pages: DataFrame, registry: Sequence[Mapp
     return dedupe.dedupe_text_url(rows, order_cols=("priority", "page_no", "pos"))
 
 
+def harvest_categories_and_search(
+    category_pages: DataFrame,
+    search_feeds: DataFrame,
+    page_keys: Sequence[str],
+    feed_keys: Sequence[str],
+    selector: str = "#mw-pages a",
+    min_len: int = 5,
+    category_source: str = "Wikipedia",
+    search_source: str = "Google News RSS",
+) -> DataFrame:
+    """K5: member titles of category pages (E10) and titles of search feeds cut
+    at the hyphen (E9), each with its page's or feed's ``label``, keep-first by
+    text in that order (D2): (part_no, text, label, source)."""
+    pages = category_pages.select(*page_keys, "label", "html")
+    members = extract.category_members(
+        pages, [*page_keys, "label"], selector, accept_prefix="", limit=2_000_000_000, min_len_exclusive=min_len)
+    titles = search_feed_titles(search_feeds, [*feed_keys, "label"])
+    key = lambda keys, no: F.struct(*keys, no).alias("_key")
+    parts = []
+    for i, (rows, keys, no, text, source) in enumerate((
+        (members, page_keys, "member_no", "title", category_source), (titles, feed_keys, "item_no", "text", search_source),
+    )):
+        one = rows.select(F.lit(i).alias("part_no"), key(keys, no), F.col(text).alias("text"), "label", F.lit(source).alias("source"))
+        parts.append(dedupe.keep_first(one, [F.sha2("text", 256)], ("_key",)).drop("_key"))  # each part's keys are its own
+    return dedupe.keep_first(parts[0].unionByName(parts[1]), [F.sha2("text", 256)], ("part_no",))
+
+
 def balance_job(df: DataFrame, target: int, seed: int = B.DEFAULT_SEED, dedupe_text_label: bool = False) -> DataFrame:
     """Clean, down-/over-sample every label to ``target``, seeded
     shuffle key; optionally drop repeated ``(text, label)`` afterwards (D6)."""

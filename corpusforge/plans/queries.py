@@ -1002,6 +1002,8 @@ def q_search_feed_titles(spark, sf_dir):
 from corpusforge.functions import text as TX  # noqa: E402
 from corpusforge.functions import urls as U  # noqa: E402
 from corpusforge.sources import csv as CSV  # noqa: E402
+from corpusforge.operators.keywords import keyword_sets  # noqa: E402
+from corpusforge.sources import registry as R  # noqa: E402
 from corpusforge.sources.corpus import CorpusStore  # noqa: E402
 from corpusforge.sources.registry import apply_keywords, frontier, labels_without_sources  # noqa: E402
 
@@ -1301,6 +1303,46 @@ def q_harvest_dedupe(spark, sf_dir):
     return D.keep_first(l.unionByName(fi), [F.sha2(F.col("text"), 256)], order_cols=("part_no", "k1", "k2", "k3"))
 
 
+_SQL_FEED_LABEL = "CASE page_no % 3 WHEN 0 THEN 'Sports' WHEN 1 THEN 'Health' ELSE 'Economy' END"
+
+
+@register(
+    "harvest_categories_and_search",
+    "WITH " + _SQL_NAV + ",\n" + _wv("listing")[len("WITH "):] + ",\n" + _SQL_FEED_BASE + ",\n"
+    "tags AS (SELECT page_id, " + _SQL_PAGE_TAGS + " FROM pages),\n"
+    "u AS (SELECT CAST(0 AS INTEGER) AS part_no, CAST(n.page_id AS BIGINT) AS k1, CAST(n.i AS BIGINT) AS k2, '' AS k0, n.title AS text, t.label, "
+    "'Wikipedia' AS source FROM navt n JOIN tags t ON n.page_id = t.page_id WHERE length(n.title) > 5 "
+    f"UNION ALL SELECT 1, page_no, item_no, source, {S.strip("split_part(t, '-', 1)")}, {_SQL_FEED_LABEL}, 'Google News RSS' FROM fi "
+    f"WHERE length({S.strip("split_part(t, '-', 1)")}) > 15)\n"
+    "SELECT part_no, text, label, source FROM u QUALIFY row_number() OVER (PARTITION BY text ORDER BY part_no, k0, k1, k2) = 1",
+)
+def q_harvest_categories_and_search(spark, sf_dir):
+    """K5: category members and search-feed titles; ``nav li a`` stands in for
+    the member list, a feed's label follows from its page."""
+    feeds = feeds_tbl(spark, sf_dir).withColumn(
+        "label", F.when(F.col("page_no") % 3 == 0, "Sports").when(F.col("page_no") % 3 == 1, "Health").otherwise("Economy"))
+    pages = _with_tags(pages_tbl(spark, sf_dir))
+    return jobs.harvest_categories_and_search(pages, feeds, ["page_id"], ["source", "page_no"], "nav li a")
+
+
+_KEYWORD_SETS = {
+    "economy": R.ECONOMY_KEYWORDS, "sports": R.SPORTS_KEYWORDS, "health": R.HEALTH_KEYWORDS, "text": FX.TEXT_KEYWORDS, "short": ["a", "ß", "qu", "ññ"],
+}
+
+
+@register(
+    "keyword_sets",
+    _wv("headlines") + f", n AS (SELECT row_id, {S.norm('text')} AS norm FROM headlines)\n" + " UNION ALL ".join(
+        f"SELECT row_id, '{name}' AS set_name, CAST({S.count_contains('norm', sorted(set(words)))} AS BIGINT) AS n_keywords FROM n "
+        f"WHERE {S.any_contains('norm', words)}" for name, words in _KEYWORD_SETS.items()),
+)
+def q_keyword_sets(spark, sf_dir):
+    """Which keyword sets each headline hits and with how many keywords,
+    all sets in one pass."""
+    rows = V.headlines(spark, sf_dir)
+    return keyword_sets(rows, ["row_id"], TX.norm_text("text"), R.keywords_frame(spark, _KEYWORD_SETS))
+
+
 def _sql_profile() -> str:
     np_ = _sql_null_profile("headlines", HEADLINE_COLS)
     return (
