@@ -30,6 +30,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """``name``, with underscores after it until no column is called so."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner drop the shuffle files of what has been staged: it
     does so once the driver has collected the plans' objects, which can take

@@ -208,8 +208,10 @@ def report(docs: DataFrame) -> DataFrame:
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with every span replaced by its kind in brackets (of spans that
     overlap, the one that starts first, then the longer one, then by kind), and
-    ``n_chars`` counted anew where the table has it.  A null text stays null."""
-    found = find(docs).withColumn("_source", F.col("text"))
+    ``n_chars`` counted anew where the table has it.  A null text stays null;
+    columns of any name stay as they are; an empty table gives no rows."""
+    # the row as one column: none of its names meets one that the search uses
+    found = find(docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), "text")).withColumn("_source", F.col("text"))
 
     def sooner(a: Column, b: Column) -> Column:
         return (
@@ -230,6 +232,7 @@ def redact(docs: DataFrame) -> DataFrame:
         lambda at: F.concat(F.array_join(at["parts"], ""), F.substr("_source", at["end"] + 1, F.length("_source"))),
     )
     out = found.withColumn("text", F.when(F.size("_spans") > 0, whole).otherwise(F.col("_source")))
+    new = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+        new["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return out.select(*[new.get(c, F.col("doc").getField(c)).alias(c) for c in docs.columns])

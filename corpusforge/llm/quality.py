@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from corpusforge.llm.common import texts_of
 
+PRIOR = 0.5  # share of positives, with a single row to tell from
 SAMPLE = 12_000
 _SLICE = 1 << 20
 _KINDS = np.zeros(256, np.int64)  # classes of bytes
@@ -171,7 +172,8 @@ def _share(part: float) -> Column:
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | None:
     """Model from the positives of ``labels`` (doc_id, quality) that aren't held
-    out and from documents that aren't either; None without positives."""
+    out and from documents that aren't either, from one positive on; None without
+    positives (or without documents): then no classifier is applied."""
     trusted = labels.filter("doc_id is not null and quality = 1").filter(~held_out()).select("doc_id").distinct()
     n_trusted = trusted.count()
     n_docs = docs.count()
@@ -198,9 +200,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | N
     got = got.sort_values("doc_id", kind="stable")  # the same model whatever the order of rows
     x = np.array(got["x"].tolist()).reshape(-1, N_FEATURES)
     pos, unl = x[got["positive"].to_numpy(bool)], x[got["unlabelled"].to_numpy(bool)]
-    if len(pos) < 8 or len(unl) < 8:
+    if not len(pos) or not len(unl):
         return None
-    prior = estimate_prior(pos, unl)
+    # a half of each is held back to estimate the prior; where nothing can be, it is supposed
+    prior = estimate_prior(pos, unl) if min(len(pos), len(unl)) > 1 else PRIOR
     return _train(pos, unl, prior, seed=2)
 
 
@@ -228,7 +231,9 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, model: Model | None) -> DataFrame:
-    """The rows of ``docs`` that are predicted 1, with all columns."""
+    """The rows of ``docs`` that are predicted 1, with all columns; without a
+    model (no trusted positives) all rows.  A null text is judged as an empty one;
+    an empty table gives no rows."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusforge.llm.common import splitmix, staged, texts_of
+from corpusforge.llm.common import splitmix, staged, texts_of, unused
 
 PIVOTS = 16
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -196,8 +196,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, bits: int = 2) -> DataFra
 def keep_one(docs: DataFrame, shingle: int = 3, bits: int = 2) -> DataFrame:
     """The rows of ``docs`` that stay: one of each component, that with the
     smallest doc_id (a null one last); of rows that share the doc_id, the one
-    with the least hash of all its columns.  All columns are returned."""
-    row = F.xxhash64(*docs.columns)
+    with the least hash of all its columns.  All columns are returned, whatever
+    their names; null and empty texts are one group; an empty table gives no
+    rows."""
+    row = F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns))
     found = staged(fingerprints(docs, shingle, row.alias("row")), "row-fingerprints")
     distinct = staged(found.select("fp").distinct(), "distinct-fingerprints")
     roots = components(links(distinct, bits))
@@ -205,11 +207,12 @@ def keep_one(docs: DataFrame, shingle: int = 3, bits: int = 2) -> DataFrame:
     first = F.min(F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "row"))
     of = found.groupBy("fp").agg(first.alias("first")).join(roots, F.col("fp") == F.col("node"), "left")
     winners = of.groupBy(root.alias("root")).agg(F.min("first").alias("first")).select("first.row")
-    copies = found.groupBy("row").agg(F.count("*").alias("_copies"))
-    win = staged(winners.join(copies, "row").withColumnRenamed("row", "_row"), "winners")
-    kept = docs.withColumn("_row", row).join(win.hint("shuffle_hash"), "_row").drop("_row")
-    single = kept.filter("_copies = 1").drop("_copies")
-    if win.filter("_copies > 1").isEmpty():
+    number, name = unused("_copies", docs.columns), unused("_row", docs.columns)
+    copies = found.groupBy("row").agg(F.count("*").alias(number))
+    win = staged(winners.join(copies, "row").withColumnRenamed("row", name), "winners")
+    kept = docs.withColumn(name, row).join(win.hint("shuffle_hash"), name).drop(name)
+    single = kept.filter(F.col(number) == 1).drop(number)
+    if win.filter(F.col(number) > 1).isEmpty():
         return single
-    return single.unionByName(kept.filter("_copies > 1").drop("_copies").dropDuplicates())
+    return single.unionByName(kept.filter(F.col(number) > 1).drop(number).dropDuplicates())
 
