@@ -40,3 +40,11 @@ def test_texts_are_read_once_whatever_the_number_of_keywords(spark):
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("LogicalRDD") <= 4 and "exists(" not in plan
     assert out.collect() == [(7, "s", 1)]
+
+
+def test_spaces_short_words_and_keywords_over_words(spark):
+    df = spark.createDataFrame([(1, "a a"), (2, "of the a b of"), (3, "  "), (4, "ab\ncd"), (5, ""), (6, None), (7, "xof them")], "id int, text string")
+    words = [" ", "  ", "of the", "a b", "b\nc", "\n", " a", "e m"]
+    got = {r["id"]: r["n_keywords"] for r in keyword_sets(df, ["id"], F.col("text"), keywords_frame(spark, {"s": words})).collect()}
+    want = {r["id"]: sum(w in (r["text"] or "") for w in words) for r in df.collect()}
+    assert got == {k: n for k, n in want.items() if n}
