@@ -218,19 +218,36 @@ def redact(docs: DataFrame) -> DataFrame:
             F.when(a["start"] != b["start"], a["start"] - b["start"]).when(a["end"] != b["end"], b["end"] - a["end"]).otherwise(F.lit(0))
         )
 
+    empty = "array<struct<after:int,upto:int,tag:string>>"
+
     def add(at: Column, s: Column) -> Column:
-        free = s["start"] >= at["end"]
-        part = F.concat(F.substr("_source", at["end"] + 1, s["start"] - at["end"]), F.lit("["), F.upper(s["kind"]), F.lit("]"))
-        return F.struct(
-            F.when(free, F.array_append(at["parts"], part)).otherwise(at["parts"]).alias("parts"),
-            F.when(free, s["end"]).otherwise(at["end"]).alias("end"),
+        tag = F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))
+        one = F.struct(at["end"].alias("after"), s["start"].alias("upto"), tag.alias("tag"))
+        more = F.struct(F.array_append(at["gaps"], one).alias("gaps"), s["end"].alias("end"))
+        return F.when(s["start"] >= at["end"], more).otherwise(at)
+
+    def add_all(at: Column, spans: Column) -> Column:
+        # BLOCK spans at a time, since each step copies what it has so far
+        begin = F.struct(F.array().cast(empty).alias("gaps"), at["end"].alias("end"))
+        return F.aggregate(
+            spans, begin, add, lambda x: F.struct(F.array_append(at["steps"], x["gaps"]).alias("steps"), x["end"].alias("end"))
         )
 
-    start = F.struct(F.array().cast("array<string>").alias("parts"), F.lit(0).alias("end"))
-    whole = F.aggregate(
-        F.array_sort("_spans", sooner), start, add,
-        lambda at: F.concat(F.array_join(at["parts"], ""), F.substr("_source", at["end"] + 1, F.length("_source"))),
-    )
+    def between(after: Column, upto: Column) -> Column:
+        # from the blocks it lies in, as a place in a string is found by counting from the beginning
+        first = F.floor(after / BLOCK).cast("int")
+        part = F.array_join(F.slice("_parts", first + 1, F.floor(upto / BLOCK).cast("int") - first + 1), "")
+        return F.substr(part, after % BLOCK + 1, upto - after)
+
+    found = found.withColumn("_sorted", F.array_sort("_spans", sooner))
+    last = F.floor((F.size("_sorted") - 1) / BLOCK).cast("int")
+    blocks = F.transform(F.sequence(F.lit(0), last), lambda k: F.slice("_sorted", k * BLOCK + 1, BLOCK))
+    start = F.struct(F.array().cast(f"array<{empty}>").alias("steps"), F.lit(0).alias("end"))
+    done = F.aggregate(blocks, start, add_all, lambda at: F.struct(F.flatten(at["steps"]).alias("gaps"), at["end"].alias("end")))
+    found = found.withColumn("_done", F.when(F.size("_spans") > 0, done))
+    found = found.withColumn("_parts", F.when(F.size("_spans") > 0, F.regexp_extract_all("_source", F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))))
+    pieces = F.transform(F.col("_done.gaps"), lambda g: F.concat(between(g["after"], g["upto"]), g["tag"]))
+    whole = F.concat(F.array_join(pieces, ""), between(F.col("_done.end"), F.length("_source")))
     out = found.withColumn("text", F.when(F.size("_spans") > 0, whole).otherwise(F.col("_source")))
     new = {"text": F.col("text")}
     if "n_chars" in docs.columns:
