@@ -36,7 +36,8 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tool calls of ``conversations``.  The table has no tool turns, so its own
     turns are read as such: a user's turn calls ``ask`` and a system turn
     ``configure``, each depending on the call two turns earlier; an assistant's
-    turn is the result of the call one turn earlier."""
+    turn is the result of the call one turn earlier.  Turns of other roles, or
+    of none, come back as they are."""
     turns = table(spark, sf_dir, "conversations")
     n_words = F.size(F.filter(F.split("text", "[ \\n]+"), lambda w: w != ""))
     of = lambda back: F.concat(F.lit("c"), (F.col("turn") - back).cast("string"))
@@ -46,7 +47,8 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_json(F.struct(n_words.alias("words"), "turn", "text")).alias("arguments"),
     )
     results = turns.filter("role = 'assistant'").select("conv_id", of(1).alias("call_id"), "turn", F.col("text").alias("content"))
-    return tools.link(calls, results, SCHEMAS)
+    others = turns.filter("role is null or role not in ('user', 'system', 'assistant')")
+    return tools.link(calls, results, SCHEMAS, others.select("conv_id", "turn", "role", F.col("text").alias("content")))
 
 
 OP1_SQL = r"""
@@ -70,6 +72,10 @@ UNION ALL
 SELECT a.conv_id, a.call_id, a.turn, 'result', CASE WHEN d.call_id IS NULL THEN 'orphan' ELSE 'linked' END, 2 * above + 1, NULL,
        '{"content":' || to_json(a.text)::VARCHAR || ',"id":"' || a.call_id || '","type":"tool_result"}'
 FROM a LEFT JOIN d ON a.conv_id = d.conv_id AND a.call_id = d.call_id
+UNION ALL
+SELECT conv_id, NULL, turn, 'turn', 'plain', NULL, NULL,
+       '{"content":' || coalesce(to_json(text)::VARCHAR, 'null') || ',"role":' || coalesce(to_json(role)::VARCHAR, 'null') || ',"type":"turn"}'
+FROM t WHERE role IS NULL OR role NOT IN ('user', 'system', 'assistant')
 """
 
 

@@ -14,8 +14,11 @@
 from __future__ import annotations
 
 import json
-import math
+import operator
+import re
 from collections.abc import Iterator
+from fractions import Fraction
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -42,9 +45,108 @@ def canonical(value: object) -> str:
     return json.dumps(plain(value), sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
 
 
-def faults(value: object, schema: dict, at: str = "$") -> list[str]:
-    """What of ``value`` breaks ``schema``: type, enum, required, properties,
-    additionalProperties, items, minLength, maxLength, minimum, maximum."""
+#: Keywords that say nothing about a value.
+_NOTES = {"title", "description", "default", "examples", "format", "deprecated", "readOnly", "writeOnly", "$schema", "$id", "$comment"}
+_NUMBERS = {
+    "minimum": operator.lt, "maximum": operator.gt, "exclusiveMinimum": operator.le, "exclusiveMaximum": operator.ge,
+}
+_SIZES = {
+    str: {"minLength": operator.lt, "maxLength": operator.gt}, list: {"minItems": operator.lt, "maxItems": operator.gt},
+    dict: {"minProperties": operator.lt, "maxProperties": operator.gt},
+}
+_LISTS = {"anyOf", "oneOf", "allOf"}
+_MAPS = {"properties", "$defs", "definitions"}
+_ONE = {"items", "additionalProperties", "not"}
+_PLAIN = {"type", "enum", "const", "required", "pattern", "multipleOf", "uniqueItems", "$ref", *_NUMBERS}.union(*_SIZES.values())
+
+
+def _resolve(ref: str, root: dict) -> object:
+    """What ``#/a/b`` names in ``root``."""
+    at: object = root
+    for part in ref.removeprefix("#").split("/")[1:]:
+        part = unquote(part).replace("~1", "/").replace("~0", "~")
+        at = at[part] if isinstance(at, dict) else at[int(part)]
+    return at
+
+
+def check_schema(schema: object, root: object = None, at: str = "#", below: tuple[str, ...] = ()) -> None:
+    """Raises ValueError for what ``faults`` couldn't check: a keyword or type it
+    doesn't know, a broken pattern, a reference that leads out of the schema,
+    nowhere or back to itself."""
+    root = schema if root is None else root
+    if isinstance(schema, bool):
+        return
+    if not isinstance(schema, dict):
+        raise ValueError(f"{at}: a schema is an object or a boolean")
+    unknown = sorted(set(schema) - _NOTES - _LISTS - _MAPS - _ONE - _PLAIN)
+    if unknown:
+        raise ValueError(f"{at}: keywords not supported: {', '.join(unknown)}")
+    kinds = schema.get("type", [])
+    for kind in [kinds] if isinstance(kinds, str) else kinds:
+        if kind not in _TYPES:
+            raise ValueError(f"{at}: no such type: {kind}")
+    for key, fits in [(k, _number) for k in _NUMBERS] + [(k, _size) for sizes in _SIZES.values() for k in sizes] + [("multipleOf", _positive)]:
+        if key in schema and not fits(schema[key]):
+            raise ValueError(f"{at}: not a value for {key}: {schema[key]!r}")
+    for key in ("enum", "required"):
+        if not isinstance(schema.get(key, []), list):
+            raise ValueError(f"{at}: {key} is a list")
+    try:
+        re.compile(schema.get("pattern", ""))
+    except (re.error, TypeError) as e:
+        raise ValueError(f"{at}: pattern: {e}") from None
+    if "$ref" in schema:
+        ref = schema["$ref"]
+        if not (isinstance(ref, str) and (ref == "#" or ref.startswith("#/"))):
+            raise ValueError(f"{at}: reference out of the schema: {ref}")
+        if ref in below:
+            raise ValueError(f"{at}: reference to itself: {ref}")
+        try:
+            target = _resolve(ref, root)
+        except (KeyError, IndexError, ValueError, TypeError):
+            raise ValueError(f"{at}: reference to nothing: {ref}") from None
+        _check_in_place(target, root, at, (*below, ref))
+    for key in _LISTS & set(schema):
+        for i, one in enumerate(schema[key]):
+            check_schema(one, root, f"{at}/{key}/{i}", below)
+    for key in _MAPS & set(schema):
+        for name, one in schema[key].items():
+            check_schema(one, root, f"{at}/{key}/{name}")
+    for key in _ONE & set(schema):
+        check_schema(schema[key], root, f"{at}/{key}", below if key == "not" else ())
+
+
+def _check_in_place(schema: object, root: object, at: str, below: tuple[str, ...]) -> None:
+    """The parts of a referred schema that judge the same value."""
+    if isinstance(schema, dict):
+        check_schema({k: v for k, v in schema.items() if k not in _MAPS | (_ONE - {"not"})}, root, at, below)
+    else:
+        check_schema(schema, root, at, below)
+
+
+def _number(x: object) -> bool:
+    return isinstance(x, int | float) and not isinstance(x, bool)
+
+
+def _size(x: object) -> bool:
+    return _number(x) and x >= 0
+
+
+def _positive(x: object) -> bool:
+    return _number(x) and x > 0
+
+
+def faults(value: object, schema: dict | bool, at: str = "$", root: dict | bool | None = None) -> list[str]:
+    """What of ``value`` breaks ``schema``: type, enum, const, required,
+    properties, additionalProperties, minProperties, maxProperties, items,
+    minItems, maxItems, uniqueItems, minLength, maxLength, pattern (as ``re``
+    reads it, found anywhere), minimum, maximum, exclusiveMinimum,
+    exclusiveMaximum, multipleOf, anyOf, oneOf, allOf, not, ``$ref`` within the
+    schema and boolean schemas.  Equal means equal as canonical JSON (1 is 1.0
+    but not true).  A value of the wrong type is checked no further."""
+    root = schema if root is None else root
+    if isinstance(schema, bool):
+        return [] if schema else [f"{at}:false"]
     kinds = schema.get("type")
     if kinds is not None:
         kinds = [kinds] if isinstance(kinds, str) else kinds
@@ -53,29 +155,44 @@ def faults(value: object, schema: dict, at: str = "$") -> list[str]:
         if not (fits or whole):
             return [f"{at}:type"]
     out = []
-    if "enum" in schema and value not in schema["enum"]:
+    if "enum" in schema and canonical(value) not in map(canonical, schema["enum"]):
         out.append(f"{at}:enum")
-    if isinstance(value, str):
-        if len(value) < schema.get("minLength", 0):
-            out.append(f"{at}:minLength")
-        if len(value) > schema.get("maxLength", math.inf):
-            out.append(f"{at}:maxLength")
-    if isinstance(value, int | float) and not isinstance(value, bool):
-        if value < schema.get("minimum", -math.inf):
-            out.append(f"{at}:minimum")
-        if value > schema.get("maximum", math.inf):
-            out.append(f"{at}:maximum")
+    if "const" in schema and canonical(value) != canonical(schema["const"]):
+        out.append(f"{at}:const")
+    out += [f"{at}:{k}" for kind, sizes in _SIZES.items() if isinstance(value, kind) for k, off in sizes.items() if k in schema and off(len(value), schema[k])]
+    if isinstance(value, str) and "pattern" in schema and not re.search(schema["pattern"], value):
+        out.append(f"{at}:pattern")
+    if _number(value):
+        out += [f"{at}:{k}" for k, off in _NUMBERS.items() if k in schema and off(value, schema[k])]
+        if "multipleOf" in schema and (Fraction(repr(value)) / Fraction(repr(schema["multipleOf"]))).denominator != 1:
+            out.append(f"{at}:multipleOf")
     if isinstance(value, dict):
-        known = schema.get("properties", {})
+        known, more = schema.get("properties", {}), schema.get("additionalProperties", True)
         out += [f"{at}.{k}:required" for k in sorted(schema.get("required", [])) if k not in value]
         for k in sorted(value):
             if k in known:
-                out += faults(value[k], known[k], f"{at}.{k}")
-            elif schema.get("additionalProperties", True) is False:
+                out += faults(value[k], known[k], f"{at}.{k}", root)
+            elif more is False:
                 out.append(f"{at}.{k}:additionalProperties")
-    if isinstance(value, list) and "items" in schema:
-        for i, x in enumerate(value):
-            out += faults(x, schema["items"], f"{at}[{i}]")
+            else:
+                out += faults(value[k], more, f"{at}.{k}", root)
+    if isinstance(value, list):
+        if schema.get("uniqueItems") and len(set(map(canonical, value))) < len(value):
+            out.append(f"{at}:uniqueItems")
+        if "items" in schema:
+            for i, x in enumerate(value):
+                out += faults(x, schema["items"], f"{at}[{i}]", root)
+    if "$ref" in schema:
+        out += faults(value, _resolve(schema["$ref"], root), at, root)
+    for one in schema.get("allOf", []):
+        out += faults(value, one, at, root)
+    for k in ("anyOf", "oneOf"):
+        if k in schema:
+            fitting = sum(not faults(value, one, at, root) for one in schema[k])
+            if not fitting or k == "oneOf" and fitting > 1:
+                out.append(f"{at}:{k}")
+    if "not" in schema and not faults(value, schema["not"], at, root):
+        out.append(f"{at}:not")
     return out
 
 
@@ -86,7 +203,12 @@ def _checked(schemas: dict[str, dict]):
             text = canonical(value)
         except (ValueError, RecursionError):
             return None, "$:json"
-        return text, ",".join(faults(value, schemas[name])) if name in schemas else "$:unknown tool"
+        if name not in schemas:
+            return text, "$:unknown tool"
+        try:
+            return text, ",".join(faults(value, schemas[name]))
+        except RecursionError:
+            return text, "$:depth"
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -116,25 +238,32 @@ def depths(calls: DataFrame) -> DataFrame:
     return at.select("conv_id", "call_id", F.when(F.col("above").isNull(), F.col("depth")).alias("depth"))
 
 
-def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> DataFrame:
-    """One row for each call and result.
+def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict], others: DataFrame | None = None) -> DataFrame:
+    """One row for each call, result and other turn.
 
     ``calls``: conv_id, call_id, parent_id, turn, name, arguments (JSON);
-    ``results``: conv_id, call_id, turn, content.  Returns conv_id, call_id,
-    turn, kind (call or result), status, depth, faults, message, where
+    ``results``: conv_id, call_id, turn, content; ``others``, turns that are
+    neither: conv_id, turn, role, content.  ``schemas`` are JSON schemas by tool
+    name; one that ``faults`` can't check is a ValueError before any job.  Returns
+    conv_id, call_id, turn, kind (call, result or turn), status, depth, faults,
+    message, where
 
     * status of a call is ``linked``, ``unanswered``, ``repeated`` (a later call
       of the same id) or ``cycle``; of a result ``linked``, ``orphan`` (no such
-      call) or ``repeated`` (a later result of a call);
+      call) or ``repeated`` (a later result of a call); of an other turn ``plain``,
+      without call_id and depth;
     * depth places it: calls have 2 * (calls it depends on), results one more
       than their call; null where there is no place.  Sorted by depth, then
       turn, the linked rows of a conversation are in topological order;
-    * faults says what breaks the schema ("" if nothing does; null for results);
+    * faults says what breaks the schema ("" if nothing does, ``$:depth`` if the
+      value is nested too deeply to check; null for results and other turns);
     * message is canonical JSON of the row.
 
     Rows without conv_id or call_id link to nothing (a call is then unanswered,
     a result an orphan) and have no depth.  Equal turns are ordered by content.
     Other columns are ignored; empty tables give no rows."""
+    for schema in schemas.values():
+        check_schema(schema)
     nth = lambda *by: F.row_number().over(Window.partitionBy("conv_id", "call_id").orderBy(*by))
     keyed = F.col("conv_id").isNotNull() & F.col("call_id").isNotNull()
     calls = calls.select("conv_id", "call_id", "parent_id", "turn", "name", "arguments")
@@ -164,7 +293,15 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> Data
         F.when(F.col("nth") == 1, 2 * F.col("depth") + 1).alias("depth"), F.lit(None).cast("string").alias("faults"),
         _object(content=_quoted("content"), id=_quoted("call_id"), type=F.lit('"tool_result"')).alias("message"),
     )
-    return call.unionByName(result)
+    if others is None:
+        return call.unionByName(result)
+    null = F.lit(None).cast("string")
+    plain = others.select(
+        "conv_id", null.alias("call_id"), "turn", F.lit("turn").alias("kind"), F.lit("plain").alias("status"),
+        F.lit(None).cast("long").alias("depth"), null.alias("faults"),
+        _object(content=_quoted("content"), role=_quoted("role"), type=F.lit('"turn"')).alias("message"),
+    )
+    return call.unionByName(result).unionByName(plain)
 
 
 def _quoted(name: str) -> F.Column:

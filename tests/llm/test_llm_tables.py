@@ -50,6 +50,53 @@ def test_op1_long_chain(spark):
     assert got == {f"c{k}": k for k in range(70)}
 
 
+@pytest.mark.parametrize(("schema", "value", "want"), [
+    ({"exclusiveMinimum": 10, "const": 3}, 5, ["$:const", "$:exclusiveMinimum"]),
+    ({"exclusiveMaximum": 5, "multipleOf": 0.1}, 0.3, []), ({"multipleOf": 0.1}, 0.35, ["$:multipleOf"]), ({"multipleOf": 2}, 1e300, []),
+    ({"enum": [1]}, True, ["$:enum"]), ({"enum": [1, {"a": [1.0]}]}, {"a": [1]}, []), ({"const": None}, None, []),
+    ({"pattern": "^a+$"}, "ab", ["$:pattern"]), ({"pattern": "b"}, "abc", []), ({"pattern": "b"}, 7, []),
+    ({"minItems": 2, "uniqueItems": True, "items": {"type": "string"}}, ["x"], ["$:minItems"]),
+    ({"uniqueItems": True}, [1, 1.0], ["$:uniqueItems"]), ({"uniqueItems": True}, [1, True, [1], {"a": 1}], []), ({"maxItems": 1}, [1, 2], ["$:maxItems"]),
+    ({"additionalProperties": {"type": "integer"}, "properties": {"a": {}}}, {"a": "x", "b": "y"}, ["$.b:type"]),
+    ({"minProperties": 1}, {}, ["$:minProperties"]), ({"maxProperties": 1}, {"a": 1, "b": 2}, ["$:maxProperties"]),
+    ({"anyOf": [{"type": "string"}, {"minimum": 3}]}, 2, ["$:anyOf"]), ({"oneOf": [{"minimum": 1}, {"minimum": 3}]}, 4, ["$:oneOf"]),
+    ({"oneOf": [{"minimum": 1}, {"minimum": 3}]}, 2, []), ({"allOf": [{"minimum": 1}, {"maximum": 0}]}, 0.5, ["$:minimum", "$:maximum"]),
+    ({"not": {"type": "null"}}, None, ["$:not"]), (False, 1, ["$:false"]), (True, 1, []), ({"items": False}, [1], ["$[0]:false"]),
+    ({"$defs": {"n": {"type": "integer"}}, "properties": {"a": {"$ref": "#/$defs/n"}}}, {"a": "x"}, ["$.a:type"]),
+    ({"properties": {"kid": {"$ref": "#"}, "n": {"type": "integer"}}}, {"kid": {"kid": {"n": "x"}}}, ["$.kid.kid.n:type"]),
+    ({"title": "t", "description": "d", "type": ["integer", "null"]}, None, []),
+])
+def test_op1_schema_keywords(schema, value, want):
+    tools.check_schema(schema)
+    assert tools.faults(value, schema) == want
+
+
+@pytest.mark.parametrize("schema", [
+    {"type": "text"}, {"properties": {"a": {"patternProperties": {}}}}, {"pattern": "("}, {"$ref": "#/$defs/gone"}, {"$ref": "http://x/y"},
+    {"$ref": "#"}, {"$defs": {"a": {"anyOf": [{"$ref": "#/$defs/b"}]}, "b": {"$ref": "#/$defs/a"}}}, {"items": 3}, {"minimum": "1"}, {"multipleOf": 0},
+    {"anyOf": [{"if": {}}]}, {"enum": 1}, [],
+])
+def test_op1_raises_before_the_job_for_schemas_it_cannot_check(schema):
+    with pytest.raises(ValueError):
+        tools.check_schema(schema)
+
+
+def test_op1_other_roles_long_texts_and_ties_in_turn(spark, tmp_path):
+    long_ = 'ü"\n' * 200_000
+    turns = [(1, 0, "system", "s"), (1, 1, "user", "hi"), (1, 2, "assistant", long_), (1, 3, "tool", "t"), (1, 4, None, None), (2, 0, "user", ""), (2, 0, "user", "tie"), (None, 0, "critic", "c")]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    rows = queries.op1_chat_formatting(spark, str(tmp_path)).collect()
+    assert len(rows) == len(turns)
+    plain = sorted((r.message for r in rows if r.kind == "turn" and r.status == "plain" and r.depth is None and r.call_id is None))
+    assert plain == ['{"content":"c","role":"critic","type":"turn"}', '{"content":"t","role":"tool","type":"turn"}', '{"content":null,"role":null,"type":"turn"}']
+    assert next(json.loads(r.message)["content"] for r in rows if r.kind == "result") == long_
+    assert sorted(r.status for r in rows if r.conv_id == 2) == ["repeated", "unanswered"]
+    deep = "[" * 400 + "]" * 400
+    calls = spark.createDataFrame([(1, "a", None, 0, "f", deep)], "conv_id long, call_id string, parent_id string, turn long, name string, arguments string")
+    results = spark.createDataFrame([], "conv_id long, call_id string, turn long, content string")
+    assert tools.link(calls, results, {"f": {"items": {"$ref": "#"}}}).first().faults in ("", "$:depth")
+
+
 # 3. licenses
 
 
