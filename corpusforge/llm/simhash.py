@@ -3,11 +3,12 @@
 Fingerprints are linked when at most ``bits`` (2) of their 64 bits differ.
 
 * Equal fingerprints are merged first, so copies cost one row.
-* The distinct fingerprints are dealt out by the pigeonhole principle: of eight
-  bytes at most two can differ, so two linked fingerprints agree in six whole
-  bytes, that is in one of 28 choices.  A group therefore holds fingerprints
-  that differ in two bytes only: 65,536 at most, whatever the input.  This
-  only brings together what could be linked; it doesn't decide.
+* The distinct fingerprints are dealt out by the pigeonhole principle: of four
+  blocks of 16 bits at most two can differ, so two linked fingerprints agree in
+  two whole blocks, that is in one of 6 choices.  This only brings together what
+  could be linked.  A group of more than ``GROUP`` is dealt out once more by the
+  four bytes it doesn't share, of which linked ones agree in two: such a part
+  differs in two bytes only and holds 65,536 at most, whatever the input.
 * In a group the **pivot table** has the Hamming distance of each fingerprint
   to every reference fingerprint.  By the triangle inequality a pair whose
   distances to some pivot differ by more than ``bits`` can't be linked.  The
@@ -33,6 +34,10 @@ from pyspark.sql import functions as F
 from corpusforge.llm.common import splitmix, staged, texts_of, unused
 
 PIVOTS = 16
+#: Fingerprints up to which a group is one task's work as it is.
+GROUP = 65_536
+#: Larger groups up to which their names go to every task (some 30 bytes each); beyond, the join is shuffled.
+BROADCAST_GROUPS = 200_000
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
@@ -75,10 +80,21 @@ def fingerprints(docs: DataFrame, shingle: int = 3, *more: Column) -> DataFrame:
     return texts.mapInArrow(_fingerprints(shingle), schema)
 
 
+def distances(fp: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    """The pivot table: Hamming distances of every fingerprint to every pivot."""
+    return np.bitwise_count(fp[:, None] ^ pivots[None, :]).astype(np.int8)
+
+
+def possible(left: np.ndarray, right: np.ndarray, bits: int) -> np.ndarray:
+    """Which pairs of rows of the pivot table can be within ``bits``: the largest
+    difference of their coordinates says no for the others."""
+    return np.abs(left - right).max(axis=1, initial=0) <= bits
+
+
 def _forest(key: np.ndarray, fp: np.ndarray, pivots: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Links (fingerprint, smaller fingerprint of its tree) of groups of equal
     ``key``: a spanning forest of all links within the groups."""
-    table = np.bitwise_count(fp[:, None] ^ pivots[None, :]).astype(np.int8)
+    table = distances(fp, pivots)
     by = np.lexsort((table[:, 0], key))
     key, fp, table = key[by], fp[by], table[by]
     left, right = [], []
@@ -87,7 +103,7 @@ def _forest(key: np.ndarray, fp: np.ndarray, pivots: np.ndarray, bits: int) -> t
         far = at + step
         near = (key[at] == key[far]) & (table[far, 0] - table[at, 0] <= bits)
         at, far = at[near], far[near]
-        close = np.abs(table[far] - table[at]).max(axis=1, initial=0) <= bits
+        close = possible(table[at], table[far], bits)
         a, b = at[close], far[close]
         linked = np.bitwise_count(fp[a] ^ fp[b]) <= bits
         left.append(a[linked])
@@ -140,18 +156,27 @@ def links(distinct: DataFrame, bits: int = 2) -> DataFrame:
     same ones as all pairs within ``bits`` bits."""
     if not 0 <= bits <= 2:
         raise ValueError("bits must be 0, 1 or 2")
-    masks = []
-    for kept in combinations(range(8), 8 - 2):
-        mask = sum(0xFF << 8 * b for b in kept)
-        masks.append(mask - (1 << 64) if mask >> 63 else mask)
-    keys = F.array(*[F.struct(F.lit(i).alias("choice"), F.col("fp").bitwiseAND(F.lit(m)).alias("part")) for i, m in enumerate(masks)])
-    return (
-        distinct.select("fp", F.explode(keys).alias("key"))
-        .select("key.choice", "key.part", "fp")
-        .repartition("choice", "part")
-        .sortWithinPartitions("choice", "part")
-        .mapInArrow(_links(bits), "u long, v long")
-    )
+    coarse = [(i, 0xFFFF << 16 * a | 0xFFFF << 16 * b) for i, (a, b) in enumerate(combinations(range(4), 2))]
+    group = ["choice", "part"]
+    dealt = distinct.select("fp", F.explode(_keys(coarse)).alias("key")).select("key.*", "fp")
+    large = staged(dealt.groupBy(*group).count().filter(F.col("count") > GROUP).select(*group, F.lit(True).alias("large")), "large-groups")
+    n_large = large.count()
+    if n_large:
+        dealt = dealt.join(F.broadcast(large) if n_large <= BROADCAST_GROUPS else large, group, "left")
+        finer = F.lit(None)
+        for i, mask in coarse:
+            free = [8 * k for k in range(8) if not mask >> 8 * k & 1]
+            parts = [(6 + 6 * i + j, mask | 0xFF << a | 0xFF << b) for j, (a, b) in enumerate(combinations(free, 2))]
+            finer = F.when(F.col("choice") == i, _keys(parts)).otherwise(finer)
+        own = F.array(F.struct("choice", "part"))
+        dealt = dealt.select("fp", F.explode(F.when(F.col("large"), finer).otherwise(own)).alias("key")).select("key.*", "fp")
+    return dealt.repartition(*group).sortWithinPartitions(*group).mapInArrow(_links(bits), "u long, v long")
+
+
+def _keys(masks: list[tuple[int, int]]) -> Column:
+    """(choice, part) of ``fp`` for each choice and the bits it keeps."""
+    signed = lambda m: m - (1 << 64) if m >> 63 else m
+    return F.array(*[F.struct(F.lit(i).alias("choice"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("part")) for i, m in masks])
 
 
 def components(edges: DataFrame, limit: int = 100) -> DataFrame:

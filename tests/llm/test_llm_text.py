@@ -12,6 +12,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from corpusforge.llm import decontam, packing, pii, quality, queries, simhash, suffix_dedup
+from corpusforge.llm.common import splitmix
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kind string, _row string"
 
@@ -307,6 +308,46 @@ def test_op7_links_of_dense_fingerprints(spark):
             assert same == (comps[a] == comps[b])
 
 
+def families(seed, n, size):
+    """Fingerprints that agree in two blocks of 16 bits, near ones among them."""
+    rng = random.Random(seed)
+    out = set()
+    for _ in range(n):
+        base, (a, b) = rng.getrandbits(64), rng.sample(range(4), 2)
+        keep = 0xFFFF << 16 * a | 0xFFFF << 16 * b
+        for _ in range(size):
+            fp = base & keep | rng.getrandbits(64) & ~keep
+            out |= {fp, *(fp ^ 1 << rng.randrange(64) ^ 1 << rng.randrange(64) for _ in range(rng.choice([0, 0, 0, 2])))}
+    return sorted(out)
+
+
+@pytest.mark.parametrize("group", [simhash.GROUP, 8])
+def test_op7_groups_of_any_size_lose_no_link(spark, monkeypatch, group):
+    monkeypatch.setattr(simhash, "GROUP", group)
+    fps = np.array(families(3, 12, 60) + [0, 1, 3, 7, (1 << 64) - 1], np.uint64)
+    df = spark.createDataFrame([(int(x),) for x in fps.view(np.int64)], "fp long").repartition(4)
+    roots = {r.node: r.root for r in simhash.components(simhash.links(df)).collect()}
+    near = np.bitwise_count(fps[:, None] ^ fps[None, :]) <= 2
+    root = fps.view(np.int64).copy()
+    for _ in range(len(fps)):
+        new = np.where(near, root[None, :], np.iinfo(np.int64).max).min(axis=1)
+        if (new == root).all():
+            break
+        root = new
+    assert [roots.get(int(x), int(x)) for x in fps.view(np.int64)] == root.tolist()
+    assert len(set(root.tolist())) < len(fps) - 100
+
+
+def test_op7_pivots_discard_nearly_all_pairs_of_a_group_that_are_not_linked():
+    fps = np.array(families(4, 1, 400), np.uint64)
+    a, b = np.triu_indices(len(fps), 1)
+    linked = np.bitwise_count(fps[a] ^ fps[b]) <= 2
+    table = simhash.distances(fps, splitmix(simhash.PIVOTS, 7))
+    left = simhash.possible(table[a], table[b], 2)
+    assert left[linked].all() and linked.sum() > 50
+    assert left[~linked].mean() < 0.01
+
+
 def test_op7_repeated_rows_and_empty_table(spark):
     df = table(spark, [(3, "one two three four"), (3, "one two three four"), (None, "one two three four"), (None, "else")])
     assert sorted((r.doc_id or -1, r.text) for r in simhash.keep_one(df).collect()) == [(-1, "else"), (3, "one two three four")]
