@@ -116,14 +116,15 @@ def labels_without_sources(spark: SparkSession, labels: Sequence[str], reg: Data
 
 
 def frontier(reg: DataFrame) -> DataFrame:
-    """One row per (source, page) for ``start_page..max_pages``.
+    """One row per (source, page) for ``start_page..max_pages``;
+    none where the range is empty.
 
     Generated from the registry dimension (tens of rows) with
     ``sequence``; a job that reads captured pages should instead filter the
     captured page table by the same range (see ``collect``)."""
     from corpusforge.functions.urls import page_url
 
-    return reg.select(
+    return reg.filter("start_page <= max_pages").select(
         "priority", "name", "label", "pagination", "base_url",
         F.explode(F.sequence(F.col("start_page").cast("long"), F.col("max_pages").cast("long"))).alias("page_no"),
     ).withColumn("url", page_url("pagination", "base_url", "page_no"))

@@ -40,3 +40,28 @@ def test_page_urls(spark):
         bad.select(page_url("m", "b", "p")).collect()
     k = spark.createDataFrame([("Sports_goobjoog",), ("Health",)], "k string")
     assert [r[0] for r in k.select(label_from_key("k")).collect()] == ["Sports", "Health"]
+
+
+def test_frontier_of_all_modes_and_empty_ranges(spark):
+    from corpusforge.sources.registry import frontier
+
+    reg = spark.createDataFrame(
+        [
+            (1, "a", "L", "wp", "https://a.x//", 1, 3), (2, "b", "L", "param", "https://b.x/?p=", 0, 1), (3, "c", "M", "suffixed", "https://c.x/page/", 1, 1),
+            (4, "none", "M", "wp", "https://d.x", 3, 2), (5, "null", "M", "wp", "https://e.x", 1, None),
+        ],
+        "priority int, name string, label string, pagination string, base_url string, start_page int, max_pages int",
+    )
+    got = sorted((r["priority"], r["page_no"], r["url"]) for r in frontier(reg).collect())
+    assert got == [
+        (1, 1, "https://a.x/"), (1, 2, "https://a.x/page/2/"), (1, 3, "https://a.x/page/3/"),
+        (2, 0, "https://b.x/?p=0"), (2, 1, "https://b.x/?p=1"), (3, 1, "https://c.x/page/1/"),
+    ]
+    assert frontier(reg.limit(0)).count() == 0
+
+
+def test_parse_labels():
+    from corpusforge.operators.clean import parse_labels
+
+    assert parse_labels(" Sports, ,World ,,Health and more") == ["Sports", "World", "Health and more"]
+    assert parse_labels(" , ") == []

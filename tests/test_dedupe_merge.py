@@ -1,5 +1,5 @@
 from corpusforge.operators.dedupe import dedupe_norm, dedupe_text, dedupe_text_url, seen_set, unseen
-from corpusforge.operators.merge import union_parts
+from corpusforge.operators.merge import union_distinct_text, union_parts
 from corpusforge.functions.text import norm_key
 
 
@@ -32,3 +32,10 @@ def test_unseen(spark):
     base = spark.createDataFrame([("Hello World",)], "text string")
     items = spark.createDataFrame([("hello   world",), ("fresh",)], "title string").withColumn("nkey", norm_key("title"))
     assert [r.title for r in unseen(items, seen_set(base)).collect()] == ["fresh"]
+
+
+def test_union_distinct_text_keeps_the_earliest_part(spark):
+    a = spark.createDataFrame([(2, "t", "L"), (1, "t", "K"), (3, "T", "L")], "row_id long, text string, label string")
+    b = spark.createDataFrame([(0, "t", "M"), (1, "new", None), (2, None, "L"), (3, None, "M")], "row_id long, text string, label string")
+    got = sorted((r.part_no, r.row_id, r.text) for r in union_distinct_text([a, b]).collect())
+    assert got == [(0, 1, "t"), (0, 3, "T"), (1, 1, "new"), (1, 2, None)]
