@@ -1,10 +1,11 @@
 """Extraction jobs: captured pages / feeds -> items.
 
-One Python stage (``mapInPandas``, Arrow batches) parses pages and emits one
+One Python stage (``mapInArrow``) parses pages and emits one
 row per selector match; every rule after that (length filters, tiers,
 first-of, dedupe, URL prefixing) is a Spark built-in.  The page table is
 processed in its own partitions, so the work spreads with the number of
-pages; a single page is bounded by its size.
+pages; a worker holds one batch of pages and ``HELD`` characters of matches,
+of which one page can have many times its size (elements inside each other).
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,19 +39,52 @@ HIT_FIELDS = [
     T.StructField("href", T.StringType()),
     T.StructField("end_pos", T.LongType()),
 ]
+HIT_TYPES = [pa.int32(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int64()]
+HELD = 2 << 20  # characters of matches that a worker sends on together
 TEXT_MODES = {"spaced": "text_spaced", "joined": "text_joined", "whole": "text_whole"}
 
 
+def _hit_rows(names: list[str], selectors: list[str], own: bool, union: bool, modes):
+    """From batches of keys, html and, if ``own``, selectors: the matches, sent
+    on whenever they hold ``HELD`` characters."""
+    n = len(names) - len(HIT_TYPES)
+
+    def part(batch, at, hits):
+        place = pa.array(at, pa.int64())
+        values = [pa.array(list(c), t) for c, t in zip(zip(*hits), HIT_TYPES, strict=True)]
+        return pa.RecordBatch.from_arrays([*(batch.column(k).take(place) for k in range(n)), *values], names=names)
+
+    def rows(batches):
+        for batch in batches:
+            at, hits, held = [], [], 0
+            for i, html in enumerate(batch.column(n)):
+                mine = (batch.column(n + 1)[i].as_py() if own else None) or selectors
+                wanted = [[modes]] * len(mine) if isinstance(modes, str) else modes
+                for hit in _html.matches(html.as_py(), mine, union, wanted):
+                    at.append(i)
+                    hits.append(hit)
+                    held += 100 + sum(len(x) for x in hit[2:6] if x)
+                    if held >= HELD:
+                        yield part(batch, at, hits)
+                        at, hits, held = [], [], 0
+            if hits:
+                yield part(batch, at, hits)
+
+    return rows
+
+
 def html_matches(
     pages: DataFrame,
     key_cols: Sequence[str],
     selectors: Sequence[str] | str,
     union: bool = True,
     html_col: str = "html",
+    modes: Sequence[Sequence[str]] | str | None = None,
 ) -> DataFrame:
     """Selector matches of every page: ``key_cols`` + ``HIT_FIELDS``.  A string
     as ``selectors`` names a column with each page's own list (null or empty:
-    the default list)."""
+    the default list).  ``modes``: the texts to be built (``TEXT_MODES``; null
+    else), one mode for all selectors or a list for each; none: all of them."""
     from corpusforge.sources.registry import DEFAULT_SELECTORS
 
     keys = list(key_cols)
@@ -59,21 +93,11 @@ def html_matches(
     read = [*keys, html_col, *([own] if own else [])]
     in_schema = pages.select(*keys).schema
     out_schema = T.StructType(list(in_schema.fields) + HIT_FIELDS)
-
-    def run(batches):
-        for pdf in batches:
-            rows = []
-            for rec in pdf.itertuples(index=False):
-                d = rec._asdict()
-                key = tuple(d[k] for k in keys)
-                mine = sels if own is None or d[own] is None or not len(d[own]) else list(d[own])
-                for m in _html.matches(d[html_col], mine, union):
-                    rows.append(key + m)
-            yield pd.DataFrame(rows, columns=[f.name for f in out_schema.fields])
+    names = [f.name for f in out_schema.fields]
 
     # Parsing is CPU-bound Python: spread a small page table over all task
     # slots first (no-op for a large one).
-    return spread(pages.select(*read)).mapInPandas(run, out_schema)
+    return spread(pages.select(*read)).mapInArrow(_hit_rows(names, sels, own is not None, union, modes), out_schema)
 
 
 def extract_links(
@@ -104,7 +128,7 @@ def extract_links(
     union = order_mode == "document"
     if order_mode not in ("document", "selector"):
         raise ValueError(f"Unknown order_mode: {order_mode}")
-    m = html_matches(pages, key_cols, selectors or DEFAULT_SELECTORS, union)
+    m = html_matches(pages, key_cols, selectors or DEFAULT_SELECTORS, union, modes=text_mode)
     title = F.col(TEXT_MODES[text_mode])
     big = F.lit(1 << 32).cast("long")
     pos = F.col("doc_pos") if union else F.col("sel_idx").cast("long") * big + F.col("doc_pos")
@@ -150,7 +174,7 @@ def extract_variants(pages: DataFrame, key_cols: Sequence[str], rules: Sequence[
         return F.get(F.array(*[v if isinstance(v, F.Column) else F.lit(v) for v in values]), F.col("_rule"))
 
     big = F.lit(1 << 32).cast("long")
-    m = html_matches(pages, key_cols, sels, union=False).withColumn("_rule", rule)
+    m = html_matches(pages, key_cols, sels, union=False, modes=[[rules[i].text_mode] for i in owner]).withColumn("_rule", rule)
     items = m.select(
         of([r.name for r in rules]).alias("variant"), *key_cols,
         (F.col("sel_idx").cast("long") * big + F.col("doc_pos")).alias("pos"),
@@ -202,7 +226,7 @@ def headings_with_fallback(
     """Take the first tier that has at least ``min_count`` elements
     on the page (the last tier is taken whatever its count), then keep
     ``len(text) > min_len_exclusive``."""
-    m = html_matches(pages, key_cols, list(tiers), union=False)
+    m = html_matches(pages, key_cols, list(tiers), union=False, modes=text_mode)
     last = len(tiers) - 1
     # The pages are parsed once: tier sizes and the chosen tier come from
     # windows over each page's matches (bounded by the page).
@@ -229,7 +253,7 @@ def title_and_intro(
     """E12 + P21: first ``title_sel`` text, first intro candidate (selector
     order, then document order) with ``len >= min_intro``; text is
     ``title + '. ' + intro``; pages without either yield no row."""
-    m = html_matches(pages, key_cols, [title_sel, *intro_sels], union=False)
+    m = html_matches(pages, key_cols, [title_sel, *intro_sels], union=False, modes=[["joined"], *[["spaced"]] * len(intro_sels)])
     # One pass, one aggregate per page: title = first title match (pieces
     # joined without separator), intro = first candidate long enough
     # (pieces joined by " "); rows outside a role have a null ordering and
@@ -261,7 +285,7 @@ def category_members(
     """E10/E11 + P11, P12, E13, W9: member links of category pages, with
     navigation titles and namespace paths dropped, the host prefixed, the
     first ``limit`` per page kept (``row_number`` per page)."""
-    m = html_matches(pages, key_cols, [selector], union=True)
+    m = html_matches(pages, key_cols, [selector], union=True, modes=text_mode)
     href = F.col("href")
     items = m.select(
         *key_cols, F.col("doc_pos").alias("pos"), F.col(TEXT_MODES[text_mode]).alias("title"),
@@ -291,7 +315,7 @@ def discover_feed(
     # are in document order, so the next wanted link after an li lies inside
     # it exactly if it comes no later than the li's end: one running window
     # per page, no pairs of lists and links.
-    m = html_matches(pages, key_cols, ["li", "a"], union=False)
+    m = html_matches(pages, key_cols, ["li", "a"], union=False, modes=[["spaced"], ["joined"]])
     wanted = (F.col("sel_idx") == 1) & F.col("href").isNotNull() & F.col("href").contains(href_part)
     after = Window.partitionBy(*key_cols).orderBy(F.desc("doc_pos")).rowsBetween(Window.unboundedPreceding, -1)
     m = m.withColumn("_next", F.last(F.when(wanted, F.struct("doc_pos", "href")), ignorenulls=True).over(after))
