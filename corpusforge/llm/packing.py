@@ -16,13 +16,15 @@ that a third of all items share is numbered by many tasks.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
-from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -30,30 +32,110 @@ from pyspark.sql.window import Window
 from corpusforge.llm.common import staged, texts_of, worker_cache
 
 CAPACITY = 2048
-CACHED_WORDS = 1_000_000  # (about 200 MB) words whose ids a worker keeps; it starts afresh beyond that
+CACHED_WORDS = 500_000  # (about 90 MB) words whose ids a worker keeps; it starts afresh beyond that
 SALTS = 4096
-SLICE = 4 << 20  # bytes of text whose words are held at a time
+SLICE = 8 << 20  # bytes of text whose words are held at a time
+TOGETHER = 256  # words of letters that are encoded as one text
 
+#: Letters, single digits and runs of other signs are encoded apart, in lower case.
+_SPLIT = {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}
+#: Where such a word ends for sure: ASCII signs after a letter or digit (ASCII or Latin-1).
+_END = re.compile(rb"(?:(?<=[a-z0-9])|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))(?=[!-/:-@\[-`{-~])")
 
-def _ids(tokenizer: str, cache: dict, texts: list[bytes]) -> list[bytes]:
-    """Token ids of each text, as little-endian unsigned 32-bit numbers.
 
-    The tokenizer drops white space and never joins what it separates, so ids
-    are looked up by white-space separated chunk."""
-    if tokenizer not in cache:
+class _Encoder:
+    """Ids of words, kept for the words to come."""
+
+    def __init__(self, tokenizer: str):
         from tokenizers import Tokenizer
 
-        cache[tokenizer] = (Tokenizer.from_file(tokenizer), {})
-    encoder, known = cache[tokenizer]  # array('I') is little-endian where Spark runs
-    lists = [t.split() for t in texts]
-    new = set().union(*lists).difference(known)
-    if len(known) + len(new) > CACHED_WORDS:
-        known.clear()
-        new = set().union(*lists)
-    words = list(new)
-    codes = encoder.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-    known.update((w, array("I", c.ids).tobytes()) for w, c in zip(words, codes, strict=True))
-    return [b"".join(map(known.__getitem__, ws)) for ws in lists]
+        self.encoder = Tokenizer.from_file(tokenizer)
+        self.known: dict[bytes, bytes] = {}
+        parts = json.loads(self.encoder.to_str())
+        normalizer = parts["normalizer"] or {}
+        types = [n["type"] for n in normalizer.get("normalizers", [normalizer]) if n]
+        before = parts["pre_tokenizer"] or {}
+        split = before.get("pretokenizers", [before])[0]
+        #: The words of the split above, told apart by their last ids' suffix; other tokenizers get whole chunks, one by one.
+        suffix = parts["model"].get("end_of_word_suffix")
+        self.words = "Lowercase" in types and split.get("pattern") == _SPLIT and split.get("invert") is True and bool(suffix)
+        if self.words:
+            self.added = [t["content"].lower().encode() for t in parts["added_tokens"]]  # found before all else
+            vocabulary = self.encoder.get_vocab()
+            self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.last[[i for w, i in vocabulary.items() if w.endswith(suffix)]] = True
+
+    def encode(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        codes = self.encoder.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+        return ((w, np.array(c.ids, "<u4").tobytes()) for w, c in zip(words, codes, strict=True))
+
+    def split(self, chunks: list[bytes]) -> dict[bytes, bytes]:
+        """The words of each chunk, with spaces between them."""
+        lines = b"\n".join(chunks)
+        return dict(zip(chunks, (_END.sub(b" ", lines) if self.words else lines).split(b"\n"), strict=True)) if chunks else {}
+
+    def learn(self, words: set[bytes]) -> bool:
+        """False if all words were forgotten instead, as there would be too many."""
+        new = words.difference(self.known)
+        if self.known and len(self.known) + len(new) > CACHED_WORDS:
+            self.known.clear()
+            return False
+        letters = [w for w in new if w.decode().isalpha()] if self.words else []
+        rest = list(new.difference(letters))
+        groups = [letters[k : k + TOGETHER] for k in range(0, len(letters), TOGETHER)]
+        for k in range(0, len(groups), TOGETHER):
+            some = groups[k : k + TOGETHER]
+            codes = self.encoder.encode_batch_fast([b" ".join(g).decode() for g in some], add_special_tokens=False)
+            for group, code in zip(some, codes, strict=True):
+                ids = np.array(code.ids, "<u4")
+                ends = (4 * np.flatnonzero(self.last[ids]) + 4).tolist()
+                if len(ends) != len(group):  # a letter whose lower case isn't only letters
+                    rest += group
+                    continue
+                ids = ids.tobytes()
+                self.known.update((w, ids[a:b]) for w, a, b in zip(group, [0, *ends], ends))
+        for k in range(0, len(rest), TOGETHER * TOGETHER):
+            self.known.update(self.encode(rest[k : k + TOGETHER * TOGETHER]))
+        return True
+
+    def ids(self, texts: list[bytes]) -> list[bytes]:
+        """Token ids of each text, as little-endian unsigned 32-bit numbers.
+
+        The tokenizer drops white space and never joins what it separates, so
+        ids are looked up by white-space separated chunk, and a chunk's by word."""
+        apart: dict[int, bytes] = {}
+        if self.words:
+            small = [t.lower() for t in texts]
+            for k, t in enumerate(small):
+                if any(a in t for a in self.added):
+                    apart[k], small[k] = b"".join(i for _, i in self.encode(texts[k].split())), b""
+                elif b"\xcc" in t or b"\xcd" in t:  # a mark may combine with a small letter and not with its capital
+                    small[k] = texts[k]
+            texts = small
+        lists = pc.ascii_split_whitespace(pa.array(texts, pa.string()))
+        coded = lists.flatten().dictionary_encode()
+        chunks = coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+        new = self.split(list(set(chunks).difference(self.known)))
+        if not self.learn(set(b" ".join(new.values()).split())):
+            new = self.split(chunks)
+            self.learn(set(b" ".join(new.values()).split()))
+        known = self.known
+        found = [b"".join(map(known.__getitem__, new[c].split())) if c in new else known[c] for c in chunks]
+        flat = np.frombuffer(b"".join(found), "<u4")
+        sizes = np.array([len(f) // 4 for f in found], np.int64)
+        starts = np.cumsum(sizes) - sizes
+        index = coded.indices.to_numpy()
+        sizes = sizes[index]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        ids = flat[np.repeat(starts[index] - ends[:-1], sizes) + np.arange(ends[-1])]
+        bounds = ends[lists.offsets.to_numpy()]
+        return [apart[k] if k in apart else ids[a:b].tobytes() for k, (a, b) in enumerate(zip(bounds, bounds[1:]))]
+
+
+def _ids(tokenizer: str, cache: dict, texts: list[bytes]) -> list[bytes]:
+    if tokenizer not in cache:
+        cache[tokenizer] = _Encoder(tokenizer)
+    return cache[tokenizer].ids(texts)
 
 
 def _slices(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -72,10 +154,9 @@ def _piece_rows(tokenizer: str, capacity: int):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         for batch in batches:
             data, offsets = texts_of(batch.column("text"))
-            raw = data.tobytes()
             row, piece, start, length, crc = [], [], [], [], []
             for lo, hi in _slices(offsets):
-                texts = [raw[offsets[i] : offsets[i + 1]] for i in range(lo, hi)]
+                texts = [data[offsets[i] : offsets[i + 1]].tobytes() for i in range(lo, hi)]
                 for i, ids in enumerate(_ids(tokenizer, worker_cache(), texts), lo):
                     ids += bytes(4)
                     for k, at in enumerate(range(0, len(ids), 4 * capacity)):

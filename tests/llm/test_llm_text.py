@@ -453,3 +453,30 @@ def test_op9_unspaced_scripts_and_short_items(spark):
         (1, 1, 18, 18, 1), (2, 2, 17, 17, 1), (2, 5, 2, 2, 1), (3, 3, 38, 38, 1), (4, 4, 3, 3, 1), (6, 6, 6, 6, 1), (7, 7, 6, 6, 1), (8, 8, 6, 6, 1),
     ]
     assert sorted(r.doc_id for r in decontam.clean(table(spark, docs), bench).collect()) == [5, 9, 10]
+
+
+def test_op4_words_are_encoded_once_without_case_and_signs():
+    """Chunks share the ids of their words; ids are those of the whole text."""
+    signs = "aAbJHTWYIKst019'’”\"().,;:!?- \t\ṉ̸̀́̌̇éÉñß×÷İıKΣςǅﬁ中あ②<>=|̈́ 　\x1c😀ʼ_"
+    rng = np.random.default_rng(4)
+    texts = ["".join(rng.choice(list(signs), rng.integers(0, 15))) for _ in range(5000)]
+    texts += ["Word, word. WORD (word)", "it's IT'S don't", "<|endoftext|> a, B. <|EndOfText|>", "a</w> </w>", ""]
+    from tokenizers import Tokenizer
+
+    encoder = packing._Encoder(queries.tokenizer())
+    tok = Tokenizer.from_file(queries.tokenizer())
+    want = [np.array(c.ids, "<u4").tobytes() for c in tok.encode_batch_fast(texts, add_special_tokens=False)]
+    assert encoder.ids([t.encode() for t in texts]) == want
+    encoder.known.clear()
+    encoder.ids([b"Word, word. WORD; word", b"wOrd"])
+    assert set(encoder.known) == {b"word", b",", b".", b";"}
+
+
+def test_op4_words_are_forgotten_beyond_a_number(monkeypatch):
+    monkeypatch.setattr(packing, "CACHED_WORDS", 20)
+    encoder = packing._Encoder(queries.tokenizer())
+    texts = [" ".join(f"w{'abcdefghij'[k % 10] * (k % 7 + 1)}x{k}, Ab" for k in range(n, n + 9)).encode() for n in range(0, 900, 9)]
+    parts = [x for k in range(0, 100, 3) for x in encoder.ids(texts[k : k + 3])]
+    assert parts == packing._Encoder(queries.tokenizer()).ids(texts)
+    encoder.known.clear()
+    assert [encoder.ids([t])[0] for t in texts] == parts
