@@ -269,5 +269,5 @@ def test_queries_are_registered():
 
     names = set(__spark_entry__.queries())
     assert set(queries.QUERIES) | {"pipeline"} <= names
-    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{k}" for k in range(1, 14)]
     assert SCHEMA
