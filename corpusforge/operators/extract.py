@@ -1,6 +1,6 @@
 """Extraction jobs: captured pages / feeds -> items.
 
-One Python stage (``mapInArrow``) parses pages and emits one
+One Python stage (``mapInPandas``, Arrow batches) parses pages and emits one
 row per selector match; every rule after that (length filters, tiers,
 first-of, dedupe, URL prefixing) is a Spark built-in.  The page table is
 processed in its own partitions, so the work spreads with the number of
@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-import pyarrow as pa
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,7 +39,6 @@ HIT_FIELDS = [
     T.StructField("href", T.StringType()),
     T.StructField("end_pos", T.LongType()),
 ]
-HIT_TYPES = [pa.int32(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int64()]
 HELD = 2 << 20  # characters of matches that a worker sends on together
 TEXT_MODES = {"spaced": "text_spaced", "joined": "text_joined", "whole": "text_whole"}
 
@@ -47,28 +46,21 @@ TEXT_MODES = {"spaced": "text_spaced", "joined": "text_joined", "whole": "text_w
 def _hit_rows(names: list[str], selectors: list[str], own: bool, union: bool, modes):
     """From batches of keys, html and, if ``own``, selectors: the matches, sent
     on whenever they hold ``HELD`` characters."""
-    n = len(names) - len(HIT_TYPES)
-
-    def part(batch, at, hits):
-        place = pa.array(at, pa.int64())
-        values = [pa.array(list(c), t) for c, t in zip(zip(*hits), HIT_TYPES, strict=True)]
-        return pa.RecordBatch.from_arrays([*(batch.column(k).take(place) for k in range(n)), *values], names=names)
+    n = len(names) - len(HIT_FIELDS)
 
     def rows(batches):
-        for batch in batches:
-            at, hits, held = [], [], 0
-            for i, html in enumerate(batch.column(n)):
-                mine = (batch.column(n + 1)[i].as_py() if own else None) or selectors
+        for pdf in batches:
+            out, held = [], 0
+            for page in pdf.itertuples(index=False, name=None):
+                mine = selectors if not own or page[n + 1] is None or not len(page[n + 1]) else list(page[n + 1])
                 wanted = [[modes]] * len(mine) if isinstance(modes, str) else modes
-                for hit in _html.matches(html.as_py(), mine, union, wanted):
-                    at.append(i)
-                    hits.append(hit)
+                for hit in _html.matches(page[n], mine, union, wanted):
+                    out.append(page[:n] + hit)
                     held += 100 + sum(len(x) for x in hit[2:6] if x)
                     if held >= HELD:
-                        yield part(batch, at, hits)
-                        at, hits, held = [], [], 0
-            if hits:
-                yield part(batch, at, hits)
+                        yield pd.DataFrame(out, columns=names)
+                        out, held = [], 0
+            yield pd.DataFrame(out, columns=names)
 
     return rows
 
@@ -97,7 +89,7 @@ def html_matches(
 
     # Parsing is CPU-bound Python: spread a small page table over all task
     # slots first (no-op for a large one).
-    return spread(pages.select(*read)).mapInArrow(_hit_rows(names, sels, own is not None, union, modes), out_schema)
+    return spread(pages.select(*read)).mapInPandas(_hit_rows(names, sels, own is not None, union, modes), out_schema)
 
 
 def extract_links(
