@@ -3,16 +3,25 @@ the text that its pages repeat.
 
 A page becomes blocks.  Elements that can't hold the article (``nav``,
 ``footer``, ``aside``, ``form``, a class such as ``ad`` or ``comments``) are
-boilerplate by their markup, and text in ``article`` or ``main`` is not, however
-often it is repeated: copies of an article are no boilerplate.  What lies
-outside both is open.  All tokens outside the article make up the page's stream;
-the streams of a host are put in one suffix array, to a depth of ``RUN`` tokens,
-in which equal neighbours from distinct pages are repeated substrings.  Open
-blocks that these cover go, unique ones stay.
+boilerplate by their markup; what lies neither in them nor in ``article`` or
+``main`` is open.  All tokens of a page make up its stream, in stretches outside
+the article and in it; the streams of a host are put in one suffix array, to a
+depth of ``RUN`` tokens, in which equal neighbours are repeated substrings.
+
+* Text in ``article`` or ``main`` stays, however often it is repeated: copies of
+  an article are no boilerplate.
+* Open blocks go if substrings cover them that stand outside the article on at
+  least two pages; unique ones stay.
+* On a page without an article of its own, such a block stays nevertheless if
+  the array finds it within articles too and the repeat goes on there beyond
+  the block: it is part of a copy.  A headline alone that others list doesn't.
 
 The array is built batch by batch, sorted by its packed tokens; equal entries of
 all batches then meet by an aggregate that is combined before the shuffle, so a
-host or a menu on a third of all pages costs a row for each batch.
+host or a menu on a third of all pages costs a row for each batch.  Suffixes of
+articles join the array second, and those that no two pages have outside the
+article, as most, can't decide about anything: a filter that holds all entries
+of the first half (``_Filter``) drops them before the shuffle.
 """
 
 from __future__ import annotations
@@ -20,6 +29,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from functools import cached_property
 from html import unescape
 
 import numpy as np
@@ -28,10 +38,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusforge.llm.common import staged
+from corpusforge.llm.common import mix64, splitmix, staged
 
 RUN = 6  # tokens of a repeated substring, at least; a block's start is a token
 COVERED = 0.8  # share of an open block's words from which on it goes
+FILTER_BITS = 1 << 28  # of the filter, at most: 32 MB; more entries let more suffixes of articles through, never fewer
 
 _MARKUP = re.compile(
     r"""<!--(?:-?>|.*?(?:--!?>|\Z))
@@ -186,30 +197,61 @@ def _host(url: str | None) -> int:
     return xxhash.xxh64_intdigest(host)
 
 
-class Page:
-    """A page's blocks, and its stream: the tokens outside the article.  Each
-    stretch between parts of the article is a run of its own."""
+def _tokens(element: str, text: str) -> list[int]:
+    return [zlib.crc32(b"<" + element.encode()), *map(zlib.crc32, text.encode().split(b" "))]
 
-    def __init__(self, url: str | None, html: str | None):
-        self.blocks = blocks(html)
-        self.host = _host(url)
+
+class Stream:
+    """Tokens of blocks, each after its element's, and the runs they stand in: a
+    substring doesn't go beyond its run."""
+
+    def __init__(self, host: int, runs: list[list[tuple[int, str, str]]]):
         tokens: list[int] = []
+        self.host = host
         self.runs: list[tuple[int, int]] = []
-        self.open: dict[int, tuple[int, int]] = {}  # block -> its words in the stream
-        begin = 0
-        for k, (kind, element, text) in enumerate(self.blocks):
-            if kind == ARTICLE:
-                self.runs.append((begin, len(tokens)))
-                begin = len(tokens)
-                continue
-            tokens.append(zlib.crc32(b"<" + element.encode()))
-            first = len(tokens)
-            tokens += [zlib.crc32(w.encode()) for w in text.split(" ")]
-            if kind == OPEN:
-                self.open[k] = (first, len(tokens))
-        self.runs.append((begin, len(tokens)))
+        self.words: dict[int, tuple[int, int]] = {}  # block -> its words in the stream
+        for run in runs:
+            begin = len(tokens)
+            for k, element, text in run:
+                first = len(tokens) + 1
+                tokens += _tokens(element, text)
+                self.words[k] = (first, len(tokens))
+            self.runs.append((begin, len(tokens)))
         self.tokens = np.array(tokens, np.uint32)
 
+    def starts(self, run: int) -> np.ndarray:
+        """Where suffixes of at least ``run`` tokens begin."""
+        return np.concatenate([np.arange(a, max(a, b - run + 1)) for a, b in self.runs]).astype(np.int64)
+
+    def entries(self, run: int) -> np.ndarray:
+        """The suffixes to their first ``run`` tokens, after the host."""
+        starts = self.starts(run)
+        out = np.empty((len(starts), run + 2), np.uint32)
+        out[:, :2] = self.host >> 32, self.host & 0xFFFFFFFF
+        out[:, 2:] = self.tokens[starts[:, None] + np.arange(run)]
+        return out
+
+
+class Page(Stream):
+    """A page's blocks, and its stream outside the article; each stretch between
+    parts of the article is a run of its own.  ``article`` is the stream in it."""
+
+    def __init__(self, url: str | None, html: str | None):
+        self.blocks = blocks(html)
+        outside: list[list[tuple[int, str, str]]] = [[]]
+        self._inside: list[list[tuple[int, str, str]]] = [[]]
+        for k, (kind, element, text) in enumerate(self.blocks):
+            here, other = (self._inside, outside) if kind == ARTICLE else (outside, self._inside)
+            here[-1].append((k, element, text))
+            if other[-1]:
+                other.append([])
+        super().__init__(_host(url), outside)
+        self.open = {k: w for k, w in self.words.items() if self.blocks[k][0] == OPEN}
+
+    @cached_property
+    def article(self) -> Stream:
+        return Stream(self.host, self._inside)
+
     def content(self) -> int:
         """Equal pages are one."""
         digest = xxhash.xxh64(seed=1)
@@ -222,19 +264,48 @@ class Page:
         runs = np.array(self.runs, np.int64).tobytes()
         return xxhash.xxh128(self.host.to_bytes(8) + self.tokens.tobytes() + runs + str([*self.open.values()]).encode()).digest()
 
-    def starts(self, run: int) -> np.ndarray:
-        """Where suffixes of at least ``run`` tokens begin."""
-        return np.concatenate([np.arange(a, max(a, b - run + 1)) for a, b in self.runs]).astype(np.int64)
-
-    def entries(self, run: int) -> np.ndarray:
-        """The suffixes to their first ``run`` tokens, after the host."""
-        starts = self.starts(run)
-        out = np.empty((len(starts), run + 2), np.uint32)
-        out[:, :2] = self.host >> 32, self.host & 0xFFFFFFFF
-        out[:, 2:] = self.tokens[starts[:, None] + np.arange(run)]
+    def kept(self, places: np.ndarray, copied: np.ndarray, run: int, covered: float) -> list[str]:
+        """Texts of the article and of open blocks, unless substrings at
+        ``places`` cover these; those of ``copied`` stand in articles as well."""
+        marked = any(kind == ARTICLE for kind, _, _ in self.blocks)
+        seen, known = (_spread(x, len(self.tokens), run) for x in (places, copied))
+        out = []
+        for k, (kind, _, text) in enumerate(self.blocks):
+            if kind == OPEN:
+                a, b = self.open[k]
+                least = covered * (b - a)
+                beyond = (copied < a - 1) & (copied + run > a) | (copied < b) & (copied + run > b + 1)  # to a word of a neighbour
+                if seen[a:b].sum() < least or not marked and known[a:b].sum() >= least and beyond.any():
+                    out.append(text)
+            elif kind == ARTICLE:
+                out.append(text)
         return out
 
 
+def _spread(places: np.ndarray, size: int, run: int) -> np.ndarray:
+    seen = np.zeros(size + run, bool)
+    for k in range(run):
+        seen[places + k] = True
+    return seen
+
+
+class _Filter:
+    """A Bloom filter of entries: two bits each in a table of 64-bit words."""
+
+    def __init__(self, table: np.ndarray, run: int):
+        self.table = table
+        self.mask = np.uint64(64 * len(table) - 1)
+        self.factors = splitmix(run + 2, 11) | np.uint64(1)
+
+    def bits(self, entries: np.ndarray) -> np.ndarray:
+        h = mix64(entries.astype(np.uint64) @ self.factors)
+        return np.stack((h & self.mask, (h >> np.uint64(32)) & self.mask))
+
+    def holds(self, entries: np.ndarray) -> np.ndarray:
+        at = self.bits(entries)
+        return ((self.table[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1)).astype(bool).all(axis=0)
+
+
 def _pages(batch: pa.RecordBatch) -> Iterator[Page]:
     for url, html in zip(batch.column("url"), batch.column("html"), strict=True):
         yield Page(url.as_py(), html.as_py())
@@ -274,6 +345,21 @@ def _arrays(run: int):
     return rows
 
 
+def _article_arrays(run: int, table):
+    """The suffixes of a batch's articles that the filter holds, equal ones once."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = _Filter(table.value, run)
+        for batch in batches:
+            entries = [np.empty((0, run + 2), np.uint32)]
+            for p in _pages(batch):
+                own = p.article.entries(run)
+                entries.append(own[found.holds(own)])
+            yield pa.RecordBatch.from_pydict({"entry": _packed(np.unique(np.concatenate(entries), axis=0))})
+
+    return rows
+
+
 def _open_entries(run: int):
     """Rows (stream, place, entry) of the streams with open blocks."""
 
@@ -281,8 +367,7 @@ def _open_entries(run: int):
         for batch in batches:
             streams = {}
             for p in _pages(batch):
-                if p.open:
-                    streams.setdefault(p.stream(), p)
+                streams.setdefault(p.stream(), p)
             for name, p in streams.items():
                 yield pa.RecordBatch.from_pydict({
                     "stream": pa.array([name] * len(starts := p.starts(run)), pa.binary()), "place": pa.array(starts, pa.int64()),
@@ -299,6 +384,39 @@ def repeated(pages: DataFrame, run: int = RUN) -> DataFrame:
     return arrays.groupBy("entry").agg(F.min("low").alias("low"), F.max("high").alias("high")).filter("low < high").select("entry")
 
 
+def _words(bits: int, run: int):
+    """Rows (word, bits) of the filter's table."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = _Filter(np.zeros(bits // 64, np.uint64), run)
+        for batch in batches:
+            entries = np.frombuffer(b"".join(batch.column("entry").to_pylist()), ">u4").reshape(-1, run + 2)
+            at = np.sort(found.bits(entries).ravel())
+            word, one = at >> np.uint64(6), np.uint64(1) << (at & np.uint64(63))
+            first = np.nonzero(np.concatenate([[True], word[1:] != word[:-1]]))[0] if len(word) else np.zeros(0, np.int64)
+            one = np.bitwise_or.reduceat(one, first) if len(word) else one
+            yield pa.RecordBatch.from_pydict({"word": pa.array(_signed(word[first])), "bits": pa.array(_signed(one))})
+
+    return rows
+
+
+def _filter(repeats: DataFrame, run: int):
+    """The table of the filter of ``repeats``, broadcast: 32 bits for an entry, up to ``FILTER_BITS``."""
+    bits = min(FILTER_BITS, 1 << max(16, (32 * repeats.count() - 1).bit_length()))
+    table = np.zeros(bits // 64, np.uint64)
+    words = repeats.mapInArrow(_words(bits, run), "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    table[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+    return repeats.sparkSession.sparkContext.broadcast(table)
+
+
+def _array(pages: DataFrame, run: int) -> DataFrame:
+    """(entry, copied): the entries of ``repeated``, and whether articles of the
+    host hold them as well."""
+    repeats = staged(repeated(pages, run), "repeats")
+    articles = pages.select("url", "html").mapInArrow(_article_arrays(run, _filter(repeats, run)), "entry binary").distinct()
+    return repeats.join(articles.withColumn("copied", F.lit(True)), "entry", "left").select("entry", F.coalesce("copied", F.lit(False)).alias("copied"))
+
+
 def _texts(wants_open: bool):
     """Rows of the pages with, or without, open blocks."""
 
@@ -321,16 +439,9 @@ def _kept(run: int, covered: float):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for p, places in zip(_pages(batch), batch.column("places"), strict=True):
-                seen = np.zeros(len(p.tokens) + run, bool)
-                for place in places.as_py() or ():
-                    seen[place : place + run] = True
-                keep = []
-                for k, (kind, _, text) in enumerate(p.blocks):
-                    a, b = p.open.get(k, (0, 1))
-                    if kind == ARTICLE or kind == OPEN and seen[a:b].sum() < covered * (b - a):
-                        keep.append(text)
-                texts.append("\n\n".join(keep))
+            for p, *places in zip(_pages(batch), batch.column("places"), batch.column("copied"), strict=True):
+                places, copied = (np.array(x.as_py() or (), np.int64) for x in places)
+                texts.append("\n\n".join(p.kept(places, copied, run, covered)))
             yield pa.RecordBatch.from_pydict({"page_id": batch.column("page_id"), "url": batch.column("url"), "text": pa.array(texts, pa.string())})
 
     return rows
@@ -343,17 +454,17 @@ def extract(pages: DataFrame, run: int = RUN, covered: float = COVERED) -> DataF
     A null or empty html gives an empty text.  Pages without a host count as
     one host's.  Equal pages are one page of their host; rows that share a
     page_id are extracted each.  Of a page without ``article`` or ``main`` all
-    text is open, so blocks that near copies of it share go too.  Other columns
-    are ignored; an empty table gives no rows.
+    text is open, so blocks that near copies of it share go too, unless an
+    article of the host has them.  Other columns are ignored; an empty table
+    gives no rows.
     """
     pages = pages.select(F.col("page_id").cast("long"), "url", "html")
-    repeats = staged(repeated(pages, run), "repeats")
-    places = (
-        pages.mapInArrow(_open_entries(run), "stream binary, place long, entry binary").join(repeats, "entry", "left_semi")
-        .groupBy("stream").agg(F.collect_set("place").alias("places"))
-    )
+    array = staged(_array(pages, run), "array")
+    open_ = staged(pages.mapInArrow(_texts(True), "page_id long, url string, html string, stream binary"), "open")
+    places = open_.mapInArrow(_open_entries(run), "stream binary, place long, entry binary").join(array, "entry")
+    places = places.groupBy("stream").agg(F.collect_set("place").alias("places"), F.collect_set(F.when(F.col("copied"), F.col("place"))).alias("copied"))
     places = staged(places, "places")
-    open_ = pages.mapInArrow(_texts(True), "page_id long, url string, html string, stream binary").join(places, "stream", "left")
-    open_ = open_.select("page_id", "url", "html", "places").mapInArrow(_kept(run, covered), "page_id long, url string, text string")
+    open_ = open_.join(places, "stream", "left").select("page_id", "url", "html", "places", "copied")
+    open_ = open_.mapInArrow(_kept(run, covered), "page_id long, url string, text string")
     rows = pages.mapInArrow(_texts(False), "page_id long, url string, text string").unionByName(open_)
     return rows.withColumn("n_chars", F.length("text").cast("long"))

@@ -79,6 +79,52 @@ def test_unmarked_repeats_beside_the_article_go(spark):
     assert texts(spark, rows)[1] == "Story 1\n\nWritten by author number 1 on a rainy day"
 
 
+def lines(n):
+    return [f"Line{k} of text{n} tells how one{n} came{k} to town{n} and left{k} again{n}." for k in range(3)]
+
+
+def test_articles_in_the_array_save_their_unmarked_copies(spark):
+    """Near copies without marks share all blocks, which boilerplate does too; an article of the host tells them apart."""
+    headline = "The town has a new mayor since last night"
+    copy = "".join(f"<p>{x}</p>" for x in lines(1))
+    menu = "<div>Start News Sport Weather Contact and more Imprint</div>"
+    rows = [(n, f"http://a.example/{n}", f"{menu}<h1>{headline}</h1>{copy}<div>Printed for reader{n}</div>") for n in (1, 2)]
+    rows += [(3, "http://a.example/3", f"{menu}<article><h1>{headline}</h1>{copy}</article>")]
+    # the headline alone, and the copy beside another article, are no main text
+    rows += [(n, f"http://a.example/{n}", f"{menu}<div>{headline}</div><div>Other things are told on page{n} here</div>") for n in (4, 5)]
+    rows += [(n, f"http://a.example/{n}", f"{menu}{copy}<article><p>{lines(n)[0]}</p></article>") for n in (6, 7)]
+    # a host that has the same pages without the article
+    rows += [(n + 10, f"http://b.example/{n}", html) for n, _, html in rows[:2]]
+    out = texts(spark, rows)
+    for n in (1, 2):
+        assert out[n].split("\n\n") == [headline, *lines(1), f"Printed for reader{n}"]
+        assert out[n + 10] == f"Printed for reader{n}"
+    assert out[3].split("\n\n") == [headline, *lines(1)]
+    for n in (4, 5):
+        assert out[n] == f"Other things are told on page{n} here"
+    for n in (6, 7):
+        assert out[n] == lines(n)[0]
+
+
+def test_array_holds_the_articles(spark):
+    """Every repeated substring of a host, with whether its articles have it."""
+    src = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    parsed = [b.Page(r["url"], r["html"]) for r in src.collect()]
+    inside = {e.as_py() for p in parsed for e in b._packed(p.article.entries(b.RUN))}
+    array = {bytes(r["entry"]): r["copied"] for r in b._array(src, b.RUN).collect()}
+    assert set(array) == {bytes(r[0]) for r in b.repeated(src).collect()}
+    assert array == {e: e in inside for e in array} and any(array.values())
+
+
+def test_filter_loses_no_entry(spark):
+    rows = [(n, f"http://a.example/{n}", page(n)) for n in range(6)]
+    found = b.repeated(pages(spark, rows))
+    entries = b.np.frombuffer(b"".join(bytes(r[0]) for r in found.collect()), ">u4").reshape(-1, b.RUN + 2)
+    bloom = b._Filter(b._filter(found, b.RUN).value, b.RUN)
+    assert len(entries) and bloom.holds(entries).all()
+    assert bloom.holds(entries + 1).mean() < 0.5
+
+
 def brute(rows, run, covered):
     """Open blocks whose words lie in substrings that another page of the host has too."""
     parsed = [(i, b.Page(u, h)) for i, u, h in rows]
